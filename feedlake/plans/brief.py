@@ -76,7 +76,7 @@ def brief_batch(spark: SparkSession, sf_dir: str, hash_len: int = 40) -> DataFra
     briefs = chain.withColumn("content", F.coalesce("cached_summary", T.extractive_summary("article_text")))
     kv = I.keyword_count_pairs(keyword_counts(cand, arts))
     ins = I.heuristic_insight(cand.select("id", "title", "summary"), kv).select("id", "insight")
-    out = (flagged.join(briefs.select("id", "text_path", "cached_summary", "article_text", "content"), "id", "left")
+    out = (flagged.drop("summary", "content").join(briefs.select("id", "text_path", "cached_summary", "article_text", "content"), "id", "left")
            .join(ins, "id", "left"))
     return out.select("id", "title", "url", "source", "published", "published_ts", "url_hash", "is_unseen",
                       "text_path", "cached_summary", "article_text", "content", "insight")

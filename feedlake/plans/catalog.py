@@ -63,7 +63,7 @@ def embedding_scan(spark, sf):
                     F.round(V.l2_norm("embedding"), 4).alias("norm"))
 
 
-def _doc_feed_entries(spark, sf, group_size: int = 5):
+def _doc_feed_entries(spark, sf, group_size: int = 100):
     """Feed documents derived from the archive: one feed per (source, id div group_size), its
     entries in id order (bounded groups of <= group_size rows)."""
     a = B.keyed_articles(spark, sf)
@@ -114,8 +114,9 @@ def json_feed_normalise(spark, sf):
 def feed_union(spark, sf):
     """A5: mixed payloads routed by url (en/de feeds as RSS, others as JSON) and unioned."""
     e = _doc_feed_entries(spark, sf)
-    rss = _rss_payloads(e.where(F.col("lang").isin("en", "de")))
-    js = _json_payloads(e.where(~F.col("lang").isin("en", "de")))
+    is_rss = F.coalesce(F.col("lang"), F.lit("")).isin("en", "de")
+    rss = _rss_payloads(e.where(is_rss))
+    js = _json_payloads(e.where(~is_rss))
     return _items_out(FD.feed_items(rss.unionByName(js)))
 
 

@@ -197,16 +197,20 @@ cnt AS (SELECT kws.keyword, binned.bin_start, count(*) AS n FROM kws JOIN binned
 def feed_sql() -> str:
     return """entries AS (
   SELECT id, source, lang, content, published_ts, substr(split_part(content, chr(10), 1), 1, 80) AS e_title, url AS e_link,
-         CAST(floor(id / 5) AS BIGINT) AS g,
-         row_number() OVER (PARTITION BY source, CAST(floor(id / 5) AS BIGINT) ORDER BY id) - 1 AS entry_pos
+         CAST(floor(id / 100) AS BIGINT) AS g,
+         row_number() OVER (PARTITION BY source, CAST(floor(id / 100) AS BIGINT) ORDER BY id) - 1 AS entry_pos,
+         row_number() OVER (PARTITION BY source, CAST(floor(id / 100) AS BIGINT), coalesce(lang, '') IN ('en', 'de')
+                            ORDER BY id) - 1 AS kind_pos
   FROM articles),
 rss AS (
   SELECT 'https://' || source || '.example/feed/' || CAST(g AS VARCHAR) || '.xml' AS feed_url, CAST(entry_pos AS BIGINT) AS entry_pos,
+         CAST(kind_pos AS BIGINT) AS kind_pos,
          trim(e_title) AS title, e_link AS link, substr(content, 1, 1000) AS summary,
          strftime(published_ts, '%a, %d %b %Y %H:%M:%S') || ' GMT' AS published, source, lang
   FROM entries),
 js AS (
   SELECT 'https://www.reddit.com/r/' || source || '/' || CAST(g AS VARCHAR) || '.json' AS feed_url, CAST(entry_pos AS BIGINT) AS entry_pos,
+         CAST(kind_pos AS BIGINT) AS kind_pos,
          e_title AS title, 'https://reddit.com/r/' || source || '/comments/' || CAST(id AS VARCHAR) AS link,
          substr(content, 1, 500) AS summary, strftime(published_ts, '%Y-%m-%dT%H:%M:%S') AS published, 'Reddit' AS source, lang
   FROM entries)"""
@@ -227,8 +231,9 @@ def oracle_sql() -> dict[str, str]:
                            "FROM embeddings WHERE embedding IS NOT NULL")
     o["rss_ingest"] = W(feed_sql()) + f"SELECT {ITEM_COLS} FROM rss WHERE entry_pos < {C.ENTRIES_PER_FEED}"
     o["json_feed_normalise"] = W(feed_sql()) + f"SELECT {ITEM_COLS} FROM js"
-    o["feed_union"] = W(feed_sql()) + (f"SELECT {ITEM_COLS} FROM rss WHERE lang IN ('en', 'de') AND entry_pos < {C.ENTRIES_PER_FEED} "
-                                       f"UNION ALL SELECT {ITEM_COLS} FROM js WHERE lang NOT IN ('en', 'de') OR lang IS NULL")
+    kind_cols = ITEM_COLS.replace("entry_pos", "kind_pos AS entry_pos")
+    o["feed_union"] = W(feed_sql()) + (f"SELECT {kind_cols} FROM rss WHERE coalesce(lang, '') IN ('en', 'de') AND kind_pos < {C.ENTRIES_PER_FEED} "
+                                       f"UNION ALL SELECT {kind_cols} FROM js WHERE coalesce(lang, '') NOT IN ('en', 'de')")
     o["source_list_dedup"] = W() + (
         f"SELECT CAST(min(pos) AS BIGINT) AS pos, url FROM ("
         f"SELECT * FROM (VALUES {_sources_values()}) d(pos, url) "
