@@ -68,22 +68,22 @@ def word_count(c) -> Column:
 
 
 def sentences(c) -> Column:
-    """Split after . ! ? followed by whitespace; trim pieces; drop empty ones."""
+    """Split after . ! ? followed by whitespace; drop empty pieces.
+
+    The text is trimmed first and every break consumes its whole whitespace run, so each
+    piece is already trimmed (a per-piece strip would be a no-op)."""
     parts = F.split(full_trim(F.coalesce(col_(c), F.lit(""))), SENTENCE_BREAK)
-    return F.filter(F.transform(parts, full_trim), lambda s: s != "")
+    return F.filter(parts, lambda s: s != "")
 
 
-def extractive_summary(c, body_chars: int = C.SUMMARY_BODY_CHARS) -> Column:
-    """Deterministic brief: TL;DR (first two sentences), up to three highlight bullets
-    (sentences 3-8 with 8..40 words), the joined body cut to `body_chars`, and a
-    "why it matters" line (first bullet, else the TL;DR). NULL for NULL/'' input."""
-    text = col_(c)
-    s = sentences(text)
+def summary_from_sentences(s, text, body_chars: int = C.SUMMARY_BODY_CHARS) -> Column:
+    """Extractive brief from a precomputed sentence array `s` (see extractive_summary)."""
+    s, text = col_(s), col_(text)
     tldr = F.array_join(F.slice(s, 1, 2), " ")
-    window = F.slice(s, 3, 6)
-    bullets = F.slice(
-        F.filter(window, lambda x: (word_count(x) >= C.BULLET_MIN_WORDS) & (word_count(x) <= C.BULLET_MAX_WORDS)),
-        1, 3)
+    # sentences 3..8 with their word counts (each sentence is trimmed: split gives no empties)
+    window = F.transform(F.slice(s, 3, 6), lambda x: F.struct(x.alias("s"), F.size(F.split(x, WS_RUN)).alias("n")))
+    bullets = F.slice(F.transform(
+        F.filter(window, lambda x: (x["n"] >= C.BULLET_MIN_WORDS) & (x["n"] <= C.BULLET_MAX_WORDS)), lambda x: x["s"]), 1, 3)
     body = F.substring(F.array_join(s, " "), 1, body_chars)
     why = F.when(F.size(bullets) > 0, F.element_at(bullets, 1)).otherwise(tldr)
     out = F.concat(
@@ -93,6 +93,24 @@ def extractive_summary(c, body_chars: int = C.SUMMARY_BODY_CHARS) -> Column:
     return F.when(text.isNull() | (text == ""), F.lit(None).cast("string")).otherwise(out)
 
 
+def extractive_summary(c, body_chars: int = C.SUMMARY_BODY_CHARS) -> Column:
+    """Deterministic brief: TL;DR (first two sentences), up to three highlight bullets
+    (sentences 3-8 with 8..40 words), the joined body cut to `body_chars`, and a
+    "why it matters" line (first bullet, else the TL;DR). NULL for NULL/'' input.
+
+    As a single expression the sentence split is repeated; in a DataFrame prefer
+    with_summary(), which splits once."""
+    return summary_from_sentences(sentences(c), c, body_chars)
+
+
+def with_summary(df, text_col: str, out_col: str, body_chars: int = C.SUMMARY_BODY_CHARS):
+    """Adds `out_col` = extractive summary of `text_col`, splitting the text once (the split
+    is a separate projection that Catalyst keeps, since its result is used several times)."""
+    return (df.withColumn("_sent", sentences(text_col))
+              .withColumn(out_col, summary_from_sentences("_sent", text_col, body_chars))
+              .drop("_sent"))
+
+
 def read_time(c) -> Column:
     """Minutes: 3 for NULL/'', else clamp(floor(words/200)+1, 2, 8)."""
     text = col_(c)

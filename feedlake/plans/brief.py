@@ -73,7 +73,8 @@ def brief_batch(spark: SparkSession, sf_dir: str, hash_len: int = 40) -> DataFra
         "id", "title", F.col("url").alias("link"), "summary", "url_hash")
     chain = S.article_text_chain(cand, TB.summaries(spark, sf_dir), TB.memo(spark, sf_dir),
                                  page_text_by_url(spark, sf_dir), hash_len)
-    briefs = chain.withColumn("content", F.coalesce("cached_summary", T.extractive_summary("article_text")))
+    briefs = T.with_summary(chain, "article_text", "_brief") \
+        .withColumn("content", F.coalesce("cached_summary", "_brief")).drop("_brief")
     kv = I.keyword_count_pairs(keyword_counts(cand, arts))
     ins = I.heuristic_insight(cand.select("id", "title", "summary"), kv).select("id", "insight")
     out = (flagged.drop("summary", "content").join(briefs.select("id", "text_path", "cached_summary", "article_text", "content"), "id", "left")

@@ -156,8 +156,8 @@ def _unseen_articles(spark, sf):
 @query
 def markdown_brief(spark, sf):
     """B1: markdown brief (front matter + extractive summary) per unseen article."""
-    u = _unseen_articles(spark, sf).select("id", "title", F.col("url").alias("link"), "summary",
-                                           T.extractive_summary("content").alias("content"))
+    u = T.with_summary(_unseen_articles(spark, sf), "content", "brief") \
+        .select("id", "title", F.col("url").alias("link"), "summary", F.col("brief").alias("content"))
     md = X.markdown_brief(u, B.RUN_TS)
     return md.select(_long("id").alias("id"), "md_name", "markdown")
 
@@ -172,19 +172,17 @@ def home_feed(spark, sf):
 
 @query
 def sitemap_entries(spark, sf):
-    """Preview pages written as files, listed with their mtime, turned into entries."""
+    """Preview pages exported as a date-partitioned table (name, html, modified_at), then
+    one sitemap entry per preview, lastmod = when the preview was written."""
     from feedlake.session import scratch_path
     a = B.keyed_articles(spark, sf).select("id", "published_ts")
     p = TB.pages(spark, sf).join(a, F.col("page_id") == F.col("id"))
+    previews = p.select(F.concat(D.date_slug("published_ts"), F.lit("-"), F.col("page_id").cast("string"),
+                                 F.lit(".html")).alias("name"), "html", D.date_slug("published_ts").alias("date"))
     out = scratch_path(spark, "previews")
-    (p.select(F.col("html").alias("value"),
-              F.concat(D.date_slug("published_ts"), F.lit("-"), F.col("page_id").cast("string"), F.lit(".html")).alias("name"))
-       .write.mode("overwrite").partitionBy("name").text(out))
-    listing = (spark.read.format("binaryFile").option("recursiveFileLookup", "true").option("pathGlobFilter", "*.txt")
-               .load(out).select("path", "modificationTime")
-               .select(F.regexp_extract("path", "name=([^/]+)/", 1).alias("name"), "modificationTime"))
-    e = X.sitemap_entries(listing)
-    return e.groupBy("name", "loc", "changefreq", "priority").agg(F.max("lastmod").alias("lastmod"))
+    X.export_previews(previews, out)
+    listing = spark.read.parquet(out).select("name", F.col("modified_at").alias("modificationTime"))
+    return X.sitemap_entries(listing).select("name", "loc", "lastmod", "changefreq", "priority")
 
 
 @query
@@ -204,8 +202,8 @@ def seo_metadata(spark, sf):
 @query
 def paragraph_markup(spark, sf):
     """Paragraph HTML of each article's extractive summary."""
-    a = TB.articles(spark, sf)
-    return a.select(_long("id").alias("id"), M.paragraphs_html(T.extractive_summary("content")).alias("content_html"))
+    a = T.with_summary(TB.articles(spark, sf), "content", "brief")
+    return a.select(_long("id").alias("id"), M.paragraphs_html("brief").alias("content_html"))
 
 
 @query
@@ -374,8 +372,8 @@ def sentence_split(spark, sf):
 @query
 def extractive_summary(spark, sf):
     """extractive brief of every article."""
-    a = TB.articles(spark, sf)
-    return a.select(_long("id").alias("id"), T.extractive_summary("content").alias("summary"))
+    a = T.with_summary(TB.articles(spark, sf), "content", "brief")
+    return a.select(_long("id").alias("id"), F.col("brief").alias("summary"))
 
 
 @query

@@ -143,6 +143,14 @@ def seo_metadata(briefs: DataFrame, url_path_col: str = "url_path", site: Site =
 
 # ------------------------------------------------------------------ B4 sitemap
 
+def export_previews(previews: DataFrame, path: str) -> None:
+    """Preview pages (name, html, date) as a date-partitioned table stamped with the write
+    time. One row per page instead of one file per page: a file per brief does not survive
+    archive scale (listing and commit cost grow with the file count)."""
+    (previews.withColumn("modified_at", F.current_timestamp())
+     .repartition("date").write.mode("overwrite").partitionBy("date").parquet(path))
+
+
 def sitemap_entries(listing: DataFrame, site: Site = SITE) -> DataFrame:
     """(name, loc, lastmod, changefreq, priority) per listed .html file."""
     return listing.select(

@@ -87,9 +87,9 @@ def memo(spark: SparkSession, sf_dir: str) -> DataFrame:
 def summaries(spark: SparkSession, sf_dir: str) -> DataFrame:
     a = articles(spark, sf_dir).select("id", "url", "content")
     lab = table(spark, sf_dir, "labels", "doc_id", "toxic").where("toxic = 1")
-    return (a.join(lab, a.id == lab.doc_id, "left_semi")
+    return (T.with_summary(a.join(lab, a.id == lab.doc_id, "left_semi"), "content", "brief")
             .select(T.summary_key(T.short_hash("url")).alias("cache_key"),
-                    T.extractive_summary("content").alias("value"),
+                    F.col("brief").alias("value"),
                     F.lit("summary").alias("content_type"),
                     true_published(F.col("id")).alias("created_at")))
 
