@@ -132,9 +132,10 @@ def merge_snapshot(spark: SparkSession, path: str, batch: DataFrame, key, order:
     keys = _keys(key)
     b = batch.withColumn("bucket", bucket_of(keys, buckets))
     touched = b.select("bucket").distinct()
-    current = spark.read.parquet(path)
+    cols = [c for c in batch.columns if c != "bucket"]
+    schema = b.select(*cols, F.col("bucket").cast("int")).schema
+    current = spark.read.schema(schema).parquet(path)  # explicit schema: an empty snapshot reads as empty
     cur = current.join(F.broadcast(touched), "bucket", "left_semi")  # at most `buckets` rows
-    cols = [c for c in current.columns if c != "bucket"]
     if mode == "keep_first":
         merged = insert_if_absent(cur.select(*cols), b.select(*cols), keys, order)
     elif mode == "keep_last":
@@ -146,11 +147,26 @@ def merge_snapshot(spark: SparkSession, path: str, batch: DataFrame, key, order:
     merged = merged.withColumn("bucket", bucket_of(keys, buckets))
     stage = scratch_path(spark, "merge-stage")
     merged.repartition("bucket").write.mode("overwrite").partitionBy("bucket").parquet(stage)
-    staged = spark.read.parquet(stage)
+    staged = spark.read.schema(schema).parquet(stage)
     prev = spark.conf.get("spark.sql.sources.partitionOverwriteMode")
     spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
     try:
         staged.write.mode("overwrite").partitionBy("bucket").parquet(path)
     finally:
         spark.conf.set("spark.sql.sources.partitionOverwriteMode", prev)
+    if mode == "delete":
+        # dynamic overwrite leaves a bucket alone when no row is written to it, so a bucket
+        # emptied by the delete is removed explicitly (at most `buckets` folder names)
+        emptied = {r[0] for r in touched.collect()} - {r[0] for r in staged.select("bucket").distinct().collect()}
+        _remove_buckets(spark, path, emptied)
     return staged
+
+
+def _remove_buckets(spark: SparkSession, path: str, ids) -> None:
+    if not ids:
+        return
+    jvm = spark.sparkContext._jvm
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    for i in ids:
+        p = jvm.org.apache.hadoop.fs.Path(f"{path.rstrip('/')}/bucket={int(i)}")
+        p.getFileSystem(conf).delete(p, True)

@@ -58,7 +58,7 @@ def article_keywords(articles: DataFrame) -> DataFrame:
 
 
 def keyword_counts(batch: DataFrame, archive: DataFrame) -> DataFrame:
-    return MN.keyword_article_counts(article_keywords(batch), archive_text(archive).select("text"))
+    return MN.keyword_article_counts(article_keywords(batch), archive_text(archive).select("id", "text"))
 
 
 def brief_batch(spark: SparkSession, sf_dir: str, hash_len: int = 40) -> DataFrame:

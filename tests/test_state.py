@@ -89,3 +89,12 @@ def test_snapshot_merge_rewrites_touched_buckets(spark):
     assert len(got) == 41 and got["k1"] == "new" and got["k99"] == "added" and got["k2"] == "v2"
     ST.merge_snapshot(spark, path, spark.createDataFrame([("k2", "ignored", 5)], SCHEMA), "k", ["ver"], mode="keep_first", buckets=8)
     assert {r["k"]: r["v"] for r in spark.read.parquet(path).collect()}["k2"] == "v2"
+
+
+def test_snapshot_delete_empties_bucket(spark):
+    path = scratch_path(spark, "snapdel")
+    base = spark.createDataFrame([(f"k{i}", f"v{i}", 0) for i in range(3)], SCHEMA)
+    ST.write_snapshot(base, path, "k", buckets=64)
+    ST.merge_snapshot(spark, path, spark.createDataFrame([("k0", None, 0), ("nope", None, 0)], SCHEMA), "k", ["ver"],
+                      mode="delete", buckets=64)
+    assert sorted(r["k"] for r in spark.read.parquet(path).collect()) == ["k1", "k2"]
