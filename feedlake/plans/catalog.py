@@ -484,6 +484,29 @@ def insight_fallback(spark, sf):
     return I.heuristic_insight(u.select("id", "title", "summary"), kv).select(_long("id").alias("id"), "insight")
 
 
+@query
+def insight_prompt(spark, sf):
+    """Prompt rows (system, user) of every unseen article: evidence of its top-6 similar
+    archive vectors and its keyword counts as JSON (no model call)."""
+    arts = B.keyed_articles(spark, sf)
+    u = ST.unseen(arts, TB.seen(spark, sf))
+    kv = I.keyword_count_pairs(B.keyword_counts(u, arts))
+    v = TB.vectors(spark, sf)
+    hits = SIM.cosine_topk(v.join(u.select("id"), "id", "left_semi"), v, k=C.SIMILAR_K_INSIGHT)
+    ev = I.evidence_text(SIM.enrich_hits(hits, TB.articles(spark, sf)))
+    p = I.insight_prompt(u.select("id", "title", "summary"), ev, kv)
+    return p.select(_long("id").alias("id"), "system", "user")
+
+
+@query
+def text_vectors(spark, sf):
+    """384-d unit vector per article from its summary + content (tokenise, hashed TF, IDF)."""
+    a = TB.articles(spark, sf).select("id", T.embedding_text("summary", "content").alias("embed_text"))
+    v = SIM.text_vectors(a, dim=C.EMBED_DIM)
+    return v.select(_long("id").alias("id"), F.size("embedding").cast("long").alias("dim"),
+                    F.round(V.l2_norm("embedding"), 4).alias("norm"))
+
+
 # ============================================================ H. streaming
 
 @query

@@ -405,6 +405,20 @@ def oracle_sql() -> dict[str, str]:
         f"'- {C.INSIGHT_BULLET_1}' || {NL} || '- Keywords: ' || coalesce(nullif(array_to_string({title_words('u.title', C.KEYWORD_MIN_LEN, C.KEYWORDS_PER_TITLE)}, ', '), ''), 'n/a') || "
         f"'. Counts: ' || coalesce(kvs.d, '{{}}') || '.' || {NL} || '- {C.INSIGHT_BULLET_3}' || {NL} || {NL} || 'Prediction:' || {NL} || "
         f"{q(C.INSIGHT_PREDICTION)} AS insight FROM unseen u LEFT JOIN kvs ON u.id = kvs.id")
+    o["insight_prompt"] = W(
+        kw_counts_sql("unseen"),
+        "kvd AS (SELECT id, keyword, min(pos) AS pos, max(mentions) AS n FROM counts GROUP BY id, keyword)",
+        f"kvj AS (SELECT id, '{{' || string_agg({json_q('keyword')} || ': ' || CAST(n AS VARCHAR), ', ' ORDER BY pos) || '}}' AS d FROM kvd GROUP BY id)",
+        VEC, topk_sql(C.SIMILAR_K_INSIGHT),
+        f"ev AS (SELECT h.qid, string_agg('- ' || coalesce(a.published, 'None') || ': ' || coalesce(a.title, 'None') || "
+        f"' (' || coalesce(a.source, 'None') || ')' || {NL} || '  ' || substr(coalesce(a.summary, ''), 1, {C.EVIDENCE_SUMMARY_CHARS}) || {NL} || {NL}, '' "
+        f"ORDER BY h.rank) AS evidence FROM hits h JOIN articles a ON a.id = h.id GROUP BY h.qid)") + (
+        f"SELECT CAST(u.id AS BIGINT) AS id, {q(C.INSIGHT_PROMPT_SYSTEM)} AS system, "
+        f"'Article:' || {NL} || coalesce(u.title, 'None') || {NL} || {NL} || 'Summary:' || {NL} || coalesce(u.summary, 'None') || "
+        f"{NL} || {NL} || 'Similar past items:' || {NL} || coalesce(ev.evidence, '') || {NL} || {NL} || 'Keyword counts:' || {NL} || "
+        f"coalesce(kvj.d, '{{}}') || {NL} || {NL} || {q(C.INSIGHT_PROMPT_ASK)} AS user "
+        f"FROM unseen u LEFT JOIN ev ON ev.qid = u.id LEFT JOIN kvj ON kvj.id = u.id")
+    o["text_vectors"] = f"SELECT CAST(doc_id AS BIGINT) AS id, CAST({C.EMBED_DIM} AS BIGINT) AS dim, CAST(1.0 AS DOUBLE) AS norm FROM documents"
     o["stream_ingest"] = ("SELECT CAST(event_id AS BIGINT) AS event_id, CAST(user_id AS BIGINT) AS user_id, event_type, "
                           "CAST(ts AS TIMESTAMP) AS ts FROM events")
     o["stream_seen"] = ("SELECT CAST(user_id AS BIGINT) AS user_id, CAST(event_id AS BIGINT) AS event_id, CAST(ts AS TIMESTAMP) AS ts FROM ("
