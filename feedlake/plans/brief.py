@@ -96,3 +96,64 @@ def home_feed(spark: SparkSession, sf_dir: str, as_of: str = AS_OF, n: int = C.H
 
 def paragraph_html(df: DataFrame, col: str) -> F.Column:
     return M.paragraphs_html(col)
+
+
+def run_brief_batch(spark: SparkSession, sf_dir: str, out_dir: str, run_ts: str = RUN_TS,
+                    hash_len: int = 40, buckets: int = 64) -> dict:
+    """The whole run for a batch, written out:
+
+      out_dir/briefs     parquet, one row per unseen item (text path, brief, insight), by date
+      out_dir/markdown   text files of the markdown briefs, partitioned by date
+      out_dir/seo        parquet SEO / JSON-LD rows
+      out_dir/seen       bucketed seen snapshot, briefed items inserted if absent (C1)
+      out_dir/memo       bucketed memo snapshot, summaries and article texts upserted (C3)
+
+    The brief frame is checkpointed (reliable checkpoint in the shared checkpoint folder) so the
+    exports and merges reuse it without recomputing the lineage, and a lost executor only
+    recomputes from the checkpoint. Metrics are collected with an Observation during the
+    briefs write (no extra pass). Returns the metrics."""
+    from pyspark.sql import Observation
+
+    from feedlake.session import checkpoint_dir, path_exists
+    checkpoint_dir(spark)
+    ensure_utc(spark)
+    batch = brief_batch(spark, sf_dir, hash_len)
+    cand = batch.where("is_unseen").withColumn("date", D.date_slug(F.lit(run_ts).cast("timestamp")))
+    cand = cand.checkpoint(eager=True)
+
+    obs = Observation("brief_batch")
+    observed = cand.observe(obs, F.count(F.lit(1)).alias("candidates"),
+                            F.count("content").alias("summaries"),
+                            F.count("cached_summary").alias("cache_reused"),
+                            F.sum(F.length("insight")).alias("insight_chars"))
+    observed.write.mode("overwrite").partitionBy("date").parquet(f"{out_dir}/briefs")
+
+    md = X.markdown_brief(cand.select("id", "title", F.col("url").alias("link"),
+                                      F.substring("article_text", 1, C.STORED_SUMMARY_CHARS).alias("summary"),
+                                      "content", "date"), run_ts)
+    X.write_text_files(md.join(cand.select("id", "date"), "id"), f"{out_dir}/markdown", "markdown", "date")
+
+    seo_in = cand.select("id", "title", F.substring("article_text", 1, C.SEO_SUMMARY_CHARS).alias("summary"),
+                         F.col("published").alias("date_iso"),
+                         F.concat(F.lit("previews/"), F.col("date"), F.lit("-"), F.col("id").cast("string"),
+                                  F.lit(".html")).alias("url_path"),
+                         F.col("source").alias("author"), T.title_tags("title").alias("tags"))
+    X.seo_metadata(seo_in).write.mode("overwrite").parquet(f"{out_dir}/seo")
+
+    seen_path, memo_path = f"{out_dir}/seen", f"{out_dir}/memo"
+    if not path_exists(spark, seen_path):
+        ST.write_snapshot(TB.seen(spark, sf_dir, hash_len), seen_path, "url_hash", buckets)
+    new_seen = cand.select("url_hash", "url", F.lit(run_ts).cast("timestamp").alias("first_seen"))
+    ST.merge_snapshot(spark, seen_path, new_seen, "url_hash", ["first_seen"], mode="keep_first", buckets=buckets)
+
+    memo_rows = (cand.where(F.col("content").isNotNull())
+                 .select(T.summary_key(T.short_hash("url", hash_len)).alias("cache_key"), F.col("content").alias("value"),
+                         F.lit("summary").alias("content_type"), F.lit(1).alias("_seq"))
+                 .unionByName(cand.where(T.truthy("article_text").isNotNull())
+                              .select(T.url_key("url").alias("cache_key"), F.col("article_text").alias("value"),
+                                      F.lit("article_text").alias("content_type"), F.lit(0).alias("_seq")))
+                 .withColumn("created_at", F.lit(run_ts).cast("timestamp")))
+    if not path_exists(spark, memo_path):
+        ST.write_snapshot(TB.memo(spark, sf_dir), memo_path, "cache_key", buckets)
+    ST.merge_snapshot(spark, memo_path, memo_rows, "cache_key", ["_seq"], mode="keep_last", buckets=buckets)
+    return dict(obs.get)
