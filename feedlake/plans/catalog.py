@@ -146,6 +146,14 @@ def page_text(spark, sf):
                     F.length("full_text").cast("long").alias("full_chars"))
 
 
+@query
+def artifact_listing(spark, sf):
+    """Listing (name, lastmod) of the table files in the data folder, by name; the
+    binaryFile content column is never selected, so no file body is read."""
+    listing = P.artifact_listing(spark, sf, "*.parquet")
+    return listing.select("name", D.zulu("modificationTime").alias("lastmod")).orderBy("name")
+
+
 # ============================================================ B. sinks
 
 def _unseen_articles(spark, sf):

@@ -40,6 +40,19 @@ JSON_SCHEMA = Ty.StructType([
         Ty.StructField("children", Ty.ArrayType(Ty.StructType([Ty.StructField("data", JSON_POST)]))),
     ])),
 ])
+ATOM_ENTRY = Ty.StructType([
+    Ty.StructField("title", Ty.StringType()),
+    Ty.StructField("link", Ty.ArrayType(Ty.StructType([Ty.StructField("_href", Ty.StringType()),
+                                                       Ty.StructField("_rel", Ty.StringType())]))),
+    Ty.StructField("summary", Ty.StringType()),
+    Ty.StructField("content", Ty.StringType()),
+    Ty.StructField("published", Ty.StringType()),
+    Ty.StructField("updated", Ty.StringType()),
+])
+ATOM_SCHEMA = Ty.StructType([
+    Ty.StructField("title", Ty.StringType()),
+    Ty.StructField("entry", Ty.ArrayType(ATOM_ENTRY)),
+])
 ITEM_COLUMNS = ["feed_url", "entry_pos", "title", "link", "summary", "published", "source"]
 
 
@@ -90,11 +103,41 @@ def json_items(payloads: DataFrame) -> DataFrame:
     )
 
 
+def is_atom(payload) -> F.Column:
+    """An Atom document: its root element is <feed> (after an optional XML declaration)."""
+    return T.col_(payload).rlike(r"^\s*(<\?xml[^>]*\?>\s*)?<feed[\s>]")
+
+
+def atom_items(payloads: DataFrame, limit: int = C.ENTRIES_PER_FEED) -> DataFrame:
+    """Atom payloads -> items with the RSS rules: first `limit` entries, link = the alternate
+    (or first) link's href, summary (else content) cut to 1000, published else updated, source =
+    feed title else the feed url."""
+    p = payloads.select(F.col("url").alias("feed_url"), F.from_xml("payload", ATOM_SCHEMA).alias("doc"))
+    e = p.select("feed_url", F.col("doc.title").alias("_ch"),
+                 F.posexplode(F.slice(F.coalesce(F.col("doc.entry"), F.array().cast(Ty.ArrayType(ATOM_ENTRY))), 1, limit))
+                 .alias("entry_pos", "e"))
+    links = F.col("e.link")
+    alt = F.filter(links, lambda l: F.coalesce(l["_rel"], F.lit("alternate")) == "alternate")
+    href = F.coalesce(F.element_at(alt, 1)["_href"], F.element_at(links, 1)["_href"])
+    return e.select(
+        "feed_url", F.col("entry_pos").cast("int").alias("entry_pos"),
+        T.full_trim(F.coalesce("e.title", F.lit(""))).alias("title"),
+        T.full_trim(F.coalesce(href, F.lit(""))).alias("link"),
+        T.cut(F.coalesce("e.summary", "e.content", F.lit("")), C.RSS_SUMMARY_CHARS).alias("summary"),
+        F.coalesce("e.published", "e.updated", F.lit("")).alias("published"),
+        F.coalesce(F.col("_ch"), F.col("feed_url")).alias("source"),
+    )
+
+
 def feed_items(payloads: DataFrame, limit: int = C.ENTRIES_PER_FEED) -> DataFrame:
-    """Route each payload by its url (reddit *.json -> JSON reader, else RSS) and union."""
+    """Route each payload (reddit *.json url -> JSON reader; Atom root -> Atom reader; else RSS)
+    and union. Each branch only sees its own payloads, so a parse failure stays local."""
     j = payloads.where(is_json_feed("url"))
-    r = payloads.where(~is_json_feed("url"))
-    return rss_items(r, limit).unionByName(json_items(j)).select(*ITEM_COLUMNS)
+    x = payloads.where(~is_json_feed("url"))
+    atom = x.where(F.coalesce(is_atom("payload"), F.lit(False)))
+    r = x.where(~F.coalesce(is_atom("payload"), F.lit(False)))
+    return (rss_items(r, limit).unionByName(atom_items(atom, limit)).unionByName(json_items(j))
+            .select(*ITEM_COLUMNS))
 
 
 def with_item_keys(items: DataFrame, hash_len: int = 40) -> DataFrame:

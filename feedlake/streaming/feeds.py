@@ -53,10 +53,16 @@ def first_seen_stream(spark: SparkSession, sf_dir: str, buckets: int = 16) -> Da
 
 
 def windowed_counts(spark: SparkSession, sf_dir: str, days: int = 7, watermark: str = "1 day",
-                    origin: str | None = None) -> DataFrame:
+                    origin: str | None = None, buckets: int = 16) -> DataFrame:
     """H3: tumbling `days`-day windows aligned to `origin` (default: midnight of the first
     event, read once from the static table), per event type, with a watermark for late rows.
-    Complete mode into a memory-free parquet snapshot via foreachBatch overwrite."""
+
+    Update mode: each micro-batch emits only the windows it changed, with their running
+    counts, and the watermark lets the state store drop closed windows (state stays bounded on
+    an endless stream). The sink is an update log partitioned by micro-batch id; a replayed
+    micro-batch overwrites its own partition (dynamic overwrite), so the log is exactly-once.
+    Readers take the last update per (event_type, bin_start) with a keep-last aggregate. Gap
+    filling is done at read time (see operators.mentions)."""
     if origin is None:
         first = spark.read.parquet(os.path.join(sf_dir, "events.parquet")).agg(F.min("ts")).first()[0]
         origin = first.strftime("%Y-%m-%d 00:00:00")
@@ -66,12 +72,21 @@ def windowed_counts(spark: SparkSession, sf_dir: str, days: int = 7, watermark:
     ev = _events_stream(spark, sf_dir).withWatermark("ts", watermark)
     agg = (ev.groupBy(F.window("ts", f"{days} days", f"{days} days", f"{offset_s} seconds").alias("w"), "event_type")
            .agg(F.count(F.lit(1)).alias("n")))
-    table, ck = scratch_path(spark, "mentions-table"), scratch_path(spark, "mentions-ck")
+    log, ck = scratch_path(spark, "mentions-log"), scratch_path(spark, "mentions-ck")
 
-    def snapshot(batch: DataFrame, epoch_id: int) -> None:
-        batch.select("event_type", F.col("w.start").alias("bin_start"), "n").write.mode("overwrite").parquet(table)
+    def append(batch: DataFrame, epoch_id: int) -> None:
+        rows = batch.select("event_type", F.col("w.start").alias("bin_start"), "n", F.lit(epoch_id).cast("long").alias("_epoch"))
+        (rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+         .partitionBy("_epoch").parquet(log))
 
-    q = (agg.writeStream.outputMode("complete").foreachBatch(snapshot)
+    q = (agg.writeStream.outputMode("update").foreachBatch(append)
          .option("checkpointLocation", ck).trigger(availableNow=True).start())
     q.awaitTermination()
-    return spark.read.parquet(table)
+    return read_window_counts(spark, log)
+
+
+def read_window_counts(spark: SparkSession, log: str) -> DataFrame:
+    """Current counts from the update log: the last update per (event_type, bin_start)."""
+    schema = "event_type string, bin_start timestamp, n long, _epoch long"
+    updates = spark.read.schema(schema).parquet(log)
+    return ST.keep_last(updates, ["event_type", "bin_start"], ["_epoch"]).select("event_type", "bin_start", "n")

@@ -87,3 +87,14 @@ def test_streaming_matches_batch(spark):
     assert first.count() == ev.select("user_id").distinct().count()
     counts = SF.windowed_counts(spark, sf)
     assert counts.agg(F.sum("n")).first()[0] == ev.count()
+
+
+def test_atom_items(spark):
+    atom = ('<?xml version="1.0"?><feed xmlns="http://www.w3.org/2005/Atom"><title>Atom Chan</title>'
+            + "".join(f'<entry><title> E{i} </title><link rel="self" href="https://x/self{i}"/>'
+                      f'<link rel="alternate" href="https://x/{i}"/><summary>S{i}</summary>'
+                      f'<updated>2024-01-0{i + 1}T00:00:00Z</updated></entry>' for i in range(4))
+            + "</feed>")
+    df = spark.createDataFrame([("https://a/atom", atom)], "url string, payload string")
+    got = sorted((r.entry_pos, r.title, r.link, r.summary, r.published, r.source) for r in FD.feed_items(df).collect())
+    assert got == [(i, f"E{i}", f"https://x/{i}", f"S{i}", f"2024-01-0{i + 1}T00:00:00Z", "Atom Chan") for i in range(3)]
