@@ -148,18 +148,21 @@ def first_line(c) -> Column:
 
 def json_quote_ascii(c) -> Column:
     """JSON string literal with ASCII-only output (\\uXXXX, surrogate pairs above U+FFFF),
-    the form Python's json.dumps writes by default. NULL -> null."""
-    def enc(ch):
-        return (F.when(ch == '"', F.lit('\\"'))
-                .when(ch == "\\", F.lit("\\\\"))
-                .when(ch == "\n", F.lit("\\n"))
-                .when(ch == "\r", F.lit("\\r"))
-                .when(ch == "\t", F.lit("\\t"))
-                .when(ch == "\b", F.lit("\\b"))
-                .when(ch == "\f", F.lit("\\f"))
-                .when((F.ascii(ch) >= 32) & (F.ascii(ch) <= 126), ch)
-                .otherwise(F.regexp_replace(F.lower(F.hex(F.encode(ch, "UTF-16BE"))), "(.{4})", r"\\u$1")))
-    quoted = F.concat(F.lit('"'), F.array_join(F.transform(F.split(col_(c), ""), enc), ""), F.lit('"'))
+    the form Python's json.dumps writes by default. NULL -> null.
+
+    The text is cut into runs of printable ASCII and single other code points; a run only needs
+    its backslashes and double quotes escaped, each other code point is mapped on its own."""
+    def enc(tok):
+        run = F.regexp_replace(F.regexp_replace(tok, r"\\", r"\\\\"), '"', r'\\"')
+        return (F.when((F.ascii(tok) >= 32) & (F.ascii(tok) <= 126), run)
+                .when(tok == "\n", F.lit("\\n"))
+                .when(tok == "\r", F.lit("\\r"))
+                .when(tok == "\t", F.lit("\\t"))
+                .when(tok == "\b", F.lit("\\b"))
+                .when(tok == "\f", F.lit("\\f"))
+                .otherwise(F.regexp_replace(F.lower(F.hex(F.encode(tok, "UTF-16BE"))), "(.{4})", r"\\u$1")))
+    toks = F.regexp_extract_all(col_(c), F.lit("([ -~]+|[^ -~])"), 1)
+    quoted = F.concat(F.lit('"'), F.array_join(F.transform(toks, enc), ""), F.lit('"'))
     return F.when(col_(c).isNull(), F.lit("null")).otherwise(quoted)
 
 

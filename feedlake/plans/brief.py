@@ -89,8 +89,7 @@ def home_feed(spark: SparkSession, sf_dir: str, as_of: str = AS_OF, n: int = C.H
     top = S.latest_n(arts, n)
     from pyspark.sql import Window
     ranked = top.withColumn("pos", (F.row_number().over(Window.orderBy(*S.recency_order())) - 1))
-    cards = X.home_cards(ranked.withColumnRenamed("published_ts", "published_iso_ts"), as_of) \
-        .join(ranked.select("id", "pos"), "id")
+    cards = X.home_cards(ranked.withColumnRenamed("published_ts", "published_iso_ts"), as_of, keep=("pos",))
     return X.home_feed_rows(cards, X.static_features(spark))
 
 

@@ -50,13 +50,13 @@ def write_text_files(df: DataFrame, path: str, value_col: str, partition_col: st
 
 # ------------------------------------------------------------------ F11 cards / B2 home feed
 
-def home_cards(articles: DataFrame, as_of, ts_col: str = "published_iso_ts") -> DataFrame:
+def home_cards(articles: DataFrame, as_of, ts_col: str = "published_iso_ts", keep: tuple = ()) -> DataFrame:
     """Card projection of (id, title, summary, published, source): untitled -> '(untitled)',
     summary trimmed, display date '%b %e, %Y', read time from the summary, preview url from the
-    published date; a date that does not parse as ISO counts as `as_of`."""
+    published date; a date that does not parse counts as `as_of`. `keep` columns pass through."""
     ts = F.coalesce(F.col(ts_col), F.lit(as_of).cast("timestamp"))
     return articles.select(
-        "id",
+        "id", *keep,
         F.coalesce(T.truthy("title"), F.lit(C.UNTITLED)).alias("title"),
         T.full_trim(F.coalesce("summary", F.lit(""))).alias("summary"),
         D.display_short(ts).alias("date"),
