@@ -525,6 +525,23 @@ def stream_ingest(spark, sf):
                                               "event_type", "ts")
 
 
+@query
+def stream_feed_ingest(spark, sf):
+    """H1/H2 on feed payloads: the mixed payloads of `feed_union` landed as JSON lines, streamed
+    (availableNow), parsed, keyed, filtered against a seen snapshot and appended."""
+    from feedlake.session import scratch_path
+    from feedlake.streaming import feeds as SF
+    e = _doc_feed_entries(spark, sf)
+    is_rss = F.coalesce(F.col("lang"), F.lit("")).isin("en", "de")
+    payloads = (_rss_payloads(e.where(is_rss)).unionByName(_json_payloads(e.where(~is_rss)))
+                .withColumn("fetched_at", F.lit(B.RUN_TS).cast("timestamp")))
+    landing = scratch_path(spark, "landing")
+    payloads.write.mode("overwrite").json(landing)
+    table, seen, ck = scratch_path(spark, "items"), scratch_path(spark, "seen"), scratch_path(spark, "feed-ck")
+    SF.ingest_feed_payloads(spark, landing, table, seen, ck).awaitTermination()
+    return _items_out(spark.read.parquet(table))
+
+
 @query
 def stream_seen(spark, sf):
     """H2: streaming first-seen per user (foreachBatch keep-first into a seen table)."""

@@ -234,6 +234,7 @@ def oracle_sql() -> dict[str, str]:
     kind_cols = ITEM_COLS.replace("entry_pos", "kind_pos AS entry_pos")
     o["feed_union"] = W(feed_sql()) + (f"SELECT {kind_cols} FROM rss WHERE coalesce(lang, '') IN ('en', 'de') AND kind_pos < {C.ENTRIES_PER_FEED} "
                                        f"UNION ALL SELECT {kind_cols} FROM js WHERE coalesce(lang, '') NOT IN ('en', 'de')")
+    o["stream_feed_ingest"] = o["feed_union"]
     o["source_list_dedup"] = W() + (
         f"SELECT CAST(min(pos) AS BIGINT) AS pos, url FROM ("
         f"SELECT * FROM (VALUES {_sources_values()}) d(pos, url) "

@@ -98,3 +98,19 @@ def test_atom_items(spark):
     df = spark.createDataFrame([("https://a/atom", atom)], "url string, payload string")
     got = sorted((r.entry_pos, r.title, r.link, r.summary, r.published, r.source) for r in FD.feed_items(df).collect())
     assert got == [(i, f"E{i}", f"https://x/{i}", f"S{i}", f"2024-01-0{i + 1}T00:00:00Z", "Atom Chan") for i in range(3)]
+
+
+def test_stream_feed_ingest_skips_seen_items(spark):
+    from feedlake.streaming import feeds as SF
+    landing, table, seen, ck = (scratch_path(spark, n) for n in ("landing", "items", "seen", "ck"))
+    one = [{"title": f"T{i}", "link": f"https://x/{i}"} for i in range(2)]
+    two = [{"title": f"T{i}", "link": f"https://x/{i}"} for i in range(1, 3)]   # x/1 already seen
+    rows = lambda items: [("https://a/feed.xml", "2024-01-01 00:00:00", rss("A", items))]
+    spark.createDataFrame(rows(one), "url string, fetched_at string, payload string").write.json(landing + "/b1")
+    SF.ingest_feed_payloads(spark, landing + "/*", table, seen, ck).awaitTermination()
+    spark.createDataFrame(rows(two), "url string, fetched_at string, payload string").write.json(landing + "/b2")
+    SF.ingest_feed_payloads(spark, landing + "/*", table, seen, ck).awaitTermination()
+    got = sorted((r.link, r._epoch) for r in spark.read.parquet(table).collect())
+    assert [g[0] for g in got] == ["https://x/0", "https://x/1", "https://x/2"]
+    assert got[0][1] == got[1][1] < got[2][1]
+    assert spark.read.parquet(seen).count() == 3
