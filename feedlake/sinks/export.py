@@ -161,14 +161,29 @@ def sitemap_entries(listing: DataFrame, site: Site = SITE) -> DataFrame:
         F.lit(C.SITEMAP_PRIORITY).alias("priority"))
 
 
-def sitemap_document(entries: DataFrame) -> DataFrame:
-    """One XML document, entries sorted by file name."""
+SITEMAP_MAX_URLS = 50_000  # sitemap protocol limit per file
+
+
+def sitemap_document(entries: DataFrame, max_urls: int = SITEMAP_MAX_URLS) -> DataFrame:
+    """Sitemap XML documents (part, value), entries sorted by file name.
+
+    Up to `max_urls` entries this is the single document. Larger listings are range-partitioned
+    by name into parts of bounded size (a fifth of headroom for uneven ranges), and each part
+    becomes one document, as the sitemap protocol requires; no single group ever holds the
+    whole listing."""
+    n = entries.count()
+    parts = max(1, -(-n // int(max_urls * 0.8))) if n > max_urls else 1
     e = entries.select("name", F.concat(
         F.lit("  <url>\n    <loc>"), F.col("loc"), F.lit("</loc>\n    <lastmod>"), F.col("lastmod"),
         F.lit("</lastmod>\n    <changefreq>"), F.col("changefreq"), F.lit("</changefreq>\n    <priority>"),
         F.col("priority"), F.lit("</priority>\n  </url>")).alias("x"))
-    body = e.agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("name", "x"))), lambda s: s["x"]), "\n").alias("b"))
-    return body.select(F.concat(
+    if parts > 1:
+        e = e.repartitionByRange(parts, "name").withColumn("part", F.spark_partition_id())
+    else:
+        e = e.withColumn("part", F.lit(0))
+    body = e.groupBy("part").agg(
+        F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("name", "x"))), lambda s: s["x"]), "\n").alias("b"))
+    return body.select("part", F.concat(
         F.lit("<?xml version='1.0' encoding='UTF-8'?>\n<urlset xmlns='http://www.sitemaps.org/schemas/sitemap/0.9'>\n"),
         F.col("b"), F.lit("\n</urlset>\n")).alias("value"))
 

@@ -76,6 +76,12 @@ def test_artifact_listing_and_sitemap(spark, tmp_path):
                    ("b.html", "https://example.com/previews/b.html", "daily", "0.6")]
     doc = X.sitemap_document(entries).first()["value"]
     assert doc.index("a.html") < doc.index("b.html") and doc.endswith("</urlset>\n")
+    # large listings are split into bounded, name-ordered parts
+    many = spark.range(25).select(F.format_string("p%03d.html", "id").alias("name"), F.lit("L").alias("loc"),
+                                  F.lit("T").alias("lastmod"), F.lit("daily").alias("changefreq"), F.lit("0.6").alias("priority"))
+    docs = X.sitemap_document(many, max_urls=10).collect()
+    assert len(docs) >= 3 and sum(d.value.count("<url>") for d in docs) == 25
+    assert all(d.value.count("<url>") <= 10 for d in docs)
 
 
 def test_streaming_matches_batch(spark):
