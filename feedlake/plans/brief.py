@@ -77,10 +77,11 @@ def brief_batch(spark: SparkSession, sf_dir: str, hash_len: int = 40) -> DataFra
         .withColumn("content", F.coalesce("cached_summary", "_brief")).drop("_brief")
     kv = I.keyword_count_pairs(keyword_counts(cand, arts))
     ins = I.heuristic_insight(cand.select("id", "title", "summary"), kv).select("id", "insight")
-    out = (flagged.drop("summary", "content").join(briefs.select("id", "text_path", "cached_summary", "article_text", "content"), "id", "left")
+    out = (flagged.withColumnRenamed("summary", "feed_summary").drop("content")
+           .join(briefs.select("id", "text_path", "cached_summary", "article_text", "content"), "id", "left")
            .join(ins, "id", "left"))
     return out.select("id", "title", "url", "source", "published", "published_ts", "url_hash", "is_unseen",
-                      "text_path", "cached_summary", "article_text", "content", "insight")
+                      "feed_summary", "text_path", "cached_summary", "article_text", "content", "insight")
 
 
 def home_feed(spark: SparkSession, sf_dir: str, as_of: str = AS_OF, n: int = C.HOME_FEED_SIZE) -> DataFrame:
@@ -106,6 +107,8 @@ def run_brief_batch(spark: SparkSession, sf_dir: str, out_dir: str, run_ts: str
       out_dir/seo        parquet SEO / JSON-LD rows
       out_dir/seen       bucketed seen snapshot, briefed items inserted if absent (C1)
       out_dir/memo       bucketed memo snapshot, summaries and article texts upserted (C3)
+      out_dir/articles   bucketed article snapshot, whole rows replaced (C2), with a 384-d
+                         text vector per article (G2)
 
     The brief frame is checkpointed (reliable checkpoint in the shared checkpoint folder) so the
     exports and merges reuse it without recomputing the lineage, and a lost executor only
@@ -155,4 +158,18 @@ def run_brief_batch(spark: SparkSession, sf_dir: str, out_dir: str, run_ts: str
     if not path_exists(spark, memo_path):
         ST.write_snapshot(TB.memo(spark, sf_dir), memo_path, "cache_key", buckets)
     ST.merge_snapshot(spark, memo_path, memo_rows, "cache_key", ["_seq"], mode="keep_last", buckets=buckets)
+
+    from feedlake.functions.dates import iso_utc
+    from feedlake.operators.similar import text_vectors
+    arts = cand.where(F.col("content").isNotNull()).select(
+        F.col("url_hash").alias("id"), "title", "url", "source",
+        F.coalesce(T.truthy("published"), iso_utc(F.lit(run_ts).cast("timestamp"))).alias("published"),
+        T.cut(F.coalesce("feed_summary", F.lit("")), C.STORED_SUMMARY_CHARS).alias("summary"),
+        F.coalesce("article_text", F.lit("")).alias("content"))
+    arts = text_vectors(arts.withColumn("embed_text", T.embedding_text("summary", "content"))).drop("embed_text")
+    arts = arts.withColumn("saved_at", F.lit(run_ts).cast("timestamp"))
+    art_path = f"{out_dir}/articles"
+    if not path_exists(spark, art_path):
+        ST.write_snapshot(arts.limit(0), art_path, "id", buckets)
+    ST.merge_snapshot(spark, art_path, arts, "id", ["saved_at"], mode="keep_last", buckets=buckets)
     return dict(obs.get)

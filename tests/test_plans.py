@@ -19,6 +19,9 @@ def test_run_brief_batch_end_to_end(spark):
     memo = spark.read.parquet(f"{out}/memo")
     assert memo.where("content_type = 'summary'").count() >= m["summaries"]
     assert spark.read.parquet(f"{out}/seo").count() == m["candidates"]
+    arts = spark.read.parquet(f"{out}/articles")
+    assert arts.count() == m["summaries"]
+    assert arts.where(F.size("embedding") != 384).count() == 0
     # a second run over the same batch keeps the seen rows written by the first (insert-if-absent)
     first = {r.url_hash: r.first_seen for r in seen.collect()}
     B.run_brief_batch(spark, SF, out, run_ts="2024-05-01 00:00:00")
