@@ -251,15 +251,16 @@ def oracle_sql() -> dict[str, str]:
         f"{json_q(f'strftime({RUN_TS}, {q(chr(37) + 'Y-' + chr(37) + 'm-' + chr(37) + 'dT' + chr(37) + 'H:' + chr(37) + 'M:' + chr(37) + 'S')}) || {q('+00:00')}')}"
         f" || {NL} || 'sources: [' || {json_q('url')} || ']' || {NL} || 'summary: ' || {json_q('substr(coalesce(summary, ' + q('') + '), 1, 200)')} || "
         f"{NL} || '---' || {NL} || {NL} || coalesce({summary('s', 'content')}, '') AS markdown FROM b")
+    card_cols = (f"CAST(pos AS BIGINT) AS pos, coalesce(nullif(title, ''), '(untitled)') AS title, "
+                 f"{trim_ws('coalesce(summary, ' + q('') + ')')} AS summary, {display_short('published_ts')} AS date, "
+                 f"{read_time('coalesce(summary, ' + q('') + ')')} AS read_time, "
+                 f"'/previews/' || strftime(published_ts, '%Y-%m-%d') || '-' || CAST(id AS VARCHAR) || '.html' AS url, "
+                 f"coalesce(source, '') AS source")
     o["home_feed"] = W(
         f"top AS (SELECT * FROM articles ORDER BY published_ts DESC NULLS LAST, id LIMIT {C.HOME_FEED_SIZE})",
         "ranked AS (SELECT *, row_number() OVER (ORDER BY published_ts DESC NULLS LAST, id) - 1 AS pos FROM top)") + (
-        f"SELECT 'briefs' AS section, CAST(pos AS BIGINT) AS pos, coalesce(nullif(title, ''), '(untitled)') AS title, "
-        f"{trim_ws('coalesce(summary, ' + q('') + ')')} AS summary, {display_short('published_ts')} AS date, "
-        f"{read_time('coalesce(summary, ' + q('') + ')')} AS read_time, "
-        f"'/previews/' || strftime(published_ts, '%Y-%m-%d') || '-' || CAST(id AS VARCHAR) || '.html' AS url, coalesce(source, '') AS source "
-        f"FROM ranked UNION ALL "
-        f"SELECT 'top_insights', CAST(pos AS BIGINT), coalesce(nullif(title, ''), '(untitled)'), NULL, NULL, NULL, NULL, NULL FROM ranked WHERE pos < {C.TOP_INSIGHTS} "
+        f"SELECT 'briefs' AS section, {card_cols} FROM ranked UNION ALL "
+        f"SELECT 'top_insights' AS section, {card_cols} FROM ranked WHERE pos < {C.TOP_INSIGHTS} "
         + "".join(f"UNION ALL SELECT 'features', {i}, {q(f['title'])}, {q(f['summary'])}, {q(f['date'])}, {f['read_time']}, {q(f['url'])}, NULL "
                   for i, f in enumerate(C.STATIC_FEATURES)))
     o["seo_metadata"] = W() + (

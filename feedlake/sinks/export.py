@@ -76,13 +76,10 @@ CARD_FIELDS = ["title", "summary", "date", "read_time", "url", "source"]
 
 def home_feed_rows(cards: DataFrame, features: DataFrame) -> DataFrame:
     """Flat form of the home feed: (section, pos, title, summary, date, read_time, url, source)
-    for briefs (pos by recency), top_insights (first 3 brief titles) and features."""
+    for briefs (pos by recency), top_insights (the first 3 briefs; the document keeps their
+    titles) and features (no source)."""
     b = cards.select("pos", *CARD_FIELDS).withColumn("section", F.lit("briefs"))
-    t = (cards.where(F.col("pos") < C.TOP_INSIGHTS)
-         .select("pos", "title", *[F.lit(None).cast(c_t).alias(c) for c, c_t in
-                                   (("summary", "string"), ("date", "string"), ("read_time", "int"),
-                                    ("url", "string"), ("source", "string"))])
-         .withColumn("section", F.lit("top_insights")))
+    t = cards.where(F.col("pos") < C.TOP_INSIGHTS).select("pos", *CARD_FIELDS).withColumn("section", F.lit("top_insights"))
     f = features.select("pos", "title", "summary", "date", "read_time", "url",
                         F.lit(None).cast("string").alias("source")).withColumn("section", F.lit("features"))
     cols = ["section", "pos", *CARD_FIELDS]
