@@ -15,7 +15,6 @@ from pyspark.sql import functions as F
 
 from feedlake import config as C
 from feedlake.functions import dates as D
-from feedlake.functions import markup as M
 from feedlake.functions import text as T
 from feedlake.operators import insight as I
 from feedlake.operators import mentions as MN
@@ -94,10 +93,6 @@ def home_feed(spark: SparkSession, sf_dir: str, as_of: str = AS_OF, n: int = C.H
     return X.home_feed_rows(cards, X.static_features(spark))
 
 
-def paragraph_html(df: DataFrame, col: str) -> F.Column:
-    return M.paragraphs_html(col)
-
-
 def run_brief_batch(spark: SparkSession, sf_dir: str, out_dir: str, run_ts: str = RUN_TS,
                     hash_len: int = 40, buckets: int = 64) -> dict:
     """The whole run for a batch, written out:
