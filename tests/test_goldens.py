@@ -65,3 +65,32 @@ def test_paragraphs_in_previews(spark):
     for r in df.select(M.paragraphs_html("body").alias("p"), "html").collect():
         for para in r["p"].split("\n\n"):
             assert para in r["html"]
+
+
+def test_json_ld_fields(spark):
+    import re
+    from feedlake.config import Site
+    from feedlake.sinks import export as X
+    rows = []
+    for p in BRIEFS:
+        name = os.path.basename(p)[:-3]
+        preview = os.path.join(ROOT, "public", "previews", name + ".html")
+        if not os.path.exists(preview):
+            continue
+        m = re.search(r'application/ld\+json">(.*?)</script>', open(preview, encoding="utf-8").read(), re.S)
+        ld = json.loads(m.group(1))
+        meta, _ = split_brief(p)
+        rows.append((name, json.loads(meta["title"]), json.loads(meta["summary"]), ld))
+    if not rows:
+        pytest.skip("no previews")
+    for name, title, summary, ld in rows:
+        base = ld["mainEntityOfPage"]["@id"].split("/previews/")[0]
+        df = spark.createDataFrame([(1, title, summary, ld["datePublished"], f"previews/{name}.html", "x")],
+                                   "id long, title string, summary string, date_iso string, url_path string, author string")
+        df = df.withColumn("tags", T.title_tags("title"))
+        r = X.seo_metadata(df, site=Site(url=base)).first()
+        assert r["seo_title"] == ld["headline"]
+        assert r["seo_description"] == ld["description"]
+        assert r["canonical_url"] == ld["mainEntityOfPage"]["@id"]
+        assert r["keywords"] == ld.get("keywords")
+        assert r["date_published"] == ld["datePublished"]
