@@ -72,6 +72,14 @@ INSIGHT_PREDICTION = "If signals continue, expect follow-ups in the coming weeks
 INSIGHT_PREDICTION_HEADER = "\n\nPrediction:\n"
 INSIGHT_NO_KEYWORDS = "n/a"
 
+# Older archive-analysis variant of the heuristic insight (and its evidence cut).
+ARCHIVE_INSIGHT_BULLET_1 = "Trend appears consistent with past coverage."
+ARCHIVE_INSIGHT_BULLET_2_PREFIX = "Mentions of "
+ARCHIVE_INSIGHT_BULLET_2_SUFFIX = " increased recently."
+ARCHIVE_INSIGHT_BULLET_3 = "Watch for follow-up in next 2 weeks."
+ARCHIVE_INSIGHT_PREDICTION = "This topic may continue to rise if further events occur."
+ARCHIVE_EVIDENCE_SUMMARY_CHARS = 250
+
 INSIGHT_PROMPT_SYSTEM = (
     "You are a journalist-analyst. Use evidence and counts to produce a short insight "
     "connecting past patterns to near-future implications."

@@ -492,6 +492,13 @@ def insight_fallback(spark, sf):
     return I.heuristic_insight(u.select("id", "title", "summary"), kv).select(_long("id").alias("id"), "insight")
 
 
+@query
+def insight_archive(spark, sf):
+    """G8 (archive-analysis wording): heuristic insight of every unseen article."""
+    u = _unseen_articles(spark, sf)
+    return I.heuristic_insight_archive(u.select("id", "title", "summary")).select(_long("id").alias("id"), "insight")
+
+
 @query
 def insight_prompt(spark, sf):
     """Prompt rows (system, user) of every unseen article: evidence of its top-6 similar

@@ -407,6 +407,12 @@ def oracle_sql() -> dict[str, str]:
         f"'- {C.INSIGHT_BULLET_1}' || {NL} || '- Keywords: ' || coalesce(nullif(array_to_string({title_words('u.title', C.KEYWORD_MIN_LEN, C.KEYWORDS_PER_TITLE)}, ', '), ''), 'n/a') || "
         f"'. Counts: ' || coalesce(kvs.d, '{{}}') || '.' || {NL} || '- {C.INSIGHT_BULLET_3}' || {NL} || {NL} || 'Prediction:' || {NL} || "
         f"{q(C.INSIGHT_PREDICTION)} AS insight FROM unseen u LEFT JOIN kvs ON u.id = kvs.id")
+    o["insight_archive"] = W() + (
+        f"SELECT CAST(id AS BIGINT) AS id, substr(coalesce(summary, ''), 1, 200) || {NL} || {NL} || 'Highlights:' || {NL} || "
+        f"{q('- ' + C.ARCHIVE_INSIGHT_BULLET_1)} || {NL} || {q('- ' + C.ARCHIVE_INSIGHT_BULLET_2_PREFIX)} || "
+        f"array_to_string({title_words('title', C.KEYWORD_MIN_LEN, C.KEYWORDS_PER_TITLE)}, ', ') || {q(C.ARCHIVE_INSIGHT_BULLET_2_SUFFIX)} || "
+        f"{NL} || {q('- ' + C.ARCHIVE_INSIGHT_BULLET_3)} || {NL} || {NL} || 'Prediction:' || {NL} || {q(C.ARCHIVE_INSIGHT_PREDICTION)} AS insight "
+        f"FROM unseen")
     o["insight_prompt"] = W(
         kw_counts_sql("unseen"),
         "kvd AS (SELECT id, keyword, min(pos) AS pos, max(mentions) AS n FROM counts GROUP BY id, keyword)",
