@@ -39,6 +39,24 @@ def keyed_articles(spark: SparkSession, sf_dir: str, hash_len: int = 40) -> Data
              .withColumn("published_ts", D.parse_published("published")))
 
 
+def article_keys(spark: SparkSession, sf_dir: str, hash_len: int = 40) -> DataFrame:
+    """(id, url, url_hash, published_ts) without reading the text when it is not needed.
+
+    The key is the hash of the link, else of the title. The adapter's link is empty only when
+    `source` is NULL, so the rows with a source are keyed from (doc_id, source) alone, and only
+    the NULL-source rows read the text for the title (IsNull pushed to the scan, where row-group
+    null counts skip the rest). Same keys as keyed_articles."""
+    base = TB.table(spark, sf_dir, "documents", "doc_id", "source", "lang")
+    url = F.concat(F.lit("https://"), F.col("source"), F.lit(".example/"), F.col("doc_id").cast("string"))
+    ts = D.parse_published(TB.published_text(TB.true_published(F.col("doc_id")), F.col("lang")))
+    linked = base.where(F.col("source").isNotNull()).select(
+        F.col("doc_id").alias("id"), url.alias("url"), T.short_hash(url, hash_len).alias("url_hash"), ts.alias("published_ts"))
+    orphan = (TB.table(spark, sf_dir, "documents", "doc_id", "source", "lang", "text").where(F.col("source").isNull())
+              .select(F.col("doc_id").alias("id"), url.alias("url"),
+                      ST.item_key(url, T.cut(T.first_line("text"), 80), hash_len).alias("url_hash"), ts.alias("published_ts")))
+    return linked.unionByName(orphan)
+
+
 def archive_text(articles: DataFrame) -> DataFrame:
     return articles.select("id", T.search_text("title", "summary", "content").alias("text"), "published_ts")
 

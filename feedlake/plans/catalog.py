@@ -131,7 +131,7 @@ def source_list_dedup(spark, sf):
 @query
 def seen_import(spark, sf):
     """Seen-hash lists (JSON arrays, one per 50 archive ids) imported into seen."""
-    a = B.keyed_articles(spark, sf)
+    a = B.article_keys(spark, sf)
     lists = (a.groupBy(F.floor(F.col("id") / 50).alias("g"))
              .agg(F.to_json(F.array_sort(F.collect_list("url_hash"))).alias("payload")))
     out = FD.import_seen(TB.seen(spark, sf), FD.seen_hashes(lists), B.AS_OF)
@@ -287,7 +287,7 @@ def feed_recency_sort(spark, sf):
 @query
 def newest_unseen(spark, sf):
     """The 10 newest unseen items."""
-    u = S.newest_unseen(B.keyed_articles(spark, sf), TB.seen(spark, sf), n=10)
+    u = S.newest_unseen(B.article_keys(spark, sf), TB.seen(spark, sf), n=10)
     return u.select(_long("id").alias("id"), "url_hash", "published_ts")
 
 
@@ -326,13 +326,13 @@ def seen_history(spark, sf):
 @query
 def unseen_anti(spark, sf):
     """Articles whose key is not in seen."""
-    return _unseen_articles(spark, sf).select(_long("id").alias("id"), "url_hash")
+    return ST.unseen(B.article_keys(spark, sf), TB.seen(spark, sf)).select(_long("id").alias("id"), "url_hash")
 
 
 @query
 def seen_semi(spark, sf):
     """Articles whose key is in seen."""
-    a = B.keyed_articles(spark, sf)
+    a = B.article_keys(spark, sf)
     return ST.already_seen(a, TB.seen(spark, sf)).select(_long("id").alias("id"), "url_hash")
 
 

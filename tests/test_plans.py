@@ -38,3 +38,17 @@ def test_home_feed_document(spark):
     assert len(doc["briefs"]) == 9 and len(doc["features"]) == 2
     assert doc["top_insights"] == [b["title"] for b in doc["briefs"][:3]]
     assert "source" not in doc["features"][0]
+
+
+def test_article_keys_equal_keyed_articles(spark, tmp_path):
+    docs = spark.createDataFrame(
+        [(1, "Title one\\nbody", "en", "src1"), (2, "Orphan title\\nbody", "fr", None), (3, "", "de", None)],
+        "doc_id long, text string, lang string, source string")
+    docs.write.parquet(str(tmp_path / "documents.parquet"))
+    sf = str(tmp_path)
+    cols = ["id", "url", "url_hash", "published_ts"]
+    a = sorted(tuple(r) for r in B.article_keys(spark, sf).select(*cols).collect())
+    b = sorted(tuple(r) for r in B.keyed_articles(spark, sf).select(*cols).collect())
+    assert a == b and len(a) == 3
+    assert sorted(tuple(r) for r in B.article_keys(spark, SF).select(*cols).collect()) == \
+        sorted(tuple(r) for r in B.keyed_articles(spark, SF).select(*cols).collect())
