@@ -556,6 +556,16 @@ def stream_seen(spark, sf):
     return SF.first_seen_stream(spark, sf).select(_long("user_id").alias("user_id"), _long("event_id").alias("event_id"), "ts")
 
 
+@query
+def stream_keyword_mentions(spark, sf):
+    """H3 on the archive: weekly mention series of the newest unseen article's keywords from a
+    documents stream (event-time windows, watermark), gap-filled at read time."""
+    from feedlake.streaming import feeds as SF
+    kw, _ = _newest_unseen_keywords(spark, sf, C.KEYWORDS_PER_TITLE)
+    s = SF.keyword_mention_stream(spark, sf, kw, days=C.MENTION_BIN_DAYS)
+    return s.select("keyword", "bin_start", _long("mentions").alias("mentions"))
+
+
 @query
 def stream_mentions(spark, sf):
     """H3: 7-day tumbling counts per event type with a watermark (complete mode)."""

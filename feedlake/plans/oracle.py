@@ -395,6 +395,9 @@ def oracle_sql() -> dict[str, str]:
     o["mention_series_multi"] = W(mention_sql(C.KEYWORDS_PER_TITLE, C.INSIGHT_BIN_DAYS)) + (
         "SELECT s.keyword, s.bin_start, CAST(coalesce(c.n, 0) AS BIGINT) AS mentions FROM spine s "
         "LEFT JOIN cnt c ON c.keyword = s.keyword AND c.bin_start = s.bin_start")
+    o["stream_keyword_mentions"] = W(mention_sql(C.KEYWORDS_PER_TITLE, C.MENTION_BIN_DAYS)) + (
+        "SELECT s.keyword, s.bin_start, CAST(coalesce(c.n, 0) AS BIGINT) AS mentions FROM spine s "
+        "LEFT JOIN cnt c ON c.keyword = s.keyword AND c.bin_start = s.bin_start")
     o["evidence_text"] = W(VEC, topk_sql(C.SIMILAR_K_INSIGHT)) + (
         f"SELECT CAST(h.qid AS BIGINT) AS qid, string_agg('- ' || coalesce(a.published, 'None') || ': ' || coalesce(a.title, 'None') || "
         f"' (' || coalesce(a.source, 'None') || ')' || {NL} || '  ' || substr(coalesce(a.summary, ''), 1, {C.EVIDENCE_SUMMARY_CHARS}) || {NL} || {NL}, '' "

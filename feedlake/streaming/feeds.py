@@ -9,6 +9,7 @@ batch query then reads.
 
 from __future__ import annotations
 
+import datetime as dt
 import os
 
 from pyspark.sql import DataFrame, SparkSession
@@ -130,3 +131,56 @@ def ingest_feed_payloads(spark: SparkSession, landing: str, table: str, seen_pat
 def _exists(spark: SparkSession, path: str) -> bool:
     from feedlake.session import path_exists
     return path_exists(spark, path)
+
+
+def keyword_mention_stream(spark: SparkSession, sf_dir: str, keywords: DataFrame, days: int = 7,
+                           watermark: str = "365 days", max_files: int = 1) -> DataFrame:
+    """Streaming mention series: the documents table as a file stream, each article's search
+    text matched against a small static keyword set (stream-static join on a broadcast side of
+    a checked size), counted per keyword in `days`-day event-time windows aligned to the
+    archive's first midnight, with a watermark on the published time. Update-mode log as in
+    windowed_counts; the gap fill is applied at read time, so the result equals the batch
+    series (keyword, bin_start, mentions)."""
+    from feedlake.functions import dates as D
+    from feedlake.functions import text as T
+    from feedlake.sources import tables as TB
+
+    kw = keywords.select("keyword").distinct().withColumn("kw", F.lower("keyword"))
+    if kw.count() > 64:
+        raise ValueError("the streaming series takes a small keyword set (<= 64); use the batch series")
+    docs = os.path.join(sf_dir, "documents.parquet")
+    static = spark.read.parquet(docs)
+    ts_of = lambda c: D.parse_published(TB.published_text(TB.true_published(F.col(c)), F.col("lang")))
+    b = static.agg(F.min(ts_of("doc_id")).alias("o"), F.max(ts_of("doc_id")).alias("m")).first()
+    if b["o"] is None:
+        return kw.select("keyword", F.lit(None).cast("timestamp").alias("bin_start"), F.lit(0).cast("long").alias("mentions")).limit(0)
+    origin = b["o"].replace(hour=0, minute=0, second=0, microsecond=0)
+    width = days * 86400
+    last_bin = origin + dt.timedelta(seconds=int((b["m"] - origin).total_seconds() // width) * width)
+    offset_s = int(spark.range(1).select(
+        F.pmod(F.unix_timestamp(F.lit(origin.strftime("%Y-%m-%d %H:%M:%S")).cast("timestamp")), F.lit(width))).first()[0])
+
+    stream = (spark.readStream.schema(static.schema).option("maxFilesPerTrigger", max_files)
+              .option("pathGlobFilter", "documents.parquet").parquet(sf_dir))
+    title = T.cut(T.first_line("text"), 80)
+    arts = stream.select(ts_of("doc_id").alias("published_ts"),
+                         T.search_text(title, T.cut("text", 800), F.col("text")).alias("text"))
+    hits = (arts.withWatermark("published_ts", watermark)
+            .join(F.broadcast(kw.select("kw")), F.instr(F.col("text"), F.col("kw")) > 0))
+    agg = (hits.groupBy(F.window("published_ts", f"{days} days", f"{days} days", f"{offset_s} seconds").alias("w"), "kw")
+           .agg(F.count(F.lit(1)).alias("n")))
+    log, ck = scratch_path(spark, "kwm-log"), scratch_path(spark, "kwm-ck")
+
+    def append(batch: DataFrame, epoch_id: int) -> None:
+        rows = batch.select("kw", F.col("w.start").alias("bin_start"), "n", F.lit(epoch_id).cast("long").alias("_epoch"))
+        rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("_epoch").parquet(log)
+
+    (agg.writeStream.outputMode("update").foreachBatch(append).option("checkpointLocation", ck)
+     .trigger(availableNow=True).start().awaitTermination())
+    updates = spark.read.schema("kw string, bin_start timestamp, n long, _epoch long").parquet(log)
+    counts = ST.keep_last(updates, ["kw", "bin_start"], ["_epoch"])
+    spine = kw.withColumn("bin_start", F.explode(F.sequence(
+        F.lit(origin.strftime("%Y-%m-%d %H:%M:%S")).cast("timestamp"),
+        F.lit(last_bin.strftime("%Y-%m-%d %H:%M:%S")).cast("timestamp"), F.expr(f"INTERVAL {days} DAYS"))))
+    return (spine.join(counts, ["kw", "bin_start"], "left")
+            .select("keyword", "bin_start", F.coalesce("n", F.lit(0)).cast("long").alias("mentions")))
