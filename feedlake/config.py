@@ -125,6 +125,18 @@ HTML_ENTITIES = {
     "&ldquo;": "“", "&rdquo;": "”", "&amp;": "&",
 }
 
+# Numeric character references that HTML decodes to another character (the HTML standard's
+# replacement table: NUL, CR and the Windows-1252 meanings of 0x80-0x9F), code point -> text.
+CHARREF_REPLACEMENTS = {
+    0x00: "\ufffd", 0x0D: "\r",
+    0x80: "\u20ac", 0x81: "\x81", 0x82: "\u201a", 0x83: "\u0192", 0x84: "\u201e", 0x85: "\u2026",
+    0x86: "\u2020", 0x87: "\u2021", 0x88: "\u02c6", 0x89: "\u2030", 0x8A: "\u0160", 0x8B: "\u2039",
+    0x8C: "\u0152", 0x8D: "\x8d", 0x8E: "\u017d", 0x8F: "\x8f", 0x90: "\x90", 0x91: "\u2018",
+    0x92: "\u2019", 0x93: "\u201c", 0x94: "\u201d", 0x95: "\u2022", 0x96: "\u2013", 0x97: "\u2014",
+    0x98: "\u02dc", 0x99: "\u2122", 0x9A: "\u0161", 0x9B: "\u203a", 0x9C: "\u0153", 0x9D: "\x9d",
+    0x9E: "\u017e", 0x9F: "\u0178",
+}
+
 # ---------------------------------------------------------------------------------------------
 # Site settings (deployment configuration, not output format)
 # ---------------------------------------------------------------------------------------------

@@ -84,6 +84,22 @@ def read_time(x: str) -> str:
             f"greatest(2, least(8, CAST(floor({wc(x)} / 200) AS BIGINT) + 1)) END AS BIGINT)")
 
 
+def numeric_refs(t: str) -> str:
+    """Decode numeric character references the way HTML does (see markup.decode_numeric_refs)."""
+    pat = q(M.NUMERIC_REF)
+    cp = "(CASE WHEN lower(r[1]) = 'x' THEN TRY_CAST('0x' || r[2:] AS BIGINT) ELSE TRY_CAST(r AS BIGINT) END)"
+    table = " ".join(f"WHEN {k} THEN chr({ord(v)})" for k, v in C.CHARREF_REPLACEMENTS.items())
+    ch = (f"CASE WHEN {cp} IS NULL THEN chr(65533) WHEN {cp} IN ({', '.join(str(k) for k in C.CHARREF_REPLACEMENTS)}) "
+          f"THEN (CASE {cp} {table} END) "
+          f"WHEN {cp} BETWEEN 55296 AND 57343 OR {cp} > 1114111 THEN chr(65533) "
+          f"WHEN {cp} BETWEEN 1 AND 8 OR {cp} = 11 OR {cp} BETWEEN 14 AND 31 OR {cp} BETWEEN 127 AND 159 "
+          f"OR {cp} BETWEEN 64976 AND 65007 OR {cp} % 65536 >= 65534 THEN '' ELSE chr(CAST({cp} AS INTEGER)) END")
+    chars = f"list_transform(regexp_extract_all({t}, {pat}, 1), lambda r: {ch})"
+    pieces = f"string_split_regex({t}, {pat})"
+    return (f"array_to_string(list_transform(range(1, len({pieces}) + 1), "
+            f"lambda i: ({pieces})[i] || coalesce(({chars})[i], '')), '')")
+
+
 def page_text(h: str) -> str:
     s = f"coalesce({h}, '')"
     for pat in M.DROP_BLOCKS:
@@ -95,8 +111,7 @@ def page_text(h: str) -> str:
     for ent, ch in C.HTML_ENTITIES.items():
         if ent != "&amp;":
             t = f"replace({t}, {q(ent)}, {q(ch)})"
-    for ent, ch in M.NUMERIC_ENTITIES:
-        t = f"replace({t}, {q(ent)}, {q(ch)})"
+    t = numeric_refs(t)
     t = f"regexp_replace({t}, '&amp;?', '&', 'g')"
     return trim_ws(t)
 

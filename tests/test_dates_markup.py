@@ -65,3 +65,12 @@ def test_unescape_once(spark):
 def test_truthy_chain(spark):
     df = spark.createDataFrame([("", None, "x"), (None, "", ""), ("a", "b", "c")], "a string, b string, c string")
     assert [r["v"] for r in df.select(T.first_truthy("a", "b", "c").alias("v")).collect()] == ["x", None, "a"]
+
+
+@pytest.mark.parametrize("t", ["&#39;a&#x27;b&#34;", "&#160;&#xA0;&#65&#x42;", "&#128;&#x9d;&#150;&#x7f;&#0;&#13;",
+                               "&#x1F600;&#128512;&#xD800;&#x110000;&#99999999999999999999;", "&#xFFFE;&#xFDD0;x",
+                               "&amp;#39; &#38;#39;", "no refs", "&#x1F600c", "&#;&#x;&#a;"])
+def test_numeric_refs_like_html_unescape(spark, t):
+    import html
+    df = spark.createDataFrame([(t,)], "h string")
+    assert df.select(M.unescape_entities("h").alias("u")).first()["u"] == html.unescape(t)
