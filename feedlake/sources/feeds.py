@@ -58,7 +58,7 @@ ITEM_COLUMNS = ["feed_url", "entry_pos", "title", "link", "summary", "published"
 
 def read_payloads(spark: SparkSession, path: str) -> DataFrame:
     """Landed payload files, one row per file: (url = file path, payload)."""
-    return (spark.read.option("wholetext", "true").text(path)
+    return (spark.read.text(path, wholetext=True)
             .select(F.input_file_name().alias("url"), F.col("value").alias("payload")))
 
 
@@ -163,7 +163,7 @@ def source_list(spark: SparkSession, file_sources: DataFrame | None = None,
 def read_source_file(spark: SparkSession, path: str) -> DataFrame:
     """A JSON array of urls -> (pos, url); a missing or invalid file gives no rows."""
     try:
-        raw = spark.read.option("wholetext", "true").text(path)
+        raw = spark.read.text(path, wholetext=True)
     except Exception:  # missing file: defaults only
         return spark.createDataFrame([], "pos long, url string")
     arr = raw.select(F.from_json("value", "array<string>").alias("a"))

@@ -120,3 +120,10 @@ def test_stream_feed_ingest_skips_seen_items(spark):
     assert [g[0] for g in got] == ["https://x/0", "https://x/1", "https://x/2"]
     assert got[0][1] == got[1][1] < got[2][1]
     assert spark.read.parquet(seen).count() == 3
+
+
+def test_source_file_multiline(spark, tmp_path):
+    p = tmp_path / "sources.json"
+    p.write_text(json.dumps(["https://n/1", "https://n/2"], indent=2))
+    got = [u for _, u in FD.source_list(spark, FD.read_source_file(spark, str(p))).collect()]
+    assert got == C.DEFAULT_SOURCES + ["https://n/1", "https://n/2"]
