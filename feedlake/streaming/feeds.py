@@ -184,3 +184,17 @@ def keyword_mention_stream(spark: SparkSession, sf_dir: str, keywords: DataFrame
         F.lit(last_bin.strftime("%Y-%m-%d %H:%M:%S")).cast("timestamp"), F.expr(f"INTERVAL {days} DAYS"))))
     return (spine.join(counts, ["kw", "bin_start"], "left")
             .select("keyword", "bin_start", F.coalesce("n", F.lit(0)).cast("long").alias("mentions")))
+
+
+def first_seen_within_watermark(spark: SparkSession, sf_dir: str, watermark: str = "7 days") -> DataFrame:
+    """H2 with bounded state: dropDuplicatesWithinWatermark on the key, so a key's state expires
+    once the watermark passes it (the unbounded variant above never forgets, like the original
+    seen table). Within one micro-batch the surviving row for a key is the first one read, not
+    necessarily the earliest; use first_seen_stream when the earliest row must win."""
+    out, ck = scratch_path(spark, "seen-wm-out"), scratch_path(spark, "seen-wm-ck")
+    q = (_events_stream(spark, sf_dir).withWatermark("ts", watermark)
+         .dropDuplicatesWithinWatermark(["user_id"]).select("user_id", "event_id", "ts")
+         .writeStream.format("parquet").option("path", out).option("checkpointLocation", ck)
+         .trigger(availableNow=True).start())
+    q.awaitTermination()
+    return spark.read.schema("user_id long, event_id long, ts timestamp").parquet(out)

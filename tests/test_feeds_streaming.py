@@ -127,3 +127,11 @@ def test_source_file_multiline(spark, tmp_path):
     p.write_text(json.dumps(["https://n/1", "https://n/2"], indent=2))
     got = [u for _, u in FD.source_list(spark, FD.read_source_file(spark, str(p))).collect()]
     assert got == C.DEFAULT_SOURCES + ["https://n/1", "https://n/2"]
+
+
+def test_first_seen_within_watermark(spark):
+    from feedlake.streaming import feeds as SF
+    sf = "/root/testdata/sf0.001"
+    ev = spark.read.parquet(os.path.join(sf, "events.parquet"))
+    got = SF.first_seen_within_watermark(spark, sf, watermark="365 days")
+    assert sorted(r.user_id for r in got.collect()) == sorted(r.user_id for r in ev.select("user_id").distinct().collect())
