@@ -112,3 +112,14 @@ def test_title_duplicates_both_plans(spark):
     none_open = spark.createDataFrame([], "title string")
     assert S.title_duplicates_removed(items, none_open).count() == 6
     assert S.title_duplicates_removed(items, none_open, max_broadcast=0).count() == 6
+
+
+def test_upsert_hot_key_is_aggregated(spark):
+    ex = spark.range(3000).select(F.when(F.col("id") % 3 == 0, F.lit("hot")).otherwise(F.col("id").cast("string")).alias("k"),
+                                  F.col("id").cast("string").alias("v"), F.col("id").alias("ver"))
+    b = spark.createDataFrame([("hot", "new", -1)], SCHEMA)
+    out = ST.upsert_keep_last(ex, b, "k", ["ver"])
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert "Window" not in plan and "Aggregate" in plan
+    assert out.where("k = 'hot'").collect()[0]["v"] == "new"
+    assert out.count() == 2001
