@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
-from feedlake.llm import decontaminate
+from feedlake.llm import decontaminate, mix, toxicity
 
 QUERIES = {
+    "op2_mix": mix.op2_mix,
     "op6_decontaminate": decontaminate.op6_decontaminate,
+    "op8_toxicity": toxicity.op8_toxicity,
 }
 ORACLE = {
     "op6_decontaminate": decontaminate.OP6_SQL,
