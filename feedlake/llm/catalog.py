@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-from feedlake.llm import decontaminate, mix, toxicity
+from feedlake.llm import decontaminate, mix, neardup, toxicity
 
 QUERIES = {
     "op2_mix": mix.op2_mix,
     "op6_decontaminate": decontaminate.op6_decontaminate,
     "op8_toxicity": toxicity.op8_toxicity,
+    "op10_near_duplicates": neardup.op10_near_duplicates,
 }
 ORACLE = {
     "op6_decontaminate": decontaminate.OP6_SQL,
