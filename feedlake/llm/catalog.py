@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from feedlake.llm import decontaminate, mix, neardup, toxicity
+from feedlake.llm import decontaminate, mix, neardup, tokens, toxicity
 
 QUERIES = {
     "op2_mix": mix.op2_mix,
+    "op4_token_ids": tokens.op4_token_ids,
     "op6_decontaminate": decontaminate.op6_decontaminate,
     "op8_toxicity": toxicity.op8_toxicity,
     "op10_near_duplicates": neardup.op10_near_duplicates,
