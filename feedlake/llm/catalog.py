@@ -2,15 +2,19 @@
 
 from __future__ import annotations
 
-from feedlake.llm import decontaminate, mix, neardup, tokens, toxicity
+import corpus_pipeline
+from feedlake.llm import decontaminate, mix, neardup, quality, tokens, toxicity
 
 QUERIES = {
+    "op1_quality": quality.op1_quality,
     "op2_mix": mix.op2_mix,
     "op4_token_ids": tokens.op4_token_ids,
     "op6_decontaminate": decontaminate.op6_decontaminate,
     "op8_toxicity": toxicity.op8_toxicity,
     "op10_near_duplicates": neardup.op10_near_duplicates,
+    "pipeline": corpus_pipeline.run,
 }
 ORACLE = {
+    "op1_quality": quality.OP1_SQL,
     "op6_decontaminate": decontaminate.OP6_SQL,
 }
