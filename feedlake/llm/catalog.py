@@ -3,11 +3,12 @@
 from __future__ import annotations
 
 import corpus_pipeline
-from feedlake.llm import decontaminate, mix, neardup, quality, tokens, toxicity
+from feedlake.llm import chat, decontaminate, mix, neardup, quality, tokens, toxicity
 
 QUERIES = {
     "op1_quality": quality.op1_quality,
     "op2_mix": mix.op2_mix,
+    "op3_chat": chat.op3_chat,
     "op4_token_ids": tokens.op4_token_ids,
     "op6_decontaminate": decontaminate.op6_decontaminate,
     "op8_toxicity": toxicity.op8_toxicity,
@@ -16,5 +17,6 @@ QUERIES = {
 }
 ORACLE = {
     "op1_quality": quality.OP1_SQL,
+    "op3_chat": chat.OP3_SQL,
     "op6_decontaminate": decontaminate.OP6_SQL,
 }
