@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import corpus_pipeline
-from feedlake.llm import chat, decontaminate, mix, neardup, quality, tokens, toxicity
+from feedlake.llm import chat, decontaminate, mix, neardup, quality, tokens, toxicity, urls
 
 QUERIES = {
     "op1_quality": quality.op1_quality,
@@ -11,6 +11,7 @@ QUERIES = {
     "op3_chat": chat.op3_chat,
     "op4_token_ids": tokens.op4_token_ids,
     "op6_decontaminate": decontaminate.op6_decontaminate,
+    "op7_url_filter": urls.op7_url_filter,
     "op8_toxicity": toxicity.op8_toxicity,
     "op10_near_duplicates": neardup.op10_near_duplicates,
     "pipeline": corpus_pipeline.run,
@@ -19,4 +20,5 @@ ORACLE = {
     "op1_quality": quality.OP1_SQL,
     "op3_chat": chat.OP3_SQL,
     "op6_decontaminate": decontaminate.OP6_SQL,
+    "op7_url_filter": urls.OP7_SQL,
 }
