@@ -3,16 +3,18 @@
 from __future__ import annotations
 
 import corpus_pipeline
-from feedlake.llm import chat, decontaminate, mix, neardup, quality, tokens, toxicity, urls
+from feedlake.llm import chat, decontaminate, html, mix, neardup, quality, secrets, tokens, toxicity, urls
 
 QUERIES = {
     "op1_quality": quality.op1_quality,
     "op2_mix": mix.op2_mix,
     "op3_chat": chat.op3_chat,
     "op4_token_ids": tokens.op4_token_ids,
+    "op5_html_text": html.op5_html_text,
     "op6_decontaminate": decontaminate.op6_decontaminate,
     "op7_url_filter": urls.op7_url_filter,
     "op8_toxicity": toxicity.op8_toxicity,
+    "op9_secrets": secrets.op9_secrets,
     "op10_near_duplicates": neardup.op10_near_duplicates,
     "pipeline": corpus_pipeline.run,
 }

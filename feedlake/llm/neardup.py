@@ -43,7 +43,7 @@ LONG = 40
 MOST_COMMON = 3_000_000
 PIVOTS = 3
 #: Shingles counted together in a task, and words whose hashes a worker remembers.
-CHUNK = 3_000_000
+CHUNK = 1_500_000
 MEMO = 400_000
 #: Bits of a packed size that hold the number of common values.
 HOT_BITS = 24
