@@ -20,6 +20,7 @@ tree ids are one tree; an empty table gives none; extra columns are not carried.
 from __future__ import annotations
 
 import math
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
@@ -57,13 +58,14 @@ def branch_paths(messages: DataFrame, top: int = 1) -> DataFrame:
     now = nodes.join(known, F.col("tree").eqNullSafe(F.col("t")) & (F.col("parent") == F.col("n")), "left").select(
         "tree", "node", F.col("n").alias("up"), F.when(F.col("n").isNull(), 0).otherwise(1).cast("long").alias("depth"), F.col("score").alias("total"))
     now, rounds, most = stored(now, "chat-up"), [], math.ceil(math.log2(max(2, nodes.count()))) + 1
-    while len(rounds) <= most and not now.where("up is not null").isEmpty():
-        rounds.append(now.select("tree", "node", "up").where("up is not null"))
-        above = now.select(F.col("tree").alias("t"), F.col("node").alias("n"), F.col("up").alias("up2"), F.col("depth").alias("d2"), F.col("total").alias("total2"))
-        joined = now.join(above, F.col("tree").eqNullSafe(F.col("t")) & (F.col("up") == F.col("n")), "left")
-        now = stored(joined.select("tree", "node", F.col("up2").alias("up"), (F.col("depth") + F.coalesce("d2", F.lit(0))).alias("depth"),
-                                   (F.col("total") + F.coalesce("total2", F.lit(0.0))).alias("total")), "chat-up")
-    rooted = now.where("up is null")  # all but what hangs on a cycle
+    done, rest = [now.where("up is null")], now.where("up is not null")  # rest: what does not know its root yet
+    while len(rounds) <= most and not rest.isEmpty():
+        rounds.append(rest.select("tree", "node", "up"))
+        above = reduce(DataFrame.unionByName, [*done, rest]).select(F.col("tree").alias("t"), F.col("node").alias("n"), F.col("up").alias("up2"), F.col("depth").alias("d2"), F.col("total").alias("total2"))
+        joined = rest.join(above, F.col("tree").eqNullSafe(F.col("t")) & (F.col("up") == F.col("n")))
+        now = stored(joined.select("tree", "node", F.col("up2").alias("up"), (F.col("depth") + F.col("d2")).alias("depth"), (F.col("total") + F.col("total2")).alias("total")), "chat-up")
+        done, rest = [*done, now.where("up is null")], now.where("up is not null")
+    rooted = reduce(DataFrame.unionByName, done)  # all but what hangs on a cycle
     inner = nodes.select(F.col("tree").alias("t"), F.col("parent").alias("n")).where("n is not null").distinct()
     leaves = rooted.join(inner, F.col("tree").eqNullSafe(F.col("t")) & (F.col("node") == F.col("n")), "left_anti")
     order = Window.partitionBy("tree").orderBy((F.col("total") / (F.col("depth") + 1)).desc(), "node")
