@@ -49,7 +49,7 @@ class _Lanes:
         self.own2, self.own1 = np.full(n * 4, 1 << 15, np.int32), np.full(n * 4, 1 << 15, np.int32)
         self.both2, self.both1 = np.full(n * 16, 1 << 15, np.int32), np.full(n * 16, 1 << 15, np.int32)
         self.weight2, self.weight1 = np.full(n, 128, np.int32), np.full(n, 128, np.int32)
-        self.classes, self.total, self.distinct = np.full((CLASSES, n), 2, np.int32), np.full(n, 2 * CLASSES, np.int64), np.zeros(n, np.int64)
+        self.classes, self.total, self.distinct = np.full(CLASSES * n, 2, np.int32), np.full(n, 2 * CLASSES, np.int64), np.zeros(n, np.int64)
         self.ranked, self.rank = np.zeros(n * (_SLOTS + 1), np.int16), np.zeros(n * (_SLOTS + 1), np.int16)
         self.prev1, self.prev2 = np.zeros(n, np.int64), np.zeros(n, np.int64)
 
@@ -112,10 +112,9 @@ class _Lanes:
             at = self.rank.take(d * n + s).astype(np.int64) + 1
             group = np.where(new, CLASSES - 1, _BITS.take(at))
             place = np.where(new, 0, at - 1 - _FIRST.take(group))
-        counts = self.classes if len(s) == n else self.classes[:, s]
-        under = np.cumsum(counts, axis=0)
-        group = coder.group(self, s, under, counts, group)
-        self.classes[group, s] += INC
+        group = coder.group(self, s, group)
+        at = group * n + s
+        self.classes[at] = self.classes.take(at) + INC
         self.total[s] += INC
         new = group == CLASSES - 1
         first = _FIRST.take(group)
@@ -169,10 +168,11 @@ class _Writer:
         m.rng[s] = np.where(bit, r, rng - r)
         return bit
 
-    def group(self, m: _Lanes, s, under, counts, group) -> np.ndarray:
-        r, own = m.rng[s] // m.total[s].astype(U), np.arange(len(s))
-        f = counts[group, own]
-        m.low[s] += r * (under[group, own] - f).astype(U)
+    def group(self, m: _Lanes, s, group) -> np.ndarray:
+        r, at = m.rng.take(s) // m.total.take(s).astype(U), group * m.n + s
+        f = m.classes.take(at)
+        under = np.cumsum(m.classes.reshape(CLASSES, m.n), axis=0, dtype=np.int32).reshape(-1).take(at)
+        m.low[s] += r * (under - f).astype(U)
         m.rng[s] = r * f.astype(U)
         return group
 
@@ -227,13 +227,16 @@ class _Reader:
         m.rng[s] = np.where(bit, r, rng - r)
         return bit
 
-    def group(self, m: _Lanes, s, under, counts, group) -> np.ndarray:
-        low, total, own = m.low[s], m.total[s], np.arange(len(s))
-        r = m.rng[s] // total.astype(U)
-        v = np.minimum((self.code[s] - low) // r, (total - 1).astype(U)).astype(np.int64)
-        group = (under <= v).sum(axis=0)
-        f = counts[group, own]
-        m.low[s] = low + r * (under[group, own] - f).astype(U)
+    def group(self, m: _Lanes, s, group) -> np.ndarray:
+        low, total = m.low.take(s), m.total.take(s)
+        r = m.rng.take(s) // total.astype(U)
+        v = np.zeros(m.n, np.int32)
+        v[s] = np.minimum((self.code.take(s) - low) // r, (total - 1).astype(U))
+        under = np.cumsum(m.classes.reshape(CLASSES, m.n), axis=0, dtype=np.int32)
+        group = np.add.reduce((under <= v).view(np.int8), axis=0, dtype=np.int8).take(s).astype(np.int64)
+        at = group * m.n + s
+        f = m.classes.take(at)
+        m.low[s] = low + r * (under.reshape(-1).take(at) - f).astype(U)
         m.rng[s] = r * f.astype(U)
         return group
 

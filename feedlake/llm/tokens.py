@@ -15,6 +15,7 @@ from __future__ import annotations
 
 import json
 import zlib
+from array import array
 from pathlib import Path
 
 import numpy as np
@@ -29,7 +30,9 @@ from feedlake.llm.common import stored, table, texts
 from feedlake.session import scratch_path
 
 #: Words whose ids a worker remembers, and the longest of them in bytes.
-MEMO, MEMO_BYTES = 600_000, 48
+MEMO, MEMO_BYTES = 700_000, 48
+#: What may end a plain word as a piece of its own, and the first character that is none of plain words'.
+PUNCTUATION, RARE = b"!#$%&()*+,-./:;=?@[]^_{|}~", "\u0250"
 FILES = T.StructType([T.StructField("part", T.IntegerType()), T.StructField("block", T.LongType()), T.StructField("before", T.LongType()), T.StructField("first_row", T.LongType()),
                       T.StructField("doc_ids", T.ArrayType(T.LongType())), T.StructField("counts", T.ArrayType(T.IntegerType())), T.StructField("body", T.BinaryType())])
 PIECES = T.StructType([T.StructField("part", T.IntegerType()), T.StructField("row", T.LongType()), T.StructField("doc_id", T.LongType()), T.StructField("at", T.LongType()),
@@ -61,19 +64,26 @@ class WordIds(dict):
         self.pieces = regex.compile(split)
         plain = [chr(b) for b in (*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100))]
         others = iter(range(256, 512))  # the byte-level alphabet: printable bytes stand for themselves
-        self.letter = {b: chr(b) if chr(b) in plain else chr(next(others)) for b in range(256)}
+        letter = {b: chr(b) if chr(b) in plain else chr(next(others)) for b in range(256)}
+        self.mapped = {c: "".join(letter[b] for b in chr(c).encode()) for c in range(0x21, ord(RARE) + 2)}
         self.plain = regex.compile("[!-~¡-¬®-ɏ]+")
         self.special = [str(t["content"]).encode() for t in spec.get("added_tokens", [])]
-        self.kind = "<u2" if self.tokenizer.get_vocab_size() <= 1 << 16 else "<u4"
+        self.kind, self.code = ("<u2", "H") if self.tokenizer.get_vocab_size() <= 1 << 16 else ("<u4", "I")
 
     def of(self, word: bytes) -> bytes:
+        core = word.rstrip(PUNCTUATION)
+        text = core.decode().lower()
+        if text.isalpha() and (core.isascii() or max(text) < RARE):
+            if len(core) < len(word):
+                return self[core] + self[word[len(core) :]]
+            ids = [t.id for t in self.model.tokenize(text.translate(self.mapped))]
+            return array(self.code, ids).tobytes()
         text = word.decode()
         if self.plain.fullmatch(text) and not any(s in word for s in self.special):
-            text = "".join(map(str.lower, text))
-            ids = [t.id for p in self.pieces.findall(text) for t in self.model.tokenize("".join(map(self.letter.__getitem__, p.encode())))]
+            ids = [t.id for p in self.pieces.findall(text.lower()) for t in self.model.tokenize(p.translate(self.mapped))]
         else:
             ids = self.tokenizer.encode(text, add_special_tokens=False).ids
-        return np.array(ids, self.kind).tobytes()
+        return array(self.code, ids).tobytes()
 
     def __missing__(self, word: bytes) -> bytes:
         if len(word) > MEMO_BYTES:

@@ -1,0 +1,49 @@
+import re
+
+from pyspark.sql import functions as F
+
+from feedlake.llm import secrets as s
+
+DOCS = "doc_id long, text string, source string, extra string"
+
+
+def test_candidates():
+    text = 'token = "04dbebab91ab85687d33eeaaf9ac699e1188f962" and password: hunter22 but internationalization 2669109448945250 aKeyLikeThis12'
+    assert [text[a:b] for a, b in s.candidates(text)] == ["04dbebab91ab85687d33eeaaf9ac699e1188f962", "hunter22", "2669109448945250", "aKeyLikeThis12"]
+    assert s.candidates("") == [] and len(s.candidates("x1" * 100000)) == 1
+    assert len(s.describe(text, 9, 49, "", s.Language({"word": 3}))) == len(s.FEATURES)
+    assert s.describe("é1é", 0, 3, "p", s.Language({}))[0] == 3
+
+
+def test_coverage_and_bigrams():
+    language = s.Language({"the": 5, "there": 4, "word": 3})
+    assert language.coverage("thereword") == 1.0 and language.coverage("zzzz") == 0.0
+    assert language.bigrams("there") > language.bigrams("xqzjk")
+
+
+def test_held_out_accuracy(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.1/documents.parquet")
+    truth = {(r.doc_id, m.start(1)) for r in docs.collect() for m in re.finditer(r'(?i)token = "([0-9a-f]{40})"', r.text)}
+    found = s.findings(docs, s.language_of(docs)).withColumn("held", F.pmod(F.hash("doc_id"), F.lit(2)) == 1).cache()
+    model = s.train(s.ruled(found.where("not held").drop("held")))
+    got = {(r.doc_id, r.start): r.secret for r in s.judged(found.where("held").drop("held"), model).collect()}
+    held = {k for k in truth if k in got}
+    assert len(held) > 40 and all(got[k] for k in held)
+    assert sum(v for k, v in got.items() if k not in truth) <= 0.02 * len(got)
+    # without their neighbours
+    alone = found.where("held").withColumn("features", F.transform("features", lambda x, i: F.when((i >= s.CONTEXT.start) & (i < s.CONTEXT.stop), 0.0).otherwise(x)))
+    assert sum(r.secret for r in s.judged(alone, model).collect() if (r.doc_id, r.start) in truth) >= 0.9 * len(held)
+    found.unpersist()
+
+
+def test_special_rows_and_redaction(spark):
+    key = "04dbebab91ab85687d33eeaaf9ac699e1188f962"
+    rows = [(1, f'a token = "{key}" b token="{key}"', "s", "x"), (1, None, None, None), (2, "", "s", "x"), (3, "plain é words", "conf.env", "x"), (4, "é" * 200000 + f' secret: "{key}"', "s", "x")]
+    docs = spark.createDataFrame(rows, DOCS)
+    got = s.scan(docs).collect()
+    assert sorted((r.doc_id, r.n_chars) for r in got) == [(1, 40), (1, 40), (4, 40)] and all(r.secret for r in got)
+    out = s.redacted(docs, s.scan(docs).where("secret"))
+    assert out.columns == docs.columns and out.count() == 5
+    text = {r.doc_id: r.text for r in out.collect() if r.text}
+    assert text[1] == 'a token = "[SECRET]" b token="[SECRET]"' and text[4].endswith('"[SECRET]"') and text[3] == "plain é words"
+    assert s.scan(docs.where("false")).count() == 0
