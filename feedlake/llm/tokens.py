@@ -79,8 +79,8 @@ class WordIds(dict):
             ids = [t.id for t in self.model.tokenize(text.translate(self.mapped))]
             return array(self.code, ids).tobytes()
         text = word.decode()
-        if self.plain.fullmatch(text) and not any(s in word for s in self.special):
-            ids = [t.id for p in self.pieces.findall(text.lower()) for t in self.model.tokenize(p.translate(self.mapped))]
+        if self.plain.fullmatch(low := text.lower()) and not any(s in word for s in self.special):
+            ids = [t.id for p in self.pieces.findall(low) for t in self.model.tokenize(p.translate(self.mapped))]
         else:
             ids = self.tokenizer.encode(text, add_special_tokens=False).ids
         return array(self.code, ids).tobytes()
