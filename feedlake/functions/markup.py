@@ -53,53 +53,18 @@ def resolve_link(raw, base_path: str = "") -> Column:
             .otherwise(F.concat(F.lit(base_path + "/"), r)))
 
 
-NUMERIC_REF = r"&#([xX][0-9a-fA-F]+|[0-9]+);?"
-
-
-def _char_of(cp) -> Column:
-    """The character of a referenced code point: the replacement table first (NUL, CR,
-    0x80-0x9F), U+FFFD for surrogates, values beyond U+10FFFF and unparsable numbers, '' for the
-    controls and non-characters HTML drops, else the code point itself."""
-    table = F.create_map(*[x for k, v in C.CHARREF_REPLACEMENTS.items() for x in (F.lit(k).cast("long"), F.lit(v))])
-    bmp = F.decode(F.unhex(F.lpad(F.hex(cp), 4, "0")), "UTF-16BE")
-    hi = F.lit(0xD800) + F.shiftright(cp - 0x10000, 10)
-    lo = F.lit(0xDC00) + (cp - 0x10000).bitwiseAND(F.lit(0x3FF))
-    astral = F.decode(F.unhex(F.concat(F.hex(hi), F.hex(lo))), "UTF-16BE")
-    dropped = (cp.between(0x1, 0x8) | (cp == 0xB) | cp.between(0xE, 0x1F) | cp.between(0x7F, 0x9F)
-               | cp.between(0xFDD0, 0xFDEF) | (F.pmod(cp, F.lit(0x10000)) >= 0xFFFE))
-    return (F.when(cp.isNull(), F.lit("\ufffd"))
-            .when(F.element_at(table, cp).isNotNull(), F.element_at(table, cp))
-            .when(cp.between(0xD800, 0xDFFF) | (cp > 0x10FFFF), F.lit("\ufffd"))
-            .when(dropped, F.lit(""))
-            .when(cp < 0x10000, bmp)
-            .otherwise(astral))
-
-
-def decode_numeric_refs(c) -> Column:
-    """Decode every decimal/hex character reference (with or without ';') in one pass: the
-    text is split at the references, each reference is mapped to its character, and the pieces
-    are zipped back together."""
-    s = col_(c)
-    refs = F.regexp_extract_all(s, F.lit(NUMERIC_REF), 1)
-    pieces = F.split(s, NUMERIC_REF)
-
-    def cp_of(t):
-        return F.when(F.lower(F.substring(t, 1, 1)) == "x", F.conv(F.substring(t, 2, 1 << 20), 16, 10)) \
-                .otherwise(t).try_cast("long")
-    chars = F.concat(F.transform(refs, lambda t: _char_of(cp_of(t))), F.array(F.lit("")))
-    return F.when(s.isNull(), s).otherwise(F.array_join(F.zip_with(pieces, chars, lambda a, b: F.concat(a, b)), ""))
+def unescape_entities(c) -> Column:
+    """Decode all character references, named and numeric, by the HTML rules, once. Spark has no function
+    for the standard's table of names, so this one runs the standard library's over Arrow batches."""
+    import html
 
+    import pandas as pd
 
-def unescape_entities(c) -> Column:
-    """Decode the named entities of config.HTML_ENTITIES and all numeric character references
-    (&amp; last, so text is decoded once)."""
-    s = col_(c)
-    for ent, ch in C.HTML_ENTITIES.items():
-        if ent != "&amp;":
-            s = F.replace(s, F.lit(ent), F.lit(ch))
-    s = decode_numeric_refs(s)
-    # '&amp' also decodes without its semicolon; one left-to-right pass decodes once.
-    return F.regexp_replace(s, "&amp;?", "&")
+    def decoded(texts):
+        return texts.map(lambda t: t if t is None or "&" not in t else html.unescape(t))
+
+    decoded.__annotations__ = {"texts": pd.Series, "return": pd.Series}
+    return F.pandas_udf(decoded, "string")(col_(c))
 
 
 # Blocks removed before the main text is cut out of a page (dotall, case-insensitive).
@@ -110,12 +75,15 @@ DROP_BLOCKS = [
     r"(?is)<style[^>]*>.*?</style\s*>",
     r"(?s)<!--.*?-->",
     r"(?is)<nav[^>]*>.*?</nav\s*>",
-    r'(?is)<div[^>]*class="ad"[^>]*>.*?</div\s*>',
+    r"""(?is)<div[^>]*class\s*=\s*(("ad"|'ad'|ad\s)[^>]*>|ad>).*?</div\s*>""",
     r"(?is)<aside[^>]*>.*?</aside\s*>",
 ]
 ARTICLE_BODY = r"(?is)<article[^>]*>(.*)</article\s*>"
 BODY = r"(?is)<body[^>]*>(.*)</body\s*>"
-TAG_RUN = r"(<[^>]*>)+"
+TAG = r"<[^>]*>"
+#: A non-character that no page holds stands for a tag, so that a run of tags needs no repeated group
+#: (Java's matcher recurses once for each repetition of a group).
+TAG_MARK = "\ufdd0"
 
 
 def page_main_text(html) -> Column:
@@ -128,5 +96,5 @@ def page_main_text(html) -> Column:
     art = F.regexp_extract(h, ARTICLE_BODY, 1)
     body = F.regexp_extract(h, BODY, 1)
     main = F.when(art != "", art).when(body != "", body).otherwise(h)
-    text = F.regexp_replace(main, TAG_RUN, "\n")
+    text = F.regexp_replace(F.regexp_replace(main, TAG, TAG_MARK), f"{TAG_MARK}+", "\n")
     return full_trim(unescape_entities(text))

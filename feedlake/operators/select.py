@@ -12,7 +12,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from feedlake import config as C
-from feedlake.config import LIMITS
 from feedlake.functions import text as T
 from feedlake.operators.state import unseen
 
@@ -83,29 +82,25 @@ def article_text_chain(items: DataFrame, summary_memo: DataFrame, text_memo: Dat
     return j.withColumn("article_text", text).withColumn("text_path", path).drop("_skey", "_ukey", "_memo_text", "_page_text")
 
 
+SNIPPET_PROBE = 8
+
+
 def title_duplicates_removed(items: DataFrame, open_titles: DataFrame, title_col: str = "title",
-                             snippet_chars: int = C.TITLE_SNIPPET_CHARS, max_broadcast: int | None = None) -> DataFrame:
+                             snippet_chars: int = C.TITLE_SNIPPET_CHARS) -> DataFrame:
     """Drop items whose title snippet (first 60 chars, case-insensitive) occurs inside an open
     title; an empty snippet matches any open title.
 
-    Small open-title sets (row count checked) are broadcast and matched with a nested-loop
-    anti join. Above the bound the match becomes an equi-join: every open title is expanded to
-    its substrings of up to 60 chars (about 3,000 per 80-char title), so both sides shuffle by
-    the substring and no pair of rows is enumerated."""
-    limit = LIMITS.broadcast_rows if max_broadcast is None else max_broadcast
+    One plan at every size: each distinct open title is expanded to its windows of up to
+    SNIPPET_PROBE characters, items are matched to them by the snippet's first SNIPPET_PROBE
+    characters (all of a shorter one), and the anti join verifies the whole snippet. An empty
+    snippet is its own probe, which every open title has."""
     snip = F.lower(T.cut(F.coalesce(F.col(title_col), F.lit("")), snippet_chars))
-    it = items.withColumn("_snip", snip)
+    it = items.withColumn("_snip", snip).withColumn("_probe", F.substring("_snip", 1, SNIPPET_PROBE))
     ot = open_titles.select(F.lower(F.coalesce("title", F.lit(""))).alias("_open")).distinct()
-    if ot.count() <= limit:
-        return it.join(F.broadcast(ot), F.col("_open").contains(F.col("_snip")), "left_anti").drop("_snip")
-    subs = (ot.select(F.explode(F.expr(
-                f"flatten(transform(sequence(1, least({snippet_chars}, length(_open))), "
-                "L -> transform(sequence(1, length(_open) - L + 1), i -> substring(_open, i, L))))"))
-                .alias("_snip"))
-            .where(F.length("_snip") > 0)
-            .distinct())
-    has_open = ot.limit(1).count() > 0
-    out = it.join(subs, "_snip", "left_anti")
-    if has_open:
-        out = out.where(F.length("_snip") > 0)
-    return out.drop("_snip")
+    sizes = F.array(*(F.lit(n) for n in range(1, SNIPPET_PROBE + 1)))
+    windows = (ot.withColumn("_n", F.explode(sizes)).where(F.length("_open") >= F.col("_n"))
+               .select("_open", F.explode(F.array_distinct(F.transform(
+                   F.sequence(F.lit(1), F.length("_open") - F.col("_n") + 1), lambda i: F.substring(F.col("_open"), i, F.col("_n"))))).alias("_probe")))
+    windows = windows.unionByName(ot.limit(1).withColumn("_probe", F.lit("")))
+    return (it.join(windows, (it["_probe"] == windows["_probe"]) & F.contains(windows["_open"], it["_snip"]), "left_anti")
+            .drop("_snip", "_probe"))

@@ -2,10 +2,9 @@
 
 brief_batch: the whole per-article run as one lazy plan over every unseen item of a batch
   items -> keys/dates -> unseen (anti join) -> article text chain (memo/page lookups) ->
-  extractive summary (or cached summary) -> keyword counts + similarity evidence -> insight ->
-  markdown / SEO rows. Actions happen only where the caller writes.
+  extractive summary (or cached summary) -> keyword counts -> insight -> markdown / SEO rows.
+  Actions happen only where the caller writes.
 home_feed: latest-N cards + static features -> flat rows / one JSON document.
-archive_insight: similarity hits + mention series for a set of query articles.
 """
 
 from __future__ import annotations
@@ -57,6 +56,13 @@ def article_keys(spark: SparkSession, sf_dir: str, hash_len: int = 40) -> DataFr
     return linked.unionByName(orphan)
 
 
+def newest_articles(spark: SparkSession, sf_dir: str, n: int = C.HOME_FEED_SIZE) -> DataFrame:
+    """The n newest articles. The sort reads keys alone; its n ids (the feature's own limit) then filter
+    the scan that reads the text, so row groups without them are skipped."""
+    ids = [r[0] for r in S.latest_n(article_keys(spark, sf_dir).select("id", "published_ts"), n).select("id").collect()]
+    return keyed_articles(spark, sf_dir).where(F.col("id").isin(ids))
+
+
 def archive_text(articles: DataFrame) -> DataFrame:
     return articles.select("id", T.search_text("title", "summary", "content").alias("text"), "published_ts")
 
@@ -103,7 +109,7 @@ def brief_batch(spark: SparkSession, sf_dir: str, hash_len: int = 40) -> DataFra
 
 def home_feed(spark: SparkSession, sf_dir: str, as_of: str = AS_OF, n: int = C.HOME_FEED_SIZE) -> DataFrame:
     """Flat home-feed rows (section, pos, title, summary, date, read_time, url, source)."""
-    arts = keyed_articles(spark, sf_dir).select("id", "title", "summary", "published", "source", "published_ts")
+    arts = newest_articles(spark, sf_dir, n).select("id", "title", "summary", "published", "source", "published_ts")
     top = S.latest_n(arts, n)
     from pyspark.sql import Window
     ranked = top.withColumn("pos", (F.row_number().over(Window.orderBy(*S.recency_order())) - 1))
@@ -116,10 +122,11 @@ def run_brief_batch(spark: SparkSession, sf_dir: str, out_dir: str, run_ts: str
     """The whole run for a batch, written out:
 
       out_dir/briefs     parquet, one row per unseen item (text path, brief, insight), by date
-      out_dir/markdown   text files of the markdown briefs, partitioned by date
+      out_dir/markdown   parquet (id, md_name, markdown), one row per brief, by date
       out_dir/seo        parquet SEO / JSON-LD rows
       out_dir/seen       bucketed seen snapshot, briefed items inserted if absent (C1)
       out_dir/memo       bucketed memo snapshot, summaries and article texts upserted (C3)
+      out_dir/vector_model   the model behind the text vectors, fitted once on the archive
       out_dir/articles   bucketed article snapshot, whole rows replaced (C2), with a 384-d
                          text vector per article (G2)
 
@@ -133,7 +140,8 @@ def run_brief_batch(spark: SparkSession, sf_dir: str, out_dir: str, run_ts: str
     checkpoint_dir(spark)
     ensure_utc(spark)
     batch = brief_batch(spark, sf_dir, hash_len)
-    cand = batch.where("is_unseen").withColumn("date", D.date_slug(F.lit(run_ts).cast("timestamp")))
+    cand = ST.keep_first(batch.where("is_unseen"), "url_hash", ["id"])  # a second item of one link is skipped
+    cand = cand.withColumn("date", D.date_slug(F.lit(run_ts).cast("timestamp")))
     cand = cand.checkpoint(eager=True)
 
     obs = Observation("brief_batch")
@@ -144,11 +152,11 @@ def run_brief_batch(spark: SparkSession, sf_dir: str, out_dir: str, run_ts: str
     observed.write.mode("overwrite").partitionBy("date").parquet(f"{out_dir}/briefs")
 
     md = X.markdown_brief(cand.select("id", "title", F.col("url").alias("link"),
-                                      F.substring("article_text", 1, C.STORED_SUMMARY_CHARS).alias("summary"),
+                                      F.col("feed_summary").alias("summary"),
                                       "content", "date"), run_ts)
-    X.write_text_files(md.join(cand.select("id", "date"), "id"), f"{out_dir}/markdown", "markdown", "date")
+    md.withColumn("date", D.date_slug(F.lit(run_ts).cast("timestamp"))).write.mode("overwrite").partitionBy("date").parquet(f"{out_dir}/markdown")
 
-    seo_in = cand.select("id", "title", F.substring("article_text", 1, C.SEO_SUMMARY_CHARS).alias("summary"),
+    seo_in = cand.select("id", "title", F.substring("feed_summary", 1, C.SEO_SUMMARY_CHARS).alias("summary"),
                          F.col("published").alias("date_iso"),
                          F.concat(F.lit("previews/"), F.col("date"), F.lit("-"), F.col("id").cast("string"),
                                   F.lit(".html")).alias("url_path"),
@@ -161,10 +169,10 @@ def run_brief_batch(spark: SparkSession, sf_dir: str, out_dir: str, run_ts: str
     new_seen = cand.select("url_hash", "url", F.lit(run_ts).cast("timestamp").alias("first_seen"))
     ST.merge_snapshot(spark, seen_path, new_seen, "url_hash", ["first_seen"], mode="keep_first", buckets=buckets)
 
-    memo_rows = (cand.where(F.col("content").isNotNull())
-                 .select(T.summary_key(T.short_hash("url", hash_len)).alias("cache_key"), F.col("content").alias("value"),
+    memo_rows = (cand.where(F.col("content").isNotNull() & F.col("cached_summary").isNull())  # written on a miss only
+                 .select(T.summary_key("url_hash").alias("cache_key"), F.col("content").alias("value"),
                          F.lit("summary").alias("content_type"), F.lit(1).alias("_seq"))
-                 .unionByName(cand.where(T.truthy("article_text").isNotNull())
+                 .unionByName(cand.where((F.col("text_path") == "page_text") & T.truthy("article_text").isNotNull())
                               .select(T.url_key("url").alias("cache_key"), F.col("article_text").alias("value"),
                                       F.lit("article_text").alias("content_type"), F.lit(0).alias("_seq")))
                  .withColumn("created_at", F.lit(run_ts).cast("timestamp")))
@@ -173,13 +181,19 @@ def run_brief_batch(spark: SparkSession, sf_dir: str, out_dir: str, run_ts: str
     ST.merge_snapshot(spark, memo_path, memo_rows, "cache_key", ["_seq"], mode="keep_last", buckets=buckets)
 
     from feedlake.functions.dates import iso_utc
-    from feedlake.operators.similar import text_vectors
+    from pyspark.ml import PipelineModel
+
+    from feedlake.operators.similar import fit_text_vectors, text_vectors
     arts = cand.where(F.col("content").isNotNull()).select(
         F.col("url_hash").alias("id"), "title", "url", "source",
         F.coalesce(T.truthy("published"), iso_utc(F.lit(run_ts).cast("timestamp"))).alias("published"),
         T.cut(F.coalesce("feed_summary", F.lit("")), C.STORED_SUMMARY_CHARS).alias("summary"),
         F.coalesce("article_text", F.lit("")).alias("content"))
-    arts = text_vectors(arts.withColumn("embed_text", T.embedding_text("summary", "content"))).drop("embed_text")
+    model_path = f"{out_dir}/vector_model"
+    if not path_exists(spark, model_path):  # one model for all batches, fitted on the archive
+        archive = TB.articles(spark, sf_dir).select(T.embedding_text("summary", "content").alias("embed_text"))
+        fit_text_vectors(archive).save(model_path)
+    arts = text_vectors(arts.withColumn("embed_text", T.embedding_text("summary", "content")), model=PipelineModel.load(model_path)).drop("embed_text")
     arts = arts.withColumn("saved_at", F.lit(run_ts).cast("timestamp"))
     art_path = f"{out_dir}/articles"
     if not path_exists(spark, art_path):

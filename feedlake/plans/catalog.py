@@ -146,14 +146,6 @@ def page_text(spark, sf):
                     F.length("full_text").cast("long").alias("full_chars"))
 
 
-@query
-def artifact_listing(spark, sf):
-    """Listing (name, lastmod) of the table files in the data folder, by name; the
-    binaryFile content column is never selected, so no file body is read."""
-    listing = P.artifact_listing(spark, sf, "*.parquet")
-    return listing.select("name", D.zulu("modificationTime").alias("lastmod")).orderBy("name")
-
-
 # ============================================================ B. sinks
 
 def _unseen_articles(spark, sf):
@@ -294,20 +286,20 @@ def newest_unseen(spark, sf):
 @query
 def latest_n(spark, sf):
     """D3: the 9 newest articles."""
-    return S.latest_n(B.keyed_articles(spark, sf)).select(_long("id").alias("id"), "title", "published_ts")
+    return S.latest_n(B.newest_articles(spark, sf)).select(_long("id").alias("id"), "title", "published_ts")
 
 
 @query
 def top_insights(spark, sf):
     """Titles of the 3 newest articles, with their position."""
-    t = S.page_slices(B.keyed_articles(spark, sf))
+    t = S.page_slices(B.newest_articles(spark, sf))
     return t.where(F.col("pos") < C.TOP_INSIGHTS).select(_long("pos").alias("pos"), "title")
 
 
 @query
 def recent_slice(spark, sf):
     """Latest card and the next 7."""
-    t = S.page_slices(B.keyed_articles(spark, sf))
+    t = S.page_slices(B.newest_articles(spark, sf))
     return t.select("slot", _long("pos").alias("pos"), _long("id").alias("id"), "title")
 
 
@@ -452,24 +444,25 @@ def keyword_counts(spark, sf):
     return c.select(_long("id").alias("id"), _long("pos").alias("pos"), "keyword", _long("mentions").alias("mentions"))
 
 
-def _newest_unseen_keywords(spark, sf, n_keywords: int):
+def _unseen_keywords(spark, sf, n_keywords: int):
+    """The first keywords of every unseen article's title, and the archive."""
     arts = B.keyed_articles(spark, sf)
-    top = S.newest_unseen(arts, TB.seen(spark, sf), n=1)
-    return B.article_keywords(top).where(F.col("pos") < n_keywords).select("keyword"), arts
+    unseen = ST.unseen(arts, TB.seen(spark, sf))
+    return B.article_keywords(unseen).where(F.col("pos") < n_keywords).select("keyword"), arts
 
 
 @query
 def mention_series(spark, sf):
-    """Weekly mention series (gap-filled) of the newest unseen article's first keyword."""
-    kw, arts = _newest_unseen_keywords(spark, sf, 1)
+    """Weekly mention series (gap-filled) of every unseen article's first keyword."""
+    kw, arts = _unseen_keywords(spark, sf, 1)
     s = MN.mention_series(B.archive_text(arts), kw, days=C.MENTION_BIN_DAYS, as_of=B.AS_OF)
     return s.select("keyword", "bin_start", _long("mentions").alias("mentions"))
 
 
 @query
 def mention_series_multi(spark, sf):
-    """30-day mention series of all keywords of the newest unseen article."""
-    kw, arts = _newest_unseen_keywords(spark, sf, C.KEYWORDS_PER_TITLE)
+    """30-day mention series of all keywords of all unseen articles."""
+    kw, arts = _unseen_keywords(spark, sf, C.KEYWORDS_PER_TITLE)
     s = MN.mention_series(B.archive_text(arts), kw, days=C.INSIGHT_BIN_DAYS, as_of=B.AS_OF)
     return s.select("keyword", "bin_start", _long("mentions").alias("mentions"))
 
@@ -558,10 +551,10 @@ def stream_seen(spark, sf):
 
 @query
 def stream_keyword_mentions(spark, sf):
-    """H3 on the archive: weekly mention series of the newest unseen article's keywords from a
-    documents stream (event-time windows, watermark), gap-filled at read time."""
+    """H3 on the archive: weekly mention series of all unseen articles' keywords from a documents
+    stream, gap-filled at read time."""
     from feedlake.streaming import feeds as SF
-    kw, _ = _newest_unseen_keywords(spark, sf, C.KEYWORDS_PER_TITLE)
+    kw, _ = _unseen_keywords(spark, sf, C.KEYWORDS_PER_TITLE)
     s = SF.keyword_mention_stream(spark, sf, kw, days=C.MENTION_BIN_DAYS)
     return s.select("keyword", "bin_start", _long("mentions").alias("mentions"))
 

@@ -9,7 +9,6 @@ Helper functions below only assemble repeated SQL fragments.
 from __future__ import annotations
 
 from feedlake import config as C
-from feedlake.functions import markup as M
 
 NL = "chr(10)"
 AS_OF = "TIMESTAMP '2024-04-01 00:00:00'"
@@ -84,12 +83,41 @@ def read_time(x: str) -> str:
             f"greatest(2, least(8, CAST(floor({wc(x)} / 200) AS BIGINT) + 1)) END AS BIGINT)")
 
 
+NUMERIC_REF = r"&#([xX][0-9a-fA-F]+|[0-9]+);?"
+
+# The page-text SQL has patterns and tables of its own.
+DROPPED = [
+    r"(?is)<script\b.*?</script\s*>", r"(?is)<style\b.*?</style\s*>", r"(?s)<!--.*?-->", r"(?is)<nav\b.*?</nav\s*>",
+    r'(?is)<div class="ad".*?</div\s*>', r"(?is)<aside\b.*?</aside\s*>",
+]
+# The named references that the tables hold.
+HTML_ENTITIES = {
+    "&lt;": "<", "&gt;": ">", "&quot;": '"', "&apos;": "'", "&nbsp;": "\u00a0",
+    "&copy;": "©", "&reg;": "®", "&middot;": "·", "&ndash;": "–",
+    "&mdash;": "—", "&hellip;": "…", "&lsquo;": "‘", "&rsquo;": "’",
+    "&ldquo;": "“", "&rdquo;": "”", "&amp;": "&",
+}
+
+# Numeric character references that HTML decodes to another character (the HTML standard's
+# replacement table: NUL, CR and the Windows-1252 meanings of 0x80-0x9F), code point -> text.
+CHARREF_REPLACEMENTS = {
+    0x00: "\ufffd", 0x0D: "\r",
+    0x80: "\u20ac", 0x81: "\x81", 0x82: "\u201a", 0x83: "\u0192", 0x84: "\u201e", 0x85: "\u2026",
+    0x86: "\u2020", 0x87: "\u2021", 0x88: "\u02c6", 0x89: "\u2030", 0x8A: "\u0160", 0x8B: "\u2039",
+    0x8C: "\u0152", 0x8D: "\x8d", 0x8E: "\u017d", 0x8F: "\x8f", 0x90: "\x90", 0x91: "\u2018",
+    0x92: "\u2019", 0x93: "\u201c", 0x94: "\u201d", 0x95: "\u2022", 0x96: "\u2013", 0x97: "\u2014",
+    0x98: "\u02dc", 0x99: "\u2122", 0x9A: "\u0161", 0x9B: "\u203a", 0x9C: "\u0153", 0x9D: "\x9d",
+    0x9E: "\u017e", 0x9F: "\u0178",
+}
+
+
+
 def numeric_refs(t: str) -> str:
-    """Decode numeric character references the way HTML does (see markup.decode_numeric_refs)."""
-    pat = q(M.NUMERIC_REF)
+    """Decode numeric character references the way HTML does."""
+    pat = q(NUMERIC_REF)
     cp = "(CASE WHEN lower(r[1]) = 'x' THEN TRY_CAST('0x' || r[2:] AS BIGINT) ELSE TRY_CAST(r AS BIGINT) END)"
-    table = " ".join(f"WHEN {k} THEN chr({ord(v)})" for k, v in C.CHARREF_REPLACEMENTS.items())
-    ch = (f"CASE WHEN {cp} IS NULL THEN chr(65533) WHEN {cp} IN ({', '.join(str(k) for k in C.CHARREF_REPLACEMENTS)}) "
+    table = " ".join(f"WHEN {k} THEN chr({ord(v)})" for k, v in CHARREF_REPLACEMENTS.items())
+    ch = (f"CASE WHEN {cp} IS NULL THEN chr(65533) WHEN {cp} IN ({', '.join(str(k) for k in CHARREF_REPLACEMENTS)}) "
           f"THEN (CASE {cp} {table} END) "
           f"WHEN {cp} BETWEEN 55296 AND 57343 OR {cp} > 1114111 THEN chr(65533) "
           f"WHEN {cp} BETWEEN 1 AND 8 OR {cp} = 11 OR {cp} BETWEEN 14 AND 31 OR {cp} BETWEEN 127 AND 159 "
@@ -102,13 +130,13 @@ def numeric_refs(t: str) -> str:
 
 def page_text(h: str) -> str:
     s = f"coalesce({h}, '')"
-    for pat in M.DROP_BLOCKS:
+    for pat in DROPPED:
         s = f"regexp_replace({s}, {q(pat)}, '', 'g')"
-    art = f"regexp_extract({s}, {q(M.ARTICLE_BODY)}, 1)"
-    body = f"regexp_extract({s}, {q(M.BODY)}, 1)"
+    art = f"regexp_extract({s}, {q(r"(?is)<article\b[^>]*>(.*)</article\s*>")}, 1)"
+    body = f"regexp_extract({s}, {q(r"(?is)<body\b[^>]*>(.*)</body\s*>")}, 1)"
     main = f"CASE WHEN {art} <> '' THEN {art} WHEN {body} <> '' THEN {body} ELSE {s} END"
-    t = f"regexp_replace({main}, {q(M.TAG_RUN)}, {NL}, 'g')"
-    for ent, ch in C.HTML_ENTITIES.items():
+    t = f"regexp_replace({main}, {q("(<[^>]*>)+")}, {NL}, 'g')"
+    for ent, ch in HTML_ENTITIES.items():
         if ent != "&amp;":
             t = f"replace({t}, {q(ent)}, {q(ch)})"
     t = numeric_refs(t)
@@ -193,10 +221,9 @@ counts AS (SELECT kw.id, kw.pos, kw.keyword, CAST(kwc.n AS BIGINT) AS mentions F
 
 
 def mention_sql(n_kw: int, days: int) -> str:
-    return f"""newest AS (SELECT * FROM unseen ORDER BY published_ts DESC NULLS LAST, id LIMIT 1),
-kws AS (SELECT DISTINCT keyword FROM (
+    return f"""kws AS (SELECT DISTINCT keyword FROM (
   SELECT unnest(k) AS keyword, generate_subscripts(k, 1) AS p
-  FROM (SELECT {title_words('title', C.KEYWORD_MIN_LEN, C.KEYWORDS_PER_TITLE)} AS k FROM newest)) WHERE p <= {n_kw}),
+  FROM (SELECT {title_words('title', C.KEYWORD_MIN_LEN, C.KEYWORDS_PER_TITLE)} AS k FROM unseen)) WHERE p <= {n_kw}),
 arch AS (SELECT lower(coalesce(title, '') || ' ' || coalesce(summary, '') || ' ' || coalesce(content, '')) AS text,
                 published_ts AS ts FROM articles),
 bounds AS (SELECT date_trunc('day', min(ts)) AS origin, max(ts) AS mx FROM arch),

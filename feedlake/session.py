@@ -7,6 +7,7 @@ A private folder is created only when the session has none (local runs and tests
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 import uuid
 
@@ -42,14 +43,16 @@ def get_spark(master: str | None = None, app: str = "feedlake", shuffle_partitio
 
 
 def checkpoint_dir(spark: SparkSession) -> str:
-    """The shared checkpoint folder named by the session (spark.checkpoint.dir); a private one
-    is created only when the session names none (local runs and tests)."""
+    """The shared checkpoint folder named by the session (spark.checkpoint.dir). On a cluster it must be
+    named: executors and the driver share no local folder. Only a local[*] session gets a private one."""
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
     if current:
         return current
     d = spark.conf.get("spark.checkpoint.dir", None)
     if not d:
+        if not re.match(r"local(\[|$)", sc.master):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         d = tempfile.mkdtemp(prefix="feedlake-ckpt-")
     sc.setCheckpointDir(d)
     return sc.getCheckpointDir() or d
@@ -66,3 +69,17 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     jvm = spark.sparkContext._jvm
     p = jvm.org.apache.hadoop.fs.Path(path)
     return bool(p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p))
+
+
+def is_folder(spark: SparkSession, path: str) -> bool:
+    """Whether the path is a folder, through the cluster file system."""
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return bool(p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).getFileStatus(p).isDirectory())
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Send this package to the executors, for clusters where it is not installed there."""
+    import shutil
+
+    root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    spark.sparkContext.addPyFile(shutil.make_archive(os.path.join(tempfile.mkdtemp(), "feedlake"), "zip", root, "feedlake"))

@@ -1,8 +1,11 @@
 """Structured Streaming forms of the poll loop: incremental ingest, first-seen dedup, windowed
 mention counts.
 
-Every query runs with trigger(availableNow=True) and a checkpoint under the shared checkpoint
-folder, so a restarted or re-run job resumes from its offsets instead of re-reading old files.
+Every query runs with trigger(availableNow=True) on the table path itself, be it one file or a folder of
+part files. `table` and `checkpoint` name the output and the offsets; a job that is run again with the
+same two resumes and reads only new files. Without them a fresh pair under the shared checkpoint
+folder is taken, which replays the whole history. A replay reads all files in one micro-batch unless
+`max_files` is given, so that no watermark passes between files that are not in time order.
 Outputs are parquet tables (exactly-once file sink / idempotent foreachBatch merges), which a
 batch query then reads.
 """
@@ -16,19 +19,32 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from feedlake.operators import state as ST
-from feedlake.session import scratch_path
+from feedlake.session import is_folder, scratch_path
 
 
-def _events_stream(spark: SparkSession, sf_dir: str, max_files: int = 1) -> DataFrame:
-    schema = spark.read.parquet(os.path.join(sf_dir, "events.parquet")).schema
-    return (spark.readStream.schema(schema).option("maxFilesPerTrigger", max_files)
-            .option("pathGlobFilter", "events.parquet").parquet(sf_dir)
-            .withColumn("ts", F.col("ts").cast("timestamp")))
+def table_stream(spark: SparkSession, sf_dir: str, name: str, max_files: int | None = None) -> DataFrame:
+    """The table as a file stream; its schema is the batch table's. A folder is read as it is; Spark streams
+    folders only, so a table that is one file is read as that file of its folder."""
+    path = os.path.join(sf_dir, f"{name}.parquet")
+    reader = spark.readStream.schema(spark.read.parquet(path).schema)
+    reader = reader if max_files is None else reader.option("maxFilesPerTrigger", max_files)
+    if is_folder(spark, path):
+        return reader.parquet(path)
+    return reader.option("pathGlobFilter", f"{name}.parquet").parquet(sf_dir)
 
 
-def ingest_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+def _events_stream(spark: SparkSession, sf_dir: str, max_files: int | None = None) -> DataFrame:
+    return table_stream(spark, sf_dir, "events", max_files).withColumn("ts", F.col("ts").cast("timestamp"))
+
+
+def _places(spark: SparkSession, name: str, table: str | None, checkpoint: str | None) -> tuple[str, str]:
+    """Given places, or fresh ones under the shared checkpoint folder."""
+    return table or scratch_path(spark, f"{name}-table"), checkpoint or scratch_path(spark, f"{name}-offsets")
+
+
+def ingest_events(spark: SparkSession, sf_dir: str, table: str | None = None, checkpoint: str | None = None) -> DataFrame:
     """H1: file source -> parquet sink, availableNow; returns the sink table."""
-    out, ck = scratch_path(spark, "ingest-out"), scratch_path(spark, "ingest-ck")
+    out, ck = _places(spark, "ingest", table, checkpoint)
     q = (_events_stream(spark, sf_dir).select("event_id", "user_id", "event_type", "ts")
          .writeStream.format("parquet").option("path", out).option("checkpointLocation", ck)
          .trigger(availableNow=True).start())
@@ -36,12 +52,13 @@ def ingest_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(out)
 
 
-def first_seen_stream(spark: SparkSession, sf_dir: str, buckets: int = 16) -> DataFrame:
+def first_seen_stream(spark: SparkSession, sf_dir: str, buckets: int = 16, table: str | None = None, checkpoint: str | None = None) -> DataFrame:
     """H2: per micro-batch, keep-first per user, then insert-if-absent into a bucketed seen
     snapshot: only the buckets the micro-batch touches are read and rewritten, and a batch
     replayed after a failure changes nothing (insert-if-absent is idempotent)."""
-    table, ck = scratch_path(spark, "seen-table"), scratch_path(spark, "seen-ck")
-    ST.write_snapshot(spark.createDataFrame([], "user_id long, event_id long, ts timestamp"), table, "user_id", buckets)
+    table, ck = _places(spark, "seen", table, checkpoint)
+    if not _exists(spark, table):
+        ST.write_snapshot(spark.createDataFrame([], "user_id long, event_id long, ts timestamp"), table, "user_id", buckets)
 
     def merge(batch: DataFrame, epoch_id: int) -> None:
         ST.merge_snapshot(batch.sparkSession, table, batch.select("user_id", "event_id", "ts"), "user_id",
@@ -54,7 +71,8 @@ def first_seen_stream(spark: SparkSession, sf_dir: str, buckets: int = 16) -> Da
 
 
 def windowed_counts(spark: SparkSession, sf_dir: str, days: int = 7, watermark: str = "1 day",
-                    origin: str | None = None, buckets: int = 16) -> DataFrame:
+                    origin: str | None = None, max_files: int | None = None, table: str | None = None,
+                    checkpoint: str | None = None) -> DataFrame:
     """H3: tumbling `days`-day windows aligned to `origin` (default: midnight of the first
     event, read once from the static table), per event type, with a watermark for late rows.
 
@@ -70,10 +88,10 @@ def windowed_counts(spark: SparkSession, sf_dir: str, days: int = 7, watermark:
     # F.window is aligned to the Unix epoch; shift the start by origin's offset within a window
     offset_s = int(spark.range(1).select(
         F.pmod(F.unix_timestamp(F.lit(origin).cast("timestamp")), F.lit(days * 86400))).first()[0])
-    ev = _events_stream(spark, sf_dir).withWatermark("ts", watermark)
+    ev = _events_stream(spark, sf_dir, max_files).withWatermark("ts", watermark)
     agg = (ev.groupBy(F.window("ts", f"{days} days", f"{days} days", f"{offset_s} seconds").alias("w"), "event_type")
            .agg(F.count(F.lit(1)).alias("n")))
-    log, ck = scratch_path(spark, "mentions-log"), scratch_path(spark, "mentions-ck")
+    log, ck = _places(spark, "mentions", table, checkpoint)
 
     def append(batch: DataFrame, epoch_id: int) -> None:
         rows = batch.select("event_type", F.col("w.start").alias("bin_start"), "n", F.lit(epoch_id).cast("long").alias("_epoch"))
@@ -134,20 +152,19 @@ def _exists(spark: SparkSession, path: str) -> bool:
 
 
 def keyword_mention_stream(spark: SparkSession, sf_dir: str, keywords: DataFrame, days: int = 7,
-                           watermark: str = "365 days", max_files: int = 1) -> DataFrame:
-    """Streaming mention series: the documents table as a file stream, each article's search
-    text matched against a small static keyword set (stream-static join on a broadcast side of
-    a checked size), counted per keyword in `days`-day event-time windows aligned to the
-    archive's first midnight, with a watermark on the published time. Update-mode log as in
-    windowed_counts; the gap fill is applied at read time, so the result equals the batch
-    series (keyword, bin_start, mentions)."""
+                           max_files: int | None = None, table: str | None = None,
+                           checkpoint: str | None = None) -> DataFrame:
+    """Streaming mention series: the documents table as a file stream; each micro-batch's articles are
+    matched against the static keywords by the batch operator (operators.mentions, any number of keywords)
+    and counted per keyword in `days`-day bins aligned to the archive's first midnight. The log holds one
+    partition of partial counts for each micro-batch, overwritten on replay; readers add them up. Gap fill
+    happens at read time, so the result equals the batch series (keyword, bin_start, mentions)."""
     from feedlake.functions import dates as D
     from feedlake.functions import text as T
+    from feedlake.operators import mentions as MN
     from feedlake.sources import tables as TB
 
     kw = keywords.select("keyword").distinct().withColumn("kw", F.lower("keyword"))
-    if kw.count() > 64:
-        raise ValueError("the streaming series takes a small keyword set (<= 64); use the batch series")
     docs = os.path.join(sf_dir, "documents.parquet")
     static = spark.read.parquet(docs)
     ts_of = lambda c: D.parse_published(TB.published_text(TB.true_published(F.col(c)), F.col("lang")))
@@ -157,28 +174,22 @@ def keyword_mention_stream(spark: SparkSession, sf_dir: str, keywords: DataFrame
     origin = b["o"].replace(hour=0, minute=0, second=0, microsecond=0)
     width = days * 86400
     last_bin = origin + dt.timedelta(seconds=int((b["m"] - origin).total_seconds() // width) * width)
-    offset_s = int(spark.range(1).select(
-        F.pmod(F.unix_timestamp(F.lit(origin.strftime("%Y-%m-%d %H:%M:%S")).cast("timestamp")), F.lit(width))).first()[0])
-
-    stream = (spark.readStream.schema(static.schema).option("maxFilesPerTrigger", max_files)
-              .option("pathGlobFilter", "documents.parquet").parquet(sf_dir))
+    log, ck = _places(spark, "keyword-mentions", table, checkpoint)
+    words = f"{log}-keywords"
+    if not _exists(spark, words):  # written once; every micro-batch reads it
+        kw.write.parquet(words)
+    kw = spark.read.schema("keyword string, kw string").parquet(words)
     title = T.cut(T.first_line("text"), 80)
-    arts = stream.select(ts_of("doc_id").alias("published_ts"),
-                         T.search_text(title, T.cut("text", 800), F.col("text")).alias("text"))
-    hits = (arts.withWatermark("published_ts", watermark)
-            .join(F.broadcast(kw.select("kw")), F.instr(F.col("text"), F.col("kw")) > 0))
-    agg = (hits.groupBy(F.window("published_ts", f"{days} days", f"{days} days", f"{offset_s} seconds").alias("w"), "kw")
-           .agg(F.count(F.lit(1)).alias("n")))
-    log, ck = scratch_path(spark, "kwm-log"), scratch_path(spark, "kwm-ck")
+    start = F.lit(origin.strftime("%Y-%m-%d %H:%M:%S")).cast("timestamp")
 
     def append(batch: DataFrame, epoch_id: int) -> None:
-        rows = batch.select("kw", F.col("w.start").alias("bin_start"), "n", F.lit(epoch_id).cast("long").alias("_epoch"))
-        rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("_epoch").parquet(log)
+        arts = batch.select(T.search_text(title, T.cut("text", 800), F.col("text")).alias("text"), D.bin_start(ts_of("doc_id"), start, days).alias("bin_start"))
+        counts = MN.contains_counts(arts, kw.select("kw"), carry=["bin_start"]).withColumn("_epoch", F.lit(epoch_id).cast("long"))
+        counts.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("_epoch").parquet(log)
 
-    (agg.writeStream.outputMode("update").foreachBatch(append).option("checkpointLocation", ck)
+    (table_stream(spark, sf_dir, "documents", max_files).writeStream.foreachBatch(append).option("checkpointLocation", ck)
      .trigger(availableNow=True).start().awaitTermination())
-    updates = spark.read.schema("kw string, bin_start timestamp, n long, _epoch long").parquet(log)
-    counts = ST.keep_last(updates, ["kw", "bin_start"], ["_epoch"])
+    counts = spark.read.schema("kw string, bin_start timestamp, n long, _epoch long").parquet(log).groupBy("kw", "bin_start").agg(F.sum("n").alias("n"))
     spine = kw.withColumn("bin_start", F.explode(F.sequence(
         F.lit(origin.strftime("%Y-%m-%d %H:%M:%S")).cast("timestamp"),
         F.lit(last_bin.strftime("%Y-%m-%d %H:%M:%S")).cast("timestamp"), F.expr(f"INTERVAL {days} DAYS"))))
@@ -186,12 +197,12 @@ def keyword_mention_stream(spark: SparkSession, sf_dir: str, keywords: DataFrame
             .select("keyword", "bin_start", F.coalesce("n", F.lit(0)).cast("long").alias("mentions")))
 
 
-def first_seen_within_watermark(spark: SparkSession, sf_dir: str, watermark: str = "7 days") -> DataFrame:
+def first_seen_within_watermark(spark: SparkSession, sf_dir: str, watermark: str = "7 days", table: str | None = None, checkpoint: str | None = None) -> DataFrame:
     """H2 with bounded state: dropDuplicatesWithinWatermark on the key, so a key's state expires
     once the watermark passes it (the unbounded variant above never forgets, like the original
     seen table). Within one micro-batch the surviving row for a key is the first one read, not
     necessarily the earliest; use first_seen_stream when the earliest row must win."""
-    out, ck = scratch_path(spark, "seen-wm-out"), scratch_path(spark, "seen-wm-ck")
+    out, ck = _places(spark, "seen-watermark", table, checkpoint)
     q = (_events_stream(spark, sf_dir).withWatermark("ts", watermark)
          .dropDuplicatesWithinWatermark(["user_id"]).select("user_id", "event_id", "ts")
          .writeStream.format("parquet").option("path", out).option("checkpointLocation", ck)

@@ -57,6 +57,11 @@ def test_page_main_text(spark):
     assert r[3] == "no article"
 
 
+def test_many_adjacent_tags_and_named_references(spark):
+    df = spark.createDataFrame([("<article>a" + "<i></i>" * 50000 + "b &eacute;&euro;&trade;&#233;</article>",), ("<div class='ad'>x</div><div class=ad>y</div><p>z",)], "h string")
+    assert [x["t"] for x in df.select(M.page_main_text("h").alias("t")).collect()] == ["a\nb é€™é", "z"]
+
+
 def test_unescape_once(spark):
     df = spark.createDataFrame([("&amp;lt; &amp &lt; &amp;amp;",)], "h string")
     assert df.select(M.unescape_entities("h").alias("t")).first()["t"] == "&lt; & < &amp;"

@@ -10,8 +10,6 @@ import __spark_entry__ as E
 SF = "/root/testdata/sf0.001"
 RUNS_ON_CALL = {"stream_ingest", "stream_seen", "stream_mentions", "stream_feed_ingest",
                 "stream_keyword_mentions", "sitemap_entries"}
-# nested-loop joins only where one side is a checked, bounded keyword / open-title list
-NESTED_LOOP_OK = {"title_dup_anti", "mention_series", "mention_series_multi"}
 
 
 def plan(df) -> str:
@@ -21,21 +19,15 @@ def plan(df) -> str:
     return buf.getvalue().split("\n\n\n")[0]
 
 
-@pytest.mark.parametrize("name", sorted(set(E.queries()) - RUNS_ON_CALL))
-def test_no_cartesian_and_bounded_nested_loops(spark, name):
+@pytest.mark.parametrize("name", sorted(set(E.QUERIES) - RUNS_ON_CALL))
+def test_no_cartesian_and_no_nested_loops(spark, name):
     p = plan(E.queries()[name](spark, SF))
     assert "CartesianProduct" not in p
-    if name not in NESTED_LOOP_OK:
-        assert "BroadcastNestedLoopJoin" not in p
+    assert "BroadcastNestedLoopJoin" not in p
 
 
-def test_spread_only_when_under_split(spark, tmp_path):
-    from feedlake.sources.tables import spread
-    cores = spark.sparkContext.defaultParallelism
-    small = spark.range(10).coalesce(1)
-    assert spread(small).rdd.getNumPartitions() == cores
-    wide = spark.range(1000).repartition(cores * 2)
-    assert spread(wide) is wide
+def test_a_scan_has_no_exchange(spark):
+    assert "Exchange" not in plan(E.queries()["archive_scan"](spark, SF))
 
 
 def test_read_payloads(spark, tmp_path):

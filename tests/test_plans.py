@@ -12,12 +12,19 @@ def test_run_brief_batch_end_to_end(spark):
     briefs = spark.read.parquet(f"{out}/briefs")
     assert m["candidates"] == briefs.count() > 0
     assert m["summaries"] == briefs.where(F.col("content").isNotNull()).count()
-    md = spark.read.text(f"{out}/markdown")
-    assert md.where(F.col("value") == "---").count() >= 2 * m["candidates"]  # markdown lines, two fences per brief
+    md = spark.read.parquet(f"{out}/markdown")
+    named = {r.md_name: r.markdown for r in md.collect()}
+    assert len(named) == md.count() == m["candidates"]  # one row and one name per brief
+    one = briefs.where("length(feed_summary) > 20").first()
+    text = named[f"2024-04-01-{one['id']}.md"]
+    assert text.count("---") >= 2 and one["content"] in text
+    assert one["feed_summary"][:15].split("\n")[0] in text.split("summary:")[1].split("---")[0]
     seen = spark.read.parquet(f"{out}/seen")
     assert seen.join(briefs.select("url_hash"), "url_hash", "left_semi").count() == briefs.count()
     memo = spark.read.parquet(f"{out}/memo")
-    assert memo.where("content_type = 'summary'").count() >= m["summaries"]
+    fresh = briefs.where("content is not null and cached_summary is null").select(F.concat(F.lit("summary:"), F.substring("url_hash", 1, 32)).alias("cache_key")).distinct()
+    assert memo.where("content_type = 'summary'").select("cache_key").distinct().count() == fresh.count()
+    assert memo.join(fresh, "cache_key", "left_semi").count() == fresh.count()  # the key that the lookup uses
     assert spark.read.parquet(f"{out}/seo").count() == m["candidates"]
     arts = spark.read.parquet(f"{out}/articles")
     assert arts.count() == m["summaries"]

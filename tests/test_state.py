@@ -100,18 +100,16 @@ def test_snapshot_delete_empties_bucket(spark):
     assert sorted(r["k"] for r in spark.read.parquet(path).collect()) == ["k1", "k2"]
 
 
-def test_title_duplicates_both_plans(spark):
+def test_title_duplicates(spark):
     from feedlake.operators import select as S
     items = spark.createDataFrame([(1, "Breaking: Markets Fall"), (2, "Unrelated story"), (3, ""), (4, None),
-                                   (5, "x" * 70), (6, "MARKETS")], "id long, title string")
-    opens = spark.createDataFrame([("Auto: breaking: markets fall sharply",), ("prefix " + "x" * 65,)], "title string")
-    expect = {2}  # 1, 6: contained (case-insensitive); 3, 4: empty snippet matches; 5: first 60 chars contained
-    for limit in (10, 0):
-        got = {r.id for r in S.title_duplicates_removed(items, opens, max_broadcast=limit).collect()}
-        assert got == expect, limit
-    none_open = spark.createDataFrame([], "title string")
-    assert S.title_duplicates_removed(items, none_open).count() == 6
-    assert S.title_duplicates_removed(items, none_open, max_broadcast=0).count() == 6
+                                   (5, "x" * 70), (6, "MARKETS"), (7, "\u0130" * 70), (8, "q")], "id long, title string")
+    opens = spark.createDataFrame([("Auto: breaking: markets fall sharply",), ("prefix " + "x" * 65,), ("a " + "\u0130" * 80,)], "title string")
+    # 1, 6: contained (case-insensitive); 3, 4: empty snippet matches; 5: first 60 chars contained; 7: lower case is longer
+    out = S.title_duplicates_removed(items, opens)
+    assert sorted(r.id for r in out.collect()) == [2, 8]
+    assert "NestedLoop" not in out._jdf.queryExecution().executedPlan().toString()
+    assert S.title_duplicates_removed(items, spark.createDataFrame([], "title string")).count() == 8
 
 
 def test_upsert_hot_key_is_aggregated(spark):
