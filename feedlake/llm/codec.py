@@ -45,12 +45,12 @@ class _Lanes:
         self.low, self.rng = np.zeros(n, U), np.full(n, ~U(0), U)
         #: Tables are flat, entry by entry: entry i of a lane is at i * n + lane, so lanes that look at one entry share cache lines.
         self.lane = lane = np.arange(n, dtype=np.int64)
-        self.after2, self.after1 = np.zeros(n * _SLOTS, np.int16), np.zeros(n * _SLOTS, np.int16)  # number * 4 + confidence
+        self.after2, self.after1 = np.zeros(n * _SLOTS, np.int16), np.zeros(n * BLOCK, np.int16)  # number * 4 + confidence
         self.own2, self.own1 = np.full(n * 4, 1 << 15, np.int32), np.full(n * 4, 1 << 15, np.int32)
         self.both2, self.both1 = np.full(n * 16, 1 << 15, np.int32), np.full(n * 16, 1 << 15, np.int32)
         self.weight2, self.weight1 = np.full(n, 128, np.int32), np.full(n, 128, np.int32)
         self.classes, self.total, self.distinct = np.full(CLASSES * n, 2, np.int32), np.full(n, 2 * CLASSES, np.int64), np.zeros(n, np.int64)
-        self.ranked, self.rank = np.zeros(n * (_SLOTS + 1), np.int16), np.zeros(n * (_SLOTS + 1), np.int16)
+        self.ranked, self.rank = np.zeros(n * BLOCK, np.int16), np.zeros(n * BLOCK, np.int16)
         self.prev1, self.prev2 = np.zeros(n, np.int64), np.zeros(n, np.int64)
 
     def run(self, coder, numbers: np.ndarray | None) -> np.ndarray:
@@ -120,7 +120,7 @@ class _Lanes:
         first = _FIRST.take(group)
         places = np.where(new, 1, np.minimum(first + 1, known - first))
         place = coder.place(self, s, np.maximum(places, 1), place)
-        at = np.where(new, known, np.minimum(first + place, _SLOTS - 1))
+        at = np.where(new, known, np.minimum(first + place, BLOCK - 1))
         if coder.decodes:
             d = np.where(new, known, self.ranked.take(at * n + s))
             x[s] = d

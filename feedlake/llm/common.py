@@ -16,7 +16,7 @@ LOWER = bytes.maketrans(bytes(range(65, 91)), bytes(range(97, 123)))
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    return small_batches(spark).read.parquet(f"{sf_dir}/{name}.parquet")
 
 
 def stored(df: DataFrame, name: str) -> DataFrame:
@@ -27,6 +27,30 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+#: Most rows of an Arrow batch: rows hold whole texts.
+BATCH_ROWS = 1000
+
+
+def small_batches(spark: SparkSession) -> SparkSession:
+    """Lower the session's Arrow batches to BATCH_ROWS rows, where they are larger, so that a worker holds a
+    few MB of texts at once. It changes no result."""
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if not 0 < int(spark.conf.get(name)) <= BATCH_ROWS:
+        spark.conf.set(name, str(BATCH_ROWS))
+    return spark
+
+
+_KEPT: dict[str, object] = {}
+
+
+def kept(name: str, make):
+    """A worker's own cache, kept from task to task until another one is asked for."""
+    if name not in _KEPT:
+        _KEPT.clear()
+        _KEPT[name] = make()
+    return _KEPT[name]
+
+
 def texts(column: pa.Array | pa.ChunkedArray) -> list[bytes]:
     """The UTF-8 bytes of a string column; null is empty."""
     if isinstance(column, pa.ChunkedArray):

@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F, types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
-from feedlake.llm.common import table, texts
+from feedlake.llm.common import small_batches, table, texts
 
 #: A byte's word form: a-z, 0-9 and bytes from 0x80 stay, A-Z lowered, all else a space.
 FORM = bytes(b + 32 if 65 <= b <= 90 else b if 48 <= b <= 57 or 97 <= b <= 122 or b >= 128 else 32 for b in range(256))
@@ -150,7 +150,7 @@ def contamination(docs: DataFrame, benchmark: DataFrame, window: int = 10, text:
     """
     if clash := set(ADDED) & set(docs.columns):
         raise ValueError(f"columns {sorted(clash)} are added by contamination(); rename them first")
-    spark = docs.sparkSession
+    spark = small_batches(docs.sparkSession)
     keep = docs.columns if keep is None else keep
     added = [T.StructField("n_words", T.LongType()), T.StructField("n_hit", T.LongType()), T.StructField("item_ids", T.ArrayType(T.StringType())),
              T.StructField("hit_spans", T.ArrayType(T.StructType([T.StructField("first", T.LongType()), T.StructField("end", T.LongType())])))]

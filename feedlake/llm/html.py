@@ -32,7 +32,7 @@ import xxhash
 from pyspark.sql import DataFrame, functions as F, types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
-from feedlake.llm.common import pieces, stored, table
+from feedlake.llm.common import pieces, small_batches, stored, table
 from feedlake.llm.urls import host_and_path
 
 MIN_PAGES = 5
@@ -328,6 +328,7 @@ def extracted(pages: DataFrame, url: str = "url", source: str = "html", keep: li
     """pages (or its columns `keep`) with text, the main text of the page."""
     if clash := {"text", "host", "reference", "template"} & set(pages.columns):
         raise ValueError(f"columns {sorted(clash)} are used by extracted(); rename them first")
+    small_batches(pages.sparkSession)
     keep = pages.columns if keep is None else keep
     own = pages.select(*dict.fromkeys([*keep, source]), host_and_path(F.col(url))[0].alias("host"))
     found = stored(wrappers(own.select("host", F.col(source).alias("html"))), "html-wrappers")

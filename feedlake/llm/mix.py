@@ -25,7 +25,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from feedlake.llm.common import WORD, stored, table
+from feedlake.llm.common import WORD, small_batches, stored, table
 
 LEAF = 256
 FANOUT = 256
@@ -174,6 +174,7 @@ def mix(docs: DataFrame, weights: tuple = (5, 2, 1), share: float = 1.5, most_co
     added = {"size", "source_size", "target", "copies"}
     if clash := (added | {"rank", "n_docs", "key", "p", "node"}) & set(docs.columns):
         raise ValueError(f"columns {sorted(clash)} are used by mix(); rename them first")
+    small_batches(docs.sparkSession)
     keep = docs.columns if keep is None else keep
     sized = docs.select(*dict.fromkeys([*keep, "doc_id", "source"]), n_words(text).alias("size"))
     if text not in keep:

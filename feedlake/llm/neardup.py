@@ -34,7 +34,7 @@ import xxhash
 from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.window import Window
 
-from feedlake.llm.common import LOWER, stored, table, texts
+from feedlake.llm.common import LOWER, kept, small_batches, stored, table, texts
 from feedlake.llm.components import components
 
 #: Longest list of retained values whose pairs are all looked at, and the count from which a shingle is common.
@@ -44,7 +44,7 @@ MOST_COMMON = 3_000_000
 PIVOTS = 3
 #: Shingles counted together in a task, and words whose hashes a worker remembers.
 CHUNK = 1_500_000
-MEMO = 400_000
+MEMO = 200_000
 #: Bits of a packed size that hold the number of common values.
 HOT_BITS = 24
 #: Most doc_ids that are broadcast to pick the texts to verify; more are joined by a shuffle.
@@ -60,9 +60,6 @@ class _Hashes(dict):
         return h
 
 
-_HASHES = _Hashes()
-
-
 def shingles(text: bytes, size: int = 3) -> np.ndarray:
     """The set as sorted, distinct 63-bit hashes."""
     words = text.translate(LOWER).split()
@@ -70,7 +67,8 @@ def shingles(text: bytes, size: int = 3) -> np.ndarray:
         return np.zeros(0, np.int64)
     if len(words) < size:
         return np.array([xxhash.xxh3_64_intdigest(b" ".join(words), seed=len(words)) >> 1], np.int64)
-    h = np.array([_HASHES[w] for w in words], np.uint64)
+    own = kept("shingles", _Hashes)
+    h = np.array([own[w] for w in words], np.uint64)
     n = len(h) - size + 1
     z = np.zeros(n, np.uint64)
     for k in range(size):
@@ -185,6 +183,19 @@ def _sketches(common, size: int, percent: int, ranges: int):
 # -- 4: lists ----------------------------------------------------------------------------------------------
 
 
+def gathered(batches, rows: int):
+    """The same rows as tables of about `rows` rows."""
+    held, n = [], 0
+    for b in batches:
+        held.append(b)
+        n += b.num_rows
+        if n >= rows:
+            yield pa.Table.from_batches(held)
+            held, n = [], 0
+    if held:
+        yield pa.Table.from_batches(held)
+
+
 def _lists(long: int, percent: int):
     """Rows (v, doc, n) sorted by v, n being the size and the common values of the sketch in one number ->
     for lists of 2 to `long` rows the pairs that sizes allow, for longer ones their rows again (b null)."""
@@ -213,8 +224,8 @@ def _lists(long: int, percent: int):
 
     def run(batches):
         rest, open_big = None, None  # open_big: a value whose first rows went out as a long list already
-        for batch in batches:
-            own = [batch.column(c).to_numpy(zero_copy_only=False) for c in ("v", "doc", "n")]
+        for batch in gathered(batches, 20_000):
+            own = [batch.column(c).to_numpy() for c in ("v", "doc", "n")]
             own = own if rest is None else [np.concatenate(x) for x in zip(rest, own)]
             if not len(own[0]):
                 continue
@@ -254,7 +265,7 @@ def _sets(size: int):
 
 def _linked(percent: int):
     def run(batches):
-        for b in batches:
+        for b in (whole.slice(at, 200) for whole in batches for at in range(0, whole.num_rows, 200)):
             ok = []
             for x, y in zip(b.column("x").to_pylist(), b.column("y").to_pylist()):
                 x, y = np.frombuffer(x, np.int64), np.frombuffer(y, np.int64)
@@ -328,7 +339,7 @@ def long_lists(rows: DataFrame, links: DataFrame, docs: DataFrame, size: int, pe
 
 def clusters(docs: DataFrame, size: int = 5, percent: int = 80, text: str = "text") -> DataFrame:
     """A row for each row of docs: doc_id, n_shingles, component_id (the smallest doc_id reachable over links)."""
-    spark = docs.sparkSession
+    spark = small_batches(docs.sparkSession)
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
     ranges = 1 << max(5, (4 * parts - 1).bit_length())
     packed = docs.select(text).mapInArrow(_counted(size, ranges), "range int, low binary, more binary, counts binary")

@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F, types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
-from feedlake.llm.common import table, texts
+from feedlake.llm.common import small_batches, table, texts
 
 SYMBOLS = b"#*$%&|<>"
 #: Most documents of the sample on which rules are measured.
@@ -173,6 +173,7 @@ def cascade(docs: DataFrame, rules: tuple = RULES, base: Rule = BASE, text: str
     added = [*counts, "base_failed", "kept", "rejected_by", "rules_asked"]
     if clash := set(added) & set(docs.columns):
         raise ValueError(f"columns {sorted(clash)} are added by cascade(); rename them first")
+    small_batches(docs.sparkSession)
     order = [m.rule for m in measure(docs, rules, base, text)] if order is None else order
     names, keep = [r.name for r in order], docs.columns if keep is None else keep
     kinds = {"base_failed": T.BooleanType(), "kept": T.BooleanType(), "rejected_by": T.StringType(), "rules_asked": T.IntegerType()}

@@ -29,7 +29,7 @@ from pyspark.ml.classification import RandomForestClassifier
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import DataFrame, functions as F
 
-from feedlake.llm.common import pieces, stored, table
+from feedlake.llm.common import pieces, small_batches, stored, table
 
 THRESHOLD = 0.5
 #: Most labelled findings of either label, and most words of the dictionary.
@@ -179,6 +179,7 @@ def judged(found: DataFrame, model, threshold: float = THRESHOLD) -> DataFrame:
 
 def scan(docs: DataFrame, labelled: DataFrame | None = None, text: str = "text", path: str = "source") -> DataFrame:
     """The findings of docs(doc_id, text, path), judged; `labelled` has features and label."""
+    small_batches(docs.sparkSession)
     found = stored(findings(docs, language_of(docs, text), text, path), "secrets-findings")
     return judged(found, train(ruled(found) if labelled is None else labelled))
 

@@ -26,11 +26,11 @@ from pyspark.sql import DataFrame, functions as F, types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
 from feedlake.llm.codec import BLOCK, LANES, decode_blocks, encode_blocks
-from feedlake.llm.common import stored, table, texts
+from feedlake.llm.common import kept, small_batches, stored, table, texts
 from feedlake.session import scratch_path
 
 #: Words whose ids a worker remembers, and the longest of them in bytes.
-MEMO, MEMO_BYTES = 700_000, 48
+MEMO, MEMO_BYTES = 500_000, 48
 #: What may end a plain word as a piece of its own, and the first character that is none of plain words'.
 PUNCTUATION, RARE = b"!#$%&()*+,-./:;=?@[]^_{|}~", "\u0250"
 FILES = T.StructType([T.StructField("part", T.IntegerType()), T.StructField("block", T.LongType()), T.StructField("before", T.LongType()), T.StructField("first_row", T.LongType()),
@@ -99,14 +99,9 @@ class WordIds(dict):
         return np.frombuffer(b"".join(map(self.__getitem__, words)), self.kind)
 
 
-_WORD_IDS: dict[str, WordIds] = {}
-
-
 def word_ids(path: str) -> WordIds:
     """This worker's own, kept from task to task."""
-    if path not in _WORD_IDS:
-        _WORD_IDS[path] = WordIds(path)
-    return _WORD_IDS[path]
+    return kept(f"word ids of {path}", lambda: WordIds(path))
 
 
 def _written(path: str, end_id: int):
@@ -165,7 +160,7 @@ def _written(path: str, end_id: int):
 
 def write_ids(docs: DataFrame, path: str, tokenizer: str, end_id: int = 1, text: str = "text") -> None:
     """Write the ids of docs(doc_id, text) to `path`. The texts are range-partitioned by doc_id, once."""
-    parts = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    parts = int(small_batches(docs.sparkSession).conf.get("spark.sql.shuffle.partitions"))
     own = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col(text).alias("text"))
     ordered = own.repartitionByRange(parts, "doc_id").sortWithinPartitions("doc_id", "text")
     ordered.mapInArrow(_written(tokenizer, end_id), FILES).write.parquet(path)

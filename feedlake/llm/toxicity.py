@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F, types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
-from feedlake.llm.common import stored, table
+from feedlake.llm.common import small_batches, stored, table
 
 TOKEN = re.compile(r"[^\W\d_]+")
 PREFIXES = (4, 5, 6, 7, 8)
@@ -34,7 +34,7 @@ MOST_ROWS = 10_000
 MOST_FEATURES = 20_000
 SCREEN = 5.0
 #: Words whose features a worker remembers.
-MEMO = 300_000
+MEMO = 100_000
 #: A document at or above this expected severity is rejected.
 REJECT = 0.3
 
@@ -193,7 +193,7 @@ def score(docs: DataFrame, model: Ordinal, text: str = "text", keep: list[str] |
         raise ValueError(f"columns {sorted(clash)} are added by score(); rename them first")
     keep = docs.columns if keep is None else keep
     out = T.StructType([*(docs.schema[c] for c in keep), T.StructField("severity", T.DoubleType()), T.StructField("grade", T.IntegerType())])
-    schema, sent = to_arrow_schema(out), docs.sparkSession.sparkContext.broadcast(model)
+    schema, sent = to_arrow_schema(out), small_batches(docs.sparkSession).sparkContext.broadcast(model)
 
     def run(batches):
         for b in batches:
