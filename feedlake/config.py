@@ -78,7 +78,6 @@ ARCHIVE_INSIGHT_BULLET_2_PREFIX = "Mentions of "
 ARCHIVE_INSIGHT_BULLET_2_SUFFIX = " increased recently."
 ARCHIVE_INSIGHT_BULLET_3 = "Watch for follow-up in next 2 weeks."
 ARCHIVE_INSIGHT_PREDICTION = "This topic may continue to rise if further events occur."
-ARCHIVE_EVIDENCE_SUMMARY_CHARS = 250
 
 INSIGHT_PROMPT_SYSTEM = (
     "You are a journalist-analyst. Use evidence and counts to produce a short insight "
@@ -93,9 +92,15 @@ SITEMAP_CHANGEFREQ = "daily"
 SITEMAP_PRIORITY = "0.6"
 PREVIEWS_PREFIX = "previews/"
 
-OG_IMAGE_WIDTH = 1200
-OG_IMAGE_HEIGHT = 630
-ROBOTS_META = "index,follow"
+
+# Title of a card without one on the pages.
+UNTITLED_BRIEF = "Untitled brief"
+
+# Sitemap XML.
+SITEMAP_HEAD = "<?xml version='1.0' encoding='UTF-8'?>\n<urlset xmlns='http://www.sitemaps.org/schemas/sitemap/0.9'>\n"
+SITEMAP_END = "\n</urlset>\n"
+SITEMAP_INDEX_HEAD = "<?xml version='1.0' encoding='UTF-8'?>\n<sitemapindex xmlns='http://www.sitemaps.org/schemas/sitemap/0.9'>\n"
+SITEMAP_INDEX_END = "\n</sitemapindex>\n"
 
 # Static feature cards of the home feed, in this order.
 STATIC_FEATURES = [

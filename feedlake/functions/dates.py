@@ -28,10 +28,6 @@ def parse_published(c) -> Column:
     )
 
 
-def parse_iso_only(c) -> Column:
-    """Strict ISO read (what an ISO-only reader accepts); RFC-822 strings give NULL."""
-    return F.try_to_timestamp(full_trim(col_(c)))
-
 
 def epoch_to_ts(c) -> Column:
     return F.timestamp_seconds(F.coalesce(col_(c), F.lit(0)).cast("double"))

@@ -1,4 +1,4 @@
-"""Vector columns (array<float>): norms, L2 normalisation, dot products."""
+"""Vector columns (array<float>): norms."""
 
 from __future__ import annotations
 
@@ -10,16 +10,3 @@ from feedlake.functions.text import col_
 
 def l2_norm(v) -> Column:
     return F.sqrt(F.aggregate(col_(v), F.lit(0.0).cast("double"), lambda acc, x: acc + x.cast("double") * x.cast("double")))
-
-
-def l2_normalize(v) -> Column:
-    """Unit vector; a zero vector stays zeros (ANSI mode: x/0 would raise, so divide only
-    when the norm is positive). NULL stays NULL."""
-    n = l2_norm(v)
-    return F.when(col_(v).isNull(), F.lit(None)).otherwise(
-        F.transform(col_(v), lambda x: F.when(n > 0, x.cast("double") / n).otherwise(F.lit(0.0))))
-
-
-def dot(a, b) -> Column:
-    return F.aggregate(F.zip_with(col_(a), col_(b), lambda x, y: x * y), F.lit(0.0).cast("double"),
-                       lambda acc, x: acc + x)

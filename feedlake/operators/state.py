@@ -115,14 +115,10 @@ def bucket_of(key, n: int):
 
 def write_snapshot(df: DataFrame, path: str, key, buckets: int = 64) -> None:
     (df.withColumn("bucket", bucket_of(key, buckets))
-       .repartition("bucket")
+       .hint("rebalance", F.col("bucket"))  # by bucket, a large bucket over several tasks
        .write.mode("overwrite").partitionBy("bucket").parquet(path))
 
 
-def read_snapshot(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.parquet(path)
-
-
 def merge_snapshot(spark: SparkSession, path: str, batch: DataFrame, key, order: Sequence[str],
                    mode: str = "keep_last", buckets: int = 64) -> DataFrame:
     """Merge a batch into the snapshot at `path`, rewriting only the buckets it touches.
@@ -146,14 +142,9 @@ def merge_snapshot(spark: SparkSession, path: str, batch: DataFrame, key, order:
         raise ValueError(mode)
     merged = merged.withColumn("bucket", bucket_of(keys, buckets))
     stage = scratch_path(spark, "merge-stage")
-    merged.repartition("bucket").write.mode("overwrite").partitionBy("bucket").parquet(stage)
+    merged.hint("rebalance", F.col("bucket")).write.mode("overwrite").partitionBy("bucket").parquet(stage)
     staged = spark.read.schema(schema).parquet(stage)
-    prev = spark.conf.get("spark.sql.sources.partitionOverwriteMode")
-    spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
-    try:
-        staged.write.mode("overwrite").partitionBy("bucket").parquet(path)
-    finally:
-        spark.conf.set("spark.sql.sources.partitionOverwriteMode", prev)
+    staged.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("bucket").parquet(path)
     if mode == "delete":
         # dynamic overwrite leaves a bucket alone when no row is written to it, so a bucket
         # emptied by the delete is removed explicitly (at most `buckets` folder names)

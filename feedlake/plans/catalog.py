@@ -170,19 +170,38 @@ def home_feed(spark, sf):
                     _long("read_time").alias("read_time"), "url", "source")
 
 
+def _sitemap_listing(spark, sf):
+    """One preview name per page, with its article's publish time; no page body is read."""
+    a = B.article_keys(spark, sf).select("id", "published_ts")
+    p = TB.table(spark, sf, "pages", "page_id").join(a, F.col("page_id") == F.col("id"))
+    return p.select(F.concat(D.date_slug("published_ts"), F.lit("-"), F.col("page_id").cast("string"), F.lit(".html")).alias("name"),
+                    F.col("published_ts").alias("modificationTime"))
+
+
 @query
 def sitemap_entries(spark, sf):
-    """Preview pages exported as a date-partitioned table (name, html, modified_at), then
-    one sitemap entry per preview, lastmod = when the preview was written."""
-    from feedlake.session import scratch_path
-    a = B.keyed_articles(spark, sf).select("id", "published_ts")
-    p = TB.pages(spark, sf).join(a, F.col("page_id") == F.col("id"))
-    previews = p.select(F.concat(D.date_slug("published_ts"), F.lit("-"), F.col("page_id").cast("string"),
-                                 F.lit(".html")).alias("name"), "html", D.date_slug("published_ts").alias("date"))
-    out = scratch_path(spark, "previews")
-    X.export_previews(previews, out)
-    listing = spark.read.parquet(out).select("name", F.col("modified_at").alias("modificationTime"))
-    return X.sitemap_entries(listing).select("name", "loc", "lastmod", "changefreq", "priority")
+    """One sitemap entry per preview page, lastmod = its article's publish time."""
+    return X.sitemap_entries(_sitemap_listing(spark, sf)).select("name", "loc", "lastmod", "changefreq", "priority")
+
+
+@query
+def sitemap_documents(spark, sf):
+    """The sitemap files themselves, parts and index."""
+    return X.sitemap_document(X.sitemap_entries(_sitemap_listing(spark, sf)))
+
+
+@query
+def card_aliases(spark, sf):
+    """cards from items whose fields go by other names in each language."""
+    a = B.keyed_articles(spark, sf)
+    lang, short, long_ = F.coalesce("lang", F.lit("")), D.display_short("published_ts"), D.display_long("published_ts")
+    items = a.select(
+        "id", F.when(F.pmod("id", F.lit(7)) == 0, F.lit("")).otherwise(F.col("title")).alias("title"),
+        F.when(lang == "en", F.col("summary")).when(lang == "fr", F.lit("")).alias("summary"), T.cut("content", 40).alias("description"),
+        F.when(lang == "en", short).alias("date_short"), F.when(lang == "fr", long_).when(lang == "de", F.lit("")).alias("date_display"),
+        F.when(lang != "es", F.col("published")).alias("date"), F.when(F.pmod("id", F.lit(2)) == 0, F.col("url")).alias("link"),
+        F.when(F.pmod("id", F.lit(3)) == 0, F.concat(F.lit("/p/"), F.col("id").cast("string"))).alias("url"))
+    return X.card_aliases(items).select(_long("id").alias("id"), "title", "summary", "date_long", "date_short", "link")
 
 
 @query
@@ -196,7 +215,7 @@ def seo_metadata(spark, sf):
                  F.col("source").alias("author"), T.title_tags("title").alias("tags"))
     s = X.seo_metadata(b)
     return s.select(_long("id").alias("id"), "seo_title", "seo_description", "canonical_url", "og_image",
-                    "date_published", "keywords")
+                    "date_published", "keywords", "json_ld")
 
 
 @query

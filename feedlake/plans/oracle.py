@@ -312,6 +312,35 @@ def oracle_sql() -> dict[str, str]:
         f"{q(C.Site().og_image)} AS og_image, coalesce(nullif(published, ''), 'now') AS date_published, "
         f"CASE WHEN len({title_words('title', C.TAG_MIN_LEN, C.TAGS_PER_TITLE)}) > 0 "
         f"THEN array_to_string({title_words('title', C.TAG_MIN_LEN, C.TAGS_PER_TITLE)}, ',') END AS keywords FROM unseen")
+    base = C.Site().url.rstrip("/") + "/"
+    fields = o["seo_metadata"]
+    ld = ("json_object('@context', 'https://schema.org', '@type', 'Article', 'mainEntityOfPage', json_object('@type', 'WebPage', '@id', canonical_url), "
+          "'headline', seo_title, 'description', seo_description, 'image', json_array(og_image), 'datePublished', date_published, 'dateModified', date_published, "
+          f"'author', json_object('@type', 'Person', 'name', coalesce(source, {q(C.Site().author)})), 'publisher', json_object('@type', 'Organization', 'name', {q(C.Site().name)}, "
+          f"'logo', json_object('@type', 'ImageObject', 'url', {q(base + C.Site().logo_path.lstrip('/'))}))")
+    ld = f"CASE WHEN keywords IS NULL THEN {ld}) ELSE {ld}, 'keywords', keywords) END"
+    o["seo_metadata"] = (f"SELECT s.*, '<script type=\"application/ld+json\">' || CAST({ld} AS VARCHAR) || '</script>' AS json_ld "
+                         f"FROM ({fields}) s JOIN (SELECT doc_id, source FROM documents) d ON d.doc_id = s.id")
+    names = W("p AS (SELECT strftime(a.published_ts, '%Y-%m-%d') || '-' || CAST(page_id AS VARCHAR) || '.html' AS name, a.published_ts AS ts "
+              "FROM pages JOIN articles a ON a.id = page_id)")
+    entry = (f"name, {q(base + 'previews/')} || name AS loc, strftime(ts, '%Y-%m-%dT%H:%M:%SZ') AS lastmod, 'daily' AS changefreq, '0.6' AS priority")
+    o["sitemap_entries"] = names + f"SELECT {entry} FROM p"
+    head = "'<?xml version=''1.0'' encoding=''UTF-8''?>' || chr(10) || "
+    o["sitemap_documents"] = names + (
+        f"SELECT 'sitemap-' || CAST(part AS VARCHAR) || '.xml' AS name, {head}'<urlset xmlns=''http://www.sitemaps.org/schemas/sitemap/0.9''>' || chr(10) || "
+        "string_agg('  <url>' || chr(10) || '    <loc>' || loc || '</loc>' || chr(10) || '    <lastmod>' || lastmod || '</lastmod>' || chr(10) || '    <changefreq>daily</changefreq>' || chr(10) || "
+        "'    <priority>0.6</priority>' || chr(10) || '  </url>', chr(10) ORDER BY name) || chr(10) || '</urlset>' || chr(10) AS value "
+        f"FROM (SELECT {entry}, (row_number() OVER (ORDER BY name) - 1) // 50000 AS part FROM p) GROUP BY part UNION ALL "
+        f"SELECT 'sitemap.xml', {head}'<sitemapindex xmlns=''http://www.sitemaps.org/schemas/sitemap/0.9''>' || chr(10) || "
+        f"string_agg('  <sitemap>' || chr(10) || '    <loc>' || {q(base)} || 'sitemap-' || CAST(k AS VARCHAR) || '.xml</loc>' || chr(10) || '  </sitemap>', chr(10) ORDER BY k) || chr(10) || '</sitemapindex>' || chr(10) "
+        "FROM (SELECT unnest(range(0, (count(*) + 49999) // 50000)) AS k FROM p)")
+    short, long_ = display_short("published_ts"), "strftime(published_ts, '%B %d, %Y')"
+    o["card_aliases"] = W() + (
+        "SELECT CAST(id AS BIGINT) AS id, coalesce(nullif(CASE WHEN id % 7 <> 0 THEN title END, ''), 'Untitled brief') AS title, "
+        "coalesce(nullif(CASE WHEN lang = 'en' THEN summary END, ''), nullif(substr(content, 1, 40), ''), '') AS summary, "
+        f"coalesce(CASE WHEN lang = 'fr' THEN {long_} END, CASE WHEN coalesce(lang, '') <> 'es' THEN nullif(published, '') END, '') AS date_long, "
+        f"coalesce(CASE WHEN lang = 'en' THEN {short} WHEN lang = 'fr' THEN {long_} END, CASE WHEN coalesce(lang, '') <> 'es' THEN nullif(published, '') END, '') AS date_short, "
+        "coalesce(CASE WHEN id % 2 = 0 THEN nullif(url, '') END, CASE WHEN id % 3 = 0 THEN '/p/' || CAST(id AS VARCHAR) END, '#') AS link FROM articles")
     o["paragraph_markup"] = W(f"b AS (SELECT id, content, {sentences('content')} AS s FROM articles)") + (
         f"SELECT CAST(id AS BIGINT) AS id, {paragraphs(summary('s', 'content'))} AS content_html FROM b")
     o["run_metrics"] = W(

@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from feedlake import config as C
+from feedlake.session import checkpoint_dir
 from feedlake.config import SITE, Site
 from feedlake.functions import dates as D
 from feedlake.functions import markup as M
@@ -145,7 +146,7 @@ def export_previews(previews: DataFrame, path: str) -> None:
     time. One row per page instead of one file per page: a file per brief does not survive
     archive scale (listing and commit cost grow with the file count)."""
     (previews.withColumn("modified_at", F.current_timestamp())
-     .repartition("date").write.mode("overwrite").partitionBy("date").parquet(path))
+     .hint("rebalance", F.col("date")).write.mode("overwrite").partitionBy("date").parquet(path))
 
 
 def sitemap_entries(listing: DataFrame, site: Site = SITE) -> DataFrame:
@@ -161,39 +162,45 @@ def sitemap_entries(listing: DataFrame, site: Site = SITE) -> DataFrame:
 SITEMAP_MAX_URLS = 50_000  # sitemap protocol limit per file
 
 
-def sitemap_document(entries: DataFrame, max_urls: int = SITEMAP_MAX_URLS) -> DataFrame:
-    """Sitemap XML documents (part, value), entries sorted by file name.
+def sitemap_document(entries: DataFrame, max_urls: int = SITEMAP_MAX_URLS, site: Site = SITE) -> DataFrame:
+    """Sitemap documents (name, value): sitemap-0.xml, sitemap-1.xml, ... with `max_urls` entries each in the order
+    of their names, and sitemap.xml, the index over them.
 
-    Up to `max_urls` entries this is the single document. Larger listings are range-partitioned
-    by name into parts of bounded size (a fifth of headroom for uneven ranges), and each part
-    becomes one document, as the sitemap protocol requires; no single group ever holds the
-    whole listing."""
-    n = entries.count()
-    parts = max(1, -(-n // int(max_urls * 0.8))) if n > max_urls else 1
-    e = entries.select("name", F.concat(
+    The entries are range-sorted by name; a row count for each range gives every entry its global position, and
+    position / max_urls its part, so that no part is larger than the protocol allows and no group holds more."""
+    spark = entries.sparkSession
+    checkpoint_dir(spark)
+    line = F.concat(
         F.lit("  <url>\n    <loc>"), F.col("loc"), F.lit("</loc>\n    <lastmod>"), F.col("lastmod"),
         F.lit("</lastmod>\n    <changefreq>"), F.col("changefreq"), F.lit("</changefreq>\n    <priority>"),
-        F.col("priority"), F.lit("</priority>\n  </url>")).alias("x"))
-    if parts > 1:
-        e = e.repartitionByRange(parts, "name").withColumn("part", F.spark_partition_id())
-    else:
-        e = e.withColumn("part", F.lit(0))
-    body = e.groupBy("part").agg(
-        F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("name", "x"))), lambda s: s["x"]), "\n").alias("b"))
-    return body.select("part", F.concat(
-        F.lit("<?xml version='1.0' encoding='UTF-8'?>\n<urlset xmlns='http://www.sitemaps.org/schemas/sitemap/0.9'>\n"),
-        F.col("b"), F.lit("\n</urlset>\n")).alias("value"))
-
-
-# ------------------------------------------------------------------ B8 metrics
-
-def run_metrics(briefs: DataFrame) -> DataFrame:
-    """One metrics row of a brief batch: items, unseen candidates, summaries written,
-    fallback-summary uses, cached-summary reuses, total insight chars."""
-    return briefs.agg(
-        F.count(F.lit(1)).cast("long").alias("items"),
-        F.sum(F.col("is_unseen").cast("long")).cast("long").alias("candidates"),
-        F.sum(F.col("content").isNotNull().cast("long")).cast("long").alias("summaries"),
-        F.sum((F.col("cached_summary").isNull() & F.col("content").isNotNull()).cast("long")).cast("long").alias("fallback_used"),
-        F.sum(F.col("cached_summary").isNotNull().cast("long")).cast("long").alias("cache_reused"),
-        F.sum(F.length(F.coalesce("insight", F.lit(""))).cast("long")).cast("long").alias("insight_chars"))
+        F.col("priority"), F.lit("</priority>\n  </url>"))
+    sorted_ = entries.select("name", line.alias("x")).orderBy("name").withColumn("at", F.monotonically_increasing_id()).checkpoint()
+    counts = sorted((r[0], r[1]) for r in sorted_.groupBy(F.shiftright("at", 33).alias("range")).count().collect())
+    before, total = [], 0
+    for k, n in counts:
+        before.append((k, total))
+        total += n
+    first = spark.createDataFrame(before, "range long, first long")
+    position = F.col("first") + F.col("at").bitwiseAND((1 << 33) - 1)
+    placed = sorted_.withColumn("range", F.shiftright("at", 33)).join(F.broadcast(first), "range").select((position / max_urls).cast("long").alias("part"), "name", "x")
+    parts = placed.groupBy("part").agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("name", "x"))), lambda s: s["x"]), "\n").alias("b"))
+    documents = parts.select(F.format_string("sitemap-%d.xml", "part").alias("name"), F.concat(F.lit(C.SITEMAP_HEAD), F.col("b"), F.lit(C.SITEMAP_END)).alias("value"))
+    n_parts = -(-total // max_urls)
+    listed = "\n".join(f"  <sitemap>\n    <loc>{site.url.rstrip('/')}/sitemap-{k}.xml</loc>\n  </sitemap>" for k in range(n_parts))
+    index = spark.createDataFrame([("sitemap.xml", C.SITEMAP_INDEX_HEAD + listed + C.SITEMAP_INDEX_END)], "name string, value string")
+    return documents.unionByName(index)
+
+
+# ------------------------------------------------------------------ F15 field aliases
+
+def card_aliases(items: DataFrame) -> DataFrame:
+    """Cards as the pages read them, from items whose fields go by several names (any may be missing or empty):
+    summary or description; the long date date_display or date, the short one date_short before both; link or
+    url, else '#'."""
+    def chain(*names, default=""):
+        return F.coalesce(*(T.truthy(n) for n in names if n in items.columns), F.lit(default))
+
+    return items.select(
+        "id", chain("title", default=C.UNTITLED_BRIEF).alias("title"), chain("summary", "description").alias("summary"),
+        chain("date_display", "date").alias("date_long"), chain("date_short", "date_display", "date").alias("date_short"),
+        chain("link", "url", default="#").alias("link"))

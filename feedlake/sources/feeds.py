@@ -21,9 +21,12 @@ RSS_ITEM = Ty.StructType([
     Ty.StructField("title", Ty.StringType()),
     Ty.StructField("link", Ty.StringType()),
     Ty.StructField("description", Ty.StringType()),
+    Ty.StructField("content:encoded", Ty.StringType()),
     Ty.StructField("pubDate", Ty.StringType()),
+    Ty.StructField("dc:date", Ty.StringType()),
 ])
 RSS_SCHEMA = Ty.StructType([
+    Ty.StructField("item", Ty.ArrayType(RSS_ITEM)),  # RSS 1.0: items stand beside the channel
     Ty.StructField("channel", Ty.StructType([
         Ty.StructField("title", Ty.StringType()),
         Ty.StructField("item", Ty.ArrayType(RSS_ITEM)),
@@ -68,18 +71,19 @@ def is_json_feed(url) -> F.Column:
 
 
 def rss_items(payloads: DataFrame, limit: int = C.ENTRIES_PER_FEED) -> DataFrame:
-    """RSS payloads -> items: first `limit` entries in document order; title/link trimmed,
-    summary cut to 1000, source = channel title else the feed url. Bad payload -> no rows."""
+    """RSS payloads (0.9x, 2.0 and RDF) -> items: first `limit` entries in document order; title/link
+    trimmed, summary (description, else content:encoded) cut to 1000, published pubDate else dc:date,
+    source = channel title else the feed url. Bad payload -> no rows."""
     p = payloads.select(F.col("url").alias("feed_url"), F.from_xml("payload", RSS_SCHEMA).alias("doc"))
     e = p.select("feed_url", F.col("doc.channel.title").alias("_ch"),
-                 F.posexplode(F.slice(F.coalesce(F.col("doc.channel.item"), F.array().cast(Ty.ArrayType(RSS_ITEM))), 1, limit))
+                 F.posexplode(F.slice(F.coalesce(F.col("doc.channel.item"), F.col("doc.item"), F.array().cast(Ty.ArrayType(RSS_ITEM))), 1, limit))
                  .alias("entry_pos", "e"))
     return e.select(
         "feed_url", F.col("entry_pos").cast("int").alias("entry_pos"),
         T.full_trim(F.coalesce("e.title", F.lit(""))).alias("title"),
         T.full_trim(F.coalesce("e.link", F.lit(""))).alias("link"),
-        T.cut(F.coalesce("e.description", F.lit("")), C.RSS_SUMMARY_CHARS).alias("summary"),
-        F.coalesce("e.pubDate", F.lit("")).alias("published"),
+        T.cut(F.coalesce("e.description", "e.`content:encoded`", F.lit("")), C.RSS_SUMMARY_CHARS).alias("summary"),
+        F.coalesce("e.pubDate", "e.`dc:date`", F.lit("")).alias("published"),
         F.coalesce(F.col("_ch"), F.col("feed_url")).alias("source"),
     )
 

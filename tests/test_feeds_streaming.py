@@ -74,14 +74,26 @@ def test_artifact_listing_and_sitemap(spark, tmp_path):
     got = sorted((r.name, r.loc, r.changefreq, r.priority) for r in entries.collect())
     assert got == [("a.html", "https://example.com/previews/a.html", "daily", "0.6"),
                    ("b.html", "https://example.com/previews/b.html", "daily", "0.6")]
-    doc = X.sitemap_document(entries).first()["value"]
-    assert doc.index("a.html") < doc.index("b.html") and doc.endswith("</urlset>\n")
-    # large listings are split into bounded, name-ordered parts
-    many = spark.range(25).select(F.format_string("p%03d.html", "id").alias("name"), F.lit("L").alias("loc"),
+    docs = {d["name"]: d["value"] for d in X.sitemap_document(entries).collect()}
+    assert set(docs) == {"sitemap.xml", "sitemap-0.xml"} and "<loc>https://example.com/sitemap-0.xml</loc>" in docs["sitemap.xml"]
+    assert docs["sitemap-0.xml"].index("a.html") < docs["sitemap-0.xml"].index("b.html") and docs["sitemap-0.xml"].endswith("</urlset>\n")
+    # every part but the last is full, and parts follow the names
+    many = spark.range(25).select(F.format_string("p%03d.html", "id").alias("name"), F.format_string("p%03d", "id").alias("loc"),
                                   F.lit("T").alias("lastmod"), F.lit("daily").alias("changefreq"), F.lit("0.6").alias("priority"))
-    docs = X.sitemap_document(many, max_urls=10).collect()
-    assert len(docs) >= 3 and sum(d.value.count("<url>") for d in docs) == 25
-    assert all(d.value.count("<url>") <= 10 for d in docs)
+    docs = {d["name"]: d["value"] for d in X.sitemap_document(many.repartition(4), max_urls=10).collect()}
+    assert [docs[f"sitemap-{k}.xml"].count("<url>") for k in range(3)] == [10, 10, 5] and docs["sitemap.xml"].count("<sitemap>") == 3
+    assert "p010" in docs["sitemap-1.xml"] and "p009" not in docs["sitemap-1.xml"]
+    assert [d["name"] for d in X.sitemap_document(many.where("false")).collect()] == ["sitemap.xml"]
+
+
+def test_rss_other_shapes(spark):
+    dc = ('<rss xmlns:dc="http://purl.org/dc/elements/1.1/" xmlns:content="http://purl.org/rss/1.0/modules/content/"><channel><title>C</title>'
+          '<item><title>t</title><dc:date>2024-01-02T00:00:00Z</dc:date><content:encoded>body</content:encoded></item></channel></rss>')
+    rdf = ('<rdf:RDF xmlns:rdf="http://www.w3.org/1999/02/22-rdf-syntax-ns#" xmlns:dc="http://purl.org/dc/elements/1.1/"><channel><title>R</title></channel>'
+           '<item><title>a</title><link>l</link><dc:date>2024-01-03</dc:date></item><item><title>b</title></item></rdf:RDF>')
+    df = spark.createDataFrame([("u", dc), ("v", rdf)], "url string, payload string")
+    got = sorted((r.source, r.title, r.link, r.summary, r.published) for r in FD.feed_items(df).collect())
+    assert got == [("C", "t", "", "body", "2024-01-02T00:00:00Z"), ("R", "a", "l", "", "2024-01-03"), ("R", "b", "", "", "")]
 
 
 def test_streaming_matches_batch(spark):

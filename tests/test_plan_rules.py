@@ -9,7 +9,7 @@ import __spark_entry__ as E
 
 SF = "/root/testdata/sf0.001"
 RUNS_ON_CALL = {"stream_ingest", "stream_seen", "stream_mentions", "stream_feed_ingest",
-                "stream_keyword_mentions", "sitemap_entries"}
+                "stream_keyword_mentions", "sitemap_documents"}
 
 
 def plan(df) -> str:
