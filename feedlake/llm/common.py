@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Iterable, Iterator
 
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from feedlake.session import scratch_path
 
@@ -19,6 +19,17 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return small_batches(spark).read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def packed(docs: DataFrame, columns: list[str], *more) -> DataFrame:
+    """`columns` of docs in one struct, row__, beside the columns `more`: an operator's own names cannot clash
+    with the names inside."""
+    return docs.select(F.struct(*(F.col(f"`{c}`") for c in columns)).alias("row__"), *more)
+
+
+def unpacked(df: DataFrame, columns: list[str], *more) -> DataFrame:
+    """The packed columns and the columns `more`; of two of one name, the one of `more` stays."""
+    return df.select(*(F.col(f"row__.`{c}`") for c in columns if c not in more), *more)
+
+
 def stored(df: DataFrame, name: str) -> DataFrame:
     """Write to the shared folder (spark.checkpoint.dir) and read again: cuts the lineage, and any
     executor can be lost afterwards."""

@@ -6,8 +6,8 @@ item's windows are its runs of `window` consecutive words; an item of fewer word
 
 Defined cases: null or empty text has no words and is clean; an item without words has no window;
 repeated rows are judged alike, each on its own; items that share a window are all reported; null
-item ids are left out of item_ids but their windows still hit; extra columns pass through
-(`contamination` adds its own columns last, and raises where the input already has one of them).
+item ids are left out of item_ids but their windows still hit; extra columns pass through,
+whatever their names (`contamination` adds its own columns last, in place of input columns of their names).
 """
 
 from __future__ import annotations
@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F, types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
-from feedlake.llm.common import small_batches, table, texts
+from feedlake.llm.common import packed, small_batches, table, texts, unpacked
 
 #: A byte's word form: a-z, 0-9 and bytes from 0x80 stay, A-Z lowered, all else a space.
 FORM = bytes(b + 32 if 65 <= b <= 90 else b if 48 <= b <= 57 or 97 <= b <= 122 or b >= 128 else 32 for b in range(256))
@@ -148,21 +148,16 @@ def contamination(docs: DataFrame, benchmark: DataFrame, window: int = 10, text:
     One scan, no shuffle. Of the benchmark, at most about `most_chars` characters are broadcast at
     once; a larger one goes through the same scan in several chained passes.
     """
-    if clash := set(ADDED) & set(docs.columns):
-        raise ValueError(f"columns {sorted(clash)} are added by contamination(); rename them first")
     spark = small_batches(docs.sparkSession)
     keep = docs.columns if keep is None else keep
+    need = packed(docs, keep, F.col(text).alias("text__"))
     added = [T.StructField("n_words", T.LongType()), T.StructField("n_hit", T.LongType()), T.StructField("item_ids", T.ArrayType(T.StringType())),
              T.StructField("hit_spans", T.ArrayType(T.StructType([T.StructField("first", T.LongType()), T.StructField("end", T.LongType())])))]
     blocks = [spark.sparkContext.broadcast(Index(b, window)) for b in benchmark_blocks(benchmark, most_chars)]
-    need = docs.select(*dict.fromkeys([*keep, text]))
-    for k, index in enumerate(blocks):
-        names = keep if k == len(blocks) - 1 else need.columns
-        out = T.StructType([*(docs.schema[c] for c in names if c in docs.columns), *added])
-        names = [f.name for f in out]
-        need = need.mapInArrow(_scanner(index, to_arrow_schema(out), text), out)
-        need = need.select(*names)
-    return need
+    for index in blocks:
+        out = T.StructType([*(f for f in need.schema if f.name not in ADDED), *added])
+        need = need.mapInArrow(_scanner(index, to_arrow_schema(out), "text__"), out)
+    return unpacked(need, keep, *ADDED)
 
 
 def without_spans(text: bytes, spans: list) -> str:
@@ -178,21 +173,23 @@ def without_spans(text: bytes, spans: list) -> str:
 def decontaminate(docs: DataFrame, benchmark: DataFrame, window: int = 10, text: str = "text", mode: str = "document") -> DataFrame:
     """docs without contaminated documents (mode "document"), or with the hit runs cut out of their
     texts (mode "span"; all documents stay). The columns are those of docs."""
-    seen = contamination(docs, benchmark, window, text)
+    whole = packed(docs, docs.columns, F.col(text).alias("text_"))
+    seen = contamination(whole, benchmark, window, "text_")
     if mode == "document":
-        return seen.where("n_hit = 0").select(*docs.columns)
+        return unpacked(seen.where("n_hit = 0"), docs.columns)
     if mode != "span":
         raise ValueError(f"mode is document or span, not {mode}")
-    out = to_arrow_schema(docs.schema)
+    out = T.StructType([*whole.schema])
+    schema = to_arrow_schema(out)
 
     def cut(batches):
         for b in batches:
-            new = [without_spans(t, s).encode() if s else t for t, s in zip(texts(b.column(text)), b.column("hit_spans").to_pylist())]
-            null = b.column(text).is_null().to_pylist()
-            new = [None if n else t.decode() for t, n in zip([x if isinstance(x, bytes) else x.encode() for x in new], null)]
-            yield pa.RecordBatch.from_arrays([pa.array(new, f.type) if f.name == text else b.column(f.name) for f in out], schema=out)
+            old = b.column("text_")
+            new = [None if null else without_spans(t, s) for t, null, s in zip(texts(old), old.is_null().to_pylist(), b.column("hit_spans").to_pylist())]
+            yield pa.RecordBatch.from_arrays([pa.array(new, f.type) if f.name == "text_" else b.column(f.name) for f in schema], schema=schema)
 
-    return seen.drop("n_words", "n_hit", "item_ids").mapInArrow(cut, docs.schema)
+    done = seen.mapInArrow(cut, out)
+    return done.select(*(F.col("text_").alias(text) if c == text else F.col(f"row__.`{c}`") for c in docs.columns))
 
 
 def op6_decontaminate(spark, sf_dir: str) -> DataFrame:

@@ -18,7 +18,7 @@ wrapper; the others' wrappers are broadcast up to MOST_WRAPPERS, and joined by a
 Defined cases: null or empty html is an empty text; broken and cut markup is read as far as it goes
 (unclosed elements end with their parent, an unfinished tag at the end is dropped); null urls are one
 host; repeated rows are read alike; an empty table gives none; extra columns pass through (`extracted`
-raises where the input has one of its own).
+puts `text` in place of an input column of this name).
 """
 
 from __future__ import annotations
@@ -32,7 +32,7 @@ import xxhash
 from pyspark.sql import DataFrame, functions as F, types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
-from feedlake.llm.common import pieces, small_batches, stored, table
+from feedlake.llm.common import packed, pieces, small_batches, stored, table, unpacked
 from feedlake.llm.urls import host_and_path
 
 MIN_PAGES = 5
@@ -326,12 +326,10 @@ def page_text(page: Page, reference: str | None, template: set, slots: _Slots) -
 
 def extracted(pages: DataFrame, url: str = "url", source: str = "html", keep: list[str] | None = None) -> DataFrame:
     """pages (or its columns `keep`) with text, the main text of the page."""
-    if clash := {"text", "host", "reference", "template"} & set(pages.columns):
-        raise ValueError(f"columns {sorted(clash)} are used by extracted(); rename them first")
     small_batches(pages.sparkSession)
     keep = pages.columns if keep is None else keep
-    own = pages.select(*dict.fromkeys([*keep, source]), host_and_path(F.col(url))[0].alias("host"))
-    found = stored(wrappers(own.select("host", F.col(source).alias("html"))), "html-wrappers")
+    own = packed(pages, keep, F.col(source).alias("html"), host_and_path(F.col(url))[0].alias("host"))
+    found = stored(wrappers(own.select("host", "html")), "html-wrappers")
     read = own.withColumnRenamed("host", "host_")
     found = found.select(F.col("host").alias("host_"), "reference", "template")
     n = found.count()
@@ -339,17 +337,17 @@ def extracted(pages: DataFrame, url: str = "url", source: str = "html", keep: li
         read = read.join(F.broadcast(found) if n <= MOST_WRAPPERS else found, "host_", "left")
     else:
         read = read.withColumn("reference", F.lit(None).cast("string")).withColumn("template", F.lit(None).cast("array<struct<slot:int,hash:long>>"))
-    out = T.StructType([*(pages.schema[c] for c in keep), T.StructField("text", T.StringType())])
+    out = T.StructType([read.schema["row__"], T.StructField("text", T.StringType())])
     schema = to_arrow_schema(out)
 
     def run(batches):
         slots = _Slots()
         for batch in batches:
-            for b in pieces([batch], source):
-                texts = [page_text(Page(s or ""), r, {(x["slot"], x["hash"]) for x in t or ()}, slots) for s, r, t in zip(*(b.column(c).to_pylist() for c in (source, "reference", "template")))]
-                yield pa.RecordBatch.from_arrays([*(b.column(c) for c in keep), pa.array(texts, pa.string())], schema=schema)
+            for b in pieces([batch], "html"):
+                texts = [page_text(Page(s or ""), r, {(x["slot"], x["hash"]) for x in t or ()}, slots) for s, r, t in zip(*(b.column(c).to_pylist() for c in ("html", "reference", "template")))]
+                yield pa.RecordBatch.from_arrays([b.column("row__"), pa.array(texts, pa.string())], schema=schema)
 
-    return read.mapInArrow(run, out)
+    return unpacked(read.mapInArrow(run, out), keep, "text")
 
 
 def op5_html_text(spark, sf_dir: str) -> DataFrame:

@@ -15,7 +15,8 @@ document ids: a rerun takes the same.
 
 Defined cases: null source is a source of its own, last in order; a source without words, or a
 document without words (null, empty), has nothing to take: target 0 or size 0, taken 0; repeated
-rows are documents of their own; a table without rows gives none; extra columns pass through `mix`.
+rows are documents of their own; a table without rows gives none; extra columns pass through
+(`mix` puts its own in place of input columns of their names).
 """
 
 from __future__ import annotations
@@ -25,7 +26,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from feedlake.llm.common import WORD, small_batches, stored, table
+from feedlake.llm.common import WORD, packed, small_batches, stored, table, unpacked
 
 LEAF = 256
 FANOUT = 256
@@ -125,7 +126,8 @@ def _nodes(seed: int):
         edge = [0, *(np.flatnonzero((rank[1:] != rank[:-1]) | (node[1:] != node[:-1])) + 1).tolist(), len(rank)]
         p, size, key = (rows.column(c).to_pylist() for c in ("p", "size", "key"))
         out = [x for a, b in zip(edge, edge[1:]) for x in paired(p[a:b], size[a:b], key[a:b], seed)]
-        return rows.set_column(rows.schema.get_field_index("p"), "p", pa.array(out, pa.float64()))
+        at = rows.schema.get_field_index("p")
+        return rows.set_column(at, rows.schema.field(at), pa.array(out, pa.float64()))
 
     def run(batches):
         rest = None
@@ -171,12 +173,9 @@ def mix(docs: DataFrame, weights: tuple = (5, 2, 1), share: float = 1.5, most_co
         text: str = "text", keep: list[str] | None = None) -> DataFrame:
     """docs (or its columns `keep`) with size, source_size, target (the source's words in the mix) and
     copies, each document's whole number of copies."""
-    added = {"size", "source_size", "target", "copies"}
-    if clash := (added | {"rank", "n_docs", "key", "p", "node"}) & set(docs.columns):
-        raise ValueError(f"columns {sorted(clash)} are used by mix(); rename them first")
     small_batches(docs.sparkSession)
     keep = docs.columns if keep is None else keep
-    sized = docs.select(*dict.fromkeys([*keep, "doc_id", "source"]), n_words(text).alias("size"))
+    sized = packed(docs, keep, "doc_id", "source", n_words(F.col(text)).alias("size"))
     if text not in keep:
         sized = stored(sized, "mix-sizes")
     targets = stored(source_targets(sized, weights, share, most_copies), "mix-targets")
@@ -187,13 +186,14 @@ def mix(docs: DataFrame, weights: tuple = (5, 2, 1), share: float = 1.5, most_co
     rows = (sized.join(F.broadcast(ranked) if n <= MOST_SOURCES else ranked, F.col("source").eqNullSafe(F.col("source_"))).drop("source_")
             .withColumn("key", F.xxhash64("doc_id")).withColumn("p", F.greatest(F.lit(0.0), expected - sure)).withColumn("sure", sure))
     out = rounded(rows, most_docs or 0, seed)
-    return out.withColumn("copies", (F.col("sure") + F.col("p")).cast("long")).select(*keep, "size", "source_size", "target", "copies")
+    return out.withColumn("copies", (F.col("sure") + F.col("p")).cast("long")).transform(unpacked, keep, "size", "source_size", "target", "copies")
 
 
 def mixed(docs: DataFrame, **how) -> DataFrame:
     """The mix itself: each document as often as it has copies; the columns of docs."""
-    taken = mix(docs, **how).where("copies > 0")
-    return taken.withColumn("copy_", F.explode(F.sequence(F.lit(1).cast("long"), F.col("copies")))).select(*docs.columns)
+    whole = packed(docs, docs.columns, "doc_id", "source", "text")
+    taken = mix(whole, keep=["row__", "text"], **how).where("copies > 0")
+    return unpacked(taken.withColumn("copy_", F.explode(F.sequence(F.lit(1).cast("long"), F.col("copies")))), docs.columns)
 
 
 def op2_mix(spark, sf_dir: str) -> DataFrame:

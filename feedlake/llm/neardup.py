@@ -23,7 +23,8 @@ A document's set holds its distinct shingles of `size` words. Two sets are linke
 Defined cases: a text of fewer words than `size` has one shingle, the whole sequence; no words, or a
 null text, gives the empty set, linked with nothing; repeated rows, and rows of one doc_id, are one
 document, joined with what any of its texts is linked with; a null doc_id gets the component of its
-copies, if any; extra columns pass through `deduplicated`.
+copies, if any; extra columns pass through `deduplicated`,
+whatever their names.
 """
 
 from __future__ import annotations
@@ -34,7 +35,7 @@ import xxhash
 from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.window import Window
 
-from feedlake.llm.common import LOWER, kept, small_batches, stored, table, texts
+from feedlake.llm.common import LOWER, kept, packed, small_batches, stored, table, texts, unpacked
 from feedlake.llm.components import components
 
 #: Longest list of retained values whose pairs are all looked at, and the count from which a shingle is common.
@@ -376,8 +377,9 @@ def clusters(docs: DataFrame, size: int = 5, percent: int = 80, text: str = "tex
 def deduplicated(docs: DataFrame, size: int = 5, percent: int = 80, text: str = "text") -> DataFrame:
     """One document of each component, that of the smallest doc_id, and one row of it; the columns of docs."""
     gone = clusters(docs, size, percent, text).where("doc_id <> component_id").select("doc_id").distinct()
-    kept = docs.join(gone, "doc_id", "left_anti")
-    return kept.withColumn("row_", F.row_number().over(Window.partitionBy("doc_id").orderBy("doc_id"))).where("row_ = 1 or doc_id is null").select(*docs.columns)
+    kept_rows = packed(docs, docs.columns, "doc_id").join(gone, "doc_id", "left_anti")
+    first = kept_rows.withColumn("nth", F.row_number().over(Window.partitionBy("doc_id").orderBy("doc_id"))).where("nth = 1 or doc_id is null")
+    return unpacked(first, docs.columns)
 
 
 def op10_near_duplicates(spark, sf_dir: str) -> DataFrame:

@@ -10,8 +10,8 @@ share are computed once for a document, when first asked for.
 
 Defined cases: null or empty text has no words and is rejected as too short; very long texts are read
 whole; repeated rows and ties are judged alike, each on its own; an empty table or sample leaves the
-rules in the order given; extra columns pass through (`cascade` raises where the input has `kept`,
-`rejected_by` or `rules_asked`).
+rules in the order given; extra columns pass through (`cascade` puts its own in place of
+input columns of their names).
 """
 
 from __future__ import annotations
@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F, types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
-from feedlake.llm.common import small_batches, table, texts
+from feedlake.llm.common import packed, small_batches, table, texts, unpacked
 
 SYMBOLS = b"#*$%&|<>"
 #: Most documents of the sample on which rules are measured.
@@ -171,13 +171,12 @@ def cascade(docs: DataFrame, rules: tuple = RULES, base: Rule = BASE, text: str
     """docs (or its columns `keep`) with the measures named in `counts`, base_failed, kept, rejected_by
     (the first rule that rejected, null if none) and rules_asked. One scan, no shuffle."""
     added = [*counts, "base_failed", "kept", "rejected_by", "rules_asked"]
-    if clash := set(added) & set(docs.columns):
-        raise ValueError(f"columns {sorted(clash)} are added by cascade(); rename them first")
     small_batches(docs.sparkSession)
     order = [m.rule for m in measure(docs, rules, base, text)] if order is None else order
     names, keep = [r.name for r in order], docs.columns if keep is None else keep
     kinds = {"base_failed": T.BooleanType(), "kept": T.BooleanType(), "rejected_by": T.StringType(), "rules_asked": T.IntegerType()}
-    out = T.StructType([*(docs.schema[c] for c in keep), *(T.StructField(c, kinds.get(c, T.LongType())) for c in added)])
+    need = packed(docs, keep, F.col(text).alias("text__"))
+    out = T.StructType([need.schema["row__"], *(T.StructField(c, kinds.get(c, T.LongType())) for c in added)])
     schema, all_rules = to_arrow_schema(out), {r.name: k for k, r in enumerate(rules)}
     ids = [all_rules[n] for n in names]
 
@@ -185,7 +184,7 @@ def cascade(docs: DataFrame, rules: tuple = RULES, base: Rule = BASE, text: str
         for whole in batches:
             for b in (whole.slice(at, 1000) for at in range(0, whole.num_rows, 1000)):
                 new = {c: [] for c in added}
-                for t in texts(b.column(text)):
+                for t in texts(b.column("text__")):
                     d, by, asked = Doc(t), None, 0
                     failed = base.rejects(d)
                     if failed:
@@ -200,7 +199,7 @@ def cascade(docs: DataFrame, rules: tuple = RULES, base: Rule = BASE, text: str
                         new[c].append(x)
                 yield pa.RecordBatch.from_arrays([pa.array(new[f.name], f.type) if f.name in new else b.column(f.name) for f in schema], schema=schema)
 
-    return docs.select(*dict.fromkeys([*keep, text])).mapInArrow(run, out)
+    return unpacked(need.mapInArrow(run, out), keep, *added)
 
 
 def op1_quality(spark, sf_dir: str) -> DataFrame:

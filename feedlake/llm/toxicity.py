@@ -13,7 +13,7 @@ most MOST_FEATURES features.
 Defined cases: null or empty text has no feature and gets the severity of the thresholds alone;
 labels with null doc_id or grade are not used; of several labels of one document the highest grade
 counts; without labelled rows of two grades every severity is 0; repeated documents are scored
-alike; extra columns pass through (`score` raises where the input has `severity` or `grade`).
+alike; extra columns pass through (`score` puts `severity` and `grade` in place of input columns of these names).
 """
 
 from __future__ import annotations
@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F, types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
-from feedlake.llm.common import small_batches, stored, table
+from feedlake.llm.common import packed, small_batches, stored, table, unpacked
 
 TOKEN = re.compile(r"[^\W\d_]+")
 PREFIXES = (4, 5, 6, 7, 8)
@@ -189,23 +189,23 @@ def train(docs: DataFrame, labels: DataFrame, most_rows: int = MOST_ROWS) -> Ord
 
 def score(docs: DataFrame, model: Ordinal, text: str = "text", keep: list[str] | None = None) -> DataFrame:
     """docs (or its columns `keep`) with severity (expected grade, double) and grade (likeliest, int)."""
-    if clash := {"severity", "grade"} & set(docs.columns):
-        raise ValueError(f"columns {sorted(clash)} are added by score(); rename them first")
     keep = docs.columns if keep is None else keep
-    out = T.StructType([*(docs.schema[c] for c in keep), T.StructField("severity", T.DoubleType()), T.StructField("grade", T.IntegerType())])
+    need = packed(docs, keep, F.col(text).alias("text__"))
+    out = T.StructType([need.schema["row__"], T.StructField("severity", T.DoubleType()), T.StructField("grade", T.IntegerType())])
     schema, sent = to_arrow_schema(out), small_batches(docs.sparkSession).sparkContext.broadcast(model)
 
     def run(batches):
         for b in batches:
-            severity, grade = sent.value.severity([t or "" for t in b.column(text).to_pylist()])
-            yield pa.RecordBatch.from_arrays([*(b.column(c) for c in keep), pa.array(severity, pa.float64()), pa.array(grade, pa.int32())], schema=schema)
+            severity, grade = sent.value.severity([t or "" for t in b.column("text__").to_pylist()])
+            yield pa.RecordBatch.from_arrays([b.column("row__"), pa.array(severity, pa.float64()), pa.array(grade, pa.int32())], schema=schema)
 
-    return docs.select(*dict.fromkeys([*keep, text])).mapInArrow(run, out)
+    return unpacked(need.mapInArrow(run, out), keep, "severity", "grade")
 
 
 def without_toxic(docs: DataFrame, model: Ordinal, reject: float = REJECT) -> DataFrame:
     """docs below the severity `reject`; the same columns."""
-    return score(docs, model).where(F.col("severity") < reject).select(*docs.columns)
+    whole = packed(docs, docs.columns, "text")
+    return unpacked(score(whole, model).where(F.col("severity") < reject), docs.columns)
 
 
 def op8_toxicity(spark, sf_dir: str) -> DataFrame:

@@ -11,8 +11,8 @@ be larger than MOST_BITS is dealt by hash into shards, one scan for each, chaine
 
 Defined cases: a null url, or one without ://, has an empty host and path, which no rule with a host
 fits and no list holds; repeated rows are judged alike; an empty list allows all; an empty table gives
-none; keys of equal length and rank go by the rule's place; extra columns pass through (`judged` raises
-where the input has one of its own).
+none; keys of equal length and rank go by the rule's place; extra columns pass through (`judged` puts
+its own in place of input columns of their names).
 """
 
 from __future__ import annotations
@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
-from feedlake.llm.common import stored, table
+from feedlake.llm.common import packed, stored, table, unpacked
 
 #: Bits for each key of a level and hash functions: about 1 % pass by mistake.
 BITS, HASHES = 10, 7
@@ -136,18 +136,15 @@ def build(listed: DataFrame, universe: DataFrame) -> Cascade:
 def judged(pages: DataFrame, listed: DataFrame, rules: list[tuple[str, str, str]], url: str = "url", keep: list[str] | None = None) -> DataFrame:
     """pages (or its columns `keep`) with host, path, rule (host and path of the longest fitting rule, or
     null) and verdict (the rule's, or block where the host or a parent domain is listed, else allow)."""
-    added = {"host", "path", "rule", "verdict"}
-    if clash := (added | {"keys_", "listed_", "ruled_"}) & set(pages.columns):
-        raise ValueError(f"columns {sorted(clash)} are added by judged(); rename them first")
     keep = pages.columns if keep is None else keep
     host, path = host_and_path(F.col(url))
-    split = pages.select(*dict.fromkeys([*keep, url])).withColumns({"host": host, "path": path})
+    split = packed(pages, keep, host.alias("host"), path.alias("path"))
     hosts = stored(split.select("host").distinct(), "url-hosts")  # a host with a third of all pages is one row here
     universe = hosts.select(F.explode(host_keys(F.col("host"))).alias("key"))
     n = listed.count()
     shards = max(1, -(-BITS * n // MOST_BITS))
     rule, ruled = fitting_rule(F.col("host"), F.col("path"), rules)
-    out = split.select(*keep, "host", "path").withColumns({"rule": rule, "ruled_": ruled, "listed_": F.lit(False)})
+    out = split.withColumns({"rule": rule, "ruled_": ruled, "listed_": F.lit(False)})
     keys = F.transform(host_keys(F.col("host")), lambda k: F.struct(F.xxhash64(k).alias("a"), F.xxhash64(k, F.lit(1)).alias("b"), F.pmod(F.xxhash64(k, F.lit(2)), F.lit(shards)).alias("shard")))
     shard = F.pmod(F.xxhash64("key", F.lit(2)), F.lit(shards))
     for s in range(shards):
@@ -167,7 +164,7 @@ def judged(pages: DataFrame, listed: DataFrame, rules: list[tuple[str, str, str]
                 yield pa.RecordBatch.from_arrays([pa.array(found, pa.bool_()) if f.name == "listed_" else b.column(f.name) for f in schema], schema=schema)
 
         out = out.withColumn("keys_", keys).mapInArrow(run, kind)
-    return out.withColumn("verdict", F.coalesce("ruled_", F.when(F.col("listed_"), "block").otherwise("allow"))).select(*keep, "host", "path", "rule", "verdict")
+    return out.withColumn("verdict", F.coalesce("ruled_", F.when(F.col("listed_"), "block").otherwise("allow"))).transform(unpacked, keep, "host", "path", "rule", "verdict")
 
 
 #: The query's rules: verdict, host, path.

@@ -64,5 +64,8 @@ def test_empty_tables_and_clash(spark):
     frame, bench = spark.createDataFrame(docs, DOCS), spark.createDataFrame(items, "item_id long, text string")
     assert d.contamination(frame.where("false"), bench).count() == 0
     assert d.contamination(frame, bench.where("false")).where("n_hit > 0").count() == 0
-    with pytest.raises(ValueError):
-        d.contamination(frame.withColumnRenamed("extra", "n_hit"), bench)
+    clash = frame.withColumnRenamed("extra", "n_hit")
+    assert d.contamination(clash, bench).columns == ["doc_id", "text", "n_words", "n_hit", "item_ids", "hit_spans"]
+    kept = d.decontaminate(clash.withColumn("text_", clash.text), bench)
+    assert kept.columns == ["doc_id", "text", "n_hit", "text_"] and {r.n_hit for r in kept.collect()} == {"x", None}
+    assert d.decontaminate(clash, bench, mode="span").columns == clash.columns

@@ -2,6 +2,7 @@ import html as std
 from html.parser import HTMLParser
 
 import pytest
+from pyspark.sql.functions import col as std_col
 
 from feedlake.llm import html as h
 
@@ -110,6 +111,6 @@ def test_template_blocks_go_and_copies_stay(spark):
 def test_empty_table_and_clash(spark):
     none = spark.createDataFrame([], PAGES)
     assert h.extracted(none).count() == 0
-    with pytest.raises(ValueError):
-        h.extracted(none.withColumnRenamed("extra", "text"))
+    clash = spark.createDataFrame([(1, "http://a.b/", "<p>t</p>", "x")], PAGES).withColumnRenamed("extra", "text").withColumn("host", std_col("page_id"))
+    assert [tuple(r) for r in h.extracted(clash).collect()] == [(1, "http://a.b/", "<p>t</p>", 1, "t")]
     assert std.unescape("&amp;") == "&"

@@ -1,6 +1,5 @@
 from collections import defaultdict
 
-import pytest
 from hypothesis import given, settings, strategies as st
 
 from feedlake.llm import mix as m
@@ -97,5 +96,6 @@ def test_many_levels_and_many_rows_of_one_document(spark):
 def test_empty_table_and_clash(spark):
     none = spark.createDataFrame([], DOCS)
     assert m.mix(none).count() == 0
-    with pytest.raises(ValueError):
-        m.mix(none.withColumnRenamed("extra", "size"))
+    docs = spark.createDataFrame([(i, "a", "w w w", "x") for i in range(9)], DOCS).withColumnRenamed("extra", "size").withColumnsRenamed({})
+    assert m.mix(docs).columns == ["doc_id", "source", "text", "size", "source_size", "target", "copies"] and m.mix(docs).first().size == 3
+    assert {r["size"] for r in m.mixed(docs.withColumn("p", docs.doc_id).withColumn("node", docs.doc_id)).collect()} == {"x"}

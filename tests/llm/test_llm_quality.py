@@ -1,6 +1,5 @@
 from collections import Counter
 
-import pytest
 from hypothesis import given, settings, strategies as st
 
 from feedlake.llm import quality as q
@@ -60,5 +59,5 @@ def test_measured_rules_come_by_rejections_per_second(spark):
 def test_empty_table_and_clash(spark):
     none = spark.createDataFrame([], DOCS)
     assert q.cascade(none).count() == 0
-    with pytest.raises(ValueError):
-        q.cascade(none.withColumnRenamed("extra", "kept"))
+    clash = q.cascade(spark.createDataFrame([(1, "few words", "x")], DOCS).withColumnRenamed("extra", "kept"))
+    assert clash.columns == ["doc_id", "text", "base_failed", "kept", "rejected_by", "rules_asked"] and clash.first().kept is False

@@ -1,5 +1,4 @@
 import numpy as np
-import pytest
 
 from feedlake.llm import toxicity as t
 
@@ -65,5 +64,6 @@ def test_empty_tables_and_clash(spark):
     model = t.train(docs, none)
     assert [r.severity for r in t.score(docs, model).collect()] == [0.0]
     assert t.score(docs.where("false"), model).count() == 0
-    with pytest.raises(ValueError):
-        t.score(docs.withColumnRenamed("extra", "grade"), model)
+    clash = docs.withColumnRenamed("extra", "grade")
+    assert t.score(clash, model).columns == ["doc_id", "text", "severity", "grade"]
+    assert [tuple(r) for r in t.without_toxic(clash, model).collect()] == [(1, "a", "x")]

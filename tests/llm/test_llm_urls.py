@@ -48,5 +48,5 @@ def test_empty_list_table_and_clash(spark):
     none = spark.createDataFrame([], "key string")
     assert [r.verdict for r in u.judged(pages, none, []).collect()] == ["allow", "allow"]
     assert u.judged(pages.where("false"), none, []).count() == 0
-    with pytest.raises(ValueError):
-        u.judged(pages.withColumnRenamed("extra", "verdict"), none, [])
+    clash = u.judged(pages.withColumnRenamed("extra", "verdict").withColumn("keys_", pages.page_id), none, [])
+    assert clash.columns == ["page_id", "url", "keys_", "host", "path", "rule", "verdict"] and {r.verdict for r in clash.collect()} == {"allow"}
