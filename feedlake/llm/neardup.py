@@ -312,7 +312,7 @@ def _placed(rows: DataFrame, nodes: DataFrame) -> DataFrame:
 def long_lists(rows: DataFrame, links: DataFrame, docs: DataFrame, size: int, percent: int) -> DataFrame:
     """rows(v, doc, n, cold, parity) of the long lists, and the links so far -> all links that matter for
     the components."""
-    nodes, used = components(links), None
+    nodes, used, first = components(links), None, None
     for _ in range(PIVOTS):
         here = stored(_placed(rows, nodes), "neardup-placed")
         free = here
@@ -322,12 +322,12 @@ def long_lists(rows: DataFrame, links: DataFrame, docs: DataFrame, size: int, pe
         one = F.min(F.struct("cold", "doc", "n", "parity", "place")).alias("p")
         pivots = stored(free.groupBy("v").agg(one).select("v", F.col("p.doc").alias("pdoc"), F.col("p.n").alias("pn"), F.col("p.parity").alias("pparity"), F.col("p.place").alias("pplace")), "neardup-pivots")
         if pivots.isEmpty():
-            return links
+            break
         found = verified(_pairs(here.join(pivots, "v").where((F.col("place") != F.col("pplace")) & _possible(percent))), docs, size, percent)
         links = stored(links.unionByName(found), "neardup-links")
         nodes = components(links)
-        first = pivots.select("v", "pdoc") if used is None else first  # noqa: F821
-        used = pivots.select("v", "pdoc") if used is None else stored(used.unionByName(pivots.select("v", "pdoc")), "neardup-used")
+        chosen = pivots.select("v", "pdoc")
+        first, used = (chosen, chosen) if first is None else (first, stored(used.unionByName(chosen), "neardup-used"))
     here = stored(_placed(rows, nodes), "neardup-placed")
     main = _placed(first.withColumnRenamed("pdoc", "doc"), nodes).select("v", "place")
     rest = here.join(main, ["v", "place"], "left_anti").select("v", *(F.col(c).alias(f"p{c}") for c in ("doc", "n", "parity", "place")))

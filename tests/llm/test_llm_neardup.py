@@ -70,6 +70,17 @@ def test_equals_brute_force(spark, monkeypatch, size, percent, long):
     assert {k: v for k, v in got.items() if want[k] != v} == {}
 
 
+def test_links_between_members_that_are_no_pivots(spark, monkeypatch):
+    """A chain of texts, each near the next alone: in a long list, most links join two members that no pivot reaches."""
+    monkeypatch.setattr(nd, "LONG", 3)
+    r = random.Random(3)
+    words = [f"w{i}" for i in range(220)]
+    rows = [(i, " ".join(words[4 * i : 4 * i + 100])) for i in range(30)]
+    r.shuffle(rows)
+    got = {x.doc_id: (x.n_shingles, x.component_id) for x in nd.clusters(spark.createDataFrame([(i, t, "x") for i, t in rows], DOCS), 3, 85).collect()}
+    assert got == brute(rows, 3, 85) and len({c for _, c in got.values()}) == 1
+
+
 def test_bound_on_common_shingles_changes_nothing(spark, monkeypatch):
     monkeypatch.setattr(nd, "LONG", 3)
     monkeypatch.setattr(nd, "MOST_COMMON", 5)
