@@ -32,9 +32,9 @@ def unpacked(df: DataFrame, columns: list[str], *more) -> DataFrame:
 
 def stored(df: DataFrame, name: str) -> DataFrame:
     """Write to the shared folder (spark.checkpoint.dir) and read again: cuts the lineage, and any
-    executor can be lost afterwards."""
+    executor can be lost afterwards. Compressed with zstd: some of these tables hold whole texts."""
     path = scratch_path(df.sparkSession, name)
-    df.write.parquet(path)
+    df.write.option("compression", "zstd").parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
