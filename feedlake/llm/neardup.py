@@ -357,8 +357,7 @@ def clusters(docs: DataFrame, size: int = 5, percent: int = 80, text: str = "tex
     lists = stored(postings.repartition(parts, "v").sortWithinPartitions("v").mapInArrow(_lists(LONG, percent), "a long, b long, na long, nb long, v long"), "neardup-lists")
 
     na, nb = F.shiftright("na", HOT_BITS), F.shiftright("nb", HOT_BITS)
-    beyond = [n + F.ceil(-percent * n / F.lit(100.0)) for n in (na, nb)]  # n - k + 1 of a sketch of k
-    open_ = F.greatest(*(n - (b + 1) for n, b in zip((na, nb), beyond)))
+    open_ = F.greatest(*(F.ceil(percent * n / F.lit(100.0)) - 1 for n in (na, nb)))  # n - sketch_size(n): shared values that lie beyond one sketch at most
     most = F.col("shared") + F.least(F.col("na").bitwiseAND((1 << HOT_BITS) - 1), F.col("nb").bitwiseAND((1 << HOT_BITS) - 1)) + open_
     pairs = lists.where("b is not null").groupBy("a", "b", "na", "nb").agg(F.count("*").alias("shared")).where(most >= least_overlap(na, nb, percent)).select("a", "b").distinct()
     links = verified(pairs, own, size, percent)

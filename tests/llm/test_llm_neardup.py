@@ -128,3 +128,18 @@ def test_sketch_size_and_shingles():
     assert [nd.sketch_size(n, 85) for n in (0, 1, 6, 7, 100)] == [0, 1, 1, 2, 16]
     assert np.array_equal(nd.shingles(b"A b\tc d"), nd.shingles("a B c\nD".encode())) and len(nd.shingles(b"")) == 0
     assert len(nd.shingles(b"a b")) == 1 and not np.array_equal(nd.shingles(b"a b"), nd.shingles(b"b a"))
+
+
+@pytest.mark.parametrize("size,percent", [(3, 85), (5, 80)])
+def test_links_at_the_threshold_for_every_small_set(spark, size, percent):
+    rows, mark = [], 0
+    for n in range(4, 41):
+        for copy in range(4):
+            for end in ([f"x{n}"], [f"x{n}", f"y{n}"]):
+                base = [f"t{mark}q{i}" for i in range(n + size - 1)]
+                mark += 1
+                for own in (base, base + end, base[: -len(end)] + end, end + base[len(end) :]):
+                    rows.append((len(rows), " ".join(own)))
+    want = brute(rows, size, percent)
+    got = {r.doc_id: (r.n_shingles, r.component_id) for r in nd.clusters(spark.createDataFrame([(i, t, "x") for i, t in rows], DOCS), size, percent).collect()}
+    assert got == want
