@@ -1,7 +1,8 @@
 """Secret scans: candidate strings, and a random forest that removes false positives.
 
-Candidates are long runs of key characters that hold a digit or mix cases, long runs of letters, and
-values assigned to a secret's name. Each is described by its length, characters and their transitions
+Candidates are long runs of key characters that hold a digit or mix cases, long runs of letters, values
+assigned to a secret's name (with any prefix and suffix: DB_PASSWORD, secret-key, dbPassword), and passwords
+in urls. A value in quotes ends at the quote, any other at white space, a quote or one of & , ; ). Each is described by its length, characters and their transitions
 (by class, and by a bigram model of the corpus's own words), how much of it dictionary words cover, the
 path (`source`) and the words next to it. A random forest trained on labelled findings gives each
 candidate a probability; those below THRESHOLD are false positives.
@@ -41,8 +42,16 @@ AGAINST = ("example", "sample", "dummy", "test", "placeholder", "sha1", "sha256"
 PATH_TEST, PATH_CONFIG = ("test", "example", "sample", "doc", "fixture", "lock"), ("config", "env", "secret", "credential", "settings", ".ini", ".yml", ".yaml", ".json")
 
 RUN = re.compile(r"[A-Za-z0-9+/_\-]{12,}={0,2}")
-ASSIGNED = re.compile(r"(?i)\b(?:" + "|".join(map(re.escape, sorted(NAMES, key=len, reverse=True))) + r")\b[\"']?\s{0,3}[:=]{1,2}\s{0,3}[\"']?([^\s\"']{6,})")
+#: A name up to its value, a value (whole inside quotes, else up to a separator), and the password of a url.
+ASSIGNED = re.compile(r"(?<![A-Za-z0-9_])([A-Za-z0-9_][A-Za-z0-9_.\-]*+)[\"']?\s{0,3}[:=]{1,2}>?\s{0,3}")
+VALUE = re.compile(r"\"([^\s\"]{6,})\"|'([^\s']{6,})'|[\"']?([^\s\"'&,;)]{6,})")
+IN_URL = re.compile(r"://[^\s/:@\"']*+:([^\s/@\"']++)@")
+PIECE = re.compile(r"[A-Z]+(?![a-z])|[A-Z]?[a-z]+")
+#: Of NAMES, those that also count at the end of a longer word (PGPASSWORD, mytoken).
+ENDINGS = ("password", "passwd", "pwd", "secret", "token", "apikey")
 BETWEEN = re.compile(r"\S+")
+NAME = re.compile(r"[A-Za-z0-9_.\-]+")
+URL_BEFORE = re.compile(r"://[^\s/:@\"']*:$")
 CLASS = np.full(128, 4, np.int64)
 CLASS[48:58], CLASS[65:91], CLASS[97:123] = 0, 1, 2
 FEATURES = ("length", "distinct", "entropy", "digits", "uppers", "lowers", "others", "class_changes", "hex", "longest_letters", "vowels", "bigrams", "dictionary", "repeats",
@@ -50,9 +59,20 @@ FEATURES = ("length", "distinct", "entropy", "digits", "uppers", "lowers", "othe
 CONTEXT = slice(14, 21)
 
 
+def names_secret(name: str) -> bool:
+    """Whether a piece of the name (pieces are joined by other characters or camel case) names a secret."""
+    return any((p := x.lower()) in NAMES or p.endswith(ENDINGS) for x in PIECE.findall(name))
+
+
 def candidates(text: str) -> list[tuple[int, int]]:
     """(start, end) of each candidate, in order, none inside another."""
-    spans = [m.span(1) for m in ASSIGNED.finditer(text)]
+    spans = [m.span(1) for m in IN_URL.finditer(text)]
+    for m in ASSIGNED.finditer(text):
+        if names_secret(m[1]):
+            if spans and spans[-1][0] == m.start():
+                spans.pop()  # the value was the next name
+            if v := VALUE.match(text, m.end()):
+                spans.append(v.span(v.lastindex))
     for m in RUN.finditer(text):
         s = m[0]
         if any(c.isdigit() for c in s) or (s != s.lower() and s != s.upper() and s[1:] != s[1:].lower()) or len(s) >= 28:
@@ -96,6 +116,7 @@ def describe(text: str, a: int, b: int, path: str, language: Language) -> list[f
     kind = CLASS[np.frombuffer(s.encode("ascii", "replace"), np.uint8)]
     share = np.bincount(kind, minlength=5) / n
     before, after = text[max(0, a - 80) : a], text[b : b + 60]
+    named = any(names_secret(w) for w in BETWEEN.findall(before)[-4:] for w in NAME.findall(w)) or bool(URL_BEFORE.search(before))
     words_before, words_after = [w.lower().strip("\"':=,;()[]{}") for w in BETWEEN.findall(before)[-4:]], [w.lower().strip("\"':=,;()[]{}") for w in BETWEEN.findall(after)[:3]]
     letters = max((len(x) for x in re.findall(r"[A-Za-z]+", s)), default=0)
     path = path.lower()
@@ -103,7 +124,7 @@ def describe(text: str, a: int, b: int, path: str, language: Language) -> list[f
         float(min(n, 1000)), len(count) / n, -sum(c / n * math.log2(c / n) for c in count.values()), share[0], share[1], share[2], share[4] + share[3],
         float((kind[1:] != kind[:-1]).mean()) if n > 1 else 0.0, float(not s.lower().strip("0123456789abcdef")), letters / n, sum(s.lower().count(v) for v in "aeiou") / n,
         language.bigrams(s), language.coverage(s), max(count.values()) / n,
-        float(before[-1:] in "\"'" and after[:1] in "\"'" and before != ""), float(bool(re.search(r"[:=]\s*[\"']?$", before))), float(any(w in NAMES for w in words_before)), float(any(w in NAMES for w in words_after)),
+        float(before[-1:] in "\"'" and after[:1] in "\"'" and before != ""), float(bool(re.search(r"[:=]>?\s*[\"']?$", before))), float(named), float(any(w in NAMES for w in words_after)),
         float(any(w in AGAINST for w in words_before + words_after)), float(any(p in path for p in PATH_TEST)), float(any(p in path for p in PATH_CONFIG)), float(share[0] == 1),
     ]
 

@@ -47,3 +47,21 @@ def test_special_rows_and_redaction(spark):
     text = {r.doc_id: r.text for r in out.collect() if r.text}
     assert text[1] == 'a token = "[SECRET]" b token="[SECRET]"' and text[4].endswith('"[SECRET]"') and text[3] == "plain é words"
     assert s.scan(docs.where("false")).count() == 0
+
+
+def test_candidate_recall_of_names_values_and_urls():
+    planted = [
+        ("DB_PASSWORD=hunter22", "hunter22"), ("export MY_TOKEN=ab12cd34ef", "ab12cd34ef"), ('client_secret: "p@ss!w0rd"', "p@ss!w0rd"), ('dbPassword = "hunter22"', "hunter22"),
+        ('secret_key = "x9!k2#m4$p7"', "x9!k2#m4$p7"), ("postgres://u:hunter22x@h/db", "hunter22x"), ("password=hunter22&user=abcdefgh", "hunter22"), ("password: hunter22, then", "hunter22"),
+        ("f(password=hunter22);", "hunter22"), ("SECRET_KEY_BASE=q1!w2@e3", "q1!w2@e3"), ("app.auth.token: zz91!xx82", "zz91!xx82"), ("x-api-key: a1b2c3d4", "a1b2c3d4"), ("PGPASSWORD=s3cr3t!x", "s3cr3t!x"),
+        ('"password": "a&b,c;d)e"', "a&b,c;d)e"), ("'pwd' => 'tr0ub4dor'", "tr0ub4dor"), ("auth=token=abcdef99", "abcdef99"), ("https://:tok3n!@h/", "tok3n!"), ("config: password=hunter22x", "hunter22x"),
+    ]
+    found = {t: [t[a:b] for a, b in s.candidates(t)] for t, _ in planted}
+    assert {t: found[t] for t, v in planted if found[t] != [v]} == {}
+    assert s.candidates("password=hunter22&token=abcdef99") == [(9, 17), (24, 32)]
+    assert s.candidates("monkey: bananas1 keyboard = qwertyui at 10:45 http://a.b:8080/path") == []
+    named = s.FEATURES.index("name_before")
+    for t, v in planted:
+        a = t.index(v)
+        assert s.describe(t, a, a + len(v), "", s.Language({"word": 3}))[named] == 1, t
+    assert s.candidates("a" * 300000) == [(0, 300000)] and s.candidates("a." * 200000) == []
