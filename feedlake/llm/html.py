@@ -6,7 +6,8 @@ tree of a host is its reference; simple tree matching aligns every other tree of
 that a text block gets a slot. A block that stands in its slot on every different page of the host is
 template; what varies is content. Elements that are no article by their kind (menus, footers, forms,
 scripts, adverts, comments and so on, by tag, role, class or id) are left out in any case, and where a
-page has article or main elements, only their text counts.
+page has article or main elements, only their text counts. A class or id hides no html, body, main or
+article and no main inside; an article inside counts if it is the page's only one or nothing else is left.
 
 A template needs MIN_PAGES different pages, and blocks that make up more than a third of a page's text
 are no template: groups of copies on one host keep their text.
@@ -63,10 +64,26 @@ MARKS = frozenset(
     "comment comments disqus replies cookie cookies consent notice notices popup modal newsletter subscribe signup login search toolbar pagination pager skip masthead".split()
 )
 PAGE_MARKS = frozenset("header topbar".split())  # outside articles only
+#: Before a mark these make it a layout's name (no-sidebar); after one mark alone, names of a box are no part of the mark (ad-slot).
+LAYOUT = frozenset("no not non has have with without hide".split())
+BOXES = frozenset("list box container wrapper wrap area block section slot unit links link buttons button icons bar panel posts form body".split())
+PIECES = re.compile(r"[_-]+")
+
+
+def marked(names: str, marks: frozenset) -> bool:
+    """Whether a name of a class or id is a mark, or ends in one that no word of LAYOUT precedes."""
+    for name in names.split():
+        piece = [x for x in PIECES.split(name) if x]
+        if len(piece) == 2 and piece[1] in BOXES:
+            piece.pop()
+        if piece and piece[-1] in marks and LAYOUT.isdisjoint(piece[:-1]):
+            return True
+    return False
 
 
 class Page:
-    """A page's tree of block elements and its text blocks: (text, node, inside an article)."""
+    """A page's tree of block elements and its text blocks: (text, node, inside an article, number of the
+    article if it lies in an element hidden by class or id, else 0)."""
 
     def __init__(self, source: str):
         self.labels, self.children, self.blocks = ["html"], [[]], []
@@ -82,8 +99,9 @@ class Page:
         return own[-1]
 
     def _read(self, s: str) -> None:
-        # an open element: tag, node, hidden, in article
-        stack: list[tuple[str, int, bool, int]] = [("html", 0, False, 0)]
+        # an open element: tag, node, hidden, in article, hidden by marks alone, article in what marks hide
+        stack: list[tuple[str, int, bool, int, bool, int]] = [("html", 0, False, 0, False, 0)]
+        articles = 0
         text: list[str] = []
 
         def flush():
@@ -91,7 +109,7 @@ class Page:
                 own = " ".join(html.unescape("".join(text)).split())
                 text.clear()
                 if own:
-                    self.blocks.append((own, stack[-1][1], stack[-1][3]))
+                    self.blocks.append((own, stack[-1][1], stack[-1][3], stack[-1][5]))
 
         def close(to: int):
             while len(stack) > to:
@@ -125,7 +143,7 @@ class Page:
                 end = re.compile(rf"</{tag}(?=[\s/>])", re.I).search(s, at)
                 at = end.start() if end else n
                 if tag not in NO_ARTICLE:
-                    stack.append((tag, stack[-1][1], True, 0))
+                    stack.append((tag, stack[-1][1], True, 0, False, 0))
                 elif end:
                     at = (s.find(">", at) + 1) or n
                 continue
@@ -148,27 +166,38 @@ class Page:
                     if stack[k][0] in ends:
                         low = k
                 close(low)
-            _, node, hidden, inside = stack[-1]
+            _, node, hidden, inside, by_mark, number = stack[-1]
             attributes = m[3] or m[6] or ""
             names = {k.lower(): v.strip("\"'").lower() for k, v in NAMES.findall(attributes)} if "=" in attributes else {}
-            marks = set(re.split(r"[\s_-]+", names.get("class", "") + " " + names.get("id", "")))
+            marks = names.get("class", "") + " " + names.get("id", "")
+            main = tag in ("article", "main") or names.get("role") == "main"
             article = 2 if tag == "article" else max(inside, 1) if tag == "main" or names.get("role") == "main" else inside
-            hidden = hidden or tag in NO_ARTICLE or names.get("role") in ROLES or not MARKS.isdisjoint(marks) or (not article and (tag == "header" or not PAGE_MARKS.isdisjoint(marks)))
+            if main and by_mark and inside < 2:  # marks hide no ancestor of an article
+                articles += 1
+                hidden, by_mark, number = False, False, articles if tag == "article" else 0
+            if tag in NO_ARTICLE or names.get("role") in ROLES or (not article and tag == "header"):
+                hidden, by_mark = True, False
+            elif not hidden and not main and tag not in ("html", "body") and marks != " " and (marked(marks, MARKS) or (not article and marked(marks, PAGE_MARKS))):
+                hidden, by_mark = True, True
             if tag in BLOCKS:
                 flush()
                 if len(stack) < DEPTH:
                     node = self._node(node, tag + ("." + names["class"].split()[0] if names.get("class", "").split() else ""))
             if hidden and not stack[-1][2]:
                 flush()
-            stack.append((tag, node, hidden, article))
+            stack.append((tag, node, hidden, article, by_mark, number))
             if tag in ("plaintext",):
                 break
         close(0) if not stack[-1][2] else None
 
     def main(self) -> list[tuple[str, int]]:
         """The text blocks that count, with their nodes."""
-        most = max((a for _, _, a in self.blocks), default=0)
-        return [(t, k) for t, k, a in self.blocks if a >= most]
+        open_ = [b for b in self.blocks if not b[3]]
+        most = max((a for _, _, a, _ in open_), default=0)
+        if not most and (not open_ or len({n for *_, n in self.blocks if n}) == 1):  # several would be teasers or comments
+            open_ = self.blocks
+            most = max((a for _, _, a, _ in open_), default=0)
+        return [(t, k) for t, k, a, _ in open_ if a >= most]
 
     def shape(self) -> str:
         """The tree, in one line: label(children)."""

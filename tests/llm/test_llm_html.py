@@ -114,3 +114,17 @@ def test_empty_table_and_clash(spark):
     clash = spark.createDataFrame([(1, "http://a.b/", "<p>t</p>", "x")], PAGES).withColumnRenamed("extra", "text").withColumn("host", std_col("page_id"))
     assert [tuple(r) for r in h.extracted(clash).collect()] == [(1, "http://a.b/", "<p>t</p>", 1, "t")]
     assert std.unescape("&amp;") == "&"
+
+
+@pytest.mark.parametrize("source", [
+    '<html class="has-sidebar"><body class="no-sidebar"><p>story</p></body></html>', '<body class="has-sidebar"><p>story</p></body>', '<div class="content with-sidebar"><p>story</p></div>',
+    '<article class="post comments-open"><p>story</p></article>', '<main id="search-results"><p>story</p></main>', '<div class="ad-free"><p>story</p></div>', '<body class="sidebar"><p>story</p></body>',
+    '<main class="widget"><p>story</p></main>', '<article id="promo"><p>story</p></article>', '<div class="page-banner"><article><p>story</p></article></div><p>out</p>', '<div class="widget"><div><main><p>story</p></main></div></div><p>out</p>',
+    '<div class="ad-slot">x</div><div class="content-sidebar">x</div><ul class="share-links"><li>x</ul><p>story</p><div id="site-footer">x</div>',
+    '<div id="content"><p>story</p></div><div class="related"><article><p>x</p></article><article><p>y</p></article></div>',
+    '<article><p>story</p></article><section id="comments"><article class="comment"><p>x</p></article></section>',
+    '<article><p>story</p><section id="comments"><article class="comment"><p>x</p></article></section></article>', '<div class="topbar">x</div><p>story</p>',
+    '<aside><article><p>x</p></article></aside><p>story</p>',
+])
+def test_names_of_layouts_hide_no_article(source):
+    assert text_of(source) == "story"
