@@ -3,8 +3,11 @@
 Pages of one host are trees filled in from one template. Every page is parsed into a tree of its block
 elements (runs of equal siblings make one node) with the text blocks at its nodes. The most frequent
 tree of a host is its reference; simple tree matching aligns every other tree of the host with it, so
-that a text block gets a slot. A block that stands in its slot on every different page of the host is
-template; what varies is content. Elements that are no article by their kind (menus, footers, forms,
+that a text block gets a slot. Pages whose trees agree with it in less than half of their nodes are of
+another layout: the most frequent of their trees is the next reference, and so on. A block that stands in
+its slot on the different pages of the layout whose trees have the slot, but for one in STRAYS (one page at
+least: an error page that happens to fit), is template; what varies is content. Pages without main text
+are not counted. Elements that are no article by their kind (menus, footers, forms,
 scripts, adverts, comments and so on, by tag, role, class or id) are left out in any case, and where a
 page has article or main elements, only their text counts. A class or id hides no html, body, main or
 article and no main inside; an article inside counts if it is the page's only one or nothing else is left.
@@ -26,6 +29,7 @@ from __future__ import annotations
 
 import html
 import re
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -37,6 +41,8 @@ from feedlake.llm.common import packed, pieces, small_batches, stored, table, un
 from feedlake.llm.urls import host_and_path
 
 MIN_PAGES = 5
+#: One page in so many that have a slot, and one at least, may have another text there.
+STRAYS = 10
 MOST_WRAPPERS = 100_000
 #: Deepest nodes that have slots of their own; text below belongs to the slot there.
 DEPTH = 100
@@ -312,14 +318,22 @@ def _trees(batches):
                                              names=["host", "shape", "print", "nodes", "hashes"])
 
 
+def _near(to: dict[int, int], shape: str, reference: str) -> bool:
+    """Whether at least half of both trees' nodes correspond."""
+    return 4 * len(to) >= shape.count("(") + reference.count("(")
+
+
 def _slotted(batches):
+    """Of the pages near their reference: (slot, hash) of each block, and (slot, null) of each slot the tree has."""
     slots = _Slots()
     for b in batches:
         host, prints, slot, hashes = [], [], [], []
         for r in b.to_pylist():
             to = slots[r["shape"], r["reference"]]
+            if not _near(to, r["shape"], r["reference"]):
+                continue
             own = {(to[k], h) for k, h in zip(r["nodes"], r["hashes"]) if k in to}
-            for k, h in own:
+            for k, h in [*own, *((k, None) for k in to.values())]:
                 host.append(r["host"])
                 prints.append(r["print"])
                 slot.append(k)
@@ -327,20 +341,39 @@ def _slotted(batches):
         yield pa.RecordBatch.from_arrays([pa.array(host, pa.string()), pa.array(prints, pa.int64()), pa.array(slot, pa.int32()), pa.array(hashes, pa.int64())], names=["host", "print", "slot", "hash"])
 
 
+def _far(batches):
+    """The pages that are not near their reference."""
+    slots = _Slots()
+    for b in batches:
+        far = [not _near(slots[s, r], s, r) for s, r in zip(b.column("shape").to_pylist(), b.column("reference").to_pylist())]
+        yield b.select(["host", "print", "shape", "nodes", "hashes"]).filter(pa.array(far, pa.bool_()))
+
+
+TREES = "host string, shape string, print long, nodes array<int>, hashes array<long>"
+
+
 def wrappers(pages: DataFrame) -> DataFrame:
-    """pages(host, html) -> (host, reference, template): the reference tree of each host that has template
-    blocks, and those as an array of (slot, hash)."""
-    trees = stored(pages.mapInArrow(_trees, "host string, shape string, print long, nodes array<int>, hashes array<long>"), "html-trees")
-    different = stored(trees.groupBy("host", "print", "shape").agg(F.first("nodes").alias("nodes"), F.first("hashes").alias("hashes")), "html-different")
-    count = different.select("host", "print").distinct().groupBy("host").agg(F.count("*").alias("n")).where(F.col("n") >= MIN_PAGES)
-    shapes = different.groupBy("host", "shape").agg(F.count("*").alias("n"))
-    reference = shapes.groupBy("host").agg(F.min(F.struct(-F.col("n"), "shape")).alias("r")).select("host", F.col("r.shape").alias("reference")).join(count, "host")
-    reference = stored(reference, "html-references")
-    placed = different.join(reference.select("host", "reference"), "host").mapInArrow(_slotted, "host string, print long, slot int, hash long")
-    constant = placed.groupBy("host", "slot", "hash", "print").agg(F.lit(1)).groupBy("host", "slot", "hash").agg(F.count("*").alias("pages"))
-    constant = constant.join(reference.select("host", "n"), "host").where(F.col("pages") == F.col("n"))
-    template = constant.groupBy("host").agg(F.collect_list(F.struct("slot", "hash")).alias("template"))  # blocks that every page has: no more than one page's
-    return template.join(reference.select("host", "reference"), "host").select("host", "reference", "template")
+    """pages(host, html) -> (host, layouts): of each host that has template blocks, its layouts in order, with
+    their rank, reference tree and template as an array of (slot, hash)."""
+    trees = stored(pages.mapInArrow(_trees, TREES), "html-trees").where(F.size("hashes") > 0)
+    left = stored(trees.groupBy("host", "print", "shape").agg(F.first("nodes").alias("nodes"), F.first("hashes").alias("hashes")), "html-different")
+    found, rank = [], 0
+    while True:  # a layout of each host at a time; its reference at least leaves, and hosts with too few pages
+        many = left.select("host", "print").distinct().groupBy("host").agg(F.count("*").alias("n")).where(F.col("n") >= MIN_PAGES).select("host")
+        shapes = left.groupBy("host", "shape").agg(F.count("*").alias("n"))
+        reference = stored(shapes.groupBy("host").agg(F.min(F.struct(-F.col("n"), "shape")).alias("r")).select("host", F.col("r.shape").alias("reference")).join(many, "host"), "html-references")
+        if rank and reference.isEmpty():
+            break
+        both = left.join(reference, "host")
+        placed = both.mapInArrow(_slotted, "host string, print long, slot int, hash long")
+        counts = stored(placed.groupBy("host", "slot", "hash", "print").agg(F.lit(1)).groupBy("host", "slot", "hash").agg(F.count("*").alias("pages")), "html-counts")
+        of = counts.where("hash is null").select("host", "slot", F.col("pages").alias("n"))
+        constant = counts.where("hash is not null").join(of, ["host", "slot"]).where((F.col("pages") >= MIN_PAGES) & (F.col("n") - F.col("pages") <= F.greatest(F.lit(1.0), F.col("n") / STRAYS)))
+        template = constant.groupBy("host").agg(F.collect_list(F.struct("slot", "hash")).alias("template"))  # blocks that nearly every page has: not many more than one page's
+        found.append(template.join(reference, "host").select("host", F.struct(F.lit(rank).alias("rank"), "reference", "template").alias("layout")))
+        left = stored(both.select("host", "print", "shape", "nodes", "hashes", "reference").mapInArrow(_far, "host string, print long, shape string, nodes array<int>, hashes array<long>"), "html-left")
+        rank += 1
+    return reduce(DataFrame.unionByName, found).groupBy("host").agg(F.sort_array(F.collect_list("layout")).alias("layouts"))
 
 
 def page_text(page: Page, reference: str | None, template: set, slots: _Slots) -> str:
@@ -360,12 +393,12 @@ def extracted(pages: DataFrame, url: str = "url", source: str = "html", keep: li
     own = packed(pages, keep, F.col(source).alias("html"), host_and_path(F.col(url))[0].alias("host"))
     found = stored(wrappers(own.select("host", "html")), "html-wrappers")
     read = own.withColumnRenamed("host", "host_")
-    found = found.select(F.col("host").alias("host_"), "reference", "template")
+    found = found.select(F.col("host").alias("host_"), "layouts")
     n = found.count()
     if n:
         read = read.join(F.broadcast(found) if n <= MOST_WRAPPERS else found, "host_", "left")
     else:
-        read = read.withColumn("reference", F.lit(None).cast("string")).withColumn("template", F.lit(None).cast("array<struct<slot:int,hash:long>>"))
+        read = read.withColumn("layouts", F.lit(None).cast("array<struct<rank:int,reference:string,template:array<struct<slot:int,hash:long>>>>"))
     out = T.StructType([read.schema["row__"], T.StructField("text", T.StringType())])
     schema = to_arrow_schema(out)
 
@@ -373,7 +406,12 @@ def extracted(pages: DataFrame, url: str = "url", source: str = "html", keep: li
         slots = _Slots()
         for batch in batches:
             for b in pieces([batch], "html"):
-                texts = [page_text(Page(s or ""), r, {(x["slot"], x["hash"]) for x in t or ()}, slots) for s, r, t in zip(*(b.column(c).to_pylist() for c in ("html", "reference", "template")))]
+                texts = []
+                for source_, layouts in zip(b.column("html").to_pylist(), b.column("layouts").to_pylist()):
+                    page = Page(source_ or "")
+                    shape = page.shape() if layouts else ""
+                    own = next((x for x in layouts or () if _near(slots[shape, x["reference"]], shape, x["reference"])), None)
+                    texts.append(page_text(page, own and own["reference"], {(x["slot"], x["hash"]) for x in own["template"]} if own else set(), slots))
                 yield pa.RecordBatch.from_arrays([b.column("row__"), pa.array(texts, pa.string())], schema=schema)
 
     return unpacked(read.mapInArrow(run, out), keep, "text")

@@ -128,3 +128,15 @@ def test_empty_table_and_clash(spark):
 ])
 def test_names_of_layouts_hide_no_article(source):
     assert text_of(source) == "story"
+
+
+def test_stray_pages_leave_a_large_host_its_template(spark):
+    page = lambda i: f"<body><div><p>All rights reserved here</p></div><div class='c'><h1>Title {i}</h1><p>{'story ' * 20}{i}</p></div></body>"
+    other = lambda i: f"<body><table><tr><td>Listing of items</td></tr></table><ul class='l'><li><b>entry {i}</b> {'item ' * 20}</li></ul><section><h2>{i} found</h2></section></body>"
+    rows = [(i, f"http://a.com/{i}", page(i), "x") for i in range(60)]
+    rows += [(100, "http://a.com/empty", "", "x"), (101, "http://a.com/null", None, "x"), (102, "http://a.com/error", "<body><div><p>Not found</p></div></body>", "x"), (103, "http://a.com/stub", "<h1>Moved</h1>", "x"), (104, "http://a.com/o", other(0), "x")]
+    rows += [(200 + i, f"http://b.com/{i}", page(i) if i < 30 else other(i), "x") for i in range(50)]
+    text = {r.page_id: r.text for r in h.extracted(spark.createDataFrame(rows, PAGES)).collect()}
+    assert all(text[i] == f"Title {i}\n\n{'story ' * 20}{i}" for i in range(60)) and all(text[200 + i] == text[i] for i in range(30))
+    assert [text[i] for i in range(100, 104)] == ["", "", "Not found", "Moved"] and text[104].startswith("Listing of items")
+    assert all(text[200 + i] == f"entry {i} {'item ' * 20}".strip() + f"\n\n{i} found" for i in range(30, 50))
