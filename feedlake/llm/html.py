@@ -28,6 +28,7 @@ puts `text` in place of an input column of this name).
 from __future__ import annotations
 
 import html
+import math
 import re
 from functools import reduce
 
@@ -46,8 +47,6 @@ STRAYS = 10
 MOST_WRAPPERS = 100_000
 #: Deepest nodes that have slots of their own; text below belongs to the slot there.
 DEPTH = 100
-#: Largest table of children that is matched node by node.
-MOST_CELLS = 250_000
 
 TAG = re.compile(r"""<!--.*?(?:-->|\Z)|<[!?][^>]*(?:>|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>"']++|"[^"]*+"|'[^']*+')*+)(?:>|\Z)|<(/?)([a-zA-Z][^\s/>]*)([^>]*)(?:>|\Z)""", re.S)
 NAMES = re.compile(r"""(?:^|[\s"'])(class|id|role)\s*=\s*("[^"]*"|'[^']*'|[^\s"'>]+)""", re.I)
@@ -242,6 +241,11 @@ def aligned(shape: str, reference: str) -> dict[int, int]:
     la, ca, _ = tree_of(shape)
     lb, cb, _ = tree_of(reference)
     scores: dict[tuple[int, int], tuple[int, list[tuple[int, int]]]] = {}
+    kinds: dict[tuple, int] = {}  # equal subtrees are of one kind
+    ka, kb = [0] * len(la), [0] * len(lb)
+    for k, labels, children in ((ka, la, ca), (kb, lb, cb)):
+        for i in range(len(labels) - 1, -1, -1):
+            k[i] = kinds.setdefault((labels[i], *(k[c] for c in children[i])), len(kinds))
 
     def match(a: int, b: int) -> tuple[int, list[tuple[int, int]]]:
         if la[a] != lb[b]:
@@ -249,24 +253,47 @@ def aligned(shape: str, reference: str) -> dict[int, int]:
         if (a, b) in scores:
             return scores[a, b]
         x, y = ca[a], cb[b]
-        if len(x) * len(y) > MOST_CELLS:
-            pairs = [(i, j) for i, j in zip(x, y) if la[i] == lb[j]]
-            scores[a, b] = (1 + len(pairs), pairs)
-            return scores[a, b]
-        best = np.zeros((len(x) + 1, len(y) + 1), np.int64)
-        for i in range(1, len(x) + 1):
-            for j in range(1, len(y) + 1):
-                best[i, j] = max(best[i - 1, j], best[i, j - 1], best[i - 1, j - 1] + match(x[i - 1], y[j - 1])[0])
-        pairs, i, j = [], len(x), len(y)
+        by_label: dict[str, list[int]] = {}
+        for j, child in enumerate(y):
+            by_label.setdefault(lb[child], []).append(j)
+        known: dict[int, np.ndarray] = {}
+        gains: dict[int, np.ndarray] = {}
+
+        def after(best: np.ndarray, i: int) -> np.ndarray:
+            """The table's next row, from the row before child i."""
+            at = by_label.get(la[x[i]])
+            if at is None:
+                return best
+            gain = best[1:].copy()
+            own = gains.get(ka[x[i]])
+            if own is None:
+                first = {kb[y[j]]: y[j] for j in reversed(at)}
+                score_of = {k: match(x[i], c)[0] for k, c in first.items()}
+                own = gains[ka[x[i]]] = np.array([score_of[kb[y[j]]] for j in at], np.int32)
+            gain[at] = np.maximum(gain[at], best[at] + own)
+            return np.concatenate([best[:1], np.maximum.accumulate(gain)])
+
+        step = max(1, math.isqrt(len(x)))  # every step-th row is kept, those between are made again on the way back
+        best = np.zeros(len(y) + 1, np.int32)
+        for i in range(len(x)):
+            if i % step == 0:
+                known[i] = best
+            best = after(best, i)
+        score, pairs, i, j, rows, low = 1 + int(best[-1]), [], len(x), len(y), [], len(x)
         while i and j:
-            if best[i, j] == best[i - 1, j]:
+            if i <= low:
+                low = (i - 1) // step * step
+                rows = [known[low]]
+                for k in range(low, i):
+                    rows.append(after(rows[-1], k))
+            if rows[i - low][j] == rows[i - low - 1][j]:
                 i -= 1
-            elif best[i, j] == best[i, j - 1]:
+            elif rows[i - low][j] == rows[i - low][j - 1]:
                 j -= 1
             else:
                 pairs.append((x[i - 1], y[j - 1]))
                 i, j = i - 1, j - 1
-        scores[a, b] = (1 + int(best[-1, -1]), pairs)
+        scores[a, b] = (score, pairs)
         return scores[a, b]
 
     out, todo = {}, [(0, 0)] if la and lb and match(0, 0)[0] else []

@@ -140,3 +140,8 @@ def test_stray_pages_leave_a_large_host_its_template(spark):
     assert all(text[i] == f"Title {i}\n\n{'story ' * 20}{i}" for i in range(60)) and all(text[200 + i] == text[i] for i in range(30))
     assert [text[i] for i in range(100, 104)] == ["", "", "Not found", "Moved"] and text[104].startswith("Listing of items")
     assert all(text[200 + i] == f"entry {i} {'item ' * 20}".strip() + f"\n\n{i} found" for i in range(30, 50))
+
+
+def test_long_child_lists_are_matched_exactly():
+    a, b = "html(" + "h2()p()" * 400 + ")", "html(x()" + "h2()p()" * 400 + ")"
+    assert h.aligned(a, b) == {0: 0} | {i: i + 1 for i in range(1, 801)}
