@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import corpus_pipeline
-from feedlake.llm import chat, decontaminate, html, mix, neardup, quality, secrets, tokens, toxicity, urls
+from feedlake.llm import chat, decontaminate, html, linededup, mix, neardup, quality, secrets, tokens, toxicity, urls
 
 QUERIES = {
     "op1_quality": quality.op1_quality,
@@ -16,6 +16,7 @@ QUERIES = {
     "op8_toxicity": toxicity.op8_toxicity,
     "op9_secrets": secrets.op9_secrets,
     "op10_near_duplicates": neardup.op10_near_duplicates,
+    "op11_line_dedup": linededup.op11_line_dedup,
     "pipeline": corpus_pipeline.run,
 }
 ORACLE = {
@@ -23,4 +24,5 @@ ORACLE = {
     "op3_chat": chat.OP3_SQL,
     "op6_decontaminate": decontaminate.OP6_SQL,
     "op7_url_filter": urls.OP7_SQL,
+    "op11_line_dedup": linededup.OP11_SQL,
 }
