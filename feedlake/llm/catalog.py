@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import corpus_pipeline
-from feedlake.llm import chat, decontaminate, html, linededup, mix, neardup, quality, secrets, tokens, toxicity, urls
+from feedlake.llm import chat, decontaminate, html, linededup, merkle, mix, neardup, quality, resample, secrets, tokens, toxicity, urls
 
 QUERIES = {
     "op1_quality": quality.op1_quality,
@@ -17,6 +17,8 @@ QUERIES = {
     "op9_secrets": secrets.op9_secrets,
     "op10_near_duplicates": neardup.op10_near_duplicates,
     "op11_line_dedup": linededup.op11_line_dedup,
+    "op12_resample": resample.op12_resample,
+    "op13_merkle": merkle.op13_merkle,
     "pipeline": corpus_pipeline.run,
 }
 ORACLE = {
@@ -25,4 +27,6 @@ ORACLE = {
     "op6_decontaminate": decontaminate.OP6_SQL,
     "op7_url_filter": urls.OP7_SQL,
     "op11_line_dedup": linededup.OP11_SQL,
+    "op12_resample": resample.OP12_SQL,
+    "op13_merkle": merkle.OP13_SQL,
 }

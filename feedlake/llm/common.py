@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Iterable, Iterator
 
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
 from feedlake.session import scratch_path
 
@@ -86,3 +86,15 @@ def pieces(batches: Iterable[pa.RecordBatch], column: str, most: int = 8 << 20)
                     end = at + max(1, (end - at) // 2)
             yield batch.slice(at, end - at)
             at = end
+
+
+def numbered(df: DataFrame, name: str, *order, at: str = "at") -> DataFrame:
+    """The rows with their place `at` (long, from 0) in the given order, written out. They are sorted over range
+    partitions; of the counts of the partitions, one row each, the running sum is broadcast."""
+    ordered = stored(df.orderBy(*order).withColumn("in__", F.monotonically_increasing_id()), name)
+    part = F.shiftright("in__", 33)
+    before = Window.orderBy("part__").rowsBetween(Window.unboundedPreceding, -1)
+    counts = ordered.groupBy(part.alias("part__")).agg(F.count(F.lit(1)).alias("n__"))
+    first = counts.select("part__", F.coalesce(F.sum("n__").over(before), F.lit(0)).alias("first__"))
+    rows = ordered.withColumn("part__", part).join(F.broadcast(first), "part__")
+    return rows.withColumn(at, F.col("first__") + F.col("in__").bitwiseAND((1 << 33) - 1)).drop("in__", "part__", "first__")
