@@ -1,25 +1,19 @@
 """Keyed table maintenance and key lookups: keep-first insert, keep-last upsert, memo upsert and
-delete, unseen/seen filters, memo lookup, seen history, bucketed snapshots.
+delete, unseen/seen filters, memo lookup, seen history. Stored tables: operators/snapshots.py.
 
 Dedup is an aggregate (min_by / max_by over a struct), not a row_number window: the hash
 aggregate combines map-side, so a key holding a third of all rows is reduced to one row per
 input partition before the shuffle instead of landing whole in one task.
-
-Plain parquet has no row-level MERGE. A table is a snapshot folder partitioned by
-`bucket = pmod(xxhash64(key), n)`; a merge reads only the buckets the batch touches
-(partition pruning) and rewrites only those (dynamic partition overwrite), staging the new
-buckets in the checkpoint folder first so the folder being read is never overwritten mid-read.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from feedlake.functions import text as T
-from feedlake.session import scratch_path
 
 
 def _keys(key) -> list[str]:
@@ -103,61 +97,3 @@ def memo_lookup(items: DataFrame, memo: DataFrame, key_col: str, out: str = "cac
 
 def seen_history(seen: DataFrame) -> DataFrame:
     return seen.orderBy(F.col("first_seen").desc(), F.col("url_hash"))
-
-
-# ------------------------------------------------------------------ snapshots
-
-
-def bucket_of(key, n: int):
-    cols = [F.col(k) for k in _keys(key)]
-    return F.pmod(F.xxhash64(*cols), F.lit(n)).cast("int")
-
-
-def write_snapshot(df: DataFrame, path: str, key, buckets: int = 64) -> None:
-    (df.withColumn("bucket", bucket_of(key, buckets))
-       .hint("rebalance", F.col("bucket"))  # by bucket, a large bucket over several tasks
-       .write.mode("overwrite").partitionBy("bucket").parquet(path))
-
-
-def merge_snapshot(spark: SparkSession, path: str, batch: DataFrame, key, order: Sequence[str],
-                   mode: str = "keep_last", buckets: int = 64) -> DataFrame:
-    """Merge a batch into the snapshot at `path`, rewriting only the buckets it touches.
-
-    mode: 'keep_first' (insert-if-absent), 'keep_last' (replace) or 'delete' (batch = keys).
-    Returns the merged rows of the touched buckets."""
-    keys = _keys(key)
-    b = batch.withColumn("bucket", bucket_of(keys, buckets))
-    touched = b.select("bucket").distinct()
-    cols = [c for c in batch.columns if c != "bucket"]
-    schema = b.select(*cols, F.col("bucket").cast("int")).schema
-    current = spark.read.schema(schema).parquet(path)  # explicit schema: an empty snapshot reads as empty
-    cur = current.join(F.broadcast(touched), "bucket", "left_semi")  # at most `buckets` rows
-    if mode == "keep_first":
-        merged = insert_if_absent(cur.select(*cols), b.select(*cols), keys, order)
-    elif mode == "keep_last":
-        merged = upsert_keep_last(cur.select(*cols), b.select(*cols), keys, order)
-    elif mode == "delete":
-        merged = cur.select(*cols).join(b.select(*keys).distinct(), keys, "left_anti")
-    else:
-        raise ValueError(mode)
-    merged = merged.withColumn("bucket", bucket_of(keys, buckets))
-    stage = scratch_path(spark, "merge-stage")
-    merged.hint("rebalance", F.col("bucket")).write.mode("overwrite").partitionBy("bucket").parquet(stage)
-    staged = spark.read.schema(schema).parquet(stage)
-    staged.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("bucket").parquet(path)
-    if mode == "delete":
-        # dynamic overwrite leaves a bucket alone when no row is written to it, so a bucket
-        # emptied by the delete is removed explicitly (at most `buckets` folder names)
-        emptied = {r[0] for r in touched.collect()} - {r[0] for r in staged.select("bucket").distinct().collect()}
-        _remove_buckets(spark, path, emptied)
-    return staged
-
-
-def _remove_buckets(spark: SparkSession, path: str, ids) -> None:
-    if not ids:
-        return
-    jvm = spark.sparkContext._jvm
-    conf = spark.sparkContext._jsc.hadoopConfiguration()
-    for i in ids:
-        p = jvm.org.apache.hadoop.fs.Path(f"{path.rstrip('/')}/bucket={int(i)}")
-        p.getFileSystem(conf).delete(p, True)

@@ -18,6 +18,7 @@ from feedlake.functions import text as T
 from feedlake.operators import insight as I
 from feedlake.operators import mentions as MN
 from feedlake.operators import select as S
+from feedlake.operators import snapshots as SN
 from feedlake.operators import state as ST
 from feedlake.sinks import export as X
 from feedlake.sources import pages as P
@@ -124,10 +125,10 @@ def run_brief_batch(spark: SparkSession, sf_dir: str, out_dir: str, run_ts: str
       out_dir/briefs     parquet, one row per unseen item (text path, brief, insight), by date
       out_dir/markdown   parquet (id, md_name, markdown), one row per brief, by date
       out_dir/seo        parquet SEO / JSON-LD rows
-      out_dir/seen       bucketed seen snapshot, briefed items inserted if absent (C1)
-      out_dir/memo       bucketed memo snapshot, summaries and article texts upserted (C3)
+      out_dir/seen       versioned seen table, briefed items inserted if absent (C1)
+      out_dir/memo       versioned memo table, summaries and article texts upserted (C3)
       out_dir/vector_model   the model behind the text vectors, fitted once on the archive
-      out_dir/articles   bucketed article snapshot, whole rows replaced (C2), with a 384-d
+      out_dir/articles   versioned article table, whole rows replaced (C2), with a 384-d
                          text vector per article (G2)
 
     The brief frame is checkpointed (reliable checkpoint in the shared checkpoint folder) so the
@@ -164,21 +165,22 @@ def run_brief_batch(spark: SparkSession, sf_dir: str, out_dir: str, run_ts: str
     X.seo_metadata(seo_in).write.mode("overwrite").parquet(f"{out_dir}/seo")
 
     seen_path, memo_path = f"{out_dir}/seen", f"{out_dir}/memo"
-    if not path_exists(spark, seen_path):
-        ST.write_snapshot(TB.seen(spark, sf_dir, hash_len), seen_path, "url_hash", buckets)
+    if not SN.exists(spark, seen_path):
+        SN.create(spark, seen_path, TB.seen(spark, sf_dir, hash_len), "url_hash", buckets)
     new_seen = cand.select("url_hash", "url", F.lit(run_ts).cast("timestamp").alias("first_seen"))
-    ST.merge_snapshot(spark, seen_path, new_seen, "url_hash", ["first_seen"], mode="keep_first", buckets=buckets)
+    SN.merge(spark, seen_path, new_seen, ["first_seen"], mode="keep_first")
 
     memo_rows = (cand.where(F.col("content").isNotNull() & F.col("cached_summary").isNull())  # written on a miss only
                  .select(T.summary_key("url_hash").alias("cache_key"), F.col("content").alias("value"),
-                         F.lit("summary").alias("content_type"), F.lit(1).alias("_seq"))
+                         F.lit("summary").alias("content_type"))
                  .unionByName(cand.where((F.col("text_path") == "page_text") & T.truthy("article_text").isNotNull())
                               .select(T.url_key("url").alias("cache_key"), F.col("article_text").alias("value"),
-                                      F.lit("article_text").alias("content_type"), F.lit(0).alias("_seq")))
+                                      F.lit("article_text").alias("content_type")))
                  .withColumn("created_at", F.lit(run_ts).cast("timestamp")))
-    if not path_exists(spark, memo_path):
-        ST.write_snapshot(TB.memo(spark, sf_dir), memo_path, "cache_key", buckets)
-    ST.merge_snapshot(spark, memo_path, memo_rows, "cache_key", ["_seq"], mode="keep_last", buckets=buckets)
+    if not SN.exists(spark, memo_path):
+        SN.create(spark, memo_path, TB.memo(spark, sf_dir), "cache_key", buckets)
+    # one row per key: a summary and a page text have keys of their own
+    SN.merge(spark, memo_path, memo_rows, ["content_type"], mode="keep_last")
 
     from feedlake.functions.dates import iso_utc
     from pyspark.ml import PipelineModel
@@ -196,7 +198,7 @@ def run_brief_batch(spark: SparkSession, sf_dir: str, out_dir: str, run_ts: str
     arts = text_vectors(arts.withColumn("embed_text", T.embedding_text("summary", "content")), model=PipelineModel.load(model_path)).drop("embed_text")
     arts = arts.withColumn("saved_at", F.lit(run_ts).cast("timestamp"))
     art_path = f"{out_dir}/articles"
-    if not path_exists(spark, art_path):
-        ST.write_snapshot(arts.limit(0), art_path, "id", buckets)
-    ST.merge_snapshot(spark, art_path, arts, "id", ["saved_at"], mode="keep_last", buckets=buckets)
+    if not SN.exists(spark, art_path):
+        SN.create(spark, art_path, arts.limit(0), "id", buckets)
+    SN.merge(spark, art_path, arts, ["saved_at"], mode="keep_last")
     return dict(obs.get)

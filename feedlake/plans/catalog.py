@@ -22,8 +22,10 @@ from feedlake.operators import insight as I
 from feedlake.operators import mentions as MN
 from feedlake.operators import select as S
 from feedlake.operators import similar as SIM
+from feedlake.operators import snapshots as SN
 from feedlake.operators import state as ST
 from feedlake.plans import brief as B
+from feedlake.session import scratch_path
 from feedlake.sinks import export as X
 from feedlake.sources import feeds as FD
 from feedlake.sources import pages as P
@@ -286,6 +288,30 @@ def memo_delete(spark, sf):
     return ST.memo_delete(TB.memo(spark, sf), keys).select("cache_key", "value", "content_type", "created_at")
 
 
+@query
+def snapshot_merge(spark, sf):
+    """C1/C2 on a stored table: the 'view' events as version 0, then the other events merged in two commits (even users
+    inserted if absent, odd ones replaced); read back from the newest version."""
+    ev = _events(spark, sf)
+    path = scratch_path(spark, "event-table")
+    SN.create(spark, path, ST.keep_last(ev.where("event_type = 'view'"), "user_id", ["ts", "event_id"]), "user_id", buckets=16)
+    rest = ev.where("event_type <> 'view'")
+    SN.merge(spark, path, rest.where("user_id % 2 = 0"), ["ts", "event_id"], mode="keep_first")
+    SN.merge(spark, path, rest.where("user_id % 2 = 1"), ["ts", "event_id"], mode="keep_last")
+    return SN.read(spark, path).select(_long("user_id").alias("user_id"), _long("event_id").alias("event_id"), "ts", "event_type", "value")
+
+
+@query
+def snapshot_delete(spark, sf):
+    """C4 on a stored table: the memo as version 0, the entries of toxic-labelled articles deleted in one commit."""
+    path = scratch_path(spark, "memo-table")
+    SN.create(spark, path, TB.memo(spark, sf).select("cache_key", "value", "content_type", "created_at"), "cache_key", buckets=16)
+    a = TB.articles(spark, sf).select("id", "url")
+    tox = TB.table(spark, sf, "labels", "doc_id", "toxic").where("toxic = 1")
+    SN.merge(spark, path, a.join(tox, a.id == tox.doc_id, "left_semi").select(T.url_key("url").alias("cache_key")), mode="delete")
+    return SN.read(spark, path)
+
+
 # ============================================================ D. ordering / limits
 
 @query
@@ -548,7 +574,6 @@ def stream_ingest(spark, sf):
 def stream_feed_ingest(spark, sf):
     """H1/H2 on feed payloads: the mixed payloads of `feed_union` landed as JSON lines, streamed
     (availableNow), parsed, keyed, filtered against a seen snapshot and appended."""
-    from feedlake.session import scratch_path
     from feedlake.streaming import feeds as SF
     e = _doc_feed_entries(spark, sf)
     is_rss = F.coalesce(F.col("lang"), F.lit("")).isin("en", "de")

@@ -393,6 +393,15 @@ def oracle_sql() -> dict[str, str]:
     o["memo_delete"] = W() + (
         "SELECT cache_key, value, content_type, created_at FROM memo_t WHERE cache_key NOT IN ("
         "SELECT 'url:' || substr(sha1(url), 1, 16) FROM articles WHERE id IN (SELECT doc_id FROM labels WHERE toxic = 1))")
+    o["snapshot_delete"] = o["memo_delete"]
+    cols = "CAST(user_id AS BIGINT) AS user_id, CAST(event_id AS BIGINT) AS event_id, ts, event_type, value"
+    o["snapshot_merge"] = (
+        f"WITH {ev}, ranked AS (SELECT *, event_type = 'view' AS old, row_number() OVER (PARTITION BY user_id, event_type = 'view' ORDER BY ts, event_id) AS first, "
+        f"row_number() OVER (PARTITION BY user_id, event_type = 'view' ORDER BY ts DESC, event_id DESC) AS last FROM ev), "
+        f"had AS (SELECT DISTINCT user_id FROM ranked WHERE old), got AS (SELECT DISTINCT user_id FROM ranked WHERE NOT old) "
+        f"SELECT {cols} FROM ranked WHERE old AND last = 1 AND (user_id % 2 = 0 OR user_id NOT IN (SELECT user_id FROM got)) "
+        f"UNION ALL SELECT {cols} FROM ranked WHERE NOT old AND user_id % 2 = 0 AND first = 1 AND user_id NOT IN (SELECT user_id FROM had) "
+        f"UNION ALL SELECT {cols} FROM ranked WHERE NOT old AND user_id % 2 = 1 AND last = 1")
     o["feed_recency_sort"] = W() + "SELECT CAST(id AS BIGINT) AS id, published, published_ts FROM articles"
     o["newest_unseen"] = W() + ("SELECT CAST(id AS BIGINT) AS id, url_hash, published_ts FROM unseen "
                                 "ORDER BY published_ts DESC NULLS LAST, id LIMIT 10")

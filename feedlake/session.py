@@ -11,7 +11,7 @@ import re
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # Session defaults. AQE coalesces small shuffles and splits skewed join partitions at run time;
 # ANSI stays on, so every fallible cast below is a try_* form.
@@ -64,6 +64,14 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return os.path.join(base, f"{name}-{uuid.uuid4().hex[:12]}")
 
 
+def written(df: DataFrame, name: str) -> DataFrame:
+    """Write to the shared folder and read again: what follows runs on the stored rows, whatever becomes of the
+    executors that made them."""
+    path = scratch_path(df.sparkSession, name)
+    df.write.option("compression", "zstd").parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def path_exists(spark: SparkSession, path: str) -> bool:
     """Existence check through the cluster file system (works for file:, hdfs:, s3a: ...)."""
     jvm = spark.sparkContext._jvm

@@ -18,6 +18,7 @@ import os
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from feedlake.operators import snapshots as SN
 from feedlake.operators import state as ST
 from feedlake.session import is_folder, scratch_path
 
@@ -53,21 +54,20 @@ def ingest_events(spark: SparkSession, sf_dir: str, table: str | None = None, ch
 
 
 def first_seen_stream(spark: SparkSession, sf_dir: str, buckets: int = 16, table: str | None = None, checkpoint: str | None = None) -> DataFrame:
-    """H2: per micro-batch, keep-first per user, then insert-if-absent into a bucketed seen
-    snapshot: only the buckets the micro-batch touches are read and rewritten, and a batch
-    replayed after a failure changes nothing (insert-if-absent is idempotent)."""
+    """H2: per micro-batch, keep-first per user, then insert-if-absent into a versioned seen
+    table: only the buckets the micro-batch touches are read and rewritten, a batch is committed
+    whole or not at all, and one replayed after a failure changes nothing."""
     table, ck = _places(spark, "seen", table, checkpoint)
-    if not _exists(spark, table):
-        ST.write_snapshot(spark.createDataFrame([], "user_id long, event_id long, ts timestamp"), table, "user_id", buckets)
+    if not SN.exists(spark, table):
+        SN.create(spark, table, spark.createDataFrame([], "user_id long, event_id long, ts timestamp"), "user_id", buckets)
 
     def merge(batch: DataFrame, epoch_id: int) -> None:
-        ST.merge_snapshot(batch.sparkSession, table, batch.select("user_id", "event_id", "ts"), "user_id",
-                          ["ts", "event_id"], mode="keep_first", buckets=buckets)
+        SN.merge(batch.sparkSession, table, batch.select("user_id", "event_id", "ts"), ["ts", "event_id"], mode="keep_first")
 
     q = (_events_stream(spark, sf_dir).writeStream.foreachBatch(merge)
          .option("checkpointLocation", ck).trigger(availableNow=True).start())
     q.awaitTermination()
-    return spark.read.parquet(table).drop("bucket")
+    return SN.read(spark, table)
 
 
 def windowed_counts(spark: SparkSession, sf_dir: str, days: int = 7, watermark: str = "1 day",
@@ -125,22 +125,19 @@ def ingest_feed_payloads(spark: SparkSession, landing: str, table: str, seen_pat
     seen snapshot. Returns the started query (availableNow)."""
     from feedlake.sources import feeds as FD
 
-    if not _exists(spark, seen_path):
-        ST.write_snapshot(spark.createDataFrame([], "url_hash string, url string, first_seen timestamp"),
-                          seen_path, "url_hash", buckets)
+    if not SN.exists(spark, seen_path):
+        SN.create(spark, seen_path, spark.createDataFrame([], "url_hash string, url string, first_seen timestamp"), "url_hash", buckets)
     stream = spark.readStream.schema(PAYLOAD_SCHEMA).option("maxFilesPerTrigger", max_files).json(landing)
 
     def step(batch: DataFrame, epoch_id: int) -> None:
         s = batch.sparkSession
         items = FD.with_item_keys(FD.feed_items(batch.select("url", "payload"), limit), hash_len)
         first = ST.keep_first(items, "url_hash", ["feed_url", "entry_pos"])
-        seen = s.read.schema("url_hash string, url string, first_seen timestamp, bucket int").parquet(seen_path)
-        fresh = ST.unseen(first, seen).withColumn("_epoch", F.lit(epoch_id).cast("long"))
+        fresh = ST.unseen(first, SN.read(s, seen_path)).withColumn("_epoch", F.lit(epoch_id).cast("long"))
         fresh.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("_epoch").parquet(table)
         written = s.read.parquet(table).where(F.col("_epoch") == epoch_id)
-        ST.merge_snapshot(s, seen_path, written.select("url_hash", F.col("link").alias("url"),
-                                                       F.current_timestamp().alias("first_seen")),
-                          "url_hash", ["first_seen"], mode="keep_first", buckets=buckets)
+        SN.merge(s, seen_path, written.select("url_hash", F.col("link").alias("url"), F.current_timestamp().alias("first_seen")),
+                 ["first_seen"], mode="keep_first")
 
     return (stream.writeStream.foreachBatch(step).option("checkpointLocation", ck)
             .trigger(availableNow=True).start())

@@ -3,6 +3,7 @@ import os
 
 from pyspark.sql import functions as F
 
+from feedlake.operators import snapshots as SN
 from feedlake import config as C
 from feedlake.sources import feeds as FD
 from feedlake.sources import pages as P
@@ -131,7 +132,7 @@ def test_stream_feed_ingest_skips_seen_items(spark):
     got = sorted((r.link, r._epoch) for r in spark.read.parquet(table).collect())
     assert [g[0] for g in got] == ["https://x/0", "https://x/1", "https://x/2"]
     assert got[0][1] == got[1][1] < got[2][1]
-    assert spark.read.parquet(seen).count() == 3
+    assert SN.read(spark, seen).count() == 3
 
 
 def test_source_file_multiline(spark, tmp_path):

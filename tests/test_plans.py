@@ -1,5 +1,6 @@
 from pyspark.sql import functions as F
 
+from feedlake.operators import snapshots as SN
 from feedlake.plans import brief as B
 from feedlake.session import scratch_path
 
@@ -19,20 +20,20 @@ def test_run_brief_batch_end_to_end(spark):
     text = named[f"2024-04-01-{one['id']}.md"]
     assert text.count("---") >= 2 and one["content"] in text
     assert one["feed_summary"][:15].split("\n")[0] in text.split("summary:")[1].split("---")[0]
-    seen = spark.read.parquet(f"{out}/seen")
+    seen = SN.read(spark, f"{out}/seen")
     assert seen.join(briefs.select("url_hash"), "url_hash", "left_semi").count() == briefs.count()
-    memo = spark.read.parquet(f"{out}/memo")
+    memo = SN.read(spark, f"{out}/memo")
     fresh = briefs.where("content is not null and cached_summary is null").select(F.concat(F.lit("summary:"), F.substring("url_hash", 1, 32)).alias("cache_key")).distinct()
     assert memo.where("content_type = 'summary'").select("cache_key").distinct().count() == fresh.count()
     assert memo.join(fresh, "cache_key", "left_semi").count() == fresh.count()  # the key that the lookup uses
     assert spark.read.parquet(f"{out}/seo").count() == m["candidates"]
-    arts = spark.read.parquet(f"{out}/articles")
+    arts = SN.read(spark, f"{out}/articles")
     assert arts.count() == m["summaries"]
     assert arts.where(F.size("embedding") != 384).count() == 0
     # a second run over the same batch keeps the seen rows written by the first (insert-if-absent)
     first = {r.url_hash: r.first_seen for r in seen.collect()}
     B.run_brief_batch(spark, SF, out, run_ts="2024-05-01 00:00:00")
-    again = {r.url_hash: r.first_seen for r in spark.read.parquet(f"{out}/seen").collect()}
+    again = {r.url_hash: r.first_seen for r in SN.read(spark, f"{out}/seen").collect()}
     assert again == first
 
 

@@ -3,7 +3,6 @@ import datetime as dt
 from pyspark.sql import functions as F
 
 from feedlake.operators import state as ST
-from feedlake.session import scratch_path
 
 SCHEMA = "k string, v string, ver long"
 
@@ -79,27 +78,6 @@ def test_item_key_falls_back_to_title(spark):
     assert got == [h("T"), h("T"), h("L")]
 
 
-def test_snapshot_merge_rewrites_touched_buckets(spark):
-    path = scratch_path(spark, "snap")
-    base = spark.createDataFrame([(f"k{i}", f"v{i}", 0) for i in range(40)], SCHEMA)
-    ST.write_snapshot(base, path, "k", buckets=8)
-    batch = spark.createDataFrame([("k1", "new", 1), ("k99", "added", 1)], SCHEMA)
-    ST.merge_snapshot(spark, path, batch, "k", ["ver"], mode="keep_last", buckets=8)
-    got = {r["k"]: r["v"] for r in spark.read.parquet(path).collect()}
-    assert len(got) == 41 and got["k1"] == "new" and got["k99"] == "added" and got["k2"] == "v2"
-    ST.merge_snapshot(spark, path, spark.createDataFrame([("k2", "ignored", 5)], SCHEMA), "k", ["ver"], mode="keep_first", buckets=8)
-    assert {r["k"]: r["v"] for r in spark.read.parquet(path).collect()}["k2"] == "v2"
-
-
-def test_snapshot_delete_empties_bucket(spark):
-    path = scratch_path(spark, "snapdel")
-    base = spark.createDataFrame([(f"k{i}", f"v{i}", 0) for i in range(3)], SCHEMA)
-    ST.write_snapshot(base, path, "k", buckets=64)
-    ST.merge_snapshot(spark, path, spark.createDataFrame([("k0", None, 0), ("nope", None, 0)], SCHEMA), "k", ["ver"],
-                      mode="delete", buckets=64)
-    assert sorted(r["k"] for r in spark.read.parquet(path).collect()) == ["k1", "k2"]
-
-
 def test_title_duplicates(spark):
     from feedlake.operators import select as S
     items = spark.createDataFrame([(1, "Breaking: Markets Fall"), (2, "Unrelated story"), (3, ""), (4, None),
