@@ -140,7 +140,7 @@ class Site:
 @dataclass(frozen=True)
 class Limits:
     """Size guards for broadcast sides. Above a bound the job takes its shuffle form instead."""
-    broadcast_rows: int = 200_000
+    broadcast_rows: int = 1_000_000  # short rows: a keyword, a run of letters
     similarity_block_rows: int = 4096
     keyword_chunk_rows: int = 50_000
 

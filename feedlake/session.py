@@ -72,6 +72,13 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """The rows dealt over all cores, where they lie in fewer files than there are cores (a file may be one row group,
+    that is one task). With more files the rows stay where they are: nothing large is shuffled."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if len(df.inputFiles()) < cores else df
+
+
 def path_exists(spark: SparkSession, path: str) -> bool:
     """Existence check through the cluster file system (works for file:, hdfs:, s3a: ...)."""
     jvm = spark.sparkContext._jvm
