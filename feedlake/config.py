@@ -88,6 +88,18 @@ INSIGHT_PROMPT_ASK = (
     "3) One 1-sentence prediction (what to watch next)."
 )
 
+# Prompt of the archive-analysis variant.
+ARCHIVE_EVIDENCE_SUMMARY_CHARS = 250
+ARCHIVE_PROMPT_SYSTEM = (
+    "You are an analytics journalist. Use evidence to produce a concise insight (3-6 sentences) that explains "
+    "how the current story connects to past patterns and suggests near-future implications."
+)
+ARCHIVE_PROMPT_SERIES = "\n\nKeyword time-series (last windows):\n"
+ARCHIVE_PROMPT_ASK = (
+    "\n\nWrite: 1) TL;DR (one line), 2) 3 bullets about pattern, "
+    "3) 1 short prediction (what to watch next).\n"
+)
+
 SITEMAP_CHANGEFREQ = "daily"
 SITEMAP_PRIORITY = "0.6"
 PREVIEWS_PREFIX = "previews/"
@@ -141,7 +153,7 @@ class Site:
 class Limits:
     """Size guards for broadcast sides. Above a bound the job takes its shuffle form instead."""
     broadcast_rows: int = 1_000_000  # short rows: a keyword, a run of letters
-    similarity_block_rows: int = 4096
+    similarity_block_rows: int = 4096  # vectors of a cell's block in the memory of a task
     keyword_chunk_rows: int = 50_000
 
 

@@ -18,8 +18,11 @@ from feedlake.functions import text as T
 from feedlake.operators import insight as I
 from feedlake.operators import mentions as MN
 from feedlake.operators import select as S
+from feedlake.operators import similar as SIM
 from feedlake.operators import snapshots as SN
+from feedlake.operators import sparse as SP
 from feedlake.operators import state as ST
+from feedlake.session import written
 from feedlake.sinks import export as X
 from feedlake.sources import pages as P
 from feedlake.sources import tables as TB
@@ -85,6 +88,19 @@ def keyword_counts(batch: DataFrame, archive: DataFrame) -> DataFrame:
     return MN.keyword_article_counts(article_keywords(batch), archive_text(archive).select("id", "text"))
 
 
+def similar_articles(batch: DataFrame, archive: DataFrame, k: int = C.SIMILAR_K_INSIGHT) -> DataFrame:
+    """(qid, rank, id, score): for each article of the batch, which is part of the archive, the k most similar of the
+    archive by tf-idf vectors of their own texts (summary and content)."""
+    texts = archive.select("id", T.embedding_text("summary", "content").alias("embed_text"))
+    vectors = written(SP.term_vectors(texts, SP.fit_terms(texts)), "term-vectors")
+    return SP.sparse_topk(vectors.join(batch.select("id"), "id", "left_semi"), vectors, k)
+
+
+def evidence(batch: DataFrame, archive: DataFrame, summary_chars: int) -> DataFrame:
+    """(qid, evidence) of the articles of a batch that is part of the archive."""
+    return I.evidence_text(SIM.enrich_hits(similar_articles(batch, archive), archive), summary_chars)
+
+
 def brief_batch(spark: SparkSession, sf_dir: str, hash_len: int = 40) -> DataFrame:
     """Every item with its unseen flag; unseen items carry article text, brief content and
     the heuristic insight. Columns: id, title, url, source, published, published_ts, url_hash,
@@ -130,6 +146,7 @@ def run_brief_batch(spark: SparkSession, sf_dir: str, out_dir: str, run_ts: str
       out_dir/vector_model   the model behind the text vectors, fitted once on the archive
       out_dir/articles   versioned article table, whole rows replaced (C2), with a 384-d
                          text vector per article (G2)
+      out_dir/prompts    prompt rows of the briefed items (G7), with the similar articles of that table
 
     The brief frame is checkpointed (reliable checkpoint in the shared checkpoint folder) so the
     exports and merges reuse it without recomputing the lineage, and a lost executor only
@@ -200,5 +217,13 @@ def run_brief_batch(spark: SparkSession, sf_dir: str, out_dir: str, run_ts: str
     art_path = f"{out_dir}/articles"
     if not SN.exists(spark, art_path):
         SN.create(spark, art_path, arts.limit(0), "id", buckets)
+    arts = written(arts, "new-articles")
     SN.merge(spark, art_path, arts, ["saved_at"], mode="keep_last")
+
+    # the saved articles are found again: evidence from the table's own vectors, the new ones among them
+    archive = SN.read(spark, art_path)
+    hits = SIM.cosine_topk(arts, archive, C.SIMILAR_K_INSIGHT)
+    ev = I.evidence_text(SIM.enrich_hits(hits, archive), C.EVIDENCE_SUMMARY_CHARS)
+    kv = I.keyword_count_pairs(MN.keyword_article_counts(article_keywords(arts), archive.select(T.search_text("title", "summary", "content").alias("text"))))
+    I.insight_prompt(arts, ev, kv).write.mode("overwrite").parquet(f"{out_dir}/prompts")
     return dict(obs.get)

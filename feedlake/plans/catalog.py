@@ -537,27 +537,48 @@ def insight_archive(spark, sf):
     return I.heuristic_insight_archive(u.select("id", "title", "summary")).select(_long("id").alias("id"), "insight")
 
 
+@query
+def similar_articles(spark, sf):
+    """The 6 most similar archive articles of every unseen article, by tf-idf vectors of their own texts."""
+    arts = B.keyed_articles(spark, sf)
+    h = B.similar_articles(ST.unseen(arts, TB.seen(spark, sf)), arts)
+    return h.select(_long("qid").alias("qid"), _long("rank").alias("rank"), _long("id").alias("id"), F.round("score", 6).alias("score"))
+
+
 @query
 def insight_prompt(spark, sf):
-    """Prompt rows (system, user) of every unseen article: evidence of its top-6 similar
-    archive vectors and its keyword counts as JSON (no model call)."""
+    """Prompt rows (system, user) of every unseen article: evidence from its 6 most similar archive articles by
+    their own texts, and its keyword counts as JSON (no model call)."""
     arts = B.keyed_articles(spark, sf)
     u = ST.unseen(arts, TB.seen(spark, sf))
     kv = I.keyword_count_pairs(B.keyword_counts(u, arts))
-    v = TB.vectors(spark, sf)
-    hits = SIM.cosine_topk(v.join(u.select("id"), "id", "left_semi"), v, k=C.SIMILAR_K_INSIGHT)
-    ev = I.evidence_text(SIM.enrich_hits(hits, TB.articles(spark, sf)))
-    p = I.insight_prompt(u.select("id", "title", "summary"), ev, kv)
+    p = I.insight_prompt(u.select("id", "title", "summary"), B.evidence(u, arts, C.EVIDENCE_SUMMARY_CHARS), kv)
+    return p.select(_long("id").alias("id"), "system", "user")
+
+
+@query
+def insight_archive_prompt(spark, sf):
+    """G6/G7 (archive-analysis wording): evidence with longer summaries, and the 30-day series of each keyword as JSON."""
+    arts = B.keyed_articles(spark, sf)
+    u = ST.unseen(arts, TB.seen(spark, sf))
+    kw = B.article_keywords(u)
+    series = MN.mention_series(B.archive_text(arts), kw, days=C.INSIGHT_BIN_DAYS, as_of=B.AS_OF)
+    p = I.insight_prompt_archive(u.select("id", "title", "summary"), B.evidence(u, arts, C.ARCHIVE_EVIDENCE_SUMMARY_CHARS), I.keyword_series(kw, series))
     return p.select(_long("id").alias("id"), "system", "user")
 
 
 @query
 def text_vectors(spark, sf):
-    """384-d unit vector per article from its summary + content (tokenise, hashed TF, IDF)."""
+    """384-d unit vector per article from its summary + content (tokenise, hashed TF, IDF): its norm, how many places
+    are taken, and the sum of the values by place and of their squares by place."""
     a = TB.articles(spark, sf).select("id", T.embedding_text("summary", "content").alias("embed_text"))
     v = SIM.text_vectors(a, dim=C.EMBED_DIM)
+    by_place = lambda value: F.round(F.aggregate(F.transform("embedding", value), F.lit(0.0), lambda s, x: s + x), 3)
     return v.select(_long("id").alias("id"), F.size("embedding").cast("long").alias("dim"),
-                    F.round(V.l2_norm("embedding"), 4).alias("norm"))
+                    F.round(V.l2_norm("embedding"), 4).alias("norm"),
+                    F.size(F.filter("embedding", lambda x: x != 0)).cast("long").alias("taken"),
+                    by_place(lambda x, i: x.cast("double") * (i + 1)).alias("sum_by_place"),
+                    by_place(lambda x, i: x.cast("double") * x.cast("double") * (i + 1)).alias("squares_by_place"))
 
 
 # ============================================================ H. streaming

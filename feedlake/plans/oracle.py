@@ -209,6 +209,55 @@ def topk_sql(k: int) -> str:
     FROM unit q, unit a) WHERE rank <= {k})"""
 
 
+def hashed_tfidf_sql(dim: int) -> str:
+    """Unit tf-idf vectors of the articles, terms hashed by 32-bit MurmurHash3 (seed 42, as a signed number) modulo dim."""
+    mul = lambda a, c: f"((({a})::UBIGINT * {c}::UBIGINT) & 4294967295::UBIGINT)"
+    rotl = lambda a, r: f"(((({a})::UBIGINT << {r}) & 4294967295::UBIGINT) | (({a})::UBIGINT >> {32 - r}))"
+    mixed = lambda k: mul(rotl(mul(k, 3432918353), 15), 461845907)
+    step = f"(({mul(rotl('xor(h, k)', 13), 5)} + 3864292196::UBIGINT) & 4294967295::UBIGINT)"
+    text = f"lower(coalesce(summary, '') || {NL} || {NL} || coalesce(content, ''))"
+    return f"""term AS (SELECT id, unnest(regexp_extract_all({text}, '[\\p{{L}}\\p{{M}}\\p{{Nd}}\\p{{Nl}}\\p{{Pc}}]+')) AS t FROM articles),
+octets AS (
+  SELECT t, len(x) AS n, x FROM (
+    SELECT t, list_transform(range(1, length(h), 2), lambda i: CAST('0x' || substr(h, i, 2) AS UBIGINT)) AS x
+    FROM (SELECT t, hex(encode(t)) AS h FROM (SELECT DISTINCT t FROM term)))),
+words4 AS (
+  SELECT t, n, list_transform(range(0, n // 4), lambda i: x[4 * i + 1] + x[4 * i + 2] * 256 + x[4 * i + 3] * 65536 + x[4 * i + 4] * 16777216) AS ks,
+         list_sum(list_transform(range(n // 4 * 4, n), lambda i: x[i + 1] * (1::UBIGINT << (8 * (i % 4)))))::UBIGINT AS tail FROM octets),
+body AS (
+  SELECT t, n, tail, list_reduce(list_transform(ks, lambda k: {mixed('k')}), lambda h, k: {step}, 42::UBIGINT) AS h FROM words4),
+ended AS (SELECT t, xor(CASE WHEN tail IS NULL THEN h ELSE xor(h, {mixed('tail')}) END, n::UBIGINT) AS h FROM body),
+fin1 AS (SELECT t, {mul('xor(h, h >> 16)', 2246822507)} AS h FROM ended),
+fin2 AS (SELECT t, {mul('xor(h, h >> 13)', 3266489909)} AS h FROM fin1),
+place AS (SELECT t, ((CASE WHEN z >= 2147483648 THEN z - 4294967296 ELSE z END) % {dim} + {dim}) % {dim} AS b FROM (SELECT t, xor(h, h >> 16)::BIGINT AS z FROM fin2)),
+tf AS (SELECT id, b, count(*) AS c FROM term JOIN place USING (t) GROUP BY id, b),
+idf AS (SELECT b, ln((n + 1)::DOUBLE / (count(*) + 1)) AS g FROM tf, (SELECT count(*) AS n FROM articles) GROUP BY b, n),
+heavy AS (SELECT id, b, c * g AS x FROM tf JOIN idf USING (b) WHERE g > 0),
+weight AS (SELECT id, b, x / sqrt(sum(x * x) OVER (PARTITION BY id)) AS x FROM heavy)"""
+
+
+def own_hits_sql(k: int) -> str:
+    """The k most similar articles of each unseen one, by tf-idf of the hashed terms of summary and content."""
+    text = f"lower(coalesce(summary, '') || {NL} || {NL} || coalesce(content, ''))"
+    return f"""term AS (SELECT id, unnest(regexp_extract_all({text}, '[\\p{{L}}\\p{{N}}]+')) AS t FROM articles),
+place AS (SELECT t, CAST('0x' || substr(md5(t), 1, 5) AS INTEGER) AS b FROM (SELECT DISTINCT t FROM term)),
+tf AS (SELECT id, b, count(*) AS c FROM term JOIN place USING (t) GROUP BY id, b),
+idf AS (SELECT b, ln((n + 1)::DOUBLE / (count(*) + 1)) AS g FROM tf, (SELECT count(*) AS n FROM articles) GROUP BY b, n),
+heavy AS (SELECT id, b, c * g AS x FROM tf JOIN idf USING (b) WHERE g > 0),
+weight AS (SELECT id, b, x / sqrt(sum(x * x) OVER (PARTITION BY id)) AS x FROM heavy),
+hits AS (
+  SELECT qid, id, score, rank FROM (
+    SELECT q.id AS qid, a.id AS id, round(sum(q.x * a.x), 9) AS score,
+           row_number() OVER (PARTITION BY q.id ORDER BY round(sum(q.x * a.x), 9) DESC, a.id) AS rank
+    FROM weight q JOIN weight a USING (b) WHERE q.id IN (SELECT id FROM unseen) GROUP BY q.id, a.id) WHERE rank <= {k})"""
+
+
+def evidence_sql(chars: int) -> str:
+    return (f"ev AS (SELECT h.qid, string_agg('- ' || coalesce(a.published, 'None') || ': ' || coalesce(a.title, 'None') || "
+            f"' (' || coalesce(a.source, 'None') || ')' || {NL} || '  ' || substr(coalesce(a.summary, ''), 1, {chars}) || {NL} || {NL}, '' "
+            f"ORDER BY h.rank) AS evidence FROM hits h JOIN articles a ON a.id = h.id GROUP BY h.qid)")
+
+
 def kw_counts_sql(batch: str) -> str:
     """per (id, pos, keyword) of `batch` titles: archive articles containing lower(keyword)."""
     return f"""kw AS (
@@ -500,16 +549,31 @@ def oracle_sql() -> dict[str, str]:
         kw_counts_sql("unseen"),
         "kvd AS (SELECT id, keyword, min(pos) AS pos, max(mentions) AS n FROM counts GROUP BY id, keyword)",
         f"kvj AS (SELECT id, '{{' || string_agg({json_q('keyword')} || ': ' || CAST(n AS VARCHAR), ', ' ORDER BY pos) || '}}' AS d FROM kvd GROUP BY id)",
-        VEC, topk_sql(C.SIMILAR_K_INSIGHT),
-        f"ev AS (SELECT h.qid, string_agg('- ' || coalesce(a.published, 'None') || ': ' || coalesce(a.title, 'None') || "
-        f"' (' || coalesce(a.source, 'None') || ')' || {NL} || '  ' || substr(coalesce(a.summary, ''), 1, {C.EVIDENCE_SUMMARY_CHARS}) || {NL} || {NL}, '' "
-        f"ORDER BY h.rank) AS evidence FROM hits h JOIN articles a ON a.id = h.id GROUP BY h.qid)") + (
+        own_hits_sql(C.SIMILAR_K_INSIGHT), evidence_sql(C.EVIDENCE_SUMMARY_CHARS)) + (
         f"SELECT CAST(u.id AS BIGINT) AS id, {q(C.INSIGHT_PROMPT_SYSTEM)} AS system, "
         f"'Article:' || {NL} || coalesce(u.title, 'None') || {NL} || {NL} || 'Summary:' || {NL} || coalesce(u.summary, 'None') || "
         f"{NL} || {NL} || 'Similar past items:' || {NL} || coalesce(ev.evidence, '') || {NL} || {NL} || 'Keyword counts:' || {NL} || "
         f"coalesce(kvj.d, '{{}}') || {NL} || {NL} || {q(C.INSIGHT_PROMPT_ASK)} AS user "
         f"FROM unseen u LEFT JOIN ev ON ev.qid = u.id LEFT JOIN kvj ON kvj.id = u.id")
-    o["text_vectors"] = f"SELECT CAST(doc_id AS BIGINT) AS id, CAST({C.EMBED_DIM} AS BIGINT) AS dim, CAST(1.0 AS DOUBLE) AS norm FROM documents"
+    o["similar_articles"] = W(own_hits_sql(C.SIMILAR_K_INSIGHT)) + (
+        "SELECT CAST(qid AS BIGINT) AS qid, CAST(rank AS BIGINT) AS rank, CAST(id AS BIGINT) AS id, round(score, 6) AS score FROM hits")
+    o["insight_archive_prompt"] = W(
+        mention_sql(C.KEYWORDS_PER_TITLE, C.INSIGHT_BIN_DAYS),
+        f"lists AS (SELECT keyword, '[' || string_agg(CAST(coalesce(n, 0) AS VARCHAR), ', ' ORDER BY bin_start) || ']' AS counts "
+        f"FROM spine LEFT JOIN cnt USING (keyword, bin_start) GROUP BY keyword)",
+        f"kw AS (SELECT id, keyword, min(p) AS p FROM (SELECT id, unnest(k) AS keyword, generate_subscripts(k, 1) AS p FROM ("
+        f"SELECT id, {title_words('title', C.KEYWORD_MIN_LEN, C.KEYWORDS_PER_TITLE)} AS k FROM unseen)) GROUP BY id, keyword)",
+        f"kvj AS (SELECT id, '{{' || string_agg({json_q('keyword')} || ': ' || counts, ', ' ORDER BY p) || '}}' AS d FROM kw JOIN lists USING (keyword) GROUP BY id)",
+        own_hits_sql(C.SIMILAR_K_INSIGHT), evidence_sql(C.ARCHIVE_EVIDENCE_SUMMARY_CHARS)) + (
+        f"SELECT CAST(u.id AS BIGINT) AS id, {q(C.ARCHIVE_PROMPT_SYSTEM)} AS system, "
+        f"'Article:' || {NL} || coalesce(u.title, 'None') || {NL} || {NL} || 'Summary:' || {NL} || coalesce(u.summary, 'None') || "
+        f"{NL} || {NL} || 'Similar past items:' || {NL} || coalesce(ev.evidence, '') || {q(C.ARCHIVE_PROMPT_SERIES)} || "
+        f"coalesce(kvj.d, '{{}}') || {q(C.ARCHIVE_PROMPT_ASK)} AS user "
+        f"FROM unseen u LEFT JOIN ev ON ev.qid = u.id LEFT JOIN kvj ON kvj.id = u.id")
+    o["text_vectors"] = W(hashed_tfidf_sql(C.EMBED_DIM)) + (
+        f"SELECT CAST(a.id AS BIGINT) AS id, CAST({C.EMBED_DIM} AS BIGINT) AS dim, coalesce(round(sqrt(sum(x * x)), 4), 0.0) AS norm, count(x) AS taken, "
+        "coalesce(round(sum(x * (b + 1)), 3), 0.0) AS sum_by_place, coalesce(round(sum(x * x * (b + 1)), 3), 0.0) AS squares_by_place "
+        "FROM articles a LEFT JOIN (SELECT id, b, CAST(CAST(x AS FLOAT) AS DOUBLE) AS x FROM weight) w ON w.id = a.id GROUP BY a.id")
     o["stream_ingest"] = ("SELECT CAST(event_id AS BIGINT) AS event_id, CAST(user_id AS BIGINT) AS user_id, event_type, "
                           "CAST(ts AS TIMESTAMP) AS ts FROM events")
     o["stream_seen"] = ("SELECT CAST(user_id AS BIGINT) AS user_id, CAST(event_id AS BIGINT) AS event_id, CAST(ts AS TIMESTAMP) AS ts FROM ("

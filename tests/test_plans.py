@@ -30,6 +30,11 @@ def test_run_brief_batch_end_to_end(spark):
     arts = SN.read(spark, f"{out}/articles")
     assert arts.count() == m["summaries"]
     assert arts.where(F.size("embedding") != 384).count() == 0
+    prompts = {r.id: r.user for r in spark.read.parquet(f"{out}/prompts").collect()}
+    assert len(prompts) == arts.count()
+    best = arts.where("length(content) > 200").first()
+    evidence = prompts[best.id].split("Similar past items:\n")[1].split("\n\nKeyword counts:")[0]
+    assert f"{best.title} ({best.source})" in evidence and 1 <= evidence.count("\n  ") <= 6  # found again in the same run
     # a second run over the same batch keeps the seen rows written by the first (insert-if-absent)
     first = {r.url_hash: r.first_seen for r in seen.collect()}
     B.run_brief_batch(spark, SF, out, run_ts="2024-05-01 00:00:00")
