@@ -10,8 +10,9 @@ drawn alone.
 The pairing runs over a reduction tree. Leaves hold about `leaf` documents of one source, dealt by a
 hash of doc_id, so a hot source has many leaves. Every leaf ends with one fractional document at
 most; these go up, `fanout` leaves to a node, until each source has one. Within a node, documents
-meet in order of falling size, so that the one left is a small one. The draws are hashes of the
-document ids: a rerun takes the same.
+meet in order of falling size, so that the one left is a small one; nothing else is chosen by its
+outcome, so every document is taken with its own probability. The draws are hashes of the document
+ids: a rerun takes the same.
 
 Defined cases: null source is a source of its own, last in order; a source without words, or a
 document without words (null, empty), has nothing to take: target 0 or size 0, taken 0; repeated
@@ -30,8 +31,7 @@ from feedlake.llm.common import WORD, packed, small_batches, stored, table, unpa
 
 LEAF = 256
 FANOUT = 256
-#: Sequences of directions tried for a node, and most rows that are paired together.
-DRAWS = 8
+#: Most rows that are paired together.
 MOST_ROWS = 4096
 #: Most sources whose table is broadcast; beyond, the join shuffles.
 MOST_SOURCES = 50_000
@@ -96,25 +96,19 @@ def exchange(p: float, v: int, q: float, w: int, u: float) -> tuple[float, float
     return (0.0, q + p * v / w) if p * v <= (1 - q) * w else (p - (1 - q) * w / v, 1.0)
 
 
-def paired(p: list[float], size: list[int], key: list[int], seed: int, draws: int = DRAWS) -> list[float]:
-    """One node's probabilities after its pairings: all but one are 0 or 1. Of `draws` sequences of
-    random directions, the one whose open document can miss by the fewest words."""
-    p = [float(_mixed(seed, k) < x) if not w and 0 < x < 1 else x for x, w, k in zip(p, size, key)]
-    at = [i for i, x in enumerate(p) if 0 < x < 1]
-    best, least = p, None
-    for draw in range(draws if len(at) > 1 else 0):
-        out, i = list(p), at[0]
-        for j in at[1:]:
-            if not 0 < out[i] < 1:
-                i = j
-                continue
-            a, b = exchange(out[i], size[i], out[j], size[j], _mixed(seed, draw, key[i], key[j]))
-            out[i], out[j] = (0.0 if x < 1e-12 else 1.0 if x > 1 - 1e-12 else x for x in (a, b))
-            i = i if 0 < out[i] < 1 else j
-        miss = out[i] * (1 - out[i]) * size[i]
-        if least is None or miss < least:
-            best, least = out, miss
-    return best
+def paired(p: list[float], size: list[int], key: list[int], seed: int) -> list[float]:
+    """One node's probabilities after its pairings, in the given order: all but one are 0 or 1."""
+    out = [float(_mixed(seed, k) < x) if not w and 0 < x < 1 else x for x, w, k in zip(p, size, key)]
+    at = [i for i, x in enumerate(out) if 0 < x < 1]
+    i = at[0] if at else 0
+    for j in at[1:]:
+        if not 0 < out[i] < 1:
+            i = j
+            continue
+        a, b = exchange(out[i], size[i], out[j], size[j], _mixed(seed, key[i], key[j]))
+        out[i], out[j] = (0.0 if x < 1e-12 else 1.0 if x > 1 - 1e-12 else x for x in (a, b))
+        i = i if 0 < out[i] < 1 else j
+    return out
 
 
 def _nodes(seed: int):

@@ -99,3 +99,28 @@ def test_empty_table_and_clash(spark):
     docs = spark.createDataFrame([(i, "a", "w w w", "x") for i in range(9)], DOCS).withColumnRenamed("extra", "size").withColumnsRenamed({})
     assert m.mix(docs).columns == ["doc_id", "source", "text", "size", "source_size", "target", "copies"] and m.mix(docs).first().size == 3
     assert {r["size"] for r in m.mixed(docs.withColumn("p", docs.doc_id).withColumn("node", docs.doc_id)).collect()} == {"x"}
+
+
+def test_a_node_takes_every_document_with_its_own_probability():
+    size, p, n = [100, 30, 10, 1], [0.3, 0.5, 0.4, 0.6], 6000
+    mean = [0.0] * 4
+    for seed in range(n):
+        for i, x in enumerate(m.paired(p, size, [11, 22, 33, 44], seed)):
+            mean[i] += x / n  # the one left open is taken with what it has left
+    assert all(abs(a - b) < 0.025 for a, b in zip(mean, p)), mean
+
+
+def test_a_tree_of_nodes_keeps_the_probabilities():
+    size = [500, 90, 80, 70, 60, 33, 21, 13, 5, 2, 1, 1]
+    p, n = [0.2, 0.9, 0.5, 0.35, 0.6, 0.15, 0.7, 0.45, 0.25, 0.8, 0.5, 0.1], 6000
+    mean = [0.0] * len(p)
+    for seed in range(n):
+        now = list(p)
+        for level, nodes in enumerate(([range(0, 4), range(4, 8), range(8, 12)], [range(12)])):
+            for node in nodes:
+                at = sorted((i for i in node if 0 < now[i] < 1), key=lambda i: -size[i])
+                for i, x in zip(at, m.paired([now[i] for i in at], [size[i] for i in at], [1000 + 7 * i for i in at], seed + level)):
+                    now[i] = x
+        assert sum(0 < x < 1 for x in now) <= 1
+        mean = [a + x / n for a, x in zip(mean, now)]
+    assert all(abs(a - b) < 0.025 for a, b in zip(mean, p)), mean
