@@ -33,7 +33,6 @@ import numpy as np
 import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, functions as F
-from pyspark.sql.window import Window
 
 from feedlake.llm.common import LOWER, kept, packed, small_batches, stored, table, texts, unpacked
 from feedlake.llm.components import components
@@ -374,11 +373,24 @@ def clusters(docs: DataFrame, size: int = 5, percent: int = 80, text: str = "tex
 
 
 def deduplicated(docs: DataFrame, size: int = 5, percent: int = 80, text: str = "text") -> DataFrame:
-    """One document of each component, that of the smallest doc_id, and one row of it; the columns of docs."""
-    gone = clusters(docs, size, percent, text).where("doc_id <> component_id").select("doc_id").distinct()
-    kept_rows = packed(docs, docs.columns, "doc_id").join(gone, "doc_id", "left_anti")
-    first = kept_rows.withColumn("nth", F.row_number().over(Window.partitionBy("doc_id").orderBy("doc_id"))).where("nth = 1 or doc_id is null")
-    return unpacked(first, docs.columns)
+    """One row of each component: that of the smallest doc_id, null last; the columns of docs.
+
+    Decided row by row: where a doc_id is null or repeated, a row goes by the hash of its doc_id and text, so rows of one
+    doc_id with different texts are documents of their own. Of rows with equal doc_id and text one stays, whatever
+    their other columns hold."""
+    ids = docs.groupBy("doc_id").agg(F.count(F.lit(1)).alias("n")).agg(F.max("n"), F.count_if(F.col("doc_id").isNull())).first()
+    unique = (ids[0] or 1) == 1 and not ids[1]
+    node = F.col("doc_id").cast("long") if unique else F.xxhash64("doc_id", text)
+    whole = packed(docs, docs.columns, node.alias("doc_id"), F.col(text).alias("text_"))
+    seen = clusters(whole, size, percent, "text_").select("doc_id", "component_id")
+    if unique:
+        gone = seen.where("doc_id <> component_id").select("doc_id")
+        return unpacked(whole.join(gone, "doc_id", "left_anti"), docs.columns)
+    names = docs.select(node.alias("doc_id"), F.col("doc_id").alias("name")).distinct()
+    first = F.min_by("doc_id", F.struct(F.col("name").isNull().alias("last"), "name", "doc_id"))
+    stay = stored(seen.distinct().join(names, "doc_id").groupBy("component_id").agg(first.alias("doc_id")).select("doc_id"), "neardup-stay")
+    rows = whole.join(stay, "doc_id", "left_semi")
+    return unpacked(rows.groupBy("doc_id").agg(F.min_by("row__", F.xxhash64("row__")).alias("row__")), docs.columns)
 
 
 def op10_near_duplicates(spark, sf_dir: str) -> DataFrame:

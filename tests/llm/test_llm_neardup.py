@@ -143,3 +143,20 @@ def test_links_at_the_threshold_for_every_small_set(spark, size, percent):
     want = brute(rows, size, percent)
     got = {r.doc_id: (r.n_shingles, r.component_id) for r in nd.clusters(spark.createDataFrame([(i, t, "x") for i, t in rows], DOCS), size, percent).collect()}
     assert got == want
+
+
+def test_deduplicated_row_by_row(spark):
+    """Rows of one doc_id with other texts are documents of their own; null ids are deduplicated too."""
+    a, b = " ".join(f"a{i}" for i in range(30)), " ".join(f"b{i}" for i in range(30))
+    c = " ".join(f"c{i}" for i in range(40))
+    rows = [(1, a), (1, b), (1, a), (8, a + " more"), (None, c), (None, c), (None, c + " end"), (4, c), (6, None), (6, None), (None, None), (None, "")]
+    rows += [(50, f"only {k} " + " ".join(f"d{k}x{i}" for i in range(20))) for k in range(30)] + [(60, b)] * 40
+    docs = spark.createDataFrame([(i, t, f"e{k}") for k, (i, t) in enumerate(rows)], DOCS).repartition(5)
+    kept = nd.deduplicated(docs)
+    assert kept.columns == docs.columns
+    got = sorted(map(str, ((r.doc_id, r.text) for r in kept.collect())))
+    want = [(1, a), (1, b), (4, c), (6, None), (None, None), (None, "")] + rows[12:42]
+    assert got == sorted(map(str, want))
+    again = nd.deduplicated(docs.repartition(2))
+    assert sorted(map(str, kept.collect())) == sorted(map(str, again.collect()))
+    assert "Window" not in kept._jdf.queryExecution().executedPlan().toString()

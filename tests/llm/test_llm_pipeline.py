@@ -61,3 +61,22 @@ def test_run_and_empty_table(spark, tmp_path):
     for t in ("documents", "benchmark", "labels"):
         spark.read.parquet(f"/root/testdata/sf0.001/{t}.parquet").where("false").write.parquet(f"{tmp_path}/{t}.parquet")
     assert cp.run(spark, str(tmp_path)).count() == 0
+
+
+def test_null_and_repeated_ids_go_through(spark, tmp_path):
+    docs = planted(tmp_path / "a", spark)
+    extra = [(7, "another text under the number of document seven " + docs[50][::-1], "en", "s0", 1), (7, docs[7], "en", "s1", 1), (None, docs[8], "en", None, 1),
+             (None, "a text without a number " + docs[51][::-1], None, "s1", None), (None, None, None, None, None)]
+    rows = [(r.doc_id, r.text, r.lang, r.source, r.n_chars) for r in spark.read.parquet(f"{tmp_path}/a/documents.parquet").collect()]
+    (tmp_path / "b").mkdir()
+    spark.createDataFrame(rows + extra, DOCS).write.parquet(f"{tmp_path}/b/documents.parquet")
+    own = cp.table(spark, f"{tmp_path}/b", "documents")
+    near = cp.drop_near_duplicates(spark, own, "").select("doc_id", "text").collect()
+    left = [(r.doc_id, r.text) for r in near]
+    assert (7, extra[0][1]) in left and left.count((7, docs[7])) == 1 and (None, docs[8]) not in left and (None, extra[3][1]) in left
+    clean = [i for i in docs if i not in (90, 91)]
+    assert sorted(i for i, _ in left if i is not None) == sorted(clean + [7])
+    assert cp.run(spark, "/root/testdata/sf0.001").count() > 0
+    for t in ("benchmark", "labels"):
+        spark.read.parquet(f"{tmp_path}/a/{t}.parquet").write.parquet(f"{tmp_path}/b/{t}.parquet")
+    assert cp.run(spark, f"{tmp_path}/b").count() > 0
