@@ -30,6 +30,7 @@ from __future__ import annotations
 import html
 import math
 import re
+from collections import Counter
 from functools import reduce
 
 import numpy as np
@@ -47,6 +48,10 @@ STRAYS = 10
 MOST_WRAPPERS = 100_000
 #: Deepest nodes that have slots of their own; text below belongs to the slot there.
 DEPTH = 100
+#: Text beside the articles (outside links) that makes them teasers: so many times theirs, and so many characters.
+TEASER, TEASER_CHARS = 4, 200
+#: Elements that are running text wherever they stand: inside an article no class or id hides them.
+RUNNING = frozenset("p h1 h2 h3 h4 h5 h6 li dt dd td th tr pre blockquote figcaption caption b i em strong a span code".split())
 
 TAG = re.compile(r"""<!--.*?(?:-->|\Z)|<[!?][^>]*(?:>|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>"']++|"[^"]*+"|'[^']*+')*+)(?:>|\Z)|<(/?)([a-zA-Z][^\s/>]*)([^>]*)(?:>|\Z)""", re.S)
 NAMES = re.compile(r"""(?:^|[\s"'])(class|id|role)\s*=\s*("[^"]*"|'[^']*'|[^\s"'>]+)""", re.I)
@@ -73,12 +78,20 @@ PAGE_MARKS = frozenset("header topbar".split())  # outside articles only
 LAYOUT = frozenset("no not non has have with without hide".split())
 BOXES = frozenset("list box container wrapper wrap area block section slot unit links link buttons button icons bar panel posts form body".split())
 PIECES = re.compile(r"[_-]+")
+#: Elements whose text is no text of the page in any case, and those that an open paragraph doesn't reach beyond.
+SILENT = frozenset("head script style noscript template iframe svg canvas object textarea title audio video math xmp noembed noframes select".split())
+P_ENDS = frozenset("button table td th".split())
 
 
-def marked(names: str, marks: frozenset) -> bool:
-    """Whether a name of a class or id is a mark, or ends in one that no word of LAYOUT precedes."""
+def marked(names: str, marks: frozenset, alone: bool = False) -> bool:
+    """Whether a name of a class or id is a mark, or ends in one that no word of LAYOUT precedes; alone: whether it
+    consists of marks and names of boxes."""
     for name in names.split():
         piece = [x for x in PIECES.split(name) if x]
+        if alone:
+            if not marks.isdisjoint(piece) and all(x in marks or x in BOXES for x in piece):
+                return True
+            continue
         if len(piece) == 2 and piece[1] in BOXES:
             piece.pop()
         if piece and piece[-1] in marks and LAYOUT.isdisjoint(piece[:-1]):
@@ -87,8 +100,8 @@ def marked(names: str, marks: frozenset) -> bool:
 
 
 class Page:
-    """A page's tree of block elements and its text blocks: (text, node, inside an article, number of the
-    article if it lies in an element hidden by class or id, else 0)."""
+    """A page's tree of block elements and its text blocks: (text, node, 1 inside main and 2 inside an article, number of
+    the article if it lies in an element hidden by class or id, else 0, hidden, characters outside links)."""
 
     def __init__(self, source: str):
         self.labels, self.children, self.blocks = ["html"], [[]], []
@@ -104,33 +117,51 @@ class Page:
         return own[-1]
 
     def _read(self, s: str) -> None:
-        # an open element: tag, node, hidden, in article, hidden by marks alone, article in what marks hide
+        # an open element: tag, node, hidden, 1 in main + 2 in article, hidden by marks alone, article in what marks hide
         stack: list[tuple[str, int, bool, int, bool, int]] = [("html", 0, False, 0, False, 0)]
-        articles = 0
+        count = Counter(["html"])  # open elements by tag: what isn't open need not be looked for
+        articles, plain = 0, 0
         text: list[str] = []
 
+        def add(piece: str):
+            nonlocal plain
+            text.append(piece)
+            plain += 0 if count["a"] else len(piece)
+
         def flush():
+            nonlocal plain
             if text:
                 own = " ".join(html.unescape("".join(text)).split())
                 text.clear()
                 if own:
-                    self.blocks.append((own, stack[-1][1], stack[-1][3], stack[-1][5]))
+                    self.blocks.append((own, stack[-1][1], stack[-1][3], stack[-1][5], stack[-1][2], min(plain, len(own))))
+                plain = 0
 
         def close(to: int):
             while len(stack) > to:
                 if stack[-1][0] in BLOCKS:
                     flush()
-                stack.pop()
+                count[stack.pop()[0]] -= 1
+
+        def nearest(tags, until=frozenset()):
+            """The innermost open element of these tags, above any of `until`; 0: none."""
+            if any(count[t] for t in tags):
+                for k in range(len(stack) - 1, 0, -1):
+                    if stack[k][0] in tags:
+                        return k
+                    if stack[k][0] in until:
+                        break
+            return 0
 
         at, n = 0, len(s)
         while at < n:
             m = TAG.search(s, at)
             if m is None:
-                if not stack[-1][2]:
-                    text.append(s[at:])
+                if stack[-1][0] not in SILENT:
+                    add(s[at:])
                 break
-            if m.start() > at and not stack[-1][2]:
-                text.append(s[at : m.start()])
+            if m.start() > at and stack[-1][0] not in SILENT:
+                add(s[at : m.start()])
             at = m.end()
             tag = (m[2] or m[5] or "").lower()
             if not tag:
@@ -138,7 +169,7 @@ class Page:
             if not s.endswith(">", m.start(), at):
                 break  # the page ends inside a tag
             if m[1] or m[4]:
-                k = next((k for k in range(len(stack) - 1, 0, -1) if stack[k][0] == tag), 0)
+                k = nearest((tag,))
                 if k:
                     close(k)
                 elif tag in BLOCKS:
@@ -149,23 +180,22 @@ class Page:
                 at = end.start() if end else n
                 if tag not in NO_ARTICLE:
                     stack.append((tag, stack[-1][1], True, 0, False, 0))
+                    count[tag] += 1
                 elif end:
                     at = (s.find(">", at) + 1) or n
                 continue
             if tag in VOID:
                 if tag == "hr":
                     flush()
-                elif not stack[-1][2]:
-                    text.append(" ")
+                else:
+                    add(" ")
                 continue
-            if tag in CLOSES_P:
-                k = next((k for k in range(len(stack) - 1, 0, -1) if stack[k][0] == "p" or stack[k][0] in ("button", "table", "td", "th")), 0)
-                if k and stack[k][0] == "p":
-                    close(k)
+            if tag in CLOSES_P and (k := nearest(("p",), P_ENDS)):
+                close(k)
             if tag in ENDS:
                 ends, until = ENDS[tag]
                 low = len(stack)
-                for k in range(len(stack) - 1, 0, -1):
+                for k in range(len(stack) - 1, 0, -1) if any(count[t] for t in ends) else ():
                     if stack[k][0] in until:
                         break
                     if stack[k][0] in ends:
@@ -176,33 +206,40 @@ class Page:
             names = {k.lower(): v.strip("\"'").lower() for k, v in NAMES.findall(attributes)} if "=" in attributes else {}
             marks = names.get("class", "") + " " + names.get("id", "")
             main = tag in ("article", "main") or names.get("role") == "main"
-            article = 2 if tag == "article" else max(inside, 1) if tag == "main" or names.get("role") == "main" else inside
-            if main and by_mark and inside < 2:  # marks hide no ancestor of an article
+            article = inside | 2 if tag == "article" else inside | 1 if main else inside
+            if main and by_mark and not inside & 2:  # marks hide no ancestor of an article
                 articles += 1
                 hidden, by_mark, number = False, False, articles if tag == "article" else 0
             if tag in NO_ARTICLE or names.get("role") in ROLES or (not article and tag == "header"):
                 hidden, by_mark = True, False
-            elif not hidden and not main and tag not in ("html", "body") and marks != " " and (marked(marks, MARKS) or (not article and marked(marks, PAGE_MARKS))):
+            elif article and tag in RUNNING:
+                pass
+            elif not hidden and not main and tag not in ("html", "body") and marks != " " and (marked(marks, MARKS, bool(article)) or (not article and marked(marks, PAGE_MARKS))):
                 hidden, by_mark = True, True
             if tag in BLOCKS:
                 flush()
                 if len(stack) < DEPTH:
                     node = self._node(node, tag + ("." + names["class"].split()[0] if names.get("class", "").split() else ""))
-            if hidden and not stack[-1][2]:
+            if hidden != stack[-1][2]:
                 flush()
             stack.append((tag, node, hidden, article, by_mark, number))
+            count[tag] += 1
             if tag in ("plaintext",):
                 break
-        close(0) if not stack[-1][2] else None
-
-    def main(self) -> list[tuple[str, int]]:
-        """The text blocks that count, with their nodes."""
-        open_ = [b for b in self.blocks if not b[3]]
-        most = max((a for _, _, a, _ in open_), default=0)
-        if not most and (not open_ or len({n for *_, n in self.blocks if n}) == 1):  # several would be teasers or comments
-            open_ = self.blocks
-            most = max((a for _, _, a, _ in open_), default=0)
-        return [(t, k) for t, k, a, _ in open_ if a >= most]
+        close(0)
+
+    def main(self) -> list[int]:
+        """The text blocks that count by tags and marks."""
+        seen = [k for k, b in enumerate(self.blocks) if not b[4]]
+        open_ = [k for k in seen if not self.blocks[k][3]]
+        if not any(self.blocks[k][2] for k in open_) and (not open_ or len({self.blocks[k][3] for k in seen} - {0}) == 1):  # several would be teasers or comments
+            open_ = seen
+        if whole := [k for k in open_ if self.blocks[k][2] & 1]:
+            return whole
+        if not (articles := [k for k in open_ if self.blocks[k][2]]):
+            return open_
+        beside = sum(self.blocks[k][5] for k in open_) - sum(self.blocks[k][5] for k in articles)
+        return open_ if beside >= max(TEASER_CHARS, TEASER * sum(self.blocks[k][5] for k in articles)) else articles
 
     def shape(self) -> str:
         """The tree, in one line: label(children)."""
@@ -330,16 +367,17 @@ def _preorder(page: Page) -> dict[int, int]:
 
 
 def _trees(batches):
+    """Each page's tree, its blocks as (node, hash), and a print of its main text (null without any)."""
     for batch in batches:
         for b in pieces([batch], "html"):
             rows = {"shape": [], "print": [], "nodes": [], "hashes": []}
             for source in b.column("html").to_pylist():
                 page = Page(source or "")
-                main, number = page.main(), _preorder(page)
-                hashes = [_hash(t) for t, _ in main]
+                number, hashes = _preorder(page), [_hash(b[0]) for b in page.blocks]
+                main = [hashes[k] for k in page.main()]
                 rows["shape"].append(page.shape())
-                rows["print"].append(_hash(" ".join(map(str, hashes))))
-                rows["nodes"].append([number[k] for _, k in main])
+                rows["print"].append(_hash(" ".join(map(str, main))) if main else None)
+                rows["nodes"].append([number[b[1]] for b in page.blocks])
                 rows["hashes"].append(hashes)
             yield pa.RecordBatch.from_arrays([b.column("host"), pa.array(rows["shape"]), pa.array(rows["print"], pa.int64()), pa.array(rows["nodes"], pa.list_(pa.int32())), pa.array(rows["hashes"], pa.list_(pa.int64()))],
                                              names=["host", "shape", "print", "nodes", "hashes"])
@@ -382,7 +420,7 @@ TREES = "host string, shape string, print long, nodes array<int>, hashes array<l
 def wrappers(pages: DataFrame) -> DataFrame:
     """pages(host, html) -> (host, layouts): of each host that has template blocks, its layouts in order, with
     their rank, reference tree and template as an array of (slot, hash)."""
-    trees = stored(pages.mapInArrow(_trees, TREES), "html-trees").where(F.size("hashes") > 0)
+    trees = stored(pages.mapInArrow(_trees, TREES), "html-trees").where(F.col("print").isNotNull())
     left = stored(trees.groupBy("host", "print", "shape").agg(F.first("nodes").alias("nodes"), F.first("hashes").alias("hashes")), "html-different")
     found, rank = [], 0
     while True:  # a layout of each host at a time; its reference at least leaves, and hosts with too few pages
@@ -403,18 +441,19 @@ def wrappers(pages: DataFrame) -> DataFrame:
     return reduce(DataFrame.unionByName, found).groupBy("host").agg(F.sort_array(F.collect_list("layout")).alias("layouts"))
 
 
-def page_text(page: Page, reference: str | None, template: set, slots: _Slots) -> str:
-    main = page.main()
+def page_text(page: Page, reference: str | None, template: set, slots: _Slots, marks: bool = True) -> str:
+    main = page.main() if marks else list(range(len(page.blocks)))
     if reference and template:
         to, number = slots[page.shape(), reference], _preorder(page)
-        fixed = [(to.get(number[k]), _hash(t)) in template for t, k in main]
-        if 3 * sum(len(t) for (t, _), f in zip(main, fixed) if f) <= sum(len(t) for t, _ in main):
-            main = [b for b, f in zip(main, fixed) if not f]
-    return "\n\n".join(t for t, _ in main)
+        fixed = {k for k in main if (to.get(number[page.blocks[k][1]]), _hash(page.blocks[k][0])) in template}
+        if 3 * sum(len(page.blocks[k][0]) for k in fixed) <= sum(len(page.blocks[k][0]) for k in main):
+            main = [k for k in main if k not in fixed]
+    return "\n\n".join(page.blocks[k][0] for k in main)
 
 
-def extracted(pages: DataFrame, url: str = "url", source: str = "html", keep: list[str] | None = None) -> DataFrame:
-    """pages (or its columns `keep`) with text, the main text of the page."""
+def extracted(pages: DataFrame, url: str = "url", source: str = "html", keep: list[str] | None = None, marks: bool = True) -> DataFrame:
+    """pages (or its columns `keep`) with text, the main text of the page. Without `marks` the hosts' templates decide
+    alone: all text of a page but scripts and the like counts that is no template."""
     small_batches(pages.sparkSession)
     keep = pages.columns if keep is None else keep
     own = packed(pages, keep, F.col(source).alias("html"), host_and_path(F.col(url))[0].alias("host"))
@@ -438,7 +477,7 @@ def extracted(pages: DataFrame, url: str = "url", source: str = "html", keep: li
                     page = Page(source_ or "")
                     shape = page.shape() if layouts else ""
                     own = next((x for x in layouts or () if _near(slots[shape, x["reference"]], shape, x["reference"])), None)
-                    texts.append(page_text(page, own and own["reference"], {(x["slot"], x["hash"]) for x in own["template"]} if own else set(), slots))
+                    texts.append(page_text(page, own and own["reference"], {(x["slot"], x["hash"]) for x in own["template"]} if own else set(), slots, marks))
                 yield pa.RecordBatch.from_arrays([b.column("row__"), pa.array(texts, pa.string())], schema=schema)
 
     return unpacked(read.mapInArrow(run, out), keep, "text")

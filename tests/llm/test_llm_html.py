@@ -20,7 +20,11 @@ def wrap(body):
 @pytest.mark.parametrize("body,want", [
     ("<article><h1>A &amp; B</h1><p>one\n two&nbsp;three<br>four<p>five</article>", "A & B\n\none two three four\n\nfive"),
     ("<article><p><b>bold <i>x</b> y</i><p>z</article>after", "bold x y\n\nz"),
-    ("<main><p>m</p><article><p>a</p></article></main>", "a"),
+    ("<main><p>m</p><article><p>a</p></article></main>", "m\n\na"),
+    ("<main><h1>Title</h1><p>lead</p><article><p>body</p></article><p>tail</p></main><p>out</p>", "Title\n\nlead\n\nbody\n\ntail"),
+    ("<article><p>a</p><div class='book-search'>how to search</div><p id='related'>b</p><div class='social-share'>s</div><ul class='share'><li>s</ul></article>", "a\n\nhow to search\n\nb"),
+    ("<article class='teaser'><p>short</p></article><div><p>" + "the story goes on " * 20 + "</p></div>", "short\n\n" + ("the story goes on " * 20).strip()),
+    ("<article><p>short</p></article><div><a href='/'>" + "a link to other pages " * 20 + "</a></div>", "short"),
     ("<main><p>m</p></main><p>out</p>", "m"),
     ("<div><p>no article</p></div>", "no article"),
     ("<article><p>a</p><form><p>f</p></form><aside>s</aside><section id='comments'><p>c</p></section><div class='cookie-notice'>n</div><p>b</p></article>", "a\n\nb"),
@@ -108,6 +112,33 @@ def test_template_blocks_go_and_copies_stay(spark):
     assert text[400] == text[401] == ""
 
 
+def test_a_template_is_learnt_from_menus_and_footers_without_marks(spark):
+    """Constant blocks go by alignment alone; what varies stays, so marks are a help, no condition."""
+    page = lambda i: f"<body><nav><ul><li>Home</li><li>News</li></ul></nav><div class='c'><h1>Title {i}</h1><p>{'story ' * 20}{i}</p></div><footer><p>Imprint and terms</p></footer></body>"
+    rows = [(i, f"http://a.com/{i}", page(i), "x") for i in range(8)] + [(100 + i, f"http://few.com/{i}", page(i), "x") for i in range(3)]
+    pages = spark.createDataFrame(rows, PAGES)
+    host = pages.selectExpr("'a.com' as host", "html").where("page_id < 100")
+    assert len(h.wrappers(host).first().layouts[0].template) == 3
+    text = {r.page_id: r.text for r in h.extracted(pages, marks=False).collect()}
+    assert all(text[i] == f"Title {i}\n\n{'story ' * 20}{i}" for i in range(8))
+    assert all(text[100 + i].startswith("Home\n\nNews") and text[100 + i].endswith("Imprint and terms") for i in range(3))
+    assert all(r.text == f"Title {r.page_id % 100}\n\n{'story ' * 20}{r.page_id % 100}" for r in h.extracted(pages).collect())
+
+
+def test_deep_pages_take_linear_time():
+    import time
+
+    def seconds(n):
+        best = 9e9
+        for _ in range(2):
+            t = time.process_time()
+            assert text_of("<article>" + "<div>" * n + "deep") == "deep"
+            best = min(best, time.process_time() - t)
+        return best
+
+    assert seconds(40_000) < 12 * seconds(5_000) + 0.5
+
+
 def test_empty_table_and_clash(spark):
     none = spark.createDataFrame([], PAGES)
     assert h.extracted(none).count() == 0
