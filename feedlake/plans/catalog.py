@@ -19,6 +19,7 @@ from feedlake.functions import markup as M
 from feedlake.functions import text as T
 from feedlake.functions import vectors as V
 from feedlake.operators import insight as I
+from feedlake.operators import mention_index as MI
 from feedlake.operators import mentions as MN
 from feedlake.operators import select as S
 from feedlake.operators import similar as SIM
@@ -512,6 +513,19 @@ def mention_series_multi(spark, sf):
     return s.select("keyword", "bin_start", _long("mentions").alias("mentions"))
 
 
+@query
+def mention_index_series(spark, sf):
+    """G4 as a maintained aggregate: the archive indexed in two increments (the second finds the first one's articles
+    there), then the weekly series of every unseen article's first keyword from the postings."""
+    kw, arts = _unseen_keywords(spark, sf, 1)
+    text = B.archive_text(arts)
+    path = scratch_path(spark, "mention-index")
+    MI.update(spark, path, text.where("id % 3 = 0"))
+    MI.update(spark, path, text)
+    s = MI.series(spark, path, kw, days=C.MENTION_BIN_DAYS, as_of=B.AS_OF)
+    return s.select("keyword", "bin_start", _long("mentions").alias("mentions"))
+
+
 @query
 def evidence_text(spark, sf):
     """Evidence block of the top-6 similar archive articles for every vector."""

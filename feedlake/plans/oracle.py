@@ -521,6 +521,7 @@ def oracle_sql() -> dict[str, str]:
     o["mention_series"] = W(mention_sql(1, C.MENTION_BIN_DAYS)) + (
         "SELECT s.keyword, s.bin_start, CAST(coalesce(c.n, 0) AS BIGINT) AS mentions FROM spine s "
         "LEFT JOIN cnt c ON c.keyword = s.keyword AND c.bin_start = s.bin_start")
+    o["mention_index_series"] = o["mention_series"]
     o["mention_series_multi"] = W(mention_sql(C.KEYWORDS_PER_TITLE, C.INSIGHT_BIN_DAYS)) + (
         "SELECT s.keyword, s.bin_start, CAST(coalesce(c.n, 0) AS BIGINT) AS mentions FROM spine s "
         "LEFT JOIN cnt c ON c.keyword = s.keyword AND c.bin_start = s.bin_start")
