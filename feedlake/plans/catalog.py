@@ -490,6 +490,18 @@ def keyword_counts(spark, sf):
     return c.select(_long("id").alias("id"), _long("pos").alias("pos"), "keyword", _long("mentions").alias("mentions"))
 
 
+@query
+def keyword_counts_regex(spark, sf):
+    """G3, patterns: each title keyword of the unseen articles as a regular expression, in two forms (as it stands, and with
+    its second letter free); mentions is NULL for what is no valid pattern."""
+    arts = B.keyed_articles(spark, sf)
+    kw = B.article_keywords(ST.unseen(arts, TB.seen(spark, sf)))
+    free = F.concat(F.substring("keyword", 1, 1), F.lit("."), F.substring("keyword", 3, 1000))
+    both = kw.select("id", (F.col("pos") * 2).alias("pos"), "keyword").unionByName(kw.select("id", (F.col("pos") * 2 + 1).alias("pos"), free.alias("keyword")))
+    c = MN.keyword_article_counts(both, B.archive_text(arts).select("id", "text"), regex=True)
+    return c.select(_long("id").alias("id"), _long("pos").alias("pos"), "keyword", _long("mentions").alias("mentions"))
+
+
 def _unseen_keywords(spark, sf, n_keywords: int):
     """The first keywords of every unseen article's title, and the archive."""
     arts = B.keyed_articles(spark, sf)

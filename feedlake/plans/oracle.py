@@ -518,6 +518,12 @@ def oracle_sql() -> dict[str, str]:
         "SELECT CAST(qid AS BIGINT) AS qid, CAST(rank AS BIGINT) AS rank, CAST(id AS BIGINT) AS id, round(score, 4) AS score FROM hits")
     o["keyword_counts"] = W(kw_counts_sql("unseen")) + (
         "SELECT CAST(id AS BIGINT) AS id, pos, keyword, mentions FROM counts")
+    o["keyword_counts_regex"] = W(
+        kw_counts_sql("unseen"),
+        "both_kw AS (SELECT id, pos * 2 AS pos, keyword FROM kw UNION ALL SELECT id, pos * 2 + 1, substr(keyword, 1, 1) || '.' || substr(keyword, 3) FROM kw)",
+        "pattern AS (SELECT kw, TRY(regexp_matches('', kw)) IS NOT NULL AS ok FROM (SELECT DISTINCT lower(keyword) AS kw FROM both_kw))",
+        "found AS (SELECT kw, count(*) FILTER (WHERE regexp_matches(arch.text, kw)) AS n FROM (SELECT kw FROM pattern WHERE ok) p, arch GROUP BY kw)") + (
+        "SELECT CAST(id AS BIGINT) AS id, CAST(pos AS BIGINT) AS pos, keyword, CAST(found.n AS BIGINT) AS mentions FROM both_kw LEFT JOIN found ON found.kw = lower(keyword)")
     o["mention_series"] = W(mention_sql(1, C.MENTION_BIN_DAYS)) + (
         "SELECT s.keyword, s.bin_start, CAST(coalesce(c.n, 0) AS BIGINT) AS mentions FROM spine s "
         "LEFT JOIN cnt c ON c.keyword = s.keyword AND c.bin_start = s.bin_start")
