@@ -26,6 +26,7 @@ ORACLE = {
     "op3_chat": chat.OP3_SQL,
     "op6_decontaminate": decontaminate.OP6_SQL,
     "op7_url_filter": urls.OP7_SQL,
+    "op10_near_duplicates": neardup.OP10_SQL,
     "op11_line_dedup": linededup.OP11_SQL,
     "op12_resample": resample.OP12_SQL,
     "op13_merkle": merkle.OP13_SQL,

@@ -67,3 +67,40 @@ def test_empty_tables_and_clash(spark):
     clash = docs.withColumnRenamed("extra", "grade")
     assert t.score(clash, model).columns == ["doc_id", "text", "severity", "grade"]
     assert [tuple(r) for r in t.without_toxic(clash, model).collect()] == [(1, "a", "x")]
+
+
+def test_fit_stands_at_the_minimum_of_the_written_out_likelihood():
+    """The penalised negative log likelihood from its definition, one document at a time, and its slopes by differences."""
+    docs, grades = synthetic(250, 3)
+    l2 = 2e-4
+    model = t.fit(docs, grades, l2, steps=4000)
+    names = sorted(model.weight)
+
+    def loss(weight, thresholds):
+        total = 0.0
+        for d, y in zip(docs, grades):
+            s = sum(weight[w] for w in d if w in weight)
+            above = [1.0, *(1 / (1 + np.exp(th - s)) for th in thresholds), 0.0]  # P(grade > k)
+            total -= np.log(above[y] - above[y + 1])
+        return total / len(docs) + l2 / 2 * sum(x * x for x in weight.values())
+
+    base = dict(zip(names, (float(model.weight[w]) for w in names)))
+    th = [float(x) for x in model.thresholds]
+    for w in [*names[:6], "bad0", "bad5"]:
+        up, down = loss(base | {w: base[w] + 1e-4}, th), loss(base | {w: base[w] - 1e-4}, th)
+        assert abs(up - down) / 2e-4 < 2e-3, w
+    for k in range(len(th)):
+        move = lambda x, k=k: [v + x * (j == k) for j, v in enumerate(th)]
+        assert abs(loss(base, move(1e-4)) - loss(base, move(-1e-4))) / 2e-4 < 2e-3
+    assert loss(base, th) < loss(dict.fromkeys(names, 0.0), th)
+
+
+def test_severity_is_the_expected_grade():
+    docs, grades = synthetic(250, 3)
+    model = t.fit(docs, grades)
+    text = " ".join(sorted(docs[5] | docs[9]))
+    s = model.score(text)
+    above = [1.0, *(1 / (1 + np.exp(th - s)) for th in model.thresholds), 0.0]
+    p = [a - b for a, b in zip(above, above[1:])]
+    severity, grade = model.severity([text])
+    assert abs(severity[0] - sum(k * x for k, x in enumerate(p))) < 1e-9 and grade[0] == int(np.argmax(p)) and abs(sum(p) - 1) < 1e-9
