@@ -45,12 +45,12 @@ def indexed(spark: SparkSession, path: str) -> DataFrame:
 def _counts(keywords: DataFrame, runs: DataFrame, articles: DataFrame, carry: list[str]) -> DataFrame:
     kws = written(MN._keyword_runs(keywords.select("kw").where("kw is not null").distinct()), "keywords")
     word = F.col("kw") != ""
-    facts = kws.agg(F.count(F.lit(1)).alias("n"), F.max("phrase").alias("phrase"), F.max("blank").alias("blank"),
+    facts = kws.agg(F.count(F.lit(1)).alias("n"), F.max(~word).alias("empty"), F.max("phrase").alias("phrase"), F.max("blank").alias("blank"),
                     F.collect_set(F.when(word, F.least(F.length("probe"), F.lit(MN.PROBE)))).alias("sizes")).first()
     if facts["phrase"] or facts["blank"]:
         raise ValueError("the index holds runs without white space: keywords with white space need mentions.contains_counts")
     every = articles.groupBy(*carry).agg(F.count(F.lit(1)).alias("n")).where("n > 0").select(F.lit("").alias("kw"), *carry, "n")
-    out = every.join(kws.where("kw = ''").select("kw"), "kw", "left_semi")
+    out = every if facts["empty"] else every.limit(0)
     for part in MN.run_counts(runs, kws, carry, sorted(facts["sizes"]), facts["n"]) if facts["sizes"] else []:
         out = out.unionByName(part)
     return out
