@@ -123,6 +123,21 @@ def feed_union(spark, sf):
     return _items_out(FD.feed_items(rss.unionByName(js)))
 
 
+@query
+def feed_rejects(spark, sf):
+    """A3/A5: payloads that can't be taken, with the reason. Of the mixed payloads by number of the group: one in
+    five is cut in half, one an error page, one blank, one a feed without entries, one as it should be."""
+    e = _doc_feed_entries(spark, sf)
+    is_rss = F.coalesce(F.col("lang"), F.lit("")).isin("en", "de")
+    p = _rss_payloads(e.where(is_rss)).unionByName(_json_payloads(e.where(~is_rss)))
+    turn = F.regexp_extract("url", r"/(\d+)\.[a-z]+$", 1).cast("long") % 5
+    page = F.lit("<html><body>503</body></html>")
+    bare = F.when(FD.is_json_feed("url"), F.lit('{"data":{"children":[]}}')).otherwise(F.lit("<rss><channel><title>t</title></channel></rss>"))
+    broken = (F.when(turn == 0, F.expr("substring(payload, 1, CAST(length(payload) / 2 AS INT))")).when(turn == 1, page)
+              .when(turn == 2, F.lit(" \n")).when(turn == 3, bare).otherwise(F.col("payload")))
+    return FD.feed_rejects(p.select("url", broken.alias("payload"))).select("feed_url", "kind", "reason")
+
+
 @query
 def source_list_dedup(spark, sf):
     """Defaults then the user's list (one feed url per archive article), first wins."""

@@ -326,6 +326,12 @@ def oracle_sql() -> dict[str, str]:
     o["feed_union"] = W(feed_sql()) + (f"SELECT {kind_cols} FROM rss WHERE coalesce(lang, '') IN ('en', 'de') AND kind_pos < {C.ENTRIES_PER_FEED} "
                                        f"UNION ALL SELECT {kind_cols} FROM js WHERE coalesce(lang, '') NOT IN ('en', 'de')")
     o["stream_feed_ingest"] = o["feed_union"]
+    o["feed_rejects"] = W(feed_sql()) + (
+        "SELECT f.feed_url, f.kind, CASE g % 5 WHEN 0 THEN 'malformed' WHEN 1 THEN if(f.kind = 'json', 'malformed', 'not a feed') "
+        "WHEN 2 THEN 'empty' ELSE 'no entries' END AS reason "
+        "FROM (SELECT DISTINCT feed_url, g, kind FROM (SELECT feed_url, 'rss' AS kind FROM rss WHERE coalesce(lang, '') IN ('en', 'de') "
+        "UNION ALL SELECT feed_url, 'json' FROM js WHERE coalesce(lang, '') NOT IN ('en', 'de')) "
+        "CROSS JOIN LATERAL (SELECT CAST(regexp_extract(feed_url, '/([0-9]+)[.][a-z]+$', 1) AS BIGINT) AS g)) f WHERE g % 5 < 4")
     o["source_list_dedup"] = W() + (
         f"SELECT CAST(min(pos) AS BIGINT) AS pos, url FROM ("
         f"SELECT * FROM (VALUES {_sources_values()}) d(pos, url) "

@@ -3,7 +3,7 @@ source routing and union, the ordered source list, and seen-hash import.
 
 A payload is one fetched document (url, payload). Payloads are parsed with explicit schemas
 (`from_xml` / `from_json`, never inference); a malformed payload parses to NULL and yields no
-items, so one bad feed never fails the batch. Items carry (feed_url, entry_pos) so arrival
+items, so one bad feed never fails the batch; `feed_rejects` keeps it with the reason. Items carry (feed_url, entry_pos) so arrival
 order is explicit.
 """
 
@@ -70,78 +70,115 @@ def is_json_feed(url) -> F.Column:
     return u.contains("reddit.com") & u.endswith(".json")
 
 
+CORRUPT = "_corrupt_record"
+ENTRY = "array<struct<title: string, link: string, summary: string, published: string>>"
+
+
+def is_atom(payload) -> F.Column:
+    """An Atom document: its root element is <feed> (after an optional XML declaration)."""
+    return T.col_(payload).rlike(r"^\s*(<\?xml[^>]*\?>\s*)?<feed[\s>]")
+
+
+def payload_kind(url="url", payload="payload") -> F.Column:
+    """Which reader takes a payload: 'json' for a reddit *.json url, 'atom' by the root element, else 'rss'."""
+    return (F.when(F.coalesce(is_json_feed(url), F.lit(False)), "json")
+            .when(F.coalesce(is_atom(payload), F.lit(False)), "atom").otherwise("rss"))
+
+
+def _parsed(payloads: DataFrame, kind) -> DataFrame:
+    """(feed_url, kind, payload, rss, atom, json): each payload parsed once, by its own reader; the other two
+    documents are NULL. A document that can't be read whole keeps its text in the corrupt-record field."""
+    of = lambda k, doc: F.when(F.col("kind") == k, doc)
+    return (payloads.select(F.col("url").alias("feed_url"), kind.alias("kind"), "payload")
+            .select("*", of("rss", F.from_xml("payload", _flagged(RSS_SCHEMA))).alias("rss"),
+                    of("atom", F.from_xml("payload", _flagged(ATOM_SCHEMA))).alias("atom"),
+                    of("json", F.from_json("payload", _flagged(JSON_SCHEMA))).alias("json")))
+
+
+def _flagged(schema: Ty.StructType) -> Ty.StructType:
+    return Ty.StructType([*schema.fields, Ty.StructField(CORRUPT, Ty.StringType())])
+
+
+def _rss_entries(limit: int) -> F.Column:
+    return F.transform(F.slice(F.coalesce("rss.channel.item", "rss.item"), 1, limit), lambda e: F.struct(
+        T.full_trim(F.coalesce(e["title"], F.lit(""))).alias("title"),
+        T.full_trim(F.coalesce(e["link"], F.lit(""))).alias("link"),
+        T.cut(F.coalesce(e["description"], e["content:encoded"], F.lit("")), C.RSS_SUMMARY_CHARS).alias("summary"),
+        F.coalesce(e["pubDate"], e["dc:date"], F.lit("")).alias("published")))
+
+
+def _atom_entries(limit: int) -> F.Column:
+    def href(links):
+        alternate = F.filter(links, lambda l: F.coalesce(l["_rel"], F.lit("alternate")) == "alternate")
+        return F.coalesce(F.get(alternate, 0)["_href"], F.get(links, 0)["_href"])
+
+    return F.transform(F.slice("atom.entry", 1, limit), lambda e: F.struct(
+        T.full_trim(F.coalesce(e["title"], F.lit(""))).alias("title"),
+        T.full_trim(F.coalesce(href(e["link"]), F.lit(""))).alias("link"),
+        T.cut(F.coalesce(e["summary"], e["content"], F.lit("")), C.RSS_SUMMARY_CHARS).alias("summary"),
+        F.coalesce(e["published"], e["updated"], F.lit("")).alias("published")))
+
+
+def _json_entries() -> F.Column:
+    return F.transform("json.data.children", lambda c: F.struct(
+        F.coalesce(c["data"]["title"], F.lit("")).alias("title"),
+        F.concat(F.lit(C.JSON_LINK_PREFIX), F.coalesce(c["data"]["permalink"], F.lit(""))).alias("link"),
+        T.cut(F.coalesce(c["data"]["selftext"], F.lit("")), C.JSON_SUMMARY_CHARS).alias("summary"),
+        D.iso_naive(D.epoch_to_ts(c["data"]["created_utc"])).alias("published")))
+
+
+def _entries(limit: int) -> F.Column:
+    by_kind = F.when(F.col("kind") == "json", _json_entries()).when(F.col("kind") == "atom", _atom_entries(limit)).otherwise(_rss_entries(limit))
+    return F.coalesce(by_kind.cast(ENTRY), F.array().cast(ENTRY))
+
+
+def _items(payloads: DataFrame, kind, limit: int) -> DataFrame:
+    source = (F.when(F.col("kind") == "json", F.lit(C.JSON_SOURCE_NAME))
+              .otherwise(F.coalesce("rss.channel.title", "atom.title", "feed_url")))
+    e = _parsed(payloads, kind).select("feed_url", source.alias("source"), F.posexplode(_entries(limit)).alias("entry_pos", "e"))
+    return e.select("feed_url", "entry_pos", "e.title", "e.link", "e.summary", "e.published", "source")
+
+
 def rss_items(payloads: DataFrame, limit: int = C.ENTRIES_PER_FEED) -> DataFrame:
     """RSS payloads (0.9x, 2.0 and RDF) -> items: first `limit` entries in document order; title/link
     trimmed, summary (description, else content:encoded) cut to 1000, published pubDate else dc:date,
     source = channel title else the feed url. Bad payload -> no rows."""
-    p = payloads.select(F.col("url").alias("feed_url"), F.from_xml("payload", RSS_SCHEMA).alias("doc"))
-    e = p.select("feed_url", F.col("doc.channel.title").alias("_ch"),
-                 F.posexplode(F.slice(F.coalesce(F.col("doc.channel.item"), F.col("doc.item"), F.array().cast(Ty.ArrayType(RSS_ITEM))), 1, limit))
-                 .alias("entry_pos", "e"))
-    return e.select(
-        "feed_url", F.col("entry_pos").cast("int").alias("entry_pos"),
-        T.full_trim(F.coalesce("e.title", F.lit(""))).alias("title"),
-        T.full_trim(F.coalesce("e.link", F.lit(""))).alias("link"),
-        T.cut(F.coalesce("e.description", "e.`content:encoded`", F.lit("")), C.RSS_SUMMARY_CHARS).alias("summary"),
-        F.coalesce("e.pubDate", "e.`dc:date`", F.lit("")).alias("published"),
-        F.coalesce(F.col("_ch"), F.col("feed_url")).alias("source"),
-    )
+    return _items(payloads, F.lit("rss"), limit)
 
 
 def json_items(payloads: DataFrame) -> DataFrame:
     """reddit-style JSON payloads -> items (all children, no limit): link = prefix + permalink,
     summary = selftext cut to 500, published = naive ISO of created_utc (0 when missing),
     source 'Reddit'. Missing fields -> ''. Malformed payload -> no rows."""
-    p = payloads.select(F.col("url").alias("feed_url"), F.from_json("payload", JSON_SCHEMA).alias("doc"))
-    e = p.select("feed_url", F.posexplode(F.coalesce(F.col("doc.data.children"),
-                                                     F.array().cast(JSON_SCHEMA["data"].dataType["children"].dataType)))
-                 .alias("entry_pos", "c"))
-    d = F.col("c.data")
-    return e.select(
-        "feed_url", F.col("entry_pos").cast("int").alias("entry_pos"),
-        F.coalesce(d["title"], F.lit("")).alias("title"),
-        F.concat(F.lit(C.JSON_LINK_PREFIX), F.coalesce(d["permalink"], F.lit(""))).alias("link"),
-        T.cut(F.coalesce(d["selftext"], F.lit("")), C.JSON_SUMMARY_CHARS).alias("summary"),
-        D.iso_naive(D.epoch_to_ts(d["created_utc"])).alias("published"),
-        F.lit(C.JSON_SOURCE_NAME).alias("source"),
-    )
-
-
-def is_atom(payload) -> F.Column:
-    """An Atom document: its root element is <feed> (after an optional XML declaration)."""
-    return T.col_(payload).rlike(r"^\s*(<\?xml[^>]*\?>\s*)?<feed[\s>]")
+    return _items(payloads, F.lit("json"), C.ENTRIES_PER_FEED)
 
 
 def atom_items(payloads: DataFrame, limit: int = C.ENTRIES_PER_FEED) -> DataFrame:
     """Atom payloads -> items with the RSS rules: first `limit` entries, link = the alternate
     (or first) link's href, summary (else content) cut to 1000, published else updated, source =
     feed title else the feed url."""
-    p = payloads.select(F.col("url").alias("feed_url"), F.from_xml("payload", ATOM_SCHEMA).alias("doc"))
-    e = p.select("feed_url", F.col("doc.title").alias("_ch"),
-                 F.posexplode(F.slice(F.coalesce(F.col("doc.entry"), F.array().cast(Ty.ArrayType(ATOM_ENTRY))), 1, limit))
-                 .alias("entry_pos", "e"))
-    links = F.col("e.link")
-    alt = F.filter(links, lambda l: F.coalesce(l["_rel"], F.lit("alternate")) == "alternate")
-    href = F.coalesce(F.element_at(alt, 1)["_href"], F.element_at(links, 1)["_href"])
-    return e.select(
-        "feed_url", F.col("entry_pos").cast("int").alias("entry_pos"),
-        T.full_trim(F.coalesce("e.title", F.lit(""))).alias("title"),
-        T.full_trim(F.coalesce(href, F.lit(""))).alias("link"),
-        T.cut(F.coalesce("e.summary", "e.content", F.lit("")), C.RSS_SUMMARY_CHARS).alias("summary"),
-        F.coalesce("e.published", "e.updated", F.lit("")).alias("published"),
-        F.coalesce(F.col("_ch"), F.col("feed_url")).alias("source"),
-    )
+    return _items(payloads, F.lit("atom"), limit)
 
 
 def feed_items(payloads: DataFrame, limit: int = C.ENTRIES_PER_FEED) -> DataFrame:
-    """Route each payload (reddit *.json url -> JSON reader; Atom root -> Atom reader; else RSS)
-    and union. Each branch only sees its own payloads, so a parse failure stays local."""
-    j = payloads.where(is_json_feed("url"))
-    x = payloads.where(~is_json_feed("url"))
-    atom = x.where(F.coalesce(is_atom("payload"), F.lit(False)))
-    r = x.where(~F.coalesce(is_atom("payload"), F.lit(False)))
-    return (rss_items(r, limit).unionByName(atom_items(atom, limit)).unionByName(json_items(j))
-            .select(*ITEM_COLUMNS))
+    """All payloads -> items, each by its own reader (payload_kind), in one pass over the payloads. A payload
+    that fails gives no rows and harms no other; feed_rejects tells which and why."""
+    return _items(payloads, payload_kind(), limit)
+
+
+def feed_rejects(payloads: DataFrame) -> DataFrame:
+    """The payloads that give no items, or not all: (feed_url, kind, reason, payload), a row for each such
+    payload. Reasons: 'empty' (null or white space), 'malformed' (not well-formed, or a field of another type
+    than the format's), 'not a feed' (well-formed, without the format's container), 'no entries'."""
+    p = _parsed(payloads, payload_kind())
+    corrupt = F.coalesce(*(F.col(f"{k}.{CORRUPT}") for k in ("rss", "atom", "json")))
+    feed = (F.when(F.col("kind") == "json", F.col("json.data.children").isNotNull())
+            .when(F.col("kind") == "atom", F.lit(True))  # the root element said so
+            .otherwise(F.col("rss.channel").isNotNull() | F.col("rss.item").isNotNull()))
+    reason = (F.when(T.full_trim(F.coalesce("payload", F.lit(""))) == "", "empty")
+              .when(corrupt.isNotNull(), "malformed").when(~feed, "not a feed")
+              .when(F.size(_entries(1)) == 0, "no entries"))
+    return p.select("feed_url", "kind", reason.alias("reason"), "payload").where(F.col("reason").isNotNull())
 
 
 def with_item_keys(items: DataFrame, hash_len: int = 40) -> DataFrame:

@@ -45,6 +45,35 @@ def test_json_items_and_routing(spark):
                    ("Reddit", "A", "https://reddit.com/r/x/1", C.JSON_SUMMARY_CHARS, "2024-01-01T10:00:00")]
 
 
+def test_feed_rejects(spark):
+    atom = '<feed xmlns="http://www.w3.org/2005/Atom"><title>A</title>%s'
+    payloads = {"https://good/feed.xml": (rss("Chan", [{"title": "R"}]), None),
+                "https://cut/feed.xml": ("<rss><channel><item><title>broken", "malformed"),
+                "https://page/feed.xml": ("<html><body>503</body></html>", "not a feed"),
+                "https://text/feed.xml": ("Service unavailable", "malformed"),
+                "https://bare/feed.xml": (rss("Empty", []), "no entries"),
+                "https://blank/feed.xml": (" \n", "empty"), "https://null/feed.xml": (None, "empty"),
+                "https://atom/feed": (atom % "<entry><title>e</title></entry></feed>", None),
+                "https://atom/cut": (atom % "<entry><title>e</title>", "malformed"),
+                "https://atom/bare": (atom % "</feed>", "no entries"),
+                "https://www.reddit.com/r/a/.json": ('{"data": {"children": [{"data": {"title": "t"}}]}}', None),
+                "https://www.reddit.com/r/b/.json": ('{"data": {"children": [{"data": {"title', "malformed"),
+                "https://www.reddit.com/r/c/.json": ('{"data": {"children": "none"}}', "malformed"),
+                "https://www.reddit.com/r/d/.json": ('{"error": 404}', "not a feed"),
+                "https://www.reddit.com/r/e/.json": ('{"data": {"children": []}}', "no entries")}
+    df = spark.createDataFrame([(u, p) for u, (p, _) in payloads.items()] + [(None, "x")], "url string, payload string")
+    got = {r.feed_url: (r.reason, r.payload) for r in FD.feed_rejects(df).collect()}
+    assert got == {**{u: (why, p) for u, (p, why) in payloads.items() if why}, None: ("malformed", "x")}
+    assert {r.feed_url for r in FD.feed_items(df).collect()} == set(payloads) - {u for u in got}
+    assert FD.feed_rejects(df.limit(0)).count() == 0
+
+
+def test_feed_items_reads_payloads_once(spark, tmp_path):
+    spark.createDataFrame([("https://a/feed.xml", "<rss/>")], "url string, payload string").write.parquet(str(tmp_path / "p"))
+    plan = FD.feed_items(spark.read.parquet(str(tmp_path / "p")))._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("FileScan") == 1
+
+
 def test_source_list(spark, tmp_path):
     p = tmp_path / "sources.json"
     p.write_text(json.dumps(["https://new/feed", C.DEFAULT_SOURCES[2], "https://new/feed", "https://other"]))
