@@ -4,6 +4,11 @@ link resolution, page main-text extraction.
 
 from __future__ import annotations
 
+import html
+import re
+from bisect import bisect_right
+from collections import Counter
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -56,8 +61,6 @@ def resolve_link(raw, base_path: str = "") -> Column:
 def unescape_entities(c) -> Column:
     """Decode all character references, named and numeric, by the HTML rules, once. Spark has no function
     for the standard's table of names, so this one runs the standard library's over Arrow batches."""
-    import html
-
     import pandas as pd
 
     def decoded(texts):
@@ -67,34 +70,100 @@ def unescape_entities(c) -> Column:
     return F.pandas_udf(decoded, "string")(col_(c))
 
 
-# Blocks removed before the main text is cut out of a page (dotall, case-insensitive).
-# The patterns avoid back-references and look-around so that RE2 (the SQL oracle) reads
-# them the same way.
-DROP_BLOCKS = [
-    r"(?is)<script[^>]*>.*?</script\s*>",
-    r"(?is)<style[^>]*>.*?</style\s*>",
-    r"(?s)<!--.*?-->",
-    r"(?is)<nav[^>]*>.*?</nav\s*>",
-    r"""(?is)<div[^>]*class\s*=\s*(("ad"|'ad'|ad\s)[^>]*>|ad>).*?</div\s*>""",
-    r"(?is)<aside[^>]*>.*?</aside\s*>",
-]
-ARTICLE_BODY = r"(?is)<article[^>]*>(.*)</article\s*>"
-BODY = r"(?is)<body[^>]*>(.*)</body\s*>"
-TAG = r"<[^>]*>"
-#: A non-character that no page holds stands for a tag, so that a run of tags needs no repeated group
-#: (Java's matcher recurses once for each repetition of a group).
-TAG_MARK = "\ufdd0"
-
-
-def page_main_text(html) -> Column:
-    """Main text of a raw page: drop script/style/comments/nav/ad blocks, take the <article>
-    body (else <body>, else the whole page), turn every run of tags into one newline, decode
-    entities, trim. NULL/blank page -> ''."""
-    h = F.coalesce(col_(html), F.lit(""))
-    for pat in DROP_BLOCKS:
-        h = F.regexp_replace(h, pat, "")
-    art = F.regexp_extract(h, ARTICLE_BODY, 1)
-    body = F.regexp_extract(h, BODY, 1)
-    main = F.when(art != "", art).when(body != "", body).otherwise(h)
-    text = F.regexp_replace(F.regexp_replace(main, TAG, TAG_MARK), f"{TAG_MARK}+", "\n")
-    return full_trim(unescape_entities(text))
+#: Elements that hold others. The end of any other element (a paragraph, a link, bold text) ends none of these.
+CONTAINERS = frozenset("""address article aside blockquote body button caption center dd details dialog dir div dl dt fieldset
+figcaption figure footer form header hgroup html li main menu nav ol pre section summary table tbody td tfoot th thead tr ul""".split())
+#: Elements left out of the main text with all they hold; a div is left out if its class is `ad`.
+LEFT_OUT = ("nav", "aside")
+#: Elements whose content is no markup.
+RAW = {name: re.compile(rf"</{name}\s*>", re.I) for name in ("script", "style")}
+_OPENED = re.compile(r"<(?:!--|(/?)([A-Za-z][^\s/>]*)([^>]*)>)")
+_AD = re.compile(r"""(?:^|\s)class\s*=\s*(?:"ad"|'ad'|ad(?=[\s/]|$))""", re.I)
+_TAGS = re.compile("<[^>]*>(?:<[^>]*>)*")
+
+
+def _structure(page: str):
+    """(start, end, name, kind) of what shapes the page, in order; kind is 'open', 'close', 'drop' (the open tag of an
+    element left out) or 'cut' (a comment, or a script or style element as a whole, if it ends)."""
+    past, unended = 0, set()
+    for m in _OPENED.finditer(page, 0, page.rfind(">") + 1):  # every < there has a > after it: linear time
+        start, end = m.span()
+        name = (m[2] or "!--").lower()
+        if start < past:
+            continue
+        if name == "!--" or name in RAW:
+            if not m[1] and name not in unended:
+                at = page.find("-->", end) + 3 if name == "!--" else stop.end() if (stop := RAW[name].search(page, end)) else 2
+                if at > 2:
+                    past = at
+                    yield start, past, name, "cut"
+                else:
+                    unended.add(name)
+        elif name not in CONTAINERS:
+            continue
+        elif m[1]:
+            yield start, end, name, "close"
+        else:
+            yield start, end, name, "drop" if name in LEFT_OUT or name == "div" and _AD.search(m[3]) else "open"
+
+
+def _left_out(tags: list) -> list:
+    """(start, end) of what is left out, outermost ones only, in order. A close tag ends the innermost open element of its
+    name and all that stand open inside it; close tags without one mean nothing. An element that nothing ends stays in."""
+    spans, stack, count = [], [], Counter()
+    for start, end, name, kind in tags:
+        if kind == "cut":
+            spans.append((start, end))
+        elif kind != "close":
+            stack.append((name, start if kind == "drop" else -1))
+            count[name] += 1
+        elif count[name]:
+            top = None
+            while top != name:
+                top, since = stack.pop()
+                count[top] -= 1
+                if since >= 0:
+                    spans.append((since, end if top == name else start))
+    outer = []
+    for start, end in sorted(spans):
+        if not outer or start >= outer[-1][1]:
+            outer.append((start, end))
+    return outer
+
+
+def main_text(page: str | None) -> str:
+    """Main text of a raw page: comments, scripts, styles, nav, aside and ad elements go with all they hold, however
+    deeply they nest; what is inside <article> stays (from the first to the last close tag; else <body>, else the page);
+    every run of tags is one newline; character references are decoded once. Not trimmed. NULL/empty -> ''."""
+    if not page:
+        return ""
+    tags = list(_structure(page))
+    spans = _left_out(tags)
+    starts = [a for a, _ in spans]
+    kept = [t for t in tags if not (i := bisect_right(starts, t[0])) or t[0] >= spans[i - 1][1]]
+
+    def between(first: int, last: int) -> str:
+        edges = [first, *(x for a, b in spans if first <= a and b <= last for x in (a, b)), last]
+        return "".join(page[a:b] for a, b in zip(edges[::2], edges[1::2]))
+
+    main = ""
+    for name in ("article", "body"):
+        first = next((end for _, end, n, kind in kept if n == name and kind == "open"), None)
+        last = next((start for start, _, n, kind in reversed(kept) if n == name and kind == "close"), None)
+        if not main and first is not None and last is not None and first < last:
+            main = between(first, last)
+    main = main or between(0, len(page))
+    whole = main.rfind(">") + 1
+    return html.unescape(_TAGS.sub("\n", main[:whole]) + main[whole:])
+
+
+def page_main_text(page) -> Column:
+    """main_text of a column of raw pages, trimmed. The scan keeps a stack of open elements for each page, which no
+    expression of columns can; it runs over Arrow batches, once, and decodes character references as it goes."""
+    import pandas as pd
+
+    def texts(pages):
+        return pages.map(main_text)
+
+    texts.__annotations__ = {"pages": pd.Series, "return": pd.Series}
+    return full_trim(F.pandas_udf(texts, "string")(col_(page)))

@@ -1,6 +1,9 @@
 import datetime as dt
+import time
+from html.parser import HTMLParser
 
 import pytest
+from hypothesis import given, settings, strategies as st
 from pyspark.sql import functions as F
 
 from feedlake.functions import dates as D
@@ -62,6 +65,64 @@ def test_many_adjacent_tags_and_named_references(spark):
     assert [x["t"] for x in df.select(M.page_main_text("h").alias("t")).collect()] == ["a\nb é€™é", "z"]
 
 
+class Standard(HTMLParser):
+    """Main text by the standard library's parser: a stack of container elements, text kept outside what is left out."""
+
+    def __init__(self, page):
+        super().__init__(convert_charrefs=True)
+        self.stack, self.texts, self.raw = [], [], None
+        self.feed(page)
+        self.close()
+
+    def handle_starttag(self, tag, attrs):
+        self.raw = tag if tag in ("script", "style") else self.raw
+        if tag in M.CONTAINERS:
+            self.stack.append((tag, tag in ("nav", "aside") or tag == "div" and dict(attrs).get("class") == "ad"))
+
+    def handle_endtag(self, tag):
+        self.raw = None if tag == self.raw else self.raw
+        if any(t == tag for t, _ in self.stack):
+            while self.stack.pop()[0] != tag:
+                pass
+
+    def handle_data(self, data):
+        inside = any(t == "article" for t, _ in self.stack)
+        if inside and self.raw is None and not any(out for _, out in self.stack):
+            self.texts.append(data)
+
+
+AD, DIV, NAV, P = '<div class="ad">', "<div>", "<nav>", "<p>"
+piece = st.recursive(
+    st.sampled_from(["x", "y &amp; z", "&lt;p&gt;", "<br>", "<!-- <nav> -->", "<script>if(a<b){'</p>'}</script>", "<p>open"]),
+    lambda inner: st.tuples(st.sampled_from([AD, "<DIV CLASS='ad'>", "<div class=ad >", DIV, "<div class='ads'>", NAV, "<aside id=a>", P, "<b>", "<ul>", "<section>"]),
+                            st.lists(inner, max_size=4), st.booleans()).map(
+        lambda t: t[0] + "".join(t[1]) + ("" if t[2] and t[0] in (P, "<b>", "<ul>") else f"</{t[0].split()[0].strip('<>').lower()}>")), max_leaves=25)
+
+
+@settings(max_examples=400, deadline=None)
+@given(st.lists(piece, max_size=6))
+def test_main_text_like_the_standard_parser(pieces):
+    page = f"<html><body><nav>menu</nav><article>s{''.join(pieces)}</article><footer>f</footer></body></html>"
+    assert "".join(M.main_text(page).split()) == "".join("".join(Standard(page).texts).split())
+
+
+@pytest.mark.parametrize("page, text", [
+    ('<div class="ad"><div>x</div>y</div>z', "z"), ("<article>a<div class=ad><div>x</div>y</div>b<nav><nav>q</nav>r</nav>c</article>", "abc"),
+    ('<section><div class="ad">buy<p>now</section><p>t', "\nt"), ("a<!-- <nav> -->b", "ab"), ("<nav>never ended<p>t", "\nnever ended\nt"),
+    ("<i><nav>k</i>l</nav>z", "\nz"), ("<body>a<aside><article>teaser</article></aside>b</body>", "ab"), ("<article></article><body>b</body>", "b"),
+    ("<script>a", "\na"), ("<!-- a", "<!-- a"), ("a</div>b", "a\nb"), ("2 < 3", "2 < 3"), ("", ""), (None, "")])
+def test_main_text_cases(page, text):
+    assert M.main_text(page) == text
+
+
+@pytest.mark.parametrize("page", ["<div>" * 100_000, '<div class="ad">' * 50_000 + "</div>" * 50_000, "<" * 300_000, "<!--" * 100_000 + ">",
+                                  "<script>" * 50_000 + "</style>", "<nav>x</nav>" * 50_000])
+def test_main_text_takes_linear_time(page):
+    began = time.perf_counter()
+    M.main_text(page)
+    assert time.perf_counter() - began < 10
+
+
 def test_unescape_once(spark):
     df = spark.createDataFrame([("&amp;lt; &amp &lt; &amp;amp;",)], "h string")
     assert df.select(M.unescape_entities("h").alias("t")).first()["t"] == "&lt; & < &amp;"
