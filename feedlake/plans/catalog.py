@@ -655,6 +655,45 @@ def stream_seen(spark, sf):
     return SF.first_seen_stream(spark, sf).select(_long("user_id").alias("user_id"), _long("event_id").alias("event_id"), "ts")
 
 
+@query
+def stream_first_seen(spark, sf):
+    """H2 with state of its own for each user: the earliest event of each user, given out when the watermark (a day) has
+    passed it. Two runs: the second goes on from the first one's state, with the other half of the events."""
+    from feedlake.streaming import feeds as SF
+    landing, table, ck = scratch_path(spark, "first-events"), scratch_path(spark, "first-seen"), scratch_path(spark, "first-ck")
+    ev = TB.events(spark, sf).select("user_id", "event_id", "ts")
+    middle = F.percentile_approx("ts", 0.5)
+    cut = ev.agg(middle).first()[0]
+    seen = None
+    for part in (ev.where(F.col("ts") < F.lit(cut)), ev.where(F.col("ts") >= F.lit(cut))):
+        part.write.mode("append").parquet(landing)
+        seen = SF.first_seen_with_expiry(spark, spark.readStream.schema(ev.schema).parquet(landing), table, ck)
+    return seen.select(_long("user_id").alias("user_id"), _long("event_id").alias("event_id"), "ts")
+
+
+@query
+def stream_closed_windows(spark, sf):
+    """H3 in append mode: weekly counts per event type of the windows the watermark has closed, and how many rows came too
+    late. Three runs: the events of the first two thirds of the time, those of the rest, and every tenth event of
+    the first week, which comes last and is too late."""
+    from feedlake.streaming import feeds as SF
+    landing, table, ck = scratch_path(spark, "window-events"), scratch_path(spark, "windows"), scratch_path(spark, "window-ck")
+    ev = TB.events(spark, sf).select("event_id", "event_type", "ts")
+    lo, hi = ev.agg(F.min("ts"), F.max("ts")).first()
+    if lo is None:
+        return spark.createDataFrame([], "event_type string, bin_start timestamp, n long, late_rows long")
+    origin = lo.replace(hour=0, minute=0, second=0, microsecond=0)
+    start = F.lit(origin.strftime("%Y-%m-%d %H:%M:%S")).cast("timestamp")
+    tardy = (F.col("event_id") % 10 == 0) & (F.col("ts") < F.timestamp_add("DAY", F.lit(7), start))
+    early = F.col("ts") < F.lit(lo + (hi - lo) * 2 / 3)
+    late = 0
+    for part in (ev.where(~tardy & early), ev.where(~tardy & ~early), ev.where(tardy)):
+        part.write.mode("append").parquet(landing)
+        closed, n = SF.closed_window_counts(spark, spark.readStream.schema(ev.schema).parquet(landing), origin.strftime("%Y-%m-%d %H:%M:%S"), table, ck)
+        late += n
+    return closed.select("event_type", "bin_start", "n", F.lit(late).cast("long").alias("late_rows"))
+
+
 @query
 def stream_keyword_mentions(spark, sf):
     """H3 on the archive: weekly mention series of all unseen articles' keywords from a documents

@@ -591,6 +591,14 @@ def oracle_sql() -> dict[str, str]:
                           "CAST(ts AS TIMESTAMP) AS ts FROM events")
     o["stream_seen"] = ("SELECT CAST(user_id AS BIGINT) AS user_id, CAST(event_id AS BIGINT) AS event_id, CAST(ts AS TIMESTAMP) AS ts FROM ("
                         "SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY ts, event_id) AS r FROM events) WHERE r = 1")
+    o["stream_first_seen"] = (
+        "SELECT CAST(user_id AS BIGINT) AS user_id, CAST(arg_min(event_id, (ts, event_id)) AS BIGINT) AS event_id, CAST(min(ts) AS TIMESTAMP) AS ts "
+        "FROM events GROUP BY user_id HAVING min(ts) <= (SELECT max(ts) FROM events) - INTERVAL 1 DAY")
+    o["stream_closed_windows"] = (
+        "WITH b AS (SELECT date_trunc('day', min(ts)) AS o, max(ts) AS m FROM events), "
+        "e AS (SELECT event_type, o + to_days(CAST(floor(epoch(ts - o) / 604800) AS INTEGER) * 7) AS bin_start, event_id % 10 = 0 AND ts < o + INTERVAL 7 DAY AS late, m FROM events, b) "
+        "SELECT event_type, CAST(bin_start AS TIMESTAMP) AS bin_start, CAST(count(*) AS BIGINT) AS n, (SELECT CAST(count(*) AS BIGINT) FROM e WHERE late) AS late_rows "
+        "FROM e WHERE NOT late AND bin_start + INTERVAL 7 DAY <= m - INTERVAL 1 DAY GROUP BY ALL")
     o["stream_mentions"] = (
         "WITH b AS (SELECT date_trunc('day', min(ts)) AS origin FROM events) "
         "SELECT event_type, origin + to_seconds(CAST(floor(epoch(ts - origin) / 604800) AS BIGINT) * 604800) AS bin_start, "

@@ -15,8 +15,9 @@ from __future__ import annotations
 import datetime as dt
 import os
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.streaming import StatefulProcessor
 
 from feedlake.operators import snapshots as SN
 from feedlake.operators import state as ST
@@ -70,6 +71,11 @@ def first_seen_stream(spark: SparkSession, sf_dir: str, buckets: int = 16, table
     return SN.read(spark, table)
 
 
+def _origin_seconds(spark: SparkSession, origin: str, days: int) -> int:
+    """F.window is aligned to the Unix epoch: the origin's offset within a window, in seconds."""
+    return int(spark.range(1).select(F.pmod(F.unix_timestamp(F.lit(origin).cast("timestamp")), F.lit(days * 86400))).first()[0])
+
+
 def windowed_counts(spark: SparkSession, sf_dir: str, days: int = 7, watermark: str = "1 day",
                     origin: str | None = None, max_files: int | None = None, table: str | None = None,
                     checkpoint: str | None = None) -> DataFrame:
@@ -85,9 +91,7 @@ def windowed_counts(spark: SparkSession, sf_dir: str, days: int = 7, watermark:
     if origin is None:
         first = spark.read.parquet(os.path.join(sf_dir, "events.parquet")).agg(F.min("ts")).first()[0]
         origin = first.strftime("%Y-%m-%d 00:00:00")
-    # F.window is aligned to the Unix epoch; shift the start by origin's offset within a window
-    offset_s = int(spark.range(1).select(
-        F.pmod(F.unix_timestamp(F.lit(origin).cast("timestamp")), F.lit(days * 86400))).first()[0])
+    offset_s = _origin_seconds(spark, origin, days)
     ev = _events_stream(spark, sf_dir, max_files).withWatermark("ts", watermark)
     agg = (ev.groupBy(F.window("ts", f"{days} days", f"{days} days", f"{offset_s} seconds").alias("w"), "event_type")
            .agg(F.count(F.lit(1)).alias("n")))
@@ -111,6 +115,44 @@ def read_window_counts(spark: SparkSession, log: str) -> DataFrame:
     return ST.keep_last(updates, ["event_type", "bin_start"], ["_epoch"]).select("event_type", "bin_start", "n")
 
 
+def closed_window_counts(spark: SparkSession, events: DataFrame, origin: str, table: str, checkpoint: str, days: int = 7,
+                         watermark: str = "1 day") -> tuple[DataFrame, int]:
+    """H3 in append mode: counts of a stream `events` (ts, event_type) by window and type, written once, when the
+    watermark has passed the window's end, so that no reader ever sees a count that changes. Returns the table
+    (event_type, bin_start, n) so far, and how many rows of this run came too late for a window already closed.
+
+    Null times and types: a row without ts is in no window and counts as late; null is a type of its own. The state is
+    the open windows' counts; the watermark and the state go on where the run before stopped. Late rows are what the run
+    read less what it counted (in closed windows or open ones): Spark's own metric counts partial sums, not rows."""
+    offset_s = _origin_seconds(spark, origin, days)
+    schema = "event_type string, bin_start timestamp, n long"
+    closed = spark.read.schema(schema).parquet(table) if _exists(spark, table) else spark.createDataFrame([], schema)
+    counted = closed.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0] + _open_rows(spark, checkpoint)
+    agg = (events.select(F.col("ts").cast("timestamp").alias("ts"), "event_type").withWatermark("ts", watermark)
+           .groupBy(F.window("ts", f"{days} days", f"{days} days", f"{offset_s} seconds").alias("w"), "event_type")
+           .agg(F.count(F.lit(1)).alias("n")))
+    kept = "spark.sql.streaming.numRecentProgressUpdates"
+    before = spark.conf.get(kept)
+    spark.conf.set(kept, "1000000")  # the progress of every micro-batch of this run, each some KB
+    try:
+        q = (agg.select("event_type", F.col("w.start").alias("bin_start"), "n").writeStream.outputMode("append").format("parquet")
+             .option("path", table).option("checkpointLocation", checkpoint).trigger(availableNow=True).start())
+        q.awaitTermination()
+        read = sum(p.numInputRows for p in q.recentProgress)
+    finally:
+        spark.conf.set(kept, before)
+    closed = spark.read.schema(schema).parquet(table)
+    now = closed.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0] + _open_rows(spark, checkpoint)
+    return closed, read - (now - counted)
+
+
+def _open_rows(spark: SparkSession, checkpoint: str) -> int:
+    """Rows counted in windows that are still open, read from the state itself."""
+    if not _exists(spark, f"{checkpoint}/commits/0"):
+        return 0
+    return spark.read.format("statestore").load(checkpoint).agg(F.coalesce(F.sum("value.count"), F.lit(0))).first()[0]
+
+
 PAYLOAD_SCHEMA = "url string, fetched_at timestamp, payload string"
 
 
@@ -206,3 +248,77 @@ def first_seen_within_watermark(spark: SparkSession, sf_dir: str, watermark: str
          .trigger(availableNow=True).start())
     q.awaitTermination()
     return spark.read.schema("user_id long, event_id long, ts timestamp").parquet(out)
+
+
+SEEN_SCHEMA = "user_id long, event_id long, ts timestamp"
+
+
+class FirstSeen(StatefulProcessor):
+    """The earliest row of a key, by (ts, event_id). A key's state is four numbers, however many rows it has.
+
+    A timer just after the earliest time so far gives the row out once the watermark has passed it, when none can come before.
+    A second timer, `forget_ms` after the latest time, ends the state of a key that has fallen silent: its next row is
+    a first one again."""
+
+    def __init__(self, forget_ms: int):
+        self.forget_ms = forget_ms
+
+    def init(self, handle) -> None:
+        self.handle = handle
+        self.state = handle.getValueState("seen", "first_us long, event_id long, last_us long, given boolean")
+
+    def handleInputRows(self, key, rows, timerValues):
+        first = last = None
+        for r in rows:
+            at = (r.us, r.event_id)
+            first = at if first is None or at < first else first
+            last = r.us if last is None or r.us > last else last
+        given = False
+        if self.state.exists():
+            first_us, event_id, last_us, given = self.state.get()
+            first, last = (first_us, event_id) if given else min(first, (first_us, event_id)), max(last, last_us)
+            self._timers(self.handle.deleteTimer, (first_us, last_us), given)
+        self.state.update((*first, last, given))
+        self._timers(self.handle.registerTimer, (first[0], last), given)
+        return iter(())
+
+    def _timers(self, act, times, given) -> None:
+        if not given:
+            act(times[0] // 1000 + 1)
+        act(times[1] // 1000 + self.forget_ms)
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo):
+        if not self.state.exists():
+            return
+        first_us, event_id, last_us, given = self.state.get()
+        if not given:
+            self.state.update((first_us, event_id, last_us, True))
+            yield Row(user_id=key[0], event_id=event_id, us=first_us)
+        if expiredTimerInfo.getExpiryTimeInMs() >= last_us // 1000 + self.forget_ms:
+            self.state.clear()
+
+    def close(self) -> None:
+        pass
+
+
+def first_seen_with_expiry(spark: SparkSession, events: DataFrame, table: str, checkpoint: str, watermark: str = "1 day",
+                           forget_days: int = 365) -> DataFrame:
+    """H2 with state of its own for each key (RocksDB, event-time timers): the earliest row of each user of a stream
+    `events` (user_id, event_id, ts), whatever the order of the rows within the watermark; given out once, when the
+    watermark has passed it. A run with the same table and checkpoint goes on where the last one stopped.
+
+    A user silent for `forget_days` before the watermark is forgotten. Rows without ts or event_id are left out; a null
+    user_id is a user. Users first seen after the watermark are given out by a later run."""
+    provider = "spark.sql.streaming.stateStore.providerClass"
+    before = spark.conf.get(provider, None)
+    rows = (events.select("user_id", "event_id", F.col("ts").cast("timestamp").alias("ts")).where("ts IS NOT NULL AND event_id IS NOT NULL")
+            .withWatermark("ts", watermark).withColumn("us", F.unix_micros("ts")))
+    first = rows.groupBy("user_id").transformWithState(FirstSeen(forget_days * 86_400_000), "user_id long, event_id long, us long", "append", "eventTime")
+    spark.conf.set(provider, "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider")
+    try:
+        q = (first.select("user_id", "event_id", F.timestamp_micros("us").alias("ts")).writeStream.outputMode("append").format("parquet")
+             .option("path", table).option("checkpointLocation", checkpoint).trigger(availableNow=True).start())
+        q.awaitTermination()
+    finally:
+        spark.conf.unset(provider) if before is None else spark.conf.set(provider, before)
+    return spark.read.schema(SEEN_SCHEMA).parquet(table)

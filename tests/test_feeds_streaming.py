@@ -1,3 +1,4 @@
+import datetime as dt
 import json
 import os
 
@@ -8,6 +9,7 @@ from feedlake import config as C
 from feedlake.sources import feeds as FD
 from feedlake.sources import pages as P
 from feedlake.session import scratch_path
+from feedlake.streaming import feeds as SF
 
 
 def rss(title, items):
@@ -127,7 +129,6 @@ def test_rss_other_shapes(spark):
 
 
 def test_streaming_matches_batch(spark):
-    from feedlake.streaming import feeds as SF
     sf = "/root/testdata/sf0.001"
     ev = spark.read.parquet(os.path.join(sf, "events.parquet"))
     assert SF.ingest_events(spark, sf).count() == ev.count()
@@ -149,7 +150,6 @@ def test_atom_items(spark):
 
 
 def test_stream_feed_ingest_skips_seen_items(spark):
-    from feedlake.streaming import feeds as SF
     landing, table, seen, ck = (scratch_path(spark, n) for n in ("landing", "items", "seen", "ck"))
     one = [{"title": f"T{i}", "link": f"https://x/{i}"} for i in range(2)]
     two = [{"title": f"T{i}", "link": f"https://x/{i}"} for i in range(1, 3)]   # x/1 already seen
@@ -172,7 +172,6 @@ def test_source_file_multiline(spark, tmp_path):
 
 
 def test_first_seen_within_watermark(spark):
-    from feedlake.streaming import feeds as SF
     sf = "/root/testdata/sf0.001"
     ev = spark.read.parquet(os.path.join(sf, "events.parquet"))
     got = SF.first_seen_within_watermark(spark, sf, watermark="365 days")
@@ -193,7 +192,6 @@ def _dealt_events(spark, tmp_path):
 
 
 def test_streams_over_a_folder_of_files_and_resume(spark, tmp_path):
-    from feedlake.streaming import feeds as SF
     ev, folder, late = _dealt_events(spark, tmp_path)
     sf, where = str(tmp_path / "sf"), {"table": str(tmp_path / "out"), "checkpoint": str(tmp_path / "offsets")}
     rows = spark.read.parquet(str(folder)).count()
@@ -211,7 +209,6 @@ def test_streams_over_a_folder_of_files_and_resume(spark, tmp_path):
 def test_keyword_stream_equals_the_batch_series(spark, tmp_path):
     from feedlake.operators import mentions as MN
     from feedlake.plans import brief as B
-    from feedlake.streaming import feeds as SF
     folder = tmp_path / "documents.parquet"
     spark.read.parquet("/root/testdata/sf0.001/documents.parquet").repartition(4).write.parquet(str(folder))
     words = spark.createDataFrame([(w,) for w in ["the", "Ention", "thereisnosuchword", "and"] + [f"w{i}" for i in range(100)]], "keyword string")
@@ -219,3 +216,45 @@ def test_keyword_stream_equals_the_batch_series(spark, tmp_path):
     want = MN.mention_series(B.archive_text(B.keyed_articles(spark, str(tmp_path))), words, days=7)
     rows = lambda df: sorted((r.keyword, r.bin_start, r.mentions) for r in df.collect())
     assert rows(got) == rows(want) and sum(r[2] for r in rows(got)) > 0
+
+
+def _land(spark, folder, rows, schema):
+    spark.createDataFrame(rows, schema).coalesce(1).write.mode("append").parquet(folder)
+
+
+def test_first_seen_with_expiry(spark, tmp_path):
+    landing, table, ck = (str(tmp_path / n) for n in ("in", "seen", "ck"))
+    schema, day = "user_id long, event_id long, ts timestamp", lambda d, h=0: dt.datetime(2024, 1, 1) + dt.timedelta(days=d, hours=h)
+
+    def run():
+        got = SF.first_seen_with_expiry(spark, spark.readStream.schema(schema).parquet(landing), table, ck, forget_days=30)
+        return sorted(((r.user_id, r.event_id, r.ts) for r in got.collect()), key=str)
+
+    # out of order inside the watermark, ties by event_id, a null user, rows without time or id left out
+    _land(spark, landing, [(1, 5, day(3, 6)), (1, 4, day(3, 2)), (2, 9, day(3)), (2, 8, day(3)), (None, 1, day(1)), (3, 1, None), (3, None, day(3)), (4, 7, day(3, 20))], schema)
+    first = run()
+    assert first == sorted([(None, 1, day(1))], key=str)  # the watermark stands at day 2, 20 h: the others may still have earlier rows
+    _land(spark, landing, [(1, 6, day(3, 1)), (2, 10, day(6)), (5, 1, day(6))], schema)
+    second = run()
+    assert second == sorted([(None, 1, day(1)), (1, 6, day(3, 1)), (2, 8, day(3)), (4, 7, day(3, 20))], key=str)  # user 1: by the later file's earlier row
+    assert run() == second  # a run without new files gives nothing twice
+    _land(spark, landing, [(6, 1, day(60))], schema)  # the watermark passes 30 days after everyone's last row
+    assert run() == sorted([*second, (5, 1, day(6))], key=str)
+    _land(spark, landing, [(1, 99, day(70)), (1, 98, day(69, 12)), (7, 1, day(80))], schema)
+    assert run() == sorted([*second, (5, 1, day(6)), (6, 1, day(60)), (1, 98, day(69, 12))], key=str)
+
+
+def test_closed_windows_and_late_rows(spark, tmp_path):
+    landing, table, ck = (str(tmp_path / n) for n in ("in", "closed", "ck"))
+    schema, day = "ts timestamp, event_type string", lambda d: dt.datetime(2024, 1, 1) + dt.timedelta(days=d)
+
+    def run():
+        closed, late = SF.closed_window_counts(spark, spark.readStream.schema(schema).parquet(landing), "2024-01-01 00:00:00", table, ck)
+        return sorted((str(r.event_type), r.bin_start, r.n) for r in closed.collect()), late
+
+    _land(spark, landing, [(day(0), "a"), (day(1), "a"), (day(9), "b"), (day(6), None), (None, "a")], schema)
+    week = [("None", day(0), 1), ("a", day(0), 2)]
+    assert run() == (week, 1)  # the row without time is in no window
+    _land(spark, landing, [(day(2), "a"), (day(3), "a"), (day(4), "c"), (day(8), "b"), (day(20), "b")], schema)
+    assert run() == ([*week, ("b", day(7), 2)], 3)  # two of them share window and type: rows are counted, not groups
+    assert run() == ([*week, ("b", day(7), 2)], 0)
