@@ -8,6 +8,7 @@ with the SQL oracle in plans/oracle.py.
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -613,7 +614,10 @@ def text_vectors(spark, sf):
     """384-d unit vector per article from its summary + content (tokenise, hashed TF, IDF): its norm, how many places
     are taken, and the sum of the values by place and of their squares by place."""
     a = TB.articles(spark, sf).select("id", T.embedding_text("summary", "content").alias("embed_text"))
-    v = SIM.text_vectors(a, dim=C.EMBED_DIM)
+    return _vector_digest(SIM.text_vectors(a, dim=C.EMBED_DIM))
+
+
+def _vector_digest(v):
     by_place = lambda value: F.round(F.aggregate(F.transform("embedding", value), F.lit(0.0), lambda s, x: s + x), 3)
     return v.select(_long("id").alias("id"), F.size("embedding").cast("long").alias("dim"),
                     F.round(V.l2_norm("embedding"), 4).alias("norm"),
@@ -622,6 +626,16 @@ def text_vectors(spark, sf):
                     by_place(lambda x, i: x.cast("double") * x.cast("double") * (i + 1)).alias("squares_by_place"))
 
 
+@query
+def model_vectors(spark, sf):
+    """G2 with a user's own model: loaded once in each Python worker, here md5-hashed terms with weights fitted on the
+    archive. Digest as in text_vectors."""
+    a = TB.articles(spark, sf).select("id", T.embedding_text("summary", "content").alias("embed_text"))
+    model = SIM.fit_hashed_terms(a, dim=C.EMBED_DIM)
+    name = f"hashed terms, weights {hashlib.md5(model.weights.tobytes()).hexdigest()}"
+    return _vector_digest(SIM.model_vectors(a, name, lambda: model, dim=C.EMBED_DIM))
+
+
 # ============================================================ H. streaming
 
 @query

@@ -236,6 +236,16 @@ heavy AS (SELECT id, b, c * g AS x FROM tf JOIN idf USING (b) WHERE g > 0),
 weight AS (SELECT id, b, x / sqrt(sum(x * x) OVER (PARTITION BY id)) AS x FROM heavy)"""
 
 
+def md5_tfidf_sql(dim: int) -> str:
+    """Unit tf-idf vectors of the articles, terms hashed by the first 32 bits of their MD5 modulo dim."""
+    text = f"lower(coalesce(summary, '') || {NL} || {NL} || coalesce(content, ''))"
+    return f"""term AS (SELECT id, unnest(regexp_extract_all({text}, '[\\p{{L}}\\p{{N}}]+')) AS t FROM articles),
+tf AS (SELECT id, CAST('0x' || substr(md5(t), 1, 8) AS BIGINT) % {dim} AS b, count(*) AS c FROM term GROUP BY ALL),
+idf AS (SELECT b, ln((n + 1)::DOUBLE / (count(*) + 1)) AS g FROM tf, (SELECT count(*) AS n FROM articles) GROUP BY b, n),
+heavy AS (SELECT id, b, c * g AS x FROM tf JOIN idf USING (b) WHERE g > 0),
+weight AS (SELECT id, b, x / sqrt(sum(x * x) OVER (PARTITION BY id)) AS x FROM heavy)"""
+
+
 def own_hits_sql(k: int) -> str:
     """The k most similar articles of each unseen one, by tf-idf of the hashed terms of summary and content."""
     text = f"lower(coalesce(summary, '') || {NL} || {NL} || coalesce(content, ''))"
@@ -583,10 +593,11 @@ def oracle_sql() -> dict[str, str]:
         f"{NL} || {NL} || 'Similar past items:' || {NL} || coalesce(ev.evidence, '') || {q(C.ARCHIVE_PROMPT_SERIES)} || "
         f"coalesce(kvj.d, '{{}}') || {q(C.ARCHIVE_PROMPT_ASK)} AS user "
         f"FROM unseen u LEFT JOIN ev ON ev.qid = u.id LEFT JOIN kvj ON kvj.id = u.id")
-    o["text_vectors"] = W(hashed_tfidf_sql(C.EMBED_DIM)) + (
-        f"SELECT CAST(a.id AS BIGINT) AS id, CAST({C.EMBED_DIM} AS BIGINT) AS dim, coalesce(round(sqrt(sum(x * x)), 4), 0.0) AS norm, count(x) AS taken, "
-        "coalesce(round(sum(x * (b + 1)), 3), 0.0) AS sum_by_place, coalesce(round(sum(x * x * (b + 1)), 3), 0.0) AS squares_by_place "
-        "FROM articles a LEFT JOIN (SELECT id, b, CAST(CAST(x AS FLOAT) AS DOUBLE) AS x FROM weight) w ON w.id = a.id GROUP BY a.id")
+    for name, sql in (("text_vectors", hashed_tfidf_sql), ("model_vectors", md5_tfidf_sql)):
+        o[name] = W(sql(C.EMBED_DIM)) + (
+            f"SELECT CAST(a.id AS BIGINT) AS id, CAST({C.EMBED_DIM} AS BIGINT) AS dim, coalesce(round(sqrt(sum(x * x)), 4), 0.0) AS norm, count(x) AS taken, "
+            "coalesce(round(sum(x * (b + 1)), 3), 0.0) AS sum_by_place, coalesce(round(sum(x * x * (b + 1)), 3), 0.0) AS squares_by_place "
+            "FROM articles a LEFT JOIN (SELECT id, b, CAST(CAST(x AS FLOAT) AS DOUBLE) AS x FROM weight) w ON w.id = a.id GROUP BY a.id")
     o["stream_ingest"] = ("SELECT CAST(event_id AS BIGINT) AS event_id, CAST(user_id AS BIGINT) AS user_id, event_type, "
                           "CAST(ts AS TIMESTAMP) AS ts FROM events")
     o["stream_seen"] = ("SELECT CAST(user_id AS BIGINT) AS user_id, CAST(event_id AS BIGINT) AS event_id, CAST(ts AS TIMESTAMP) AS ts FROM ("
