@@ -7,7 +7,7 @@ from collections.abc import Iterable, Iterator
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
-from feedlake.session import scratch_path
+from feedlake.session import scratch_path, small_batches
 
 #: Bytes that separate words in `[^\x20\x09-\x0D]+`: exactly those that bytes.split() splits at.
 WORD = r"[^\x20\x09-\x0D]+"
@@ -38,19 +38,6 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-#: Most rows of an Arrow batch: rows hold whole texts.
-BATCH_ROWS = 1000
-
-
-def small_batches(spark: SparkSession) -> SparkSession:
-    """Lower the session's Arrow batches to BATCH_ROWS rows, where they are larger, so that a worker holds a
-    few MB of texts at once. It changes no result."""
-    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
-    if not 0 < int(spark.conf.get(name)) <= BATCH_ROWS:
-        spark.conf.set(name, str(BATCH_ROWS))
-    return spark
-
-
 _KEPT: dict[str, object] = {}
 
 

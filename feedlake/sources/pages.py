@@ -7,11 +7,13 @@ from pyspark.sql import functions as F
 
 from feedlake import config as C
 from feedlake.functions.markup import page_main_text
+from feedlake.session import small_batches
 
 
 def page_text(pages: DataFrame, max_chars: int = C.ARTICLE_TEXT_CHARS) -> DataFrame:
     """(url, full_text, page_text): full_text is what the memo keeps, page_text the cut
-    handed to the summariser. NULL/blank html -> ''."""
+    handed to the summariser. NULL/blank html -> ''. A Python worker gets few pages at a time."""
+    small_batches(pages.sparkSession)
     full = page_main_text("html")
     return (pages.withColumn("full_text", full)
             .withColumn("page_text", F.substring("full_text", 1, max_chars)))
