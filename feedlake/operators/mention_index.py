@@ -1,8 +1,7 @@
 """Keyword counts and series as a maintained aggregate: the archive's postings, kept up to date.
 
-The table (versions, see snapshots.py) holds for each article its distinct runs with its id and time, and one row with
-the empty run that says that the article is indexed. Both come in one commit, so an update that dies has not
-happened, and one that is repeated adds nothing. An update cuts only articles that are not indexed yet; counts and
+The table (versions, see snapshots.py) holds one row for each article: its id, its time and the list of its distinct runs.
+An update is one commit, so one that dies has not happened, and one that is repeated adds nothing. An update cuts only articles that are not indexed yet; counts and
 series read the postings, never the texts. An article is indexed once: later changes of its text are not seen.
 """
 
@@ -12,7 +11,6 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from feedlake import config as C
-from feedlake.functions import dates as D
 from feedlake.operators import mentions as MN
 from feedlake.operators import snapshots as SN
 from feedlake.session import spread, written
@@ -29,9 +27,9 @@ def update(spark: SparkSession, path: str, articles: DataFrame, ts_col: str = "p
     new = written(spread(new).groupBy("id").agg(F.min(F.struct("text", "ts")).alias("a")).select("id", "a.ts", "a.text"), "mention-new")
     n = new.count()
     runs = MN.postings(new.where("text is not null"), ["id", "ts"])
-    rows = runs.unionByName(new.select("id", "ts", F.lit("").alias("run")))
+    rows = runs.unionByName(new.where("text is null").select("id", "ts", F.array().cast("array<string>").alias("runs")))
     if not SN.exists(spark, path):
-        SN.create(spark, path, rows, "run", BUCKETS)
+        SN.create(spark, path, rows, "id", BUCKETS)
     elif n:
         SN.append(spark, path, rows, f"{n} articles")
     return n
@@ -39,39 +37,26 @@ def update(spark: SparkSession, path: str, articles: DataFrame, ts_col: str = "p
 
 def indexed(spark: SparkSession, path: str) -> DataFrame:
     """(id, ts) of the articles of the index."""
-    return SN.read(spark, path).where("run = ''").select("id", "ts")
+    return SN.read(spark, path).select("id", "ts")
 
 
-def _counts(keywords: DataFrame, runs: DataFrame, articles: DataFrame, carry: list[str]) -> DataFrame:
-    kws = written(MN._keyword_runs(keywords.select("kw").where("kw is not null").distinct()), "keywords")
-    word = F.col("kw") != ""
-    facts = kws.agg(F.count(F.lit(1)).alias("n"), F.max(~word).alias("empty"), F.max("phrase").alias("phrase"), F.max("blank").alias("blank"),
-                    F.collect_set(F.when(word, F.least(F.length("probe"), F.lit(MN.PROBE)))).alias("sizes")).first()
-    if facts["phrase"] or facts["blank"]:
-        raise ValueError("the index holds runs without white space: keywords with white space need mentions.contains_counts")
-    every = articles.groupBy(*carry).agg(F.count(F.lit(1)).alias("n")).where("n > 0").select(F.lit("").alias("kw"), *carry, "n")
-    out = every if facts["empty"] else every.limit(0)
-    for part in MN.run_counts(runs, kws, carry, sorted(facts["sizes"]), facts["n"]) if facts["sizes"] else []:
-        out = out.unionByName(part)
-    return out
+def _counts(keywords: DataFrame, articles: DataFrame, carry: list[str]) -> DataFrame:
+    return MN.literal_counts(articles.select("runs", *carry), keywords.select("kw").where("kw is not null").distinct(), carry, articles)
 
 
 def counts(spark: SparkSession, path: str, keywords: DataFrame) -> DataFrame:
     """(kw, n): articles of the index that contain each keyword `kw` (lowered); keywords without any are absent."""
-    table = SN.read(spark, path)
-    return _counts(keywords, table.where("run <> ''").withColumnRenamed("id", "row_"), table.where("run = ''"), [])
+    return _counts(keywords, SN.read(spark, path), [])
 
 
 def series(spark: SparkSession, path: str, keywords: DataFrame, days: int = C.MENTION_BIN_DAYS, as_of=None) -> DataFrame:
     """(keyword, bin_start, mentions) as mentions.mention_series gives it for the articles of the index."""
     table = SN.read(spark, path)
     kw = keywords.select("keyword").distinct().withColumn("kw", F.lower("keyword"))
-    articles, origin, last = MN.archive_bins(table.where("run = ''").select("id", "ts"), "ts", days, as_of)
+    articles, origin, last = MN.archive_bins(table, "ts", days, as_of)
     if origin is None:
         return kw.select("keyword", F.lit(None).cast("timestamp").alias("bin_start"), F.lit(0).cast("long").alias("mentions")).limit(0)
-    newest = F.lit(as_of).cast("timestamp") if as_of is not None else F.lit(table.agg(F.max("ts")).first()[0])
     start = F.lit(origin).cast("timestamp")
-    runs = table.where("run <> ''").select(F.col("id").alias("row_"), "run", D.bin_start(F.coalesce("ts", newest), start, days).alias("bin_start"))
-    n = _counts(kw, runs, articles, ["bin_start"])
+    n = _counts(kw, articles, ["bin_start"])
     spine = kw.withColumn("bin_start", F.explode(F.sequence(start, F.lit(last).cast("timestamp"), F.expr(f"INTERVAL {int(days)} DAYS"))))
     return spine.join(n, ["kw", "bin_start"], "left").select("keyword", "bin_start", F.coalesce("n", F.lit(0)).cast("long").alias("mentions"))
