@@ -36,7 +36,7 @@ def test_counts_equal_substring_tests_for_any_length(spark, monkeypatch, spaces)
     assert {(r.kw, r.g): r.n for r in MN.contains_counts(arch, kw, carry=["g"]).collect()} == expect
 
 
-def test_patterns_with_a_hole_equal_python_re(spark):
+def test_patterns_with_holes_equal_python_re(spark):
     rng = random.Random(6)
     every, own = texts(rng)
     kws = {w[:1] + "." + w[2:] for w in own if w.isalnum()} | {w[:-1] + "." for w in own[:40] if len(w) > 2} | {"." + w for w in own[:40] if w.isalnum()}
