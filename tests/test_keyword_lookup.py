@@ -1,6 +1,8 @@
 import random
 import re
+from collections import Counter
 
+import pyarrow as pa
 import pytest
 
 from feedlake.operators import mentions as MN
@@ -78,3 +80,48 @@ def test_pages_come_in_small_batches(spark):
         assert int(spark.conf.get(name)) <= 1000 and out.first().page_text == "x"
     finally:
         spark.conf.set(name, before)
+
+
+def test_runs_are_looked_up_once_for_many_batches_and_no_row_is_a_sum_twice(spark, monkeypatch):
+    """Each batch looked up its runs anew, and the more tasks there were, the more sums of one keyword."""
+    batches = [pa.record_batch([pa.array([f"alpha beta{i % 7} gamma" for i in range(a, a + 50)]), pa.array([i % 3 for i in range(a, a + 50)])], ["text", "g"]) for a in range(0, 500, 50)]
+    kws = ["alpha", "beta3", "amm", "none"]
+    tables = MN.lookup_tables(pa.table({"kw": kws, "probe": kws, "holes": [0] * 4, "asks": [False] * 4, "k": range(4)}))
+    looked = []
+    real = MN._found
+    monkeypatch.setattr(MN, "_found", lambda codes, t: looked.append(len(codes)) or real(codes, t))
+    sent = type("Sent", (), {"value": tables})
+    schema = pa.schema([("k", pa.int64()), ("g", pa.int64()), ("n", pa.int64())])
+    expect = {(k, g): n for k, w in enumerate(kws) for g in range(3) if (n := sum(w in f"alpha beta{i % 7} gamma" for i in range(500) if i % 3 == g))}
+
+    def sums():
+        return [(r["k"], r["g"], r["n"]) for b in MN._tally(sent, ["g"], schema, False, False)(iter(batches)) for r in b.to_pylist()]
+
+    rows = sums()
+    assert len(looked) == 1 and {(k, g): n for k, g, n in rows} == expect and len(rows) == len(expect)
+    monkeypatch.setattr(MN, "TABLE", 5)  # the pairs are given out as they come
+    monkeypatch.setattr(MN, "TALLY", 100)
+    monkeypatch.setattr(MN, "GATHER", 600)
+    total = Counter()
+    for k, g, n in sums():
+        total[k, g] += n
+    assert total == expect
+
+
+def test_tasks_that_count_are_bounded_by_the_cores(spark, monkeypatch):
+    """Every task gives a sum for each keyword: 40 tasks gave 40 rows for one keyword."""
+    rows = []
+    real = MN.written
+    monkeypatch.setattr(MN, "written", lambda df, name: (lambda out: (rows.append((name, out.count())), out)[1])(real(df, name)))
+    path = scratch_path(spark, "many-files")
+    spark.range(80).selectExpr("concat('common ', id) as text").repartition(40).write.parquet(path)
+    monkeypatch.setitem(MN.lookup_counts.__globals__, "spread", lambda df: df)
+    spark.conf.set("spark.sql.files.openCostInBytes", str(128 << 20))
+    try:
+        arch = spark.read.parquet(path)
+        assert arch.rdd.getNumPartitions() == 40
+        got = MN.contains_counts(arch, spark.createDataFrame([("common",)], "kw string")).collect()
+    finally:
+        spark.conf.unset("spark.sql.files.openCostInBytes")
+    assert [(r.kw, r.n) for r in got] == [("common", 80)]
+    assert dict(rows)["mention-sums"] <= 2 * spark.sparkContext.defaultParallelism
