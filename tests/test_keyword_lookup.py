@@ -125,3 +125,66 @@ def test_tasks_that_count_are_bounded_by_the_cores(spark, monkeypatch):
         spark.conf.unset("spark.sql.files.openCostInBytes")
     assert [(r.kw, r.n) for r in got] == [("common", 80)]
     assert dict(rows)["mention-sums"] <= 2 * spark.sparkContext.defaultParallelism
+
+
+def _table(kws, asks=None):
+    return MN.lookup_tables(pa.table({"kw": kws, "probe": kws, "holes": [0] * len(kws), "asks": asks or [len(k) > MN.PROBE for k in kws], "k": range(len(kws))}))
+
+
+def _tallied(texts, kws, table=None):
+    sent, schema = type("Sent", (), {"value": table or _table(kws)}), pa.schema([("k", pa.int64()), ("n", pa.int64())])
+    total = Counter()
+    for b in MN._tally(sent, [], schema, False, False)(iter([pa.record_batch([pa.array(texts)], ["text"])])):
+        for r in b.to_pylist():
+            total[kws[r["k"]]] += r["n"]
+    return total
+
+
+def test_a_keyword_is_looked_for_only_where_it_has_room(monkeypatch):
+    """Every place of every run was looked up for every length of keyword."""
+    looked, long, own = [], ["eighteen", "nineteen"], ["fourteen", "sixteen"]
+    tables = _table(long), _table(own)
+    real = MN._windows
+
+    def windows(codes, shapes):
+        for shape, h in real(codes, shapes):
+            looked.append(h.size)
+            yield shape, h
+
+    monkeypatch.setattr(MN, "_windows", windows)
+    assert _tallied(["one two three four five six", "seven"], long, tables[0]) == {}
+    assert sum(looked) == 0
+    assert _tallied(["sixteen fourteen"], own, tables[1]) == {"fourteen": 1, "sixteen": 1}
+    assert sum(looked) == 1 + 2 + 1
+
+
+def test_runs_of_all_lengths_hold_what_they_hold():
+    """Runs of one length go together, long ones in a row; characters beyond the basic plane, accents, copies."""
+    words = ["a" * n + "bc" * (n % 3) for n in range(1, 90)] + ["é" * n + "\U0001f600x" for n in range(1, 50)] + ["ab", "ab", "b c"]
+    texts = [" ".join(words[i::7]) + "\n" * (i % 2) for i in range(7)] + ["", " ", "\t\n"]
+    kws = ["a", "b", "ab", "cbc", "a" * 16, "a" * 17, "a" * 40 + "bc", "é", "é\U0001f600", "\U0001f600x", "b c", "é" * 33, "none"]
+    assert _tallied(texts, kws) == {k: n for k in kws if (n := sum(k in t for t in texts))}
+
+
+def test_a_micro_batch_of_many_files_is_not_shuffled(spark):
+    """A micro-batch names no files, so its whole texts were dealt out anew."""
+    cores, seen = spark.sparkContext.defaultParallelism, []
+    path = scratch_path(spark, "stream-files")
+    spark.range(8 * cores).selectExpr("concat('text ', id) as text").repartition(2 * cores).write.parquet(path)
+
+    def batch(df, epoch):
+        seen.append((MN.spread(df) is df, df.count()))
+
+    q = spark.readStream.schema("text string").parquet(path).writeStream.foreachBatch(batch).option("checkpointLocation", scratch_path(spark, "stream-offsets")).trigger(availableNow=True).start()
+    q.awaitTermination()
+    assert seen == [(True, 8 * cores)]
+
+
+def test_a_title_reads_a_text_up_to_its_first_line_only(spark):
+    """The whole text was cut into lines for the first one."""
+    from feedlake.functions import text as T
+
+    rows = ["one\ntwo", "", "\nx", "only", None, "a\r\nb\n"]
+    df = spark.createDataFrame([(r,) for r in rows], "t string").select(T.first_line("t").alias("l"))
+    assert [r["l"] for r in df.collect()] == [None if r is None else r.split("\n")[0] for r in rows]
+    assert "split(" not in spark._jvm.PythonSQLUtils.explainString(df._jdf.queryExecution(), "simple")
