@@ -11,23 +11,40 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from feedlake import config as C
+from feedlake.config import LIMITS
 from feedlake.operators import mentions as MN
 from feedlake.operators import snapshots as SN
-from feedlake.session import spread, written
+from feedlake.session import spread
 
 BUCKETS = 16
 
 
+def _few(ids: DataFrame, n: int) -> DataFrame:
+    """A join side of n ids: broadcast up to the bound, so that the texts stay where they are."""
+    return F.broadcast(ids) if n <= MN.LOOKUP * LIMITS.broadcast_rows else ids
+
+
+def _one_each(rows: DataFrame, several: DataFrame, n: int) -> DataFrame:
+    """rows(id, ts, text), of the n ids in `several` the row of the smallest text alone. Only the texts of these are shuffled."""
+    if not n:
+        return rows
+    own = rows.join(_few(several, n), "id", "left_semi").groupBy("id").agg(F.min(F.struct("text", "ts")).alias("a")).select("id", "a.ts", "a.text")
+    return rows.join(_few(several, n), "id", "left_anti").select(*own.columns).unionByName(own)
+
+
 def update(spark: SparkSession, path: str, articles: DataFrame, ts_col: str = "published_ts") -> int:
     """Index those of articles(id, text lowered, ts) that are not indexed; how many they are. Of several rows of an id the
     one of the smallest text counts. A null text has no runs, a null time counts at the series' as_of."""
     new = articles.select("id", F.col(ts_col).alias("ts"), "text").where(F.col("id").isNotNull())
     if SN.exists(spark, path):
-        new = new.join(indexed(spark, path).select("id"), "id", "left_anti")
-    new = written(spread(new).groupBy("id").agg(F.min(F.struct("text", "ts")).alias("a")).select("id", "a.ts", "a.text"), "mention-new")
-    n = new.count()
-    runs = MN.postings(new.where("text is not null"), ["id", "ts"])
-    rows = runs.unionByName(new.where("text is null").select("id", "ts", F.array().cast("array<string>").alias("runs")))
+        known = indexed(spark, path).select("id")
+        new = new.join(_few(known, known.count()), "id", "left_anti")
+    ids = new.groupBy("id").agg(F.count(F.lit(1)).alias("c"))
+    facts = ids.agg(F.count(F.lit(1)).alias("n"), F.count(F.when(F.col("c") > 1, 1)).alias("several")).first()
+    n = facts["n"]
+    one = _one_each(spread(new), ids.where("c > 1").select("id"), facts["several"])
+    runs = MN.postings(one.where("text is not null"), ["id", "ts"])
+    rows = runs.unionByName(one.where("text is null").select("id", "ts", F.array().cast("array<string>").alias("runs")))
     if not SN.exists(spark, path):
         SN.create(spark, path, rows, "id", BUCKETS)
     elif n:

@@ -64,3 +64,27 @@ def test_empty_index_repeated_ids_and_phrases(spark):
     assert MI.counts(spark, path, spark.createDataFrame([("common",)], "kw string")).first().n == 2
     with pytest.raises(ValueError):
         MI.counts(spark, path, spark.createDataFrame([("two words",)], "kw string"))
+
+
+def test_only_texts_of_repeated_ids_are_shuffled(spark, monkeypatch):
+    """All new texts were grouped by id and written once more before they were cut."""
+    plans, real = [], {n: getattr(MI.SN, n) for n in ("create", "append")}
+    for name in real:
+        monkeypatch.setattr(MI.SN, name, lambda s, p, rows, *a, name=name: (plans.append(rows._jdf.queryExecution().toString()), real[name](s, p, rows, *a))[1])
+    place = scratch_path(spark, "grouped")
+    schema = "id long, published_ts timestamp, text string"
+    cores = spark.sparkContext.defaultParallelism
+
+    def articles(rows):
+        path = scratch_path(spark, "articles")
+        spark.createDataFrame(rows, schema).repartition(cores).write.parquet(path)
+        return spark.read.schema(schema).parquet(path)
+
+    once = [(i, None, f"alpha beta{i} alpha") for i in range(4 * cores)]
+    assert MI.update(spark, place, articles(once)) == 4 * cores
+    assert MI.update(spark, place, articles([*once, (1000, None, "gamma"), (1001, None, None)])) == 2
+    assert len(plans) == 2 and not any("Aggregate" in p or "mention-new" in p for p in plans)
+    again = [(2000, None, "b"), (2000, None, "a z a"), (2001, None, "x"), (2001, None, None), (2002, None, "y"), (None, None, "q")]
+    assert MI.update(spark, place, articles(again)) == 3
+    got = {r["id"]: sorted(r["runs"]) for r in MI.SN.read(spark, place).where("id >= 1000").collect()}
+    assert got == {1000: ["gamma"], 1001: [], 2000: ["a", "z"], 2001: [], 2002: ["y"]}
