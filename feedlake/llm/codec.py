@@ -1,22 +1,25 @@
 """Adaptive context-mixing range coder for blocks of token ids.
 
 A block holds at most BLOCK ids and is independent of all others: its model starts anew, and it
-carries its own dictionary and checksums. Inside a block, ids are numbered by first appearance.
-Three orders predict the next number:
+carries its own dictionary and checksums. The dictionary lists the ids that the block has twice or
+more, from the most frequent on, then those it has once, in their order; an id's place in it is its
+number. Three orders predict the next number:
 
 * order 2: the number that followed the last two, with a confidence;
 * order 1: the number that followed the last one, with a confidence;
-* order 0: a ranking in which a number that comes up moves half way to the front, so that frequent
-  numbers have low ranks; and how often each size class of ranks, or a new number, came up.
+* order 0: how often each size class of numbers came up so far (classes double in size; the last class is
+  the next number that comes once).
 
-"Is it order 2's?" and "is it order 1's?" are coded as binary decisions. Each probability mixes two
+"Is it order 2's?" and "is it order 1's?" are binary decisions. Each probability mixes two
 adaptive estimates (by the own confidence, and by both confidences together) with a weight that
 moves to the estimate that did better. What neither predicts is coded by order 0: the adaptive class
-of its rank (classes double in size), then its place in the class. One 64-bit range coder takes all,
-writing 16-bit words.
+of the number, then its place in the class. One 64-bit range coder takes all, writing 16-bit words;
+both decisions are one step of it.
 
 The coder's steps depend on each other inside a block, never between blocks; so many blocks run side
-by side, one array element each ("lanes"), and a step is a few array operations over all lanes.
+by side, one array element each ("lanes"), and a step is a few array operations over all lanes. The
+two decisions' arrays are two rows of one. Values a lane does not need are multiplied by 0: choosing
+by np.where, or taking some of the lanes out and putting them back, costs several times as much.
 """
 
 from __future__ import annotations
@@ -27,178 +30,160 @@ import numpy as np
 
 BLOCK = 2048
 LANES = 4096
-MAGIC = b"CMR1"
-#: What an occurrence adds to the count of its class of ranks; class CLASSES - 1 is a new number.
-INC, CLASSES = 12, 14
+MAGIC = b"CMR2"
+#: What an occurrence adds to the count of its class of numbers, and the count that a class begins with.
+INC, BEGIN, CLASSES = 12, 2, 12
 U = np.uint64
 _SLOTS = 4096
-#: The coder writes 16 bits at a time; an id takes 14 bits for the decisions, 16 for the class and 12 for the place at most.
+#: The coder writes 16 bits at a time; an id takes 14 bits for the decisions, 14 for the class and 12 for the place at most.
 _ONE, _OUT, _W, _SPLIT, _LEAST = U(1), U(16), U(48), U(1 << 48), U(1 << 44)
+#: Bits of the decisions' probabilities, and of the shares of a place in a class.
+_P, _S = 15, 14
+#: By number: its class, if it comes more than once. By class: its first number.
+_CLASS = np.array([(i + 1).bit_length() - 1 for i in range(BLOCK)], np.int64)
+_FIRST = np.array([(1 << i) - 1 for i in range(CLASSES - 1)], np.int64)
+_ABOVE = np.arange(1, CLASSES + 1, dtype=np.int8)[:, None]
 
 
 class _Lanes:
-    """The state of n blocks side by side, the longest first."""
+    """The state of n blocks side by side, the longest first; the numbers below `often` come more than once."""
 
-    def __init__(self, lengths: np.ndarray):
+    def __init__(self, lengths: np.ndarray, often: np.ndarray):
         n = len(lengths)
         self.n, self.lengths = n, lengths
         self.low, self.rng = np.zeros(n, U), np.full(n, ~U(0), U)
         #: Tables are flat, entry by entry: entry i of a lane is at i * n + lane, so lanes that look at one entry share cache lines.
-        self.lane = lane = np.arange(n, dtype=np.int64)
-        self.after2, self.after1 = np.zeros(n * _SLOTS, np.int16), np.zeros(n * BLOCK, np.int16)  # number * 4 + confidence
-        self.own2, self.own1 = np.full(n * 4, 1 << 15, np.int32), np.full(n * 4, 1 << 15, np.int32)
-        self.both2, self.both1 = np.full(n * 16, 1 << 15, np.int32), np.full(n * 16, 1 << 15, np.int32)
-        self.weight2, self.weight1 = np.full(n, 128, np.int32), np.full(n, 128, np.int32)
-        self.classes, self.total, self.distinct = np.full(CLASSES * n, 2, np.int32), np.full(n, 2 * CLASSES, np.int64), np.zeros(n, np.int64)
-        self.ranked, self.rank = np.zeros(n * BLOCK, np.int16), np.zeros(n * BLOCK, np.int16)
-        self.prev1, self.prev2 = np.zeros(n, np.int64), np.zeros(n, np.int64)
+        self.lane = np.arange(n, dtype=np.int64)
+        self.after = np.zeros(n * (_SLOTS + BLOCK), np.int16)  # number * 4 + confidence: order 2's entries, then order 1's
+        self.own, self.both = np.full(n * 2 * 4, 1 << 15, np.int32), np.full(n * 2 * 16, 1 << 15, np.int32)
+        self.weight = np.full((2, n), 128, np.int32)
+        self.under = np.repeat(np.arange(CLASSES + 1, dtype=np.int16) * BEGIN, n).reshape(CLASSES + 1, n)  # counts of all lower classes
+        places = np.ones((CLASSES, n), np.int64)
+        places[:-1] = np.clip(often - _FIRST[:, None], 1, _FIRST[:, None] + 1)
+        self.share = ((1 << _S) // places).astype(np.uint16).reshape(-1)
+        self.often = often.astype(np.int16)
+        self.first = np.repeat(np.append(_FIRST, 0).astype(np.int16), n).reshape(CLASSES, n)
+        self.first[-1] = often  # the next number that comes once
 
     def run(self, coder, numbers: np.ndarray | None) -> np.ndarray:
         """Code `numbers` (a row for each lane), or decode them."""
         n, steps = self.n, int(self.lengths[0]) if self.n else 0
-        out = np.zeros((steps, self.n), np.int16) if numbers is None else None
-        columns = None if numbers is None else np.ascontiguousarray(numbers.T)
+        out = np.zeros((steps, n), np.int16) if numbers is None else None
+        columns = None if numbers is None else _turned(numbers)
         active = np.searchsorted(-self.lengths, -np.arange(steps), side="left")  # lanes longer than t
+        prev1 = prev2 = np.zeros(n, np.int64)
         for t in range(steps):
             k = int(active[t])
             coder.settle(self, k)
-            p1, p2, lane = self.prev1[:k], self.prev2[:k], self.lane[:k]
-            i2 = ((p2 * 40503 + p1 * 30011) & (_SLOTS - 1)) * n + lane
-            i1 = p1 * n + lane
-            e2, e1 = self.after2.take(i2), self.after1.take(i1)
-            c2, c1, g2, g1 = e2 & 3, e1 & 3, e2 >> 2, e1 >> 2
-            x = np.full(k, -1, np.int16) if columns is None else columns[t, :k]
-            both = c2.astype(np.int64) * 4 + c1
-            open_ = np.ones(k, bool)
-            for s, g, c, own, joint, weight in ((np.flatnonzero(c2), g2, c2, self.own2, self.both2, self.weight2), (None, g1, c1, self.own1, self.both1, self.weight1)):
-                if s is None:
-                    s = np.flatnonzero(open_ & (c1 > 0) & ((c2 == 0) | (g1 != g2)))
-                if not len(s):
-                    continue
-                g = g.take(s)
-                hit = self.decide(coder, s, None if columns is None else x.take(s) == g, c.take(s).astype(np.int64) * n + s, both.take(s) * n + s, own, joint, weight)
-                at = s[hit]
-                if columns is None:
-                    x[at] = g[hit]
-                open_[at] = False
-            s = np.flatnonzero(open_)
-            if len(s):
-                self.literal(coder, s, x)
+            p1, p2, lane = prev1[:k], prev2[:k], self.lane[:k]
+            at = np.empty((2, k), np.int64)
+            at[0] = (p2 * 40503 + p1 * 30011) & (_SLOTS - 1)
+            at[1] = p1 + _SLOTS
+            at *= n
+            at += lane
+            e = self.after.take(at)
+            c, g = e & 3, e >> 2
+            asked = c > 0
+            asked[1] &= ~asked[0] | (g[0] != g[1])
+            at_own, at_both = np.empty((2, k), np.int64), np.empty((2, k), np.int64)
+            np.multiply(c, n, out=at_own, dtype=np.int64)
+            at_own += lane
+            at_own[1] += 4 * n
+            np.multiply(c[0] * 4 + c[1], n, out=at_both[0], dtype=np.int64)
+            at_both[0] += lane
+            np.add(at_both[0], 16 * n, out=at_both[1])
+            a, b, w = self.own.take(at_own), self.both.take(at_both), self.weight[:, :k]
+            p = ((a - b) * w + (b << 8)) >> (24 - _P)
+            p = np.minimum(np.maximum(p, 1 << (_P - 7)), (1 << _P) - (1 << (_P - 7)))
+            p *= asked
+            p[1] *= (1 << _P) - p[0]
+            p[1] >>= _P
+            x, hit = coder.number(self, k, t, p.astype(U), g, None if columns is None else columns[t, :k], asked)
+            asked[1] &= ~hit[0]
+            self.own[at_own] = a + (((hit * np.int32(65535) - a) >> 4) * asked)
+            self.both[at_both] = b + (((hit * np.int32(65535) - b) >> 4) * asked)
+            step = ((a > b) == hit) * np.int32(4)
+            step -= 2
+            step *= asked
+            step += w
+            self.weight[:, :k] = np.minimum(np.maximum(step, 16), 240)
             fresh = x * 4 + 1
-            self.after2[i2] = np.where((c2 > 0) & (g2 == x), e2 + (c2 < 3), np.where(c2 > 1, e2 - 1, fresh))
-            self.after1[i1] = np.where((c1 > 0) & (g1 == x), e1 + (c1 < 3), np.where(c1 > 1, e1 - 1, fresh))
-            self.prev2[:k] = p1
-            self.prev1[:k] = x
+            new = (e - 1 - fresh) * (c > 1) + fresh
+            new += (e + (c < 3) - new) * ((c > 0) & (g == x))
+            self.after[at] = new
+            prev2, prev1 = p1, x.astype(np.int64)
             if out is not None:
                 out[t, :k] = x
         return out
 
-    def decide(self, coder, s, bit, at, at_both, own, both, weight) -> np.ndarray:
-        a, b, w = own.take(at), both.take(at_both), weight.take(s)
-        p = ((w * a + (256 - w) * b) >> 12).clip(32, 4064)
-        bit = coder.bit(self, s, p.astype(U), bit)
-        aim = np.where(bit, 65535, 0)
-        own[at] = a + ((aim - a) >> 4)
-        both[at_both] = b + ((aim - b) >> 4)
-        weight[s] = (w + np.where((a > b) == bit, 2, -2)).clip(16, 240)
-        return bit
-
-    def literal(self, coder, s, x) -> None:
-        n, known = self.n, self.distinct[s]
-        group = place = None
-        if not coder.decodes:
-            d = x.take(s).astype(np.int64)
-            new = d == known
-            at = self.rank.take(d * n + s).astype(np.int64) + 1
-            group = np.where(new, CLASSES - 1, _BITS.take(at))
-            place = np.where(new, 0, at - 1 - _FIRST.take(group))
-        group = coder.group(self, s, group)
-        at = group * n + s
-        self.classes[at] = self.classes.take(at) + INC
-        self.total[s] += INC
-        new = group == CLASSES - 1
-        first = _FIRST.take(group)
-        places = np.where(new, 1, np.minimum(first + 1, known - first))
-        place = coder.place(self, s, np.maximum(places, 1), place)
-        at = np.where(new, known, np.minimum(first + place, BLOCK - 1))
-        if coder.decodes:
-            d = np.where(new, known, self.ranked.take(at * n + s))
-            x[s] = d
-        self.distinct[s] = known + new
-        up = at >> 1  # change places with the number half way to the front
-        other = self.ranked.take(up * n + s)
-        self.ranked[at * n + s] = other
-        self.ranked[up * n + s] = d
-        if not coder.decodes:
-            self.rank[other.astype(np.int64) * n + s] = at
-            self.rank[d * n + s] = up
-
-
-_FIRST = np.array([(1 << i) - 1 for i in range(CLASSES)], np.int64)
-_BITS = np.array([0] + [i.bit_length() - 1 for i in range(1, 2 * _SLOTS + 2)], np.int64)
+    def group(self, x: np.ndarray) -> np.ndarray:
+        """The classes of the numbers x of the first lanes, counted."""
+        k = len(x)
+        once = x >= self.often[:k]
+        group = np.maximum(_CLASS.take(x), once * (CLASSES - 1))
+        self.first[-1, :k] += once
+        self.under[1:, :k] += np.multiply(_ABOVE > group.astype(np.int8), np.int16(INC), dtype=np.int16)
+        return group
 
 
 class _Writer:
-    decodes = False
-
-    def __init__(self):
-        self.lanes: list[np.ndarray] = []
-        self.words: list[np.ndarray] = []
+    def __init__(self, n: int):
+        self.words, self.ends = np.empty((BLOCK // 2, n), np.uint16), np.zeros(n, np.int64)  # a lane's words are a column
+        self.calls = 0
 
     def settle(self, m: _Lanes, k: int) -> None:
         """Write the words that are certain until each range is wide enough for a whole id."""
         s = np.flatnonzero(m.rng[:k] < _LEAST)
         while len(s):
             low, rng = m.low.take(s), m.rng.take(s)
-            rng = np.where((low ^ (low + rng - _ONE)) >> _W, _SPLIT - (low & (_SPLIT - _ONE)), rng)  # cut at the word's edge
-            self.out(m, s, low)
+            _cut(low, rng)
+            self.out(s, low)
             m.low[s] = low << _OUT
             rng <<= _OUT
             m.rng[s] = rng
             s = s[rng < _LEAST]
 
-    def out(self, m: _Lanes, s: np.ndarray, low: np.ndarray) -> None:
-        self.lanes.append(s.astype(np.int32))
-        self.words.append((low >> _W).astype(np.uint16))
-
-    def bit(self, m: _Lanes, s, p, bit) -> np.ndarray:
-        rng = m.rng[s]
-        r = (rng >> U(12)) * p
-        m.low[s] += np.where(bit, U(0), r)
-        m.rng[s] = np.where(bit, r, rng - r)
-        return bit
-
-    def group(self, m: _Lanes, s, group) -> np.ndarray:
-        r, at = m.rng.take(s) // m.total.take(s).astype(U), group * m.n + s
-        f = m.classes.take(at)
-        under = np.cumsum(m.classes.reshape(CLASSES, m.n), axis=0, dtype=np.int32).reshape(-1).take(at)
-        m.low[s] += r * (under - f).astype(U)
-        m.rng[s] = r * f.astype(U)
-        return group
-
-    def place(self, m: _Lanes, s, places, place) -> np.ndarray:
-        r = m.rng[s] // places.astype(U)
-        m.low[s] += r * place.astype(U)
-        m.rng[s] = r
-        return place
+    def out(self, s: np.ndarray, low: np.ndarray) -> None:
+        at = self.ends.take(s)
+        self.ends[s] = at + 1
+        self.calls += 1  # no lane has more words
+        if self.calls > len(self.words) and at.max() >= len(self.words):
+            self.words = np.concatenate([self.words, np.empty_like(self.words)])
+        self.words.reshape(-1)[at * len(self.ends) + s] = (low >> _W).astype(np.uint16)
+
+    def number(self, m: _Lanes, k: int, t: int, p, g, x, asked) -> tuple[np.ndarray, np.ndarray]:
+        """Code the number x of each of the first k lanes; x, and whether it is order 2's and order 1's."""
+        hit = (g == x) & asked
+        hit[1] &= ~hit[0]
+        literal = ~(hit[0] | hit[1])
+        low, rng = m.low[:k], m.rng[:k]
+        cut = p * (rng >> U(_P))
+        end = cut[0] + cut[1]
+        total = _total(t)
+        group = m.group(x)
+        at = group * m.n + m.lane[:k]
+        q = (rng - end) // U(total)
+        f = m.under.reshape(-1).take(at + m.n) - m.under.reshape(-1).take(at) - INC  # less this one's own
+        one = ((q * f.astype(U)) >> U(_S)) * m.share.take(at).astype(U)
+        place = (x - m.first.reshape(-1).take(at)) * (group < CLASSES - 1)
+        low += cut[0] * hit[1] + (end + q * m.under.reshape(-1).take(at).astype(U) + one * place.astype(U)) * literal
+        cut *= hit
+        np.add(cut[0], cut[1], out=rng)
+        rng += one * literal
+        return x, hit
 
     def finish(self, m: _Lanes) -> list[bytes]:
         every = np.arange(m.n)
         for k in range(4):
-            self.out(m, every, m.low << U(16 * k))
-        lane, word = np.concatenate(self.lanes), np.concatenate(self.words)
-        order = np.argsort(lane, kind="stable")
-        edge = np.searchsorted(lane[order], np.arange(m.n + 1))
-        word = word[order].astype("<u2")
-        return [word[a:b].tobytes() for a, b in zip(edge, edge[1:])]
+            self.out(every, m.low << U(16 * k))
+        words = _turned(self.words[: self.ends.max(initial=0)]).astype("<u2")
+        return [w[:e].tobytes() for w, e in zip(words, self.ends.tolist())]
 
 
 class _Reader:
-    decodes = True
-
     def __init__(self, coded: list[bytes]):
         words = [np.frombuffer(c, "<u2") for c in coded]
-        self.words = np.concatenate([*words, np.zeros(4, np.uint16)]).astype(U)
+        self.words = np.concatenate([*words, np.zeros(4, np.uint16)])
         start = np.cumsum([0, *(len(w) for w in words)])[:-1]
         self.next = start + 4
         self.code = np.zeros(len(words), U)
@@ -210,7 +195,7 @@ class _Reader:
         s = np.flatnonzero(m.rng[:k] < _LEAST)
         while len(s):
             low, rng = m.low.take(s), m.rng.take(s)
-            rng = np.where((low ^ (low + rng - _ONE)) >> _W, _SPLIT - (low & (_SPLIT - _ONE)), rng)  # cut at the word's edge
+            _cut(low, rng)
             at = self.next.take(s)
             self.code[s] = self.code.take(s) << _OUT | self.words.take(at, mode="clip")
             self.next[s] = at + 1
@@ -219,34 +204,83 @@ class _Reader:
             m.rng[s] = rng
             s = s[rng < _LEAST]
 
-    def bit(self, m: _Lanes, s, p, bit) -> np.ndarray:
-        rng, low = m.rng[s], m.low[s]
-        r = (rng >> U(12)) * p
-        bit = self.code[s] - low < r
-        m.low[s] = low + np.where(bit, U(0), r)
-        m.rng[s] = np.where(bit, r, rng - r)
-        return bit
-
-    def group(self, m: _Lanes, s, group) -> np.ndarray:
-        low, total = m.low.take(s), m.total.take(s)
-        r = m.rng.take(s) // total.astype(U)
-        v = np.zeros(m.n, np.int32)
-        v[s] = np.minimum((self.code.take(s) - low) // r, (total - 1).astype(U))
-        under = np.cumsum(m.classes.reshape(CLASSES, m.n), axis=0, dtype=np.int32)
-        group = np.add.reduce((under <= v).view(np.int8), axis=0, dtype=np.int8).take(s).astype(np.int64)
-        at = group * m.n + s
-        f = m.classes.take(at)
-        m.low[s] = low + r * (under.reshape(-1).take(at) - f).astype(U)
-        m.rng[s] = r * f.astype(U)
-        return group
+    def number(self, m: _Lanes, k: int, t: int, p, g, x, asked) -> tuple[np.ndarray, np.ndarray]:
+        """As the writer's, but x is read."""
+        low, rng = m.low[:k], m.rng[:k]
+        cut = p * (rng >> U(_P))
+        end = cut[0] + cut[1]
+        ahead = self.code[:k] - low
+        hit = np.empty((2, k), bool)
+        np.less(ahead, cut[0], out=hit[0])
+        literal = ahead >= end
+        hit[1] = ~(hit[0] | literal)
+        total = _total(t)
+        q = (rng - end) // U(total)
+        ahead -= end * literal
+        v = np.minimum(ahead // q, U(total - 1)).astype(np.int16)
+        group = np.add.reduce((m.under[1:CLASSES, :k] <= v).view(np.int8), axis=0, dtype=np.int8).astype(np.int64)
+        at = group * m.n + m.lane[:k]
+        under = m.under.reshape(-1).take(at)
+        first = q * under.astype(U)
+        one = ((q * (m.under.reshape(-1).take(at + m.n) - under).astype(U)) >> U(_S)) * m.share.take(at).astype(U)
+        ahead -= first
+        place = np.minimum(ahead // one, U(BLOCK))
+        x = np.minimum(m.first.reshape(-1).take(at) + place.astype(np.int16), BLOCK - 1)
+        x *= literal
+        x += g[0] * hit[0] + g[1] * hit[1]
+        low += cut[0] * hit[1] + (end + first + one * place) * literal
+        cut *= hit
+        np.add(cut[0], cut[1], out=rng)
+        rng += one * literal
+        m.group(x)
+        return x, hit
+
+
+def _turned(table: np.ndarray) -> np.ndarray:
+    """The transposed table, copied in squares that stay in the cache."""
+    out = np.empty(table.shape[::-1], table.dtype)
+    for a in range(0, table.shape[0], 64):
+        for b in range(0, table.shape[1], 512):
+            out[b : b + 512, a : a + 64] = table[a : a + 64, b : b + 512].T
+    return out
+
 
-    def place(self, m: _Lanes, s, places, place) -> np.ndarray:
-        low = m.low[s]
-        r = m.rng[s] // places.astype(U)
-        place = np.minimum((self.code[s] - low) // r, (places - 1).astype(U))
-        m.low[s] = low + r * place
-        m.rng[s] = r
-        return place.astype(np.int64)
+def _total(t: int) -> int:
+    """The sum of the classes' counts after t numbers."""
+    return CLASSES * BEGIN + INC * t
+
+
+def _cut(low: np.ndarray, rng: np.ndarray) -> None:
+    """Cut ranges that reach over the edge of their first word there."""
+    over = np.flatnonzero((low ^ (low + rng - _ONE)) >> _W)
+    if len(over):
+        rng[over] = _SPLIT - (low[over] & (_SPLIT - _ONE))
+
+
+def _numbered(ids: np.ndarray) -> tuple[np.ndarray, int, np.ndarray]:
+    """The dictionary of a block, how many of it come more than once, and the ids' numbers."""
+    values = np.sort(ids)
+    edge = np.empty(len(ids) + 1, bool)
+    edge[:1] = edge[-1:] = True
+    np.not_equal(values[1:], values[:-1], out=edge[1:-1])
+    starts = np.flatnonzero(edge)
+    counts, values = starts[1:] - starts[:-1], values[starts[:-1]]
+    order = np.argsort(-counts, kind="stable")
+    often = int(np.count_nonzero(counts > 1))
+    number = np.empty(len(values), np.int16)
+    number[order] = np.arange(len(values), dtype=np.int16)
+    if len(values) and values[-1] < len(_PLACES):
+        _PLACES[values] = number
+        numbers = _PLACES.take(ids)
+    else:
+        numbers = number[np.searchsorted(values, ids)]
+    once = np.flatnonzero(numbers >= often)
+    numbers[once] = np.arange(often, len(values), dtype=np.int16)
+    return np.concatenate([values[order[:often]], ids[once]]), often, numbers
+
+
+#: Scratch space of _numbered: numbers by id.
+_PLACES = np.zeros(1 << 16, np.int16)
 
 
 def encode_blocks(blocks: list[np.ndarray]) -> list[bytes]:
@@ -261,20 +295,16 @@ def _encode(blocks: list[np.ndarray]) -> list[bytes]:
     order = sorted(range(len(blocks)), key=lambda i: -len(blocks[i]))
     lengths = np.array([len(blocks[i]) for i in order], np.int64)
     numbers = np.zeros((len(order), int(lengths[0]) if len(order) else 0), np.int16)
-    heads = []
+    heads, often = [], []
     for row, i in enumerate(order):
         ids = np.asarray(blocks[i], "<u4")
         if len(ids) > BLOCK:
             raise ValueError(f"a block holds at most {BLOCK} ids")
-        values, first, inverse = np.unique(ids, return_index=True, return_inverse=True)
-        rank = np.empty(len(values), np.int16)
-        by_first = np.argsort(first, kind="stable")
-        rank[by_first] = np.arange(len(values))
-        numbers[row, : len(ids)] = rank[inverse]
-        names = values[by_first].astype("<u4")
-        wide = len(values) and int(values[-1]) > 0xFFFF
-        heads.append(np.array([len(ids), len(names) | (0x80000000 if wide else 0), zlib.crc32(ids.tobytes())], "<u4").tobytes() + names.astype("<u4" if wide else "<u2").tobytes())
-    lanes, writer = _Lanes(lengths), _Writer()
+        names, n, numbers[row, : len(ids)] = _numbered(ids)
+        wide = len(names) and int(names.max()) > 0xFFFF
+        often.append(n)
+        heads.append(np.array([len(ids), len(names) | n << 12 | (0x80000000 if wide else 0), zlib.crc32(ids.tobytes())], "<u4").tobytes() + names.astype("<u4" if wide else "<u2").tobytes())
+    lanes, writer = _Lanes(lengths, np.array(often, np.int64)), _Writer(len(order))
     lanes.run(writer, numbers)
     bodies: list[bytes] = [b""] * len(blocks)
     for i, head, coded in zip(order, heads, writer.finish(lanes) if len(order) else []):
@@ -297,15 +327,15 @@ def _decode(bodies: list[bytes]) -> list[np.ndarray]:
         if b[:4] != MAGIC or len(b) < 20 or zlib.crc32(b[8:]) != int.from_bytes(b[4:8], "little"):
             raise ValueError("a block of token ids is damaged")
         n, names, crc = (int(x) for x in np.frombuffer(b, "<u4", 3, 8))
-        wide, names = names >> 31, names & 0x7FFFFFFF
-        heads.append((n, np.frombuffer(b, "<u4" if wide else "<u2", names, 20).astype(np.uint32), crc, b[20 + names * (4 if wide else 2) :]))
+        wide, often, names = names >> 31, names >> 12 & 0xFFF, names & 0xFFF
+        heads.append((n, np.frombuffer(b, "<u4" if wide else "<u2", names, 20).astype(np.uint32), crc, b[20 + names * (4 if wide else 2) :], often))
     order = sorted(range(len(bodies)), key=lambda i: -heads[i][0])
-    lanes = _Lanes(np.array([heads[i][0] for i in order], np.int64))
+    lanes = _Lanes(np.array([heads[i][0] for i in order], np.int64), np.array([heads[i][4] for i in order], np.int64))
     numbers = lanes.run(_Reader([heads[i][3] for i in order]), None)
     out: list[np.ndarray] = [np.zeros(0, np.uint32)] * len(bodies)
-    rows = np.ascontiguousarray(numbers.T) if lanes.n else None
+    rows = _turned(numbers) if lanes.n else None
     for row, i in enumerate(order):
-        n, names, crc, _ = heads[i]
+        n, names, crc, _, _ = heads[i]
         got = rows[row, :n]
         if n and (got.max() >= len(names) or got.min() < 0):
             raise ValueError("a block of token ids is damaged")

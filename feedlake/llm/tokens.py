@@ -29,8 +29,8 @@ from feedlake.llm.codec import BLOCK, LANES, decode_blocks, encode_blocks
 from feedlake.llm.common import kept, small_batches, stored, table, texts
 from feedlake.session import scratch_path
 
-#: Words whose ids a worker remembers, and the longest of them in bytes.
-MEMO, MEMO_BYTES = 500_000, 48
+#: Words whose ids a worker remembers, in two halves, and the longest of them in bytes.
+MEMO, MEMO_BYTES = 800_000, 48
 #: What may end a plain word as a piece of its own, and the first character that is none of plain words'.
 PUNCTUATION, RARE = b"!#$%&()*+,-./:;=?@[]^_{|}~", "\u0250"
 FILES = T.StructType([T.StructField("part", T.IntegerType()), T.StructField("block", T.LongType()), T.StructField("before", T.LongType()), T.StructField("first_row", T.LongType()),
@@ -69,6 +69,8 @@ class WordIds(dict):
         self.plain = regex.compile("[!-~¡-¬®-ɏ]+")
         self.special = [str(t["content"]).encode() for t in spec.get("added_tokens", [])]
         self.kind, self.code = ("<u2", "H") if self.tokenizer.get_vocab_size() <= 1 << 16 else ("<u4", "I")
+        #: The words that were remembered before this half filled up; those still in use move on to the next.
+        self.older: dict[bytes, bytes] = {}
 
     def of(self, word: bytes) -> bytes:
         core = word.rstrip(PUNCTUATION)
@@ -76,7 +78,7 @@ class WordIds(dict):
         if text.isalpha() and (core.isascii() or max(text) < RARE):
             if len(core) < len(word):
                 return self[core] + self[word[len(core) :]]
-            ids = [t.id for t in self.model.tokenize(text.translate(self.mapped))]
+            ids = [t.id for t in self.model.tokenize(text if core.isascii() else text.translate(self.mapped))]
             return array(self.code, ids).tobytes()
         text = word.decode()
         if self.plain.fullmatch(low := text.lower()) and not any(s in word for s in self.special):
@@ -88,9 +90,13 @@ class WordIds(dict):
     def __missing__(self, word: bytes) -> bytes:
         if len(word) > MEMO_BYTES:
             return self.of(word)
-        if len(self) >= MEMO:
+        if len(self) >= MEMO // 2:
+            self.older = dict(self)
             self.clear()
-        out = self[word] = self.of(word)
+        out = self.older.get(word)
+        if out is None:
+            out = self.of(word)
+        self[word] = out
         return out
 
     def ids(self, text: bytes) -> np.ndarray:
