@@ -39,6 +39,10 @@ _SLOTS = 4096
 _ONE, _OUT, _W, _SPLIT, _LEAST = U(1), U(16), U(48), U(1 << 48), U(1 << 44)
 #: Bits of the decisions' probabilities, and of the shares of a place in a class.
 _P, _S = 15, 14
+#: Constants of the tables' own types, which array operations take faster than Python's numbers.
+_0, _1, _2, _3, _4H = (np.int16(i) for i in range(5))
+_4, _8, _SURE, _W_MIN, _W_MAX = (np.int32(i) for i in (4, 8, 65535, 16, 240))
+_P_ONE, _P_MIN, _P_MAX, _TO_P, _TO_ONE = (np.int32(i) for i in (1 << _P, 1 << (_P - 7), (1 << _P) - (1 << (_P - 7)), 24 - _P, _P))
 #: By number: its class, if it comes more than once. By class: its first number.
 _CLASS = np.array([(i + 1).bit_length() - 1 for i in range(BLOCK)], np.int64)
 _FIRST = np.array([(1 << i) - 1 for i in range(CLASSES - 1)], np.int64)
@@ -55,7 +59,7 @@ class _Lanes:
         #: Tables are flat, entry by entry: entry i of a lane is at i * n + lane, so lanes that look at one entry share cache lines.
         self.lane = np.arange(n, dtype=np.int64)
         self.after = np.zeros(n * (_SLOTS + BLOCK), np.int16)  # number * 4 + confidence: order 2's entries, then order 1's
-        self.own, self.both = np.full(n * 2 * 4, 1 << 15, np.int32), np.full(n * 2 * 16, 1 << 15, np.int32)
+        self.estimates = np.full(n * 2 * (4 + 16), 1 << 15, np.int32)  # by own confidence: order 2's, order 1's; by both: order 2's, order 1's
         self.weight = np.full((2, n), 128, np.int32)
         self.under = np.repeat(np.arange(CLASSES + 1, dtype=np.int16) * BEGIN, n).reshape(CLASSES + 1, n)  # counts of all lower classes
         places = np.ones((CLASSES, n), np.int64)
@@ -72,6 +76,7 @@ class _Lanes:
         columns = None if numbers is None else _turned(numbers)
         active = np.searchsorted(-self.lengths, -np.arange(steps), side="left")  # lanes longer than t
         prev1 = prev2 = np.zeros(n, np.int64)
+        tables = np.array([[0, 4 * n], [8 * n, 0]])
         for t in range(steps):
             k = int(active[t])
             coder.settle(self, k)
@@ -82,34 +87,49 @@ class _Lanes:
             at *= n
             at += lane
             e = self.after.take(at)
-            c, g = e & 3, e >> 2
-            asked = c > 0
-            asked[1] &= ~asked[0] | (g[0] != g[1])
-            at_own, at_both = np.empty((2, k), np.int64), np.empty((2, k), np.int64)
-            np.multiply(c, n, out=at_own, dtype=np.int64)
-            at_own += lane
-            at_own[1] += 4 * n
-            np.multiply(c[0] * 4 + c[1], n, out=at_both[0], dtype=np.int64)
-            at_both[0] += lane
-            np.add(at_both[0], 16 * n, out=at_both[1])
-            a, b, w = self.own.take(at_own), self.both.take(at_both), self.weight[:, :k]
-            p = ((a - b) * w + (b << 8)) >> (24 - _P)
-            p = np.minimum(np.maximum(p, 1 << (_P - 7)), (1 << _P) - (1 << (_P - 7)))
+            c, g = e & _3, e >> _2
+            known = c > _0
+            asked = known.copy()
+            asked[1] &= ~known[0] | (g[0] != g[1])
+            at_estimates = np.empty((2, 2, k), np.int64)
+            np.multiply(c, n, out=at_estimates[0], dtype=np.int64)
+            np.add(at_estimates[0, 0] * 4, at_estimates[0, 1], out=at_estimates[1, 0])
+            at_estimates += tables[:, :, None]
+            at_estimates[1, 1] = at_estimates[1, 0] + 16 * n
+            at_estimates += lane
+            estimates, w = self.estimates.take(at_estimates), self.weight[:, :k]
+            a, b = estimates
+            p = (a - b) * w
+            p += b << _8
+            p >>= _TO_P
+            np.maximum(p, _P_MIN, out=p)
+            np.minimum(p, _P_MAX, out=p)
             p *= asked
-            p[1] *= (1 << _P) - p[0]
-            p[1] >>= _P
+            p[1] *= _P_ONE - p[0]
+            p[1] >>= _TO_ONE
             x, hit = coder.number(self, k, t, p.astype(U), g, None if columns is None else columns[t, :k], asked)
             asked[1] &= ~hit[0]
-            self.own[at_own] = a + (((hit * np.int32(65535) - a) >> 4) * asked)
-            self.both[at_both] = b + (((hit * np.int32(65535) - b) >> 4) * asked)
-            step = ((a > b) == hit) * np.int32(4)
-            step -= 2
+            change = hit * _SURE - estimates
+            change >>= _4
+            change *= asked
+            change += estimates
+            self.estimates[at_estimates] = change
+            step = ((a > b) == hit) * _4
+            step -= _2
             step *= asked
             step += w
-            self.weight[:, :k] = np.minimum(np.maximum(step, 16), 240)
-            fresh = x * 4 + 1
-            new = (e - 1 - fresh) * (c > 1) + fresh
-            new += (e + (c < 3) - new) * ((c > 0) & (g == x))
+            np.maximum(step, _W_MIN, out=step)
+            np.minimum(step, _W_MAX, out=self.weight[:, :k])
+            fresh = x * _4H + _1
+            new = e - _1
+            new -= fresh
+            new *= c > _1
+            new += fresh
+            known &= g == x
+            e += c < _3
+            e -= new
+            e *= known
+            new += e
             self.after[at] = new
             prev2, prev1 = p1, x.astype(np.int64)
             if out is not None:
@@ -265,7 +285,7 @@ def _numbered(ids: np.ndarray) -> tuple[np.ndarray, int, np.ndarray]:
     np.not_equal(values[1:], values[:-1], out=edge[1:-1])
     starts = np.flatnonzero(edge)
     counts, values = starts[1:] - starts[:-1], values[starts[:-1]]
-    order = np.argsort(-counts, kind="stable")
+    order = np.argsort(-counts.astype(np.int16), kind="stable")
     often = int(np.count_nonzero(counts > 1))
     number = np.empty(len(values), np.int16)
     number[order] = np.arange(len(values), dtype=np.int16)

@@ -20,13 +20,14 @@ from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import regex
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, functions as F, types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
 from feedlake.llm.codec import BLOCK, LANES, decode_blocks, encode_blocks
-from feedlake.llm.common import kept, small_batches, stored, table, texts
+from feedlake.llm.common import kept, pieces, small_batches, stored, table
 from feedlake.session import scratch_path
 
 #: Words whose ids a worker remembers, in two halves, and the longest of them in bytes.
@@ -104,6 +105,22 @@ class WordIds(dict):
         words = text.split() if b"<|" in text else text.lower().split()
         return np.frombuffer(b"".join(map(self.__getitem__, words)), self.kind)
 
+    def of_texts(self, column: pa.Array) -> list[np.ndarray]:
+        """ids() of each text, null being empty. Each different word of the texts is looked up once."""
+        column = column.cast(pa.string()).fill_null("")
+        special, low = pc.match_substring(column, "<|"), pc.ascii_lower(column)
+        words = pc.ascii_split_whitespace(pc.if_else(special, column, low) if pc.any(special).as_py() else low)
+        each = words.flatten().dictionary_encode()
+        if not len(each):
+            return [np.zeros(0, self.kind)] * len(column)
+        one = pa.ListArray.from_arrays(pa.array([0, len(each.dictionary)], pa.int32()), each.dictionary)
+        different = pc.binary_join(one, "\n")[0].as_py().encode().split(b"\n")  # no word holds white space
+        coded = pa.array(map(self.__getitem__, different), pa.large_binary(), size=len(different)).take(each.indices)
+        at = np.frombuffer(coded.buffers()[1], np.int64)[coded.offset : coded.offset + len(coded) + 1]
+        data = np.frombuffer(coded.buffers()[2] or b"", np.uint8)[: at[-1]].view(self.kind)
+        edges = (at[words.offsets.to_numpy() - words.offsets[0].as_py()] // data.itemsize).tolist()
+        return [data[a:b] for a, b in zip(edges, edges[1:])]
+
 
 def word_ids(path: str) -> WordIds:
     """This worker's own, kept from task to task."""
@@ -149,9 +166,9 @@ def _written(path: str, end_id: int):
             return out
 
         end, n = np.array([end_id], own.kind), 0
-        for batch in batches:
-            for doc_id, text in zip(batch.column(0).to_pylist(), texts(batch.column(1))):
-                ids = np.concatenate([own.ids(text), end])
+        for batch in pieces(batches, "text"):
+            for doc_id, ids in zip(batch.column(0).to_pylist(), own.of_texts(batch.column(1))):
+                ids = np.concatenate([ids, end])
                 held.append(ids)
                 names.append(doc_id)
                 n += len(ids)

@@ -1,6 +1,7 @@
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from hypothesis import given, settings, strategies as st
 from tokenizers import Tokenizer
@@ -105,3 +106,42 @@ def test_repeated_rows_null_ids_and_empty_table(spark, tmp_path):
     assert got == [(0, None, 2), (2, 2, 2), (4, 2, 2)]
     k.write_ids(docs.where("false"), f"{tmp_path}/none", k.default_tokenizer())
     assert k.read_summary(spark, f"{tmp_path}/none").count() == 0
+
+
+def test_each_different_word_of_a_batch_is_looked_up_once():
+    class Counted(k.WordIds):
+        def __getitem__(self, word):
+            asked.append(word)
+            return super().__getitem__(word)
+
+    asked, own = [], Counted(k.default_tokenizer())
+    got = own.of_texts(pa.array(["the cat saw The cat", None, " \n ", "cat the"] * 50).slice(1, 198))
+    assert sorted(asked) == [b"", b"cat", b"saw", b"the"]
+    assert [g.tolist() for g in got] == library_ids((["the cat saw the cat", "", "", "cat the"] * 50)[1:199])
+
+
+def test_words_in_use_stay_remembered(monkeypatch):
+    monkeypatch.setattr(k, "MEMO", 40)
+    own, coded = k.WordIds(k.default_tokenizer()), []
+    of = own.of
+    monkeypatch.setattr(own, "of", lambda word: coded.append(word) or of(word))
+    got = [own.ids(b"often word%d" % i).tolist() for i in range(300)]
+    assert got == library_ids([f"often word{i}" for i in range(300)])
+    assert coded.count(b"often") == 1 and len(own) + len(own.older) <= 40
+
+
+@settings(max_examples=30, deadline=None)
+@given(st.lists(st.one_of(st.none(), st.sampled_from(ODD), st.text(st.characters(blacklist_categories=("Cs",)), max_size=40)), max_size=8))
+def test_texts_of_a_batch_have_the_library_s_ids(texts):
+    got = k.word_ids(k.default_tokenizer()).of_texts(pa.array(texts, pa.string()))
+    assert [g.tolist() for g in got] == (library_ids([t or "" for t in texts]) if texts else [])
+
+
+def test_ids_that_come_once_cost_their_class_alone():
+    r = np.random.default_rng(5)
+    once = r.permutation(40_000)[: codec.BLOCK].astype(np.uint32)
+    mixed = np.where(r.random(codec.BLOCK) < 0.5, once, r.integers(0, 4, codec.BLOCK)).astype(np.uint32)
+    wide = once + np.uint32(1 << 31)
+    made = codec.encode_blocks([once, mixed, wide])
+    assert all(np.array_equal(a, b) for a, b in zip([once, mixed, wide], codec.decode_blocks(made)))
+    assert len(made[0]) < 2 * codec.BLOCK + 100
