@@ -31,7 +31,7 @@ from feedlake.llm.common import kept, pieces, small_batches, stored, table
 from feedlake.session import scratch_path
 
 #: Words whose ids a worker remembers, in two halves, and the longest of them in bytes.
-MEMO, MEMO_BYTES = 800_000, 48
+MEMO, MEMO_BYTES = 1_600_000, 48
 #: What may end a plain word as a piece of its own, and the first character that is none of plain words'.
 PUNCTUATION, RARE = b"!#$%&()*+,-./:;=?@[]^_{|}~", "\u0250"
 FILES = T.StructType([T.StructField("part", T.IntegerType()), T.StructField("block", T.LongType()), T.StructField("before", T.LongType()), T.StructField("first_row", T.LongType()),
@@ -127,6 +127,22 @@ def word_ids(path: str) -> WordIds:
     return kept(f"word ids of {path}", lambda: WordIds(path))
 
 
+def _gathered(batches, most: int = 8 << 20):
+    """The same rows in fewer batches, of `most` bytes or a little more."""
+    held: list[pa.RecordBatch] = []
+
+    def out():
+        return pa.Table.from_batches(held).combine_chunks().to_batches()
+
+    for batch in batches:
+        held.append(batch)
+        if sum(b.nbytes for b in held) >= most:
+            yield from out()
+            held = []
+    if held:
+        yield from out()
+
+
 def _written(path: str, end_id: int):
     schema = to_arrow_schema(FILES)
 
@@ -166,7 +182,7 @@ def _written(path: str, end_id: int):
             return out
 
         end, n = np.array([end_id], own.kind), 0
-        for batch in pieces(batches, "text"):
+        for batch in pieces(_gathered(batches), "text"):
             for doc_id, ids in zip(batch.column(0).to_pylist(), own.of_texts(batch.column(1))):
                 ids = np.concatenate([ids, end])
                 held.append(ids)
