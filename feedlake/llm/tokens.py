@@ -31,7 +31,7 @@ from feedlake.llm.common import kept, pieces, small_batches, stored, table
 from feedlake.session import scratch_path
 
 #: Words whose ids a worker remembers, in two halves, and the longest of them in bytes.
-MEMO, MEMO_BYTES = 1_600_000, 48
+MEMO, MEMO_BYTES = 1_000_000, 48
 #: What may end a plain word as a piece of its own, and the first character that is none of plain words'.
 PUNCTUATION, RARE = b"!#$%&()*+,-./:;=?@[]^_{|}~", "\u0250"
 FILES = T.StructType([T.StructField("part", T.IntegerType()), T.StructField("block", T.LongType()), T.StructField("before", T.LongType()), T.StructField("first_row", T.LongType()),
